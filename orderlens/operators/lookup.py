@@ -22,7 +22,7 @@ def lookup_join(
 ) -> DataFrame:
     """Add the columns of ``dim`` to ``fact``.
 
-    A dimension whose measured size is within the session's broadcast limit is
+    A dimension whose size is within the session's broadcast limit is
     broadcast and the fact is not shuffled. A larger one is shuffled, with the rows
     of hot keys (and null keys, which match nothing) spread by a hash of
     ``spread_by``; only the dimension rows of hot keys are repeated. Every row is
@@ -37,10 +37,17 @@ def lookup_join(
 
 
 def fits_broadcast(df: DataFrame) -> bool:
-    """Measure ``df`` in one distributed pass against the broadcast limit."""
+    """Whether ``df`` is within the session's broadcast limit.
+
+    The optimizer's estimate is enough where it is small. It multiplies the sides of
+    a join, so a large one is replaced by a measurement in one distributed pass.
+    """
     limit = broadcast_limit(df)
     if limit <= 0:
         return False
+    estimate = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    if int(str(estimate)) <= limit:
+        return True
     return (df.agg(F.sum(_row_bytes(df))).first()[0] or 0) <= limit
 
 
@@ -51,11 +58,19 @@ def broadcast_limit(df: DataFrame) -> int:
 
 
 def hot_keys(df: DataFrame, key: str, share: float = HOT_SHARE) -> list:
-    """All keys above ``share`` of the rows, and possibly a few below it.
+    """The keys above ``share`` of the rows that have a key, hence under 1 / share keys.
 
-    At most ``1 / share`` keys, found in one pass that shuffles no rows.
+    One pass collects candidates, among them every hot key; a second counts them.
+    Both read one column and shuffle no more than the candidates.
     """
-    return df.where(F.col(key).isNotNull()).stat.freqItems([key], share).first()[0] or []
+    keys = df.select(key).where(F.col(key).isNotNull())
+    candidates = keys.stat.freqItems([key], share).first()[0] or []
+    if not candidates:
+        return []
+    group = F.when(F.col(key).isin(candidates), F.col(key)).alias("candidate")
+    counts = {r[0]: r[1] for r in keys.groupBy(group).count().collect()}
+    total = sum(counts.values())
+    return sorted(k for k, n in counts.items() if k is not None and n > share * total)
 
 
 def _salted_join(

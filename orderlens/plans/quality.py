@@ -6,6 +6,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from orderlens.functions import money_sum, percent, profit_sum
 from orderlens.operators import ranks
@@ -126,6 +127,25 @@ def join_inflation(before: DataFrame, after: DataFrame) -> DataFrame:
     )
 
 
+def contract_check(df: DataFrame, schema: T.StructType, table: str) -> DataFrame:
+    """Rows that break a table's contract: nulls per required column, repeated keys.
+
+    The first field of the schema is the key.
+    """
+    required = [f.name for f in schema.fields if not f.nullable]
+    key = schema.fields[0].name
+    nulls = df.agg(*(F.count_if(F.col(name).isNull()).alias(name) for name in required))
+    repeated = df.agg(F.count(key) - F.count_distinct(key)).scalar()
+    rules = [(f"{name} is null", F.col(name)) for name in required]
+    rules.append((f"{key} repeated", F.col("repeated")))
+    pairs = F.array(*(F.struct(F.lit(n).alias("rule"), c.alias("rows_n")) for n, c in rules))
+    return (
+        nulls.withColumn("repeated", repeated)
+        .select(F.inline(pairs))
+        .withColumn("table", F.lit(table))
+    )
+
+
 def added_columns(df: DataFrame) -> list[str]:
     """Which of the dimension columns the reports rely on are present."""
     wanted = ["country", "category", "churn_label", "margin_percentage"]

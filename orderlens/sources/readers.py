@@ -2,9 +2,65 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from orderlens.functions import clean_id, to_margin, to_timestamp
+from orderlens.plans.tables import typed_orders
+
+LABELS = {"churn_label", "fraud_label"}
+DIMENSION_TEXT = {"country", "gender", "category"}
+ORDER_NUMBERS = ["discount_applied", "shipping_delay_days"]
+
+
+@dataclass
+class Inputs:
+    """The four input tables with typed columns."""
+
+    transactions: DataFrame
+    customers: DataFrame
+    products: DataFrame
+    behavior: DataFrame
+
+
+def read_inputs(spark: SparkSession, folder: str) -> Inputs:
+    """The CSV inputs of a folder, typed; values that do not fit become null."""
+    raw = {
+        name: read_csv(spark, f"{folder}/{name}.csv")
+        for name in ("transactions", "customers", "products", "behavior")
+    }
+    orders = typed_orders(raw["transactions"])
+    numbers = {name: _number(name) for name in ORDER_NUMBERS if name in orders.columns}
+    return Inputs(
+        orders.withColumns({**numbers, "fraud_label": _number("fraud_label")}),
+        typed_dimension(raw["customers"], "customer_id"),
+        typed_dimension(raw["products"], "product_id"),
+        typed_dimension(raw["behavior"], "customer_id"),
+    )
+
+
+def typed_dimension(df: DataFrame, key: str) -> DataFrame:
+    """Key as trimmed text, dates as timestamps, known texts kept, the rest numbers."""
+    columns = {}
+    for name in df.columns:
+        if name == key:
+            columns[name] = clean_id(name)
+        elif name == "margin_percentage":
+            columns[name] = to_margin(name)
+        elif name.endswith("_date"):
+            columns[name] = to_timestamp(name)
+        elif name not in DIMENSION_TEXT:
+            columns[name] = _number(name)
+    return df.withColumns(columns)
+
+
+def _number(name: str) -> Column:
+    value = F.col(name).try_cast("double")
+    return value.try_cast("int") if name in LABELS else value
+
 
 def read_csv(spark: SparkSession, path: str) -> DataFrame:
     """CSV with a header line as text columns, header names trimmed.
@@ -29,10 +85,11 @@ def read_parquet(
 
 def read_tables(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
     """The saved order table and customer table."""
-    return (
-        read_parquet(spark, f"{folder}/clean"),
-        read_parquet(spark, latest_people(spark, folder)),
-    )
+    return read_parquet(spark, f"{folder}/clean"), read_people(spark, folder)
+
+
+def read_people(spark: SparkSession, folder: str) -> DataFrame:
+    return read_parquet(spark, latest_people(spark, folder))
 
 
 def latest_people(spark: SparkSession, folder: str) -> str:

@@ -216,6 +216,20 @@ _BODIES = {
         FROM (SELECT count(DISTINCT churn_label) AS a FROM fact GROUP BY customer_id)
       UNION ALL SELECT 'fraud_label', count(*) FILTER (a > 1)
         FROM (SELECT count(DISTINCT fraud_label) AS a FROM txn GROUP BY customer_id)""",
+    "contract_check": " UNION ALL ".join(
+        f"""SELECT '{table}' AS "table", '{column} is null' AS rule,
+          count(*) FILTER ({column} IS NULL) AS rows_n FROM {cte}"""
+        for table, cte, columns in (
+            ("clean_orders", "txn", ["transaction_id", "order_key", "customer_id",
+                                     "order_date", "order_value"]),
+            ("people", "ppl", ["customer_id", "gmv", "orders", "first_order"]),
+        )
+        for column in columns
+    )
+    + """ UNION ALL SELECT 'clean_orders', 'transaction_id repeated',
+        count(transaction_id) - count(DISTINCT transaction_id) FROM txn
+      UNION ALL SELECT 'people', 'customer_id repeated',
+        count(customer_id) - count(DISTINCT customer_id) FROM ppl""",
     "sanity_rows": "SELECT count(*) AS rows_n FROM orders",
     "sanity_sql": f"""SELECT count(DISTINCT order_key) AS orders_n,
       sum(order_value)::DOUBLE AS gmv, {PROFIT} AS profit, min(order_date) AS date_min,

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from orderlens import schemas
 from orderlens.models import features, metrics, training
 from orderlens.operators.lookup import lookup_join
 from orderlens.operators.storage import new_path, store
@@ -240,6 +241,13 @@ def mixed_churn(star: StarTables) -> DataFrame:
     return churn.unionByName(fraud.withColumn("label", F.lit("fraud_label")))
 
 
+@query
+def contract_check(star: StarTables) -> DataFrame:
+    """Required columns and keys of both tables."""
+    orders = quality.contract_check(keyed(star), schemas.CLEAN_ORDERS, "clean_orders")
+    return orders.unionByName(quality.contract_check(people_of(star), schemas.PEOPLE, "people"))
+
+
 @query
 def sanity_rows(star: StarTables) -> DataFrame:
     return quality.row_count(keyed(star))
