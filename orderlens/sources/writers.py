@@ -7,8 +7,9 @@ import time
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orderlens.plans.tables import customer_churn
 from orderlens.functions import profit_units
+from orderlens.operators.storage import store
+from orderlens.plans.tables import customer_churn
 from orderlens.schemas import (
     ORDER_COLUMNS,
     PEOPLE_COLUMNS,
@@ -72,10 +73,12 @@ def publish_jdbc(
 ) -> None:
     """Replace a database table, ``batch_rows`` per insert batch.
 
-    ``connections`` bounds the writers the database sees at one time.
+    ``connections`` bounds the writers the database sees at one time. The rows are
+    stored first, so that only the insertion runs in that few tasks.
     """
     (
-        df.coalesce(connections)
+        store(df, "publish")
+        .coalesce(connections)
         .write.mode("overwrite")
         .option("batchsize", batch_rows)
         .jdbc(url, table, properties=properties)
