@@ -91,17 +91,19 @@ def publish(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
     return spark.table("clean_orders"), spark.table("people")
 
 
-def train(spark: SparkSession, inputs: str, target: str) -> dict[str, DataFrame]:
+def train(
+    spark: SparkSession, inputs: str, target: str, trees: int | None = None
+) -> dict[str, DataFrame]:
     """Fit both classifiers for 'churn' or 'fraud' and report on the test rows."""
     data = staged(readers.read_inputs(spark, inputs))
     if target == "churn":
         table = features.churn_features(data.customers, data.behavior, data.transactions)
         settings = ("customer_id", features.CHURN_CATEGORIES)
-        trees = 200
+        trees = trees or 200
     else:
         table = features.fraud_features(data.transactions, data.customers, data.products)
         settings = ("transaction_id", features.FRAUD_CATEGORIES)
-        trees = 100
+        trees = trees or 100
     logistic = training.fit_logistic(table, *settings)
     forest = training.fit_forest(table, *settings, trees=trees)
     return {

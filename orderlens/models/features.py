@@ -10,6 +10,8 @@ from orderlens.functions import days_from, mean, money_sum, percent, ratio, to_t
 from orderlens.operators.lookup import lookup_join
 
 LABEL = "label"
+
+# Which columns are categories, features, or kept out of the features.
 CHURN_CATEGORIES = ["gender", "country"]
 FRAUD_CATEGORIES = ["payment_method", "device_type", "gender", "country", "category"]
 

@@ -122,7 +122,7 @@ def _fit(
     features: DataFrame, id_column: str, categories: list[str], scaled: bool, classifier
 ) -> Fitted:
     numbers, listed = column_kinds(features, id_column, categories)
-    table = _stored(numeric(features, numbers), id_column)
+    table = _stored(numeric(features, numbers))
     train, test = split(table, id_column)
     sizes = class_sizes(train)
     rows = sum(sizes.values())
@@ -131,16 +131,16 @@ def _fit(
     return Fitted(model, feature_names(model, numbers, listed), score(model, test, id_column))
 
 
-def _stored(features: DataFrame, id_column: str) -> DataFrame:
+def _stored(features: DataFrame) -> DataFrame:
     """Feature rows in even parts on disk.
 
     Training passes over them many times; the joins behind them run once, and the
-    parts keep every core busy. Ids are unique, so the parts are of equal size.
+    parts keep every core busy. Rows are dealt out in turn, whatever their values.
     """
     spark = features.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     parts = max(parts, spark.sparkContext.defaultParallelism)
-    return store(features.repartition(parts, id_column), "features")
+    return store(features.repartition(parts), "features")
 
 
 def preprocessing(numbers: list[str], listed: list[str], rows: int | None) -> list:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import re
 
 from pyspark.sql import Column, DataFrame
@@ -26,8 +27,8 @@ def lookup_join(
     A dimension whose size is within the session's broadcast limit is
     broadcast and the fact is not shuffled. A larger one is shuffled, with the rows
     of hot keys (and null keys, which match nothing) spread by a hash of
-    ``spread_by``; only the dimension rows of hot keys are repeated. Every row is
-    kept on both ways.
+    ``spread_by`` and the input partition, so that even copies of one row part ways;
+    only the dimension rows of hot keys are repeated. Every row is kept on both ways.
     """
     shared = sorted((set(fact.columns) & set(dim.columns)) - {key})
     if shared:
@@ -58,32 +59,50 @@ def broadcast_limit(df: DataFrame) -> int:
     return int(number) * 1024 ** ["", "k", "m", "g", "t"].index(unit)
 
 
-def hot_keys(df: DataFrame, key: str, share: float = HOT_SHARE) -> list:
-    """The keys above ``share`` of the rows that have a key; under 2 / share keys.
+def hot_keys(df: DataFrame, key: str, share: float = HOT_SHARE) -> dict:
+    """The keys above ``share`` of the rows that have a key, with their shares.
 
-    They are read off a sample, at half the share so that none is missed by chance.
-    The choice decides how rows are spread and has no influence on any result.
+    They are read off a sample, down to half the share so that none is missed by
+    chance: under 2 / share keys. The choice decides how rows are spread and has no
+    influence on any result.
     """
     keys = df.select(key).where(F.col(key).isNotNull())
     total = keys.count()
     if total == 0:
-        return []
+        return {}
     fraction = min(1.0, SAMPLE_ROWS / total)
     counts = keys.sample(fraction, seed=1).groupBy(key).agg(F.count("*").alias("n"))
     frequent = counts.where(F.col("n") > share / 2 * fraction * total)
-    return sorted(r[0] for r in frequent.collect())
+    return {r[0]: r["n"] / (fraction * total) for r in frequent.collect()}
+
+
+def spread_levels(shares: dict, partitions: int) -> dict[int, list]:
+    """Hot keys by the number of parts they are split into.
+
+    A part is at most half an average partition. Numbers are powers of two, and all
+    keys together have fewer than 4 * partitions + 2 * keys parts.
+    """
+    levels: dict[int, list] = {}
+    for value, share in shares.items():
+        parts = 2 ** math.ceil(math.log2(max(1.0, 2 * share * partitions)))
+        if parts > 1:
+            levels.setdefault(parts, []).append(value)
+    return levels
 
 
 def _salted_join(
     fact: DataFrame, dim: DataFrame, key: str, spread_by: list[str], how: str
 ) -> DataFrame:
-    salts = int(fact.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    hot = hot_keys(fact, key)
-    is_hot = F.col(key).isin(hot) if hot else F.lit(False)
-    spread = F.pmod(F.xxhash64(*spread_by), F.lit(salts)).cast("int")
-    left = fact.withColumn(SALT, F.when(F.col(key).isNull() | is_hot, spread).otherwise(0))
-    copies = F.when(is_hot, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
-    right = dim.where(F.col(key).isNotNull()).withColumn(SALT, F.explode(copies))
+    partitions = int(fact.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = F.lit(1)
+    for number, values in spread_levels(hot_keys(fact, key), partitions).items():
+        parts = F.when(F.col(key).isin(values), number).otherwise(parts)
+    own = F.when(F.col(key).isNull(), partitions).otherwise(parts)
+    # A retried task reads the same partition, hence gives its rows the same salts.
+    salt = F.pmod(F.xxhash64(*spread_by, F.spark_partition_id()), own).cast("int")
+    left = fact.withColumn(SALT, F.when(own > 1, salt).otherwise(0))
+    copies = F.explode(F.sequence(F.lit(0), parts - 1))
+    right = dim.where(F.col(key).isNotNull()).withColumn(SALT, copies)
     return left.join(right, [key, SALT], how).drop(SALT)
 
 

@@ -103,12 +103,12 @@ def dim_duplicates(dims: dict[str, tuple[DataFrame, str]]) -> DataFrame:
 def orphan_keys(orders: DataFrame, dims: dict[str, tuple[DataFrame, str]]) -> DataFrame:
     """Order rows whose key a dimension lacks, per dimension.
 
-    Rows are counted per key first, so a hot key reaches the join as one row.
+    Both sides hold each key once, so a hot key reaches the join as one row.
     """
     parts = []
     for name, (dim, key) in dims.items():
         uses = orders.groupBy(key).agg(F.count("*").alias("n"))
-        lost = uses.join(dim.select(key), key, "left_anti")
+        lost = uses.join(dim.select(key).distinct(), key, "left_anti")
         parts.append(
             lost.agg(
                 F.lit(name).alias("dim"),

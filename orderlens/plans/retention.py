@@ -74,12 +74,18 @@ def retention_long(clean: DataFrame, rows: int | None = 50) -> DataFrame:
     return out if rows is None else out.limit(rows)
 
 
-def retention_matrix(clean: DataFrame, periods: list[int] = PERIODS) -> DataFrame:
-    """One row per cohort, one column per period, 0 where nobody was active."""
+def retention_matrix(
+    clean: DataFrame, periods: list[int] = PERIODS, rows: int | None = None
+) -> DataFrame:
+    """One row per cohort, one column per period, 0 where nobody was active.
+
+    ``rows`` keeps the first cohorts only.
+    """
     wide = sized_activity(clean).groupBy("cohort").pivot("period_n", periods)
     cells = wide.agg(F.round(F.max(_share(F.col("active_n"))), 3))
     names = [F.col(str(p)).alias(f"period_{p}") for p in periods]
-    return cells.select("cohort", *names).fillna(0.0).orderBy("cohort")
+    out = cells.select("cohort", *names).fillna(0.0).orderBy("cohort")
+    return out if rows is None else out.limit(rows)
 
 
 def retention_full(clean: DataFrame) -> DataFrame:

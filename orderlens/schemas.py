@@ -8,7 +8,8 @@ from pyspark.sql import types as T
 MONEY = T.DecimalType(18, 2)
 MARGIN = T.DecimalType(8, 2)
 
-# Columns every published order row carries, before profit is added.
+# The columns of the two published tables. Profit is added to the orders,
+# the churn label to the customers.
 ORDER_COLUMNS = [
     "transaction_id",
     "order_key",

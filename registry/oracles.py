@@ -161,6 +161,8 @@ _BODIES = {
     "publish_orders": f"SELECT {ORDER_COLUMNS}, profit100::DOUBLE / 100.0 AS profit FROM fact",
     "publish_people": """SELECT customer_id, gmv::DOUBLE AS gmv, orders, first_order, segment,
       r_score AS R, churn_label FROM pplc JOIN rfmq USING (customer_id)""",
+    "sql_views": """SELECT segment, count(*) AS customers, sum(monetary)::DOUBLE AS gmv
+      FROM rfmq GROUP BY segment""",
     "preview_orders": """SELECT transaction_id, order_key, customer_id,
       order_value::DOUBLE AS order_value, order_date, country
       FROM fact ORDER BY order_key LIMIT 5""",

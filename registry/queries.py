@@ -24,6 +24,7 @@ from orderlens.plans import (
 )
 from orderlens.sources import readers, writers
 from orderlens.sources.star import StarTables
+from orderlens.views import register_views
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -140,6 +141,19 @@ def publish_people(star: StarTables) -> DataFrame:
     return writers.published_people(scored, with_customers(star))
 
 
+@query
+def sql_views(star: StarTables) -> DataFrame:
+    """Amount and customers per segment by SQL over the two published tables."""
+    people = stored_people(star)
+    scored = writers.add_scores(people, rfm.score_by_quantiles(keyed(star), people))
+    register_views(full_orders(star), scored)
+    return star.spark.sql(
+        "SELECT segment, count(DISTINCT customer_id) AS customers,"
+        " CAST(sum(order_value) AS DOUBLE) AS gmv"
+        " FROM clean_orders JOIN people USING (customer_id) GROUP BY segment"
+    )
+
+
 @query
 def preview_orders(star: StarTables) -> DataFrame:
     """The dimension adds columns to the five rows kept, not to all."""

@@ -46,7 +46,7 @@ def orders_of(spark):
 
         df = spark.createDataFrame(
             rows, "transaction_id string, customer_id string, order_date string, order_value string"
-        )
+        ).coalesce(1)
         df = df.withColumn("order_date", F.col("order_date").cast("timestamp_ntz"))
         df = df.withColumn("order_value", F.col("order_value").cast("decimal(18,2)"))
         df = df.withColumn("order_key", F.col("transaction_id"))

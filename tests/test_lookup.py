@@ -60,8 +60,17 @@ def test_size_is_measured(spark, dim):
 
 
 def test_only_the_hot_key_is_found(fact):
-    assert lookup.hot_keys(fact, "k") == ["hot"]
-    assert lookup.hot_keys(fact.where(F.col("k").isNull()), "k") == []
+    shares = lookup.hot_keys(fact, "k")
+    assert list(shares) == ["hot"] and 0.3 < shares["hot"] < 0.4
+    assert lookup.hot_keys(fact.where(F.col("k").isNull()), "k") == {}
+
+
+def test_parts_grow_with_the_share():
+    shares = {"third": 1 / 3, "tenth": 0.1, **{f"k{i}": 0.001 for i in range(500)}}
+    levels = lookup.spread_levels(shares, 1000)
+    assert levels[1024] == ["third"] and levels[256] == ["tenth"] and len(levels[2]) == 500
+    assert sum(n * len(keys) for n, keys in levels.items()) < 4 * 1000 + 2 * len(shares)
+    assert lookup.spread_levels({"k": 0.001}, 200) == {}
 
 
 def test_hot_and_null_keys_are_spread(no_broadcast, fact, dim):
@@ -75,6 +84,18 @@ def test_hot_and_null_keys_are_spread(no_broadcast, fact, dim):
     assert placed["hot"] > 3 and placed[None] > 3
 
 
+def test_copies_of_one_row_are_spread(no_broadcast, spark, dim):
+    """All rows alike: their input partitions tell them apart."""
+    rows = spark.range(0, 4000, 1, 40).selectExpr("'t' AS transaction_id", "'hot' AS k")
+    no_broadcast.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        joined = lookup._salted_join(rows, dim, "k", ["transaction_id"], "left")
+        sizes = joined.groupBy(F.spark_partition_id()).count().collect()
+        assert sum(r["count"] for r in sizes) == 8000 and len(sizes) > 3
+    finally:
+        no_broadcast.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
 def test_shared_columns_are_refused(fact, dim):
     with pytest.raises(ValueError, match="name"):
         lookup.lookup_join(fact.withColumn("name", F.lit(1)), dim, "k", ["transaction_id"])
