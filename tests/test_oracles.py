@@ -5,6 +5,7 @@ from __future__ import annotations
 import pytest
 from comparison import connect, differences
 
+from orderlens.operators import ranks
 from registry.oracles import ORACLES
 from registry.queries import QUERIES
 
@@ -49,6 +50,12 @@ def test_same_without_broadcast(no_broadcast, con, name):
     assert differences(QUERIES[name](no_broadcast, FOLDER), con, ORACLES[name]) == []
 
 
+@pytest.mark.parametrize("name", ["kpi_totals", "churn_slice", "rfm_customers", "rfm_sql_customers"])
+def test_same_with_many_rank_rounds(spark, con, monkeypatch, name):
+    monkeypatch.setattr(ranks, "MAX_RANGE", 10)
+    assert differences(QUERIES[name](spark, FOLDER), con, ORACLES[name]) == []
+
+
 def test_column_types_match(spark, con):
     """Integer columns are integers on both sides, doubles doubles."""
     kinds = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR"}
