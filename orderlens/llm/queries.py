@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderlens.llm import decontam, licenses, packing, quality, records, toxicity
+from orderlens.llm import decontam, jaccard, licenses, packing, quality, records, toxicity
 
 #: A text with a higher score is rejected.
 TOXIC = 0.7
@@ -77,6 +77,10 @@ def op7_packing(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op8_ngram_jaccard(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard.similar_groups(table(spark, folder, "documents"))
+
+
 def op10_token_records(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     _, index = records.save(docs, tokenizer("byte_bpe_50k.json"), "leading", 2)
@@ -89,6 +93,7 @@ QUERIES = {
     "op5_toxicity": op5_toxicity,
     "op6_quality_rules": op6_quality_rules,
     "op7_packing": op7_packing,
+    "op8_ngram_jaccard": op8_ngram_jaccard,
     "op10_token_records": op10_token_records,
 }
 
