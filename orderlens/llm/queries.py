@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderlens.llm import decontam, jaccard, licenses, packing, quality, records, toxicity
+from orderlens.llm import decontam, jaccard, licenses, lm, packing, quality, records, toxicity
 
 #: A text with a higher score is rejected.
 TOXIC = 0.7
@@ -81,6 +81,19 @@ def op8_ngram_jaccard(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard.similar_groups(table(spark, folder, "documents"))
 
 
+def op9_lm_scores(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    return lm.score(docs, remainder(F.col("doc_id"), 7) != 2).select(
+        "doc_id",
+        (~F.col("train")).alias("held_out"),
+        "n_tokens",
+        "n_known",
+        "train_tokens",
+        "base_score",
+        "score",
+    )
+
+
 def op10_token_records(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     _, index = records.save(docs, tokenizer("byte_bpe_50k.json"), "leading", 2)
@@ -94,6 +107,7 @@ QUERIES = {
     "op6_quality_rules": op6_quality_rules,
     "op7_packing": op7_packing,
     "op8_ngram_jaccard": op8_ngram_jaccard,
+    "op9_lm_scores": op9_lm_scores,
     "op10_token_records": op10_token_records,
 }
 
