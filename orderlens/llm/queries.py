@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderlens.llm import chat, decontam, jaccard, licenses, lm, packing, quality, records, toxicity
+from orderlens.llm import chat, decontam, jaccard, licenses, lm, packing, pii, quality, records, toxicity
 from orderlens.operators.storage import store
 
 #: A text with a higher score is rejected.
@@ -43,6 +43,21 @@ def op2_chat_format(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op3_personal_data(spark: SparkSession, folder: str) -> DataFrame:
+    found = pii.scan(table(spark, folder, "documents"))
+
+    def number(kind: str) -> Column:
+        k = pii.KINDS.index(kind)
+        return F.size(F.filter("base", lambda s: s["kind"] == k)).cast("long").alias(f"n_{kind}")
+
+    return found.select(
+        "doc_id",
+        *map(number, pii.PATTERNS),
+        F.sha2(pii.joined_spans(F.col("base")).cast("binary"), 256).alias("base_sha256"),
+        pii.joined_spans(F.col("spans")).alias("spans"),
+    )
+
+
 def op4_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     found = decontam.scan(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
     return found.select(
@@ -117,6 +132,7 @@ def op10_token_records(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES = {
     "op1_license_scan": op1_license_scan,
     "op2_chat_format": op2_chat_format,
+    "op3_personal_data": op3_personal_data,
     "op4_decontamination": op4_decontamination,
     "op5_toxicity": op5_toxicity,
     "op6_quality_rules": op6_quality_rules,
