@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from orderlens.llm.graph import components
-from orderlens.llm.text import map_text, mix, small_batches, word_hashes
+from orderlens.llm.text import map_text, mix, row_hash, small_batches, without, word_hashes
 from orderlens.operators.storage import store
 
 #: N-grams that one fragment, and one block of pairs, should hold.
@@ -93,20 +93,22 @@ class Bounds:
 
 
 def classes(docs: DataFrame, n: int) -> DataFrame:
-    """``doc_id``, ``n_shingles`` and class (null for the empty set) of every row, without the texts."""
+    """``doc_id``, ``text_hash``, ``n_shingles`` and class (null for the empty set) of every row, without texts."""
 
     def measure(batch: pa.RecordBatch) -> pa.Table:
         sets = ngram_sets(batch.column("text").to_pylist(), n)
         return pa.table(
             {
                 "doc_id": batch.column("doc_id"),
+                "text_hash": batch.column("text_hash"),
                 "n_shingles": pa.array(map(len, sets), pa.int64()),
                 "class": pa.array([class_id(s) if len(s) else None for s in sets], pa.int64()),
             }
         )
 
-    rows = docs.select("doc_id", "text")
-    return map_text(rows, measure, f"doc_id {dict(rows.dtypes)['doc_id']}, n_shingles long, class long")
+    rows = docs.select("doc_id", row_hash(F.col("text")).alias("text_hash"), "text")
+    kind = dict(rows.dtypes)["doc_id"]
+    return map_text(rows, measure, f"doc_id {kind}, text_hash long, n_shingles long, class long")
 
 
 def possible_classes(docs: DataFrame, n: int, bounds: Bounds, ngrams: int) -> DataFrame:
@@ -319,13 +321,14 @@ def link(posted: DataFrame, sets: DataFrame, bounds: Bounds, rounds: int = 4) ->
 
 
 def similar_groups(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
-    """``doc_id``, ``n_shingles`` and ``component_id`` for every row of ``docs`` (``doc_id``, ``text``).
+    """One row per row of ``docs`` (``doc_id``, ``text``): ``doc_id``, ``text_hash``, ``n_shingles``, ``component_id``
+    and ``component``.
 
     Two rows are linked when 100 * common n-grams >= ``percent`` * n-grams of both; ``component_id`` is the
-    least ``doc_id`` that links lead to. A text of fewer than n words is one n-gram. Null and empty texts have
-    no n-grams and are linked with nothing: their ``component_id`` is their own id. Rows that share an id
-    are separate rows; a null id stays, and counts as least only where a component has no other. An empty
-    table gives no rows; extra columns are not read.
+    least ``doc_id`` that links lead to, ``component`` a number of the group. A text of fewer than n words is one
+    n-gram. Null and empty texts have no n-grams and are linked with nothing: their ``component_id`` is their
+    own id, their ``component`` null. Rows that share an id are separate rows; a null id stays, and stands for a
+    group only if no other id is in it. An empty table gives no rows; extra columns are not read.
     """
     bounds = Bounds(percent)
     members = store(classes(docs, n), "classes")
@@ -338,12 +341,32 @@ def similar_groups(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
     sets = store(sets_of(docs, full, wanted, n), "sets")
     labels = link(store(postings(sets, bounds), "postings"), sets, bounds)
     if labels is None:
-        least = known.select("class", F.col("least").alias("component_id"))
+        least = known.select("class", F.col("class").alias("component"), F.col("least").alias("component_id"))
     else:
         placed = known.join(labels, F.col("class") == F.col("node"), "left").select(
             "class", "least", F.coalesce("component", "class").alias("component")
         )
         heads = placed.groupBy("component").agg(F.min("least").alias("component_id"))
-        least = placed.join(heads, "component").select("class", "component_id")
+        least = placed.join(heads, "component").select("class", "component", "component_id")
     own = F.when(F.col("class").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
-    return members.join(least, "class", "left").select("doc_id", "n_shingles", own.alias("component_id"))
+    return members.join(least, "class", "left").select(
+        "doc_id", "text_hash", "n_shingles", own.alias("component_id"), "component"
+    )
+
+
+def deduplicate(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
+    """``docs`` with one row of each group of linked rows: the one of the least id (null last), then text.
+
+    Rows without n-grams stay. Equal rows of one id are a group, so one of them stays.
+    """
+    groups = store(similar_groups(docs, n, percent), "groups").filter(F.col("component").isNotNull())
+    row = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")
+    first = groups.groupBy("component").agg(F.min(row).alias("first"))
+    gone = groups.join(first, "component").filter(row != F.col("first")).select("doc_id", "text_hash")
+    kept = without(docs, gone)
+    repeated = groups.groupBy("doc_id", "text_hash").agg(F.count("*").alias("n")).filter("n > 1")
+    if repeated.take(1):
+        texts = F.coalesce("text", F.lit(""))
+        full = F.regexp_count(texts, F.lit(r"[^\x20\x09-\x0D]")) > 0
+        kept = kept.filter(full).dropDuplicates(["doc_id", "text"]).unionByName(kept.filter(~full))
+    return kept

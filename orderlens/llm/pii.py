@@ -102,11 +102,15 @@ def pattern_spans(text: Column, kind: str) -> Column:
     return F.when(text.rlike(GUARDS[kind]), matched).otherwise(F.array().cast(SPAN))
 
 
+def _all_patterns(text: Column) -> Column:
+    return F.array_sort(F.concat(*(pattern_spans(text, k) for k in PATTERNS)))
+
+
 def base_spans(docs: DataFrame) -> DataFrame:
     """``doc_id``, ``text_hash``, ``base`` (sorted spans) of all rows, and ``text`` of those that have any."""
     text = F.coalesce("text", F.lit(""))
     found = docs.select("doc_id", row_hash(F.col("text")).alias("text_hash"), text.alias("text")).withColumn(
-        "base", F.array_sort(F.concat(*(pattern_spans(F.col("text"), k) for k in PATTERNS)))
+        "base", _all_patterns(F.col("text"))
     )
     return found.withColumn("text", F.when(F.size("base") > 0, F.col("text")))
 
@@ -273,18 +277,21 @@ def joined_spans(spans: Column) -> Column:
 
 
 def sanitise(docs: DataFrame, **settings) -> DataFrame:
-    """``docs`` with ``text`` (and ``n_chars``, if there) of rows with spans sanitised; other rows unchanged."""
+    """``docs`` with ``text`` (and ``n_chars``, if there) of rows with spans sanitised; other rows are unchanged.
+
+    Texts without spans take part in no join.
+    """
+    flagged = docs.withColumn("_base", _all_patterns(F.coalesce("text", F.lit(""))))
+    plain = flagged.filter(F.size("_base") == 0).drop("_base")
     found = scan(docs, **settings).filter(F.size("spans") > 0)
     clean = found.select(
         F.col("doc_id").alias("_id"),
         F.col("text_hash").alias("_hash"),
         sanitised(F.col("text"), F.col("spans"), F.col("removed")).alias("_text"),
     )
-    same = docs["doc_id"].eqNullSafe(F.col("_id")) & (row_hash(docs["text"]) == F.col("_hash"))
-    new = {"text": F.coalesce("_text", docs["text"])}
-    if "n_chars" in docs.columns:
-        new["n_chars"] = F.when(F.col("_text").isNull(), docs["n_chars"]).otherwise(F.char_length("_text"))
+    held = flagged.filter(F.size("_base") > 0).withColumn("_own", row_hash(F.col("text")))
+    joined = held.join(clean, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_own") == F.col("_hash")))
+    new = {"text": F.col("_text")} | ({"n_chars": F.char_length("_text")} if "n_chars" in docs.columns else {})
     kinds = dict(docs.dtypes)
-    return docs.join(clean, same, "left").select(
-        *(new[c].cast(kinds[c]).alias(c) if c in new else docs[c] for c in docs.columns)
-    )
+    changed = joined.select(*(new[c].cast(kinds[c]).alias(c) if c in new else F.col(c) for c in docs.columns))
+    return plain.unionByName(changed)

@@ -107,7 +107,7 @@ def op7_packing(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op8_ngram_jaccard(spark: SparkSession, folder: str) -> DataFrame:
-    return jaccard.similar_groups(table(spark, folder, "documents"))
+    return jaccard.similar_groups(table(spark, folder, "documents")).select("doc_id", "n_shingles", "component_id")
 
 
 def op9_lm_scores(spark: SparkSession, folder: str) -> DataFrame:
@@ -129,6 +129,12 @@ def op10_token_records(spark: SparkSession, folder: str) -> DataFrame:
     return index.select("doc_id", "start", "n_tokens", "ids_crc32")
 
 
+def pipeline(spark: SparkSession, folder: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, folder)
+
+
 QUERIES = {
     "op1_license_scan": op1_license_scan,
     "op2_chat_format": op2_chat_format,
@@ -140,6 +146,7 @@ QUERIES = {
     "op8_ngram_jaccard": op8_ngram_jaccard,
     "op9_lm_scores": op9_lm_scores,
     "op10_token_records": op10_token_records,
+    "pipeline": pipeline,
 }
 
 ORACLES: dict[str, str] = {}

@@ -10,10 +10,16 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from orderlens.operators.storage import store
+
 #: Words of the licence and benchmark operators, after lower-casing A-Z.
 ALNUM_WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-#: Rows of text in one Arrow batch; long texts would not fit in memory by the thousand.
-BATCH_ROWS = "256"
+#: Rows and bytes of text in one Arrow batch at most; a batch should fit in memory many times.
+BATCH_ROWS, BATCH_BYTES = "1024", "8m"
+
+
+#: Ids that are broadcast at most.
+BROADCAST_ROWS = 4_000_000
 
 
 def let(value: Column, use: Callable[[Column], Column]) -> Column:
@@ -39,6 +45,18 @@ def row_hash(text: Column) -> Column:
     return F.xxhash64(F.coalesce(text, F.lit("")))
 
 
+def without(docs: DataFrame, gone: DataFrame) -> DataFrame:
+    """``docs`` without the rows (``doc_id``, ``text_hash``) of ``gone``.
+
+    Up to BROADCAST_ROWS ids are broadcast (16 bytes each); more are joined by a shuffle.
+    """
+    gone = store(gone.distinct().select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")), "gone")
+    if gone.count() <= BROADCAST_ROWS:
+        gone = F.broadcast(gone)
+    same = docs["doc_id"].eqNullSafe(F.col("_id")) & (row_hash(docs["text"]) == F.col("_hash"))
+    return docs.join(gone, same, "left_anti")
+
+
 def map_text(
     df: DataFrame, function: Callable[[pa.RecordBatch], pa.Table | Iterable[pa.RecordBatch]], schema: str
 ) -> DataFrame:
@@ -56,6 +74,7 @@ def map_text(
 
 def small_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
 
 
 # 64-bit hashes of words, for a whole batch at once. Odd multipliers have an inverse modulo 2**64, so

@@ -221,3 +221,13 @@ def score(docs: DataFrame, model: Model, extra: tuple[str, ...] = ()) -> DataFra
 
     kinds = dict(rows.dtypes)
     return map_text(rows, rate, "".join(f"`{k}` {kinds[k]}, " for k in keep) + "score double")
+
+
+def accepted(docs: DataFrame, model: Model, limit: float) -> DataFrame:
+    """The rows of ``docs``, all columns, whose score is below ``limit``."""
+
+    def keep(batch: pa.RecordBatch) -> list[pa.RecordBatch]:
+        low = [model.score(features(t)) < limit for t in batch.column("text").to_pylist()]
+        return [batch.filter(pa.array(low, pa.bool_()))]
+
+    return map_text(docs, keep, docs.schema.simpleString()[len("struct<") : -1])
