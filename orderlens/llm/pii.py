@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from orderlens.llm.text import let, row_hash
+from orderlens.llm.text import free_name, let, row_hash
 from orderlens.operators.storage import store
 
 _LOCAL = r"[A-Za-z0-9._%+-]"
@@ -281,17 +281,20 @@ def sanitise(docs: DataFrame, **settings) -> DataFrame:
 
     Texts without spans take part in no join.
     """
-    flagged = docs.withColumn("_base", _all_patterns(F.coalesce("text", F.lit(""))))
-    plain = flagged.filter(F.size("_base") == 0).drop("_base")
+    base, own, other, key, text = (free_name(docs, n) for n in ("base", "own", "found_id", "found_hash", "clean"))
+    flagged = docs.withColumn(base, _all_patterns(F.coalesce("text", F.lit(""))))
+    plain = flagged.filter(F.size(base) == 0).drop(base)
     found = scan(docs, **settings).filter(F.size("spans") > 0)
     clean = found.select(
-        F.col("doc_id").alias("_id"),
-        F.col("text_hash").alias("_hash"),
-        sanitised(F.col("text"), F.col("spans"), F.col("removed")).alias("_text"),
+        F.col("doc_id").alias(other),
+        F.col("text_hash").alias(key),
+        sanitised(F.col("text"), F.col("spans"), F.col("removed")).alias(text),
     )
-    held = flagged.filter(F.size("_base") > 0).withColumn("_own", row_hash(F.col("text")))
-    joined = held.join(clean, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_own") == F.col("_hash")))
-    new = {"text": F.col("_text")} | ({"n_chars": F.char_length("_text")} if "n_chars" in docs.columns else {})
+    held = flagged.filter(F.size(base) > 0).withColumn(own, row_hash(F.col("text")))
+    joined = held.join(clean, F.col("doc_id").eqNullSafe(F.col(other)) & (F.col(own) == F.col(key)))
+    new = {"text": F.col(text)} | ({"n_chars": F.char_length(text)} if "n_chars" in docs.columns else {})
     kinds = dict(docs.dtypes)
-    changed = joined.select(*(new[c].cast(kinds[c]).alias(c) if c in new else F.col(c) for c in docs.columns))
+    changed = joined.select(
+        *(new[c].cast(kinds[c]).alias(c) if c in new else F.col(f"`{c}`") for c in docs.columns)
+    )
     return plain.unionByName(changed)

@@ -9,6 +9,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from orderlens.operators.storage import store
 
@@ -50,15 +51,24 @@ def without(docs: DataFrame, gone: DataFrame) -> DataFrame:
 
     Up to BROADCAST_ROWS ids are broadcast (16 bytes each); more are joined by a shuffle.
     """
-    gone = store(gone.distinct().select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")), "gone")
+    own, other = free_name(docs, "gone_id"), free_name(docs, "gone_hash")
+    gone = store(gone.distinct().select(F.col("doc_id").alias(own), F.col("text_hash").alias(other)), "gone")
     if gone.count() <= BROADCAST_ROWS:
         gone = F.broadcast(gone)
-    same = docs["doc_id"].eqNullSafe(F.col("_id")) & (row_hash(docs["text"]) == F.col("_hash"))
+    same = F.col("doc_id").eqNullSafe(F.col(own)) & (row_hash(F.col("text")) == F.col(other))
     return docs.join(gone, same, "left_anti")
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, with underscores added until ``df`` has no column of that name."""
+    taken = {c.lower() for c in df.columns}
+    while name in taken:
+        name += "_"
+    return name
+
+
 def map_text(
-    df: DataFrame, function: Callable[[pa.RecordBatch], pa.Table | Iterable[pa.RecordBatch]], schema: str
+    df: DataFrame, function: Callable[[pa.RecordBatch], pa.Table | Iterable[pa.RecordBatch]], schema: str | StructType
 ) -> DataFrame:
     """``mapInArrow`` in batches of few rows; ``function`` gets one batch at a time."""
     small_batches(df.sparkSession)

@@ -230,4 +230,4 @@ def accepted(docs: DataFrame, model: Model, limit: float) -> DataFrame:
         low = [model.score(features(t)) < limit for t in batch.column("text").to_pylist()]
         return [batch.filter(pa.array(low, pa.bool_()))]
 
-    return map_text(docs, keep, docs.schema.simpleString()[len("struct<") : -1])
+    return map_text(docs, keep, docs.schema)
