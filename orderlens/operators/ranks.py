@@ -4,8 +4,8 @@ A median or a tertile needs only the rows at a few positions of a total order.
 These are found by narrowing: bounds drawn from a sample, close to where each
 position is expected, split the rows into ranges; one grouped count tells which
 range holds the position, and the next round looks into that range only. The sample
-decides how fast this goes, never what it returns. No task receives more than
-``MAX_RANGE`` rows.
+decides how fast this goes, never what it returns. Rounds go on until a range is
+at most a quarter of an average shuffle partition, whatever the size of the input.
 """
 
 from __future__ import annotations
@@ -18,14 +18,12 @@ from operator import or_
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from orderlens.operators.storage import store
-
-MAX_RANGE = 200_000
+# A range that is ranked in one task is at most this part of an average partition.
+RANGE_PART = 4
 SAMPLE_ROWS = 20_000
 # Bounds per round. From about 20 pairs on, the generated code of the search outgrows
 # what the JVM compiles, and a round takes seven times as long.
 BOUNDS = 12
-STORE_ROWS = 50_000_000
 
 
 @dataclass
@@ -51,7 +49,7 @@ def rows_at(
     ``total`` is the row count. Keys must be free of nulls and come out the same
     on every evaluation: integers, decimals and text, not sums of doubles.
     """
-    limit = MAX_RANGE if max_range is None else max_range
+    limit = largest_range(df, total) if max_range is None else max_range
     wanted = sorted({p for p in positions if 1 <= p <= total})
     rows = df.select(*keys)
     found: dict[int, tuple] = {}
@@ -61,15 +59,18 @@ def rows_at(
         wide = [r for r in ranges if r.size > limit]
         ranges = [r for r in ranges if r.size <= limit]
         ranges += _split(rows, keys, wide, found, seed=round_no)
-        rest = sum(r.size for r in ranges)
-        if STORE_ROWS < rest < total // 4 and round_no == 0:
-            rows = store(rows.where(_within(keys, ranges)), "range")
         round_no += 1
     if ranges:
         found.update(_pick(rows, keys, ranges))
     return found
 
 
+def largest_range(df: DataFrame, total: int) -> int:
+    """Rows that may be ranked in one task: a fixed part of a shuffle partition."""
+    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return max(1, total // (RANGE_PART * partitions))
+
+
 def _split(
     rows: DataFrame, keys: list[str], wide: list[_Range], found: dict, seed: int
 ) -> list[_Range]:

@@ -1,11 +1,12 @@
 """The four input tables expressed over TPC-H-like star tables.
 
-Dimensions leave out some keys on purpose, so that orphans and null groups occur.
+All rows of all tables are used. Some orders refer to customers and products that do
+not exist, so that orphans and null groups occur.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orderlens.operators.lookup import lookup_join
@@ -33,12 +34,24 @@ class StarTables:
     def table(self, name: str) -> DataFrame:
         return self.spark.read.schema(TABLES[name]).parquet(f"{self.folder}/{name}.parquet")
 
+    def order_customer(self) -> Column:
+        """The customer; an unknown one in every 47th order."""
+        unknown = F.when(F.col("o_orderkey") % 47 == 0, -F.col("o_custkey"))
+        return F.coalesce(unknown, F.col("o_custkey")).cast("string")
+
+    def order_product(self) -> Column:
+        """Orders are dealt out over all products; every 40th order has an unknown one."""
+        key = F.col("o_orderkey")
+        last = self.table("part").agg(F.max("p_partkey")).scalar()
+        product = key % last + 1
+        return F.when(key % 40 == 39, -product).otherwise(product).cast("string")
+
     def transactions(self) -> DataFrame:
         key = F.col("o_orderkey")
         return self.table("orders").select(
             key.cast("string").alias("transaction_id"),
-            F.col("o_custkey").cast("string").alias("customer_id"),
-            (key % 200).cast("string").alias("product_id"),
+            self.order_customer().alias("customer_id"),
+            self.order_product().alias("product_id"),
             F.col("o_orderdate").alias("order_date"),
             F.col("o_totalprice").cast(MONEY).alias("order_value"),
             F.when(key % 23 == 0, 1).otherwise(0).alias("fraud_label"),
@@ -55,8 +68,8 @@ class StarTables:
         date = F.date_format("o_orderdate", "MM/dd/yyyy")
         return self.table("orders").select(
             F.concat(F.lit("  "), key.cast("string"), F.lit(" ")).alias("transaction_id"),
-            F.concat(F.lit(" "), F.col("o_custkey").cast("string")).alias("customer_id"),
-            F.concat((key % 200).cast("string"), F.lit("  ")).alias("product_id"),
+            F.concat(F.lit(" "), self.order_customer()).alias("customer_id"),
+            F.concat(self.order_product(), F.lit("  ")).alias("product_id"),
             F.when(key % 89 == 0, F.lit("13/45/1996")).otherwise(date).alias("order_date"),
             F.when(key % 97 == 0, F.lit("n/a")).otherwise(amount).alias("order_value"),
         )
@@ -74,7 +87,7 @@ class StarTables:
         """Line grain with customer and date of the order."""
         header = self.table("orders").select(
             F.col("o_orderkey").cast("string").alias("order_key"),
-            F.col("o_custkey").cast("string").alias("customer_id"),
+            self.order_customer().alias("customer_id"),
             F.col("o_orderdate").alias("order_date"),
         )
         return lookup_join(
@@ -92,7 +105,7 @@ class StarTables:
     def customers(self) -> DataFrame:
         key = F.col("c_custkey")
         joined = lookup_join(
-            self.table("customer").where(key % 50 != 49).withColumnRenamed("c_nationkey", "nation"),
+            self.table("customer").withColumnRenamed("c_nationkey", "nation"),
             self.table("nation").withColumnRenamed("n_nationkey", "nation"),
             "nation",
             ["c_custkey"],
@@ -112,7 +125,7 @@ class StarTables:
         )
 
     def products(self) -> DataFrame:
-        return self.table("part").where(F.col("p_partkey") % 40 != 39).select(
+        return self.table("part").select(
             F.col("p_partkey").cast("string").alias("product_id"),
             F.split_part("p_type", F.lit(" "), F.lit(1)).alias("category"),
             F.col("p_size").cast(MARGIN).alias("margin_percentage"),

@@ -9,7 +9,9 @@ from __future__ import annotations
 PREFIX = """
 WITH txn AS (
   SELECT o_orderkey::VARCHAR AS transaction_id, o_orderkey::VARCHAR AS order_key,
-         o_custkey::VARCHAR AS customer_id, (o_orderkey % 200)::VARCHAR AS product_id,
+         (CASE WHEN o_orderkey % 47 = 0 THEN -o_custkey ELSE o_custkey END)::VARCHAR AS customer_id,
+         ((CASE WHEN o_orderkey % 40 = 39 THEN -1 ELSE 1 END)
+          * (o_orderkey % (SELECT max(p_partkey) FROM part) + 1))::VARCHAR AS product_id,
          o_orderdate AS order_date, o_totalprice::DECIMAL(18,2) AS order_value,
          (CASE WHEN o_orderkey % 23 = 0 THEN 1 ELSE 0 END)::INT AS fraud_label,
          o_orderpriority AS payment_method, o_orderstatus AS device_type,
@@ -22,11 +24,11 @@ cust AS (
          CASE WHEN c_custkey % 2 = 0 THEN 'F' ELSE 'M' END AS gender,
          c_acctbal AS loyalty_score,
          TIMESTAMP '1994-01-01' + to_days((c_custkey % 365)::INT) AS registration_date
-  FROM customer, nation WHERE n_nationkey = c_nationkey AND c_custkey % 50 <> 49),
+  FROM customer, nation WHERE n_nationkey = c_nationkey),
 prod AS (
   SELECT p_partkey::VARCHAR AS product_id, split_part(p_type, ' ', 1) AS category,
          p_size::DECIMAL(8,2) AS margin_percentage, p_retailprice AS popularity_score
-  FROM part WHERE p_partkey % 40 <> 39),
+  FROM part),
 beh AS (
   SELECT user_id::VARCHAR AS customer_id,
          count(*) FILTER (event_type = 'view') AS views,
@@ -187,8 +189,8 @@ _BODIES = {
     "duplicate_rows": """SELECT 'orders' AS source, count(*) AS rows_n,
       count(*) - (SELECT count(*) FROM (SELECT DISTINCT * FROM orders)) AS duplicate_rows
       FROM orders UNION ALL
-      SELECT 'line numbers', count(*), count(*) - (SELECT count(*) FROM
-        (SELECT DISTINCT l_orderkey, l_linenumber FROM lineitem)) FROM lineitem""",
+      SELECT 'lines', count(*), count(*) - (SELECT count(*) FROM
+        (SELECT DISTINCT * FROM lineitem)) FROM lineitem""",
     "bad_orders": """SELECT 'orders' AS source, count(*) AS bad_orders FROM (
         SELECT order_key FROM txn GROUP BY order_key
         HAVING greatest(count(DISTINCT customer_id), count(DISTINCT order_date)) > 1)

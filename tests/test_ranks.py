@@ -50,12 +50,19 @@ def test_no_task_gets_more_than_the_limit(spark, monkeypatch):
     assert seen and max(seen) <= 100
 
 
-def test_stored_between_rounds(spark, monkeypatch):
-    monkeypatch.setattr(ranks, "STORE_ROWS", 10)
-    rows = pairs(4000, "spread")
-    df = spark.createDataFrame(rows, "v long, id string")
-    found = ranks.rows_at(df, ["v", "id"], [2000], 4000, max_range=20)
-    assert found[2000] == sorted(rows)[1999]
+@pytest.mark.parametrize("n", [40, 5000])
+def test_rounds_are_run_at_every_size(spark, monkeypatch, n):
+    """No constant is patched: each size is split, and no range is above the stated part."""
+    df = spark.createDataFrame(pairs(n, "spread"), "v long, id string")
+    limit = ranks.largest_range(df, n)
+    assert limit == max(1, n // 32)
+    rounds, seen = [], []
+    split, pick = ranks._split, ranks._pick
+    monkeypatch.setattr(ranks, "_split", lambda *a, **k: rounds.append(1) or split(*a, **k))
+    monkeypatch.setattr(ranks, "_pick", lambda *a: seen.extend(r.size for r in a[2]) or pick(*a))
+    found = ranks.rows_at(df, ["v", "id"], [n // 3, n // 2], n)
+    assert found == {p: sorted(pairs(n, "spread"))[p - 1] for p in (n // 3, n // 2)}
+    assert rounds and all(size <= limit for size in seen)
 
 
 def test_positions_outside_and_empty_input(spark):
@@ -73,7 +80,7 @@ def test_medians(spark, monkeypatch, values):
     known = [v for v in values if v is not None]
     assert ranks.median(df, "v") == median(known)
     assert ranks.lower_median(df, "v") == Decimal(median_low(known))
-    monkeypatch.setattr(ranks, "MAX_RANGE", 1)
+    monkeypatch.setattr(ranks, "RANGE_PART", 10**9)
     assert ranks.median(df, "v") == median(known)
 
 
@@ -83,7 +90,7 @@ def test_grouped_medians(spark, monkeypatch):
     df = spark.createDataFrame(rows, "g int, v long")
     expected = {g: median(v for h, v in rows if h == g) for g in (0, 1)}
     assert ranks.grouped_medians(df, "g", "v") == expected
-    monkeypatch.setattr(ranks, "MAX_RANGE", 30)
+    monkeypatch.setattr(ranks, "RANGE_PART", 8)
     assert ranks.grouped_medians(df, "g", "v") == expected
 
 
