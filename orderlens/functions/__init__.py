@@ -10,9 +10,30 @@ from orderlens.schemas import MARGIN, MONEY
 MONTH_FIRST = r"^\s*(\d{1,2})[/\-.](\d{1,2})[/\-.](\d{4})"
 
 
+# Tried in this order on what is neither ISO nor month-first with a full year.
+DATE_FORMATS = [
+    "M/d/yyyy h:mm a",
+    "M/d/yyyy h:mm:ss a",
+    "MMM d yyyy",
+    "MMM d, yyyy",
+    "MMMM d yyyy",
+    "MMMM d, yyyy",
+    "d MMM yyyy",
+    "yyyyMMdd",
+    "yyyy/M/d",
+]
+SHORT_YEAR_FORMATS = ["M/d/yy", "M-d-yy", "M/d/yy h:mm a"]
+OUTER_SPACE = r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+$"
+
+
+def strip(column: Column) -> Column:
+    """Text without white space at its ends, in the sense of Unicode."""
+    return F.regexp_replace(column.cast("string"), OUTER_SPACE, "")
+
+
 def clean_id(name: str) -> Column:
-    """Identifier as trimmed text; a null stays null."""
-    return F.trim(F.col(name).cast("string")).alias(name)
+    """Identifier as text without outer white space; a null stays null."""
+    return strip(F.col(name)).alias(name)
 
 
 def to_money(column: Column | str) -> Column:
@@ -25,9 +46,23 @@ def to_margin(column: Column | str) -> Column:
 
 
 def to_timestamp(column: Column | str) -> Column:
-    """Timestamp without zone; ISO or month-first text, null where neither fits."""
-    iso = F.regexp_replace(_col(column).cast("string"), MONTH_FIRST, "$3-$1-$2")
-    return F.trim(iso).try_cast("timestamp_ntz")
+    """Timestamp without zone: ISO, month-first, or one of the listed formats, else null.
+
+    Years of two digits from 69 on belong to the last century.
+    """
+    text = strip(_col(column))
+    iso = F.regexp_replace(text, MONTH_FIRST, "$3-$1-$2").try_cast("timestamp_ntz")
+
+    def parsed(form: str) -> Column:
+        return F.try_to_timestamp(text, F.lit(form)).cast("timestamp_ntz")
+
+    def century(value: Column) -> Column:
+        earlier = value - F.make_ym_interval(F.lit(100), F.lit(0))
+        return F.when(F.year(value) >= 2069, earlier).otherwise(value)
+
+    return F.coalesce(
+        iso, *map(parsed, DATE_FORMATS), *(century(parsed(f)) for f in SHORT_YEAR_FORMATS)
+    )
 
 
 def ratio(numerator: Column, denominator: Column) -> Column:

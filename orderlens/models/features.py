@@ -10,6 +10,7 @@ from orderlens.functions import days_from, mean, money_sum, percent, ratio, to_t
 from orderlens.operators.lookup import lookup_join
 
 LABEL = "label"
+MISSING_LEVEL = "(missing)"
 
 # Which columns are categories, features, or kept out of the features.
 CHURN_CATEGORIES = ["gender", "country"]
@@ -103,20 +104,21 @@ def fraud_features(
 def column_kinds(
     features: DataFrame, id_column: str, categories: list[str]
 ) -> tuple[list[str], list[str]]:
-    """Numeric and categorical feature names; what is not listed is numeric."""
+    """Numeric and categorical feature names. Text that is not listed is no feature."""
     listed = [name for name in categories if name in features.columns]
-    rest = [c for c in features.columns if c not in (*listed, id_column, LABEL)]
-    return rest, listed
+    texts = {f.name for f in features.schema.fields if isinstance(f.dataType, T.StringType)}
+    left_out = {*listed, *texts, id_column, LABEL}
+    return [c for c in features.columns if c not in left_out], listed
 
 
 def numeric(features: DataFrame, names: list[str]) -> DataFrame:
-    """Numeric features as doubles; text that is no number becomes null."""
-    texts = {f.name for f in features.schema.fields if isinstance(f.dataType, T.StringType)}
-    casts = {
-        name: F.col(name).try_cast("double") if name in texts else F.col(name).cast("double")
-        for name in names
-    }
-    return features.withColumns(casts)
+    """Numeric features as doubles."""
+    return features.withColumns({name: F.col(name).cast("double") for name in names})
+
+
+def with_missing_level(features: DataFrame, names: list[str]) -> DataFrame:
+    """A missing category is a level of its own."""
+    return features.fillna(MISSING_LEVEL, subset=names) if names else features
 
 
 def label_share(df: DataFrame, label: str, digits: int) -> DataFrame:

@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-MONEY = T.DecimalType(18, 2)
-MARGIN = T.DecimalType(8, 2)
+# Six places are kept; the product of an amount and a margin still fits in 38 digits.
+MONEY = T.DecimalType(24, 6)
+MARGIN = T.DecimalType(12, 6)
 
 # The columns of the two published tables. Profit is added to the orders,
 # the churn label to the customers.
@@ -50,7 +51,7 @@ CLEAN_ORDERS = T.StructType(
 PEOPLE = T.StructType(
     [
         T.StructField("customer_id", T.StringType(), False),
-        T.StructField("gmv", T.DecimalType(28, 2), False),
+        T.StructField("gmv", T.DecimalType(34, 6), False),
         T.StructField("orders", T.LongType(), False),
         T.StructField("first_order", T.TimestampNTZType(), False),
         T.StructField("churn_label", T.IntegerType()),

@@ -13,6 +13,12 @@ from orderlens.plans.tables import typed_orders
 
 LABELS = {"churn_label", "fraud_label"}
 DIMENSION_TEXT = {"country", "gender", "category"}
+DIMENSION_NUMBERS = {"churn_label", "age", "loyalty_score", "lifetime_value", "popularity_score"}
+# Words that stand for a missing value in the CSV inputs.
+MISSING = [
+    "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN",
+    "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null",
+]
 ORDER_NUMBERS = ["discount_applied", "shipping_delay_days"]
 
 
@@ -43,8 +49,12 @@ def read_inputs(spark: SparkSession, folder: str) -> Inputs:
 
 
 def typed_dimension(df: DataFrame, key: str) -> DataFrame:
-    """Key as trimmed text, dates as timestamps, known texts kept, the rest numbers."""
-    columns = {}
+    """Key as trimmed text, dates as timestamps, known numbers as numbers.
+
+    Any other column becomes a number if all of its values are numbers, which one pass
+    over the table decides, and stays as text otherwise.
+    """
+    columns, open_ = {}, []
     for name in df.columns:
         if name == key:
             columns[name] = clean_id(name)
@@ -52,28 +62,47 @@ def typed_dimension(df: DataFrame, key: str) -> DataFrame:
             columns[name] = to_margin(name)
         elif name.endswith("_date"):
             columns[name] = to_timestamp(name)
-        elif name not in DIMENSION_TEXT:
+        elif name in DIMENSION_NUMBERS:
             columns[name] = _number(name)
+        elif name not in DIMENSION_TEXT:
+            open_.append(name)
+    columns |= {name: _number(name) for name in numeric_columns(df, open_)}
     return df.withColumns(columns)
 
 
+def numeric_columns(df: DataFrame, names: list[str]) -> list[str]:
+    """Those of the columns whose values, one at least, are all numbers."""
+    texts = [name for name in names if dict(df.dtypes)[name] == "string"]
+    if not texts:
+        return names
+    checks = []
+    for i, name in enumerate(texts):
+        checks.append(F.count(F.col(f"`{name}`")).alias(f"n{i}"))
+        checks.append(F.count(F.col(f"`{name}`").try_cast("double")).alias(f"m{i}"))
+    row = df.agg(*checks).first()
+    words = {name for i, name in enumerate(texts) if row[f"m{i}"] < max(row[f"n{i}"], 1)}
+    return [name for name in names if name not in words]
+
+
 def _number(name: str) -> Column:
     value = F.col(name).try_cast("double")
     return value.try_cast("int") if name in LABELS else value
 
 
 def read_csv(spark: SparkSession, path: str) -> DataFrame:
-    """CSV with a header line as text columns, header names trimmed.
+    """CSV with a header line as text columns, header names trimmed, missing values null.
 
-    Text keeps the scan to one pass (no type inference); ``typed_orders`` and the
+    A quote inside a quoted field is doubled. Text keeps the scan to one pass (no type inference); ``typed_orders`` and the
     feature tables coerce the values, bad ones to null.
     """
-    df = spark.read.option("header", True).csv(path)
+    df = spark.read.option("header", True).option("escape", '"').csv(path)
     names = [name.strip() for name in df.columns]
     repeated = sorted({name for name in names if names.count(name) > 1})
     if repeated:
         raise ValueError(f"{path} repeats columns: {', '.join(repeated)}")
-    return df.toDF(*names)
+    df = df.toDF(*names)
+    known = {c: F.when(~F.col(f"`{c}`").isin(MISSING), F.col(f"`{c}`")) for c in names}
+    return df.withColumns(known)
 
 
 def read_parquet(

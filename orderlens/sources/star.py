@@ -62,16 +62,25 @@ class StarTables:
         )
 
     def text_transactions(self) -> DataFrame:
-        """The order columns as padded text, some amounts and dates unreadable."""
+        """The order columns as padded text, some amounts and dates unreadable.
+
+        Dates come in four formats, some amounts have three places, and a note has
+        quotes, a comma and sometimes a word for a missing value.
+        """
         key = F.col("o_orderkey")
-        amount = F.col("o_totalprice").cast(MONEY).cast("string")
+        amount = F.col("o_totalprice").cast("decimal(18,2)").cast("string")
+        amount = F.when(key % 5 == 0, F.concat(amount, F.lit("5"))).otherwise(amount)
         date = F.date_format("o_orderdate", "MM/dd/yyyy")
+        for rest, form in ((1, "MMM d yyyy"), (2, "yyyyMMdd"), (3, "MM/dd/yy")):
+            date = F.when(key % 4 == rest, F.date_format("o_orderdate", form)).otherwise(date)
+        note = F.concat(F.lit('say "hi", order '), (key % 7).cast("string"))
         return self.table("orders").select(
-            F.concat(F.lit("  "), key.cast("string"), F.lit(" ")).alias("transaction_id"),
-            F.concat(F.lit(" "), self.order_customer()).alias("customer_id"),
+            F.concat(F.lit("\t "), key.cast("string"), F.lit("\u00a0")).alias("transaction_id"),
+            F.concat(F.lit("\u00a0"), self.order_customer()).alias("customer_id"),
             F.concat(self.order_product(), F.lit("  ")).alias("product_id"),
             F.when(key % 89 == 0, F.lit("13/45/1996")).otherwise(date).alias("order_date"),
             F.when(key % 97 == 0, F.lit("n/a")).otherwise(amount).alias("order_value"),
+            F.when(key % 31 == 0, F.lit("NA")).otherwise(note).alias("note"),
         )
 
     def order_lines(self) -> DataFrame:

@@ -147,15 +147,18 @@ ORDER_COLUMNS = """transaction_id, order_key, customer_id, product_id, order_dat
   payment_method, device_type"""
 TXN_REST = """(discount_units / 100.0)::DOUBLE AS discount_applied, shipping_delay_days"""
 
-# Text orders as the typing step reads them.
+# Text orders as the typing step reads them; the CSV reader knows words for missing values.
 TYPED = """SELECT transaction_id, customer_id, product_id,
-  CASE WHEN o_orderkey % 89 <> 0 THEN order_date END AS order_date,
-  CASE WHEN o_orderkey % 97 <> 0 THEN order_value::DOUBLE END AS order_value
+  CASE WHEN o_orderkey % 89 <> 0 THEN order_date::DATE::TIMESTAMP END AS order_date,
+  CASE WHEN o_orderkey % 97 <> 0 THEN (order_value::DECIMAL(18,3)
+    + CASE WHEN o_orderkey % 5 = 0 THEN 0.005 ELSE 0 END)::DOUBLE END AS order_value,
+  CASE WHEN o_orderkey % 31 <> 0 THEN 'say "hi", order ' || (o_orderkey % 7) ELSE {0} END AS note
   FROM txn JOIN orders ON o_orderkey::VARCHAR = transaction_id"""
+FROM_CSV, FROM_TEXT = TYPED.format("NULL"), TYPED.format("'NA'")
 
 _BODIES = {
     # sources and sinks
-    "src_csv": TYPED,
+    "src_csv": FROM_CSV,
     "sink_parquet": """SELECT 'clean' AS "table", count(*) AS rows_n FROM fact
       UNION ALL SELECT 'people', count(*) FROM ppl""",
     "people_rfm": """SELECT ppl.customer_id, gmv::DOUBLE AS gmv, orders, first_order,
@@ -171,7 +174,7 @@ _BODIES = {
     "preview_people": """SELECT customer_id, gmv::DOUBLE AS gmv, orders, first_order, churn_label
       FROM pplc ORDER BY customer_id LIMIT 5""",
     # typing and checks
-    "typed_orders": TYPED,
+    "typed_orders": FROM_TEXT,
     "grain_orders": """SELECT count(*) AS rows_n, count(DISTINCT o_orderkey) AS orders_n,
       if(count(*) > 1.2 * count(DISTINCT o_orderkey), 'line', 'order') AS grain FROM orders""",
     "grain_lines": """SELECT count(*) AS rows_n, count(DISTINCT l_orderkey) AS orders_n,
@@ -179,13 +182,13 @@ _BODIES = {
     "sanity_check": f"""SELECT count(*) AS rows_raw, count(*) AS rows_clean,
       0.0::DOUBLE AS dropped_pct, count(DISTINCT transaction_id) AS orders_raw,
       count(DISTINCT transaction_id) AS orders_clean,
-      sum(order_value::DECIMAL(18,2))::DOUBLE AS gmv, min(order_value) AS money_min,
+      sum(order_value::DECIMAL(18,3))::DOUBLE AS gmv, min(order_value) AS money_min,
       {MIDDLE.format("order_value")} AS money_median, max(order_value) AS money_max,
       min(order_date) AS date_min, max(order_date) AS date_max,
-      count(*) - (SELECT count(*) FROM (SELECT DISTINCT * FROM ({TYPED}))) AS duplicate_rows,
+      count(*) - (SELECT count(*) FROM (SELECT DISTINCT * FROM ({FROM_TEXT}))) AS duplicate_rows,
       count(*) FILTER (customer_id IS NULL) AS missing_customers,
       count(DISTINCT customer_id) AS customers_n, count(DISTINCT product_id) AS products_n
-      FROM ({TYPED})""",
+      FROM ({FROM_TEXT})""",
     "duplicate_rows": """SELECT 'orders' AS source, count(*) AS rows_n,
       count(*) - (SELECT count(*) FROM (SELECT DISTINCT * FROM orders)) AS duplicate_rows
       FROM orders UNION ALL

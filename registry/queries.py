@@ -106,10 +106,11 @@ def dimensions(star: StarTables) -> dict[str, tuple[DataFrame, str]]:
 
 @query
 def src_csv(star: StarTables) -> DataFrame:
-    """Orders written as CSV with a padded header, read back and typed."""
+    """Orders written as CSV with a padded header and doubled quotes, read back and typed."""
     path = new_path(star.spark, "csv")
     text = star.text_transactions()
-    text.toDF(*(f" {name} " for name in text.columns)).write.option("header", True).csv(path)
+    padded = text.toDF(*(f" {name} " for name in text.columns))
+    padded.write.option("header", True).option("escape", '"').csv(path)
     return tables.typed_orders(readers.read_csv(star.spark, path))
 
 
