@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from orderlens.functions import days_from, mean, money_sum, percent, ratio, to_timestamp
-from orderlens.operators.lookup import lookup_join
+from orderlens.operators.lookup import lookup_joins
 
 LABEL = "label"
 MISSING_LEVEL = "(missing)"
@@ -96,8 +96,11 @@ def fraud_features(
 ) -> DataFrame:
     """One row per order: id, label and features."""
     spread = ["transaction_id", "order_value"]
-    joined = lookup_join(transactions, customers.select(*FRAUD_CUSTOMER), "customer_id", spread)
-    joined = lookup_join(joined, products.select(*FRAUD_PRODUCT), "product_id", spread)
+    dims = [
+        (customers.select(*FRAUD_CUSTOMER), "customer_id"),
+        (products.select(*FRAUD_PRODUCT), "product_id"),
+    ]
+    joined = lookup_joins(transactions, dims, spread)
     return joined.withColumn(LABEL, F.col("fraud_label").cast("int")).drop(*FRAUD_EXCLUDED)
 
 

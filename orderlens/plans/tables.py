@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from orderlens.functions import clean_id, money_sum, to_money, to_timestamp
-from orderlens.operators.lookup import lookup_join
+from orderlens.operators.lookup import lookup_joins
 
 
 def typed_orders(raw: DataFrame) -> DataFrame:
@@ -44,10 +44,9 @@ def clean_orders(
     the dimensions it does not use.
     """
     out = orders if "order_key" in orders.columns else add_order_key(orders)
-    for dim, key in ((customers, "customer_id"), (products, "product_id"), (behavior, "customer_id")):
-        if dim is not None:
-            out = lookup_join(out, with_clean_key(dim, key), key, ["transaction_id", "order_value"])
-    return out
+    given = ((customers, "customer_id"), (products, "product_id"), (behavior, "customer_id"))
+    dims = [(with_clean_key(dim, key), key) for dim, key in given if dim is not None]
+    return lookup_joins(out, dims, ["transaction_id", "order_value"])
 
 
 def build_people(clean: DataFrame) -> DataFrame:

@@ -60,22 +60,41 @@ def test_size_is_measured(spark, dim):
 
 
 def test_only_the_hot_key_is_found(fact):
-    shares = lookup.hot_keys(fact, "k")
-    assert list(shares) == ["hot"] and 0.3 < shares["hot"] < 0.4
-    assert lookup.hot_keys(fact.where(F.col("k").isNull()), "k") == {}
+    shares = lookup.hot_keys(fact.withColumn("other", F.lit(7)), ["k", "other"])
+    assert list(shares["k"]) == ["hot"] and 0.25 < shares["k"]["hot"] < 0.4
+    assert shares["other"] == {"7": 1.0}
+    assert lookup.hot_keys(fact.where(F.col("k").isNull()), ["k"]) == {"k": {}}
 
 
 def test_parts_grow_with_the_share():
     shares = {"third": 1 / 3, "tenth": 0.1, **{f"k{i}": 0.001 for i in range(500)}}
-    levels = lookup.spread_levels(shares, 1000)
-    assert levels[1024] == ["third"] and levels[256] == ["tenth"] and len(levels[2]) == 500
-    assert sum(n * len(keys) for n, keys in levels.items()) < 4 * 1000 + 2 * len(shares)
-    assert lookup.spread_levels({"k": 0.001}, 200) == {}
+    parts = lookup.spread_parts(shares, 1000)
+    assert (parts["third"], parts["tenth"], parts["k7"]) == (1024, 256, 2)
+    assert sum(parts.values()) < 4 * 1000 + 2 * len(shares)
+    assert lookup.spread_parts({"k": 0.001}, 200) == {}
+
+
+def test_probes_run_before_any_join(no_broadcast, fact, dim, monkeypatch):
+    """One probe for all join columns, on the fact as it came in."""
+    seen, probe = [], lookup.hot_keys
+
+    def watch(df, keys):
+        seen.append((df._jdf.queryExecution().optimizedPlan().toString(), keys))
+        return probe(df, keys)
+
+    monkeypatch.setattr(lookup, "hot_keys", watch)
+    other = dim.select(F.col("k").alias("transaction_id"), F.col("name").alias("other")).distinct()
+    third = dim.select("k", F.col("name").alias("third")).where("k <> 'hot'")
+    joined = lookup.lookup_joins(fact, [(dim, "k"), (other, "transaction_id"), (third, "k")], ["transaction_id"])
+    plain = fact.join(dim, "k", "left").join(other, "transaction_id", "left").join(third, "k", "left")
+    assert [keys for _, keys in seen] == [["k", "transaction_id"]] and "Join" not in seen[0][0]
+    names = sorted(plain.columns)
+    assert Counter(map(tuple, joined.select(names).collect())) == Counter(map(tuple, plain.select(names).collect()))
 
 
 def test_hot_and_null_keys_are_spread(no_broadcast, fact, dim):
     no_broadcast.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
-    joined = lookup._salted_join(fact, dim, "k", ["transaction_id"], "left")
+    joined = lookup._salted_join(fact, dim, "k", ["transaction_id"], "left", {"hot": 0.33})
     parts = joined.where("k = 'hot' OR k IS NULL").groupBy("k", F.spark_partition_id()).count()
     try:
         placed = Counter(r["k"] for r in parts.collect())
@@ -89,7 +108,7 @@ def test_copies_of_one_row_are_spread(no_broadcast, spark, dim):
     rows = spark.range(0, 4000, 1, 40).selectExpr("'t' AS transaction_id", "'hot' AS k")
     no_broadcast.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     try:
-        joined = lookup._salted_join(rows, dim, "k", ["transaction_id"], "left")
+        joined = lookup._salted_join(rows, dim, "k", ["transaction_id"], "left", {"hot": 1.0})
         sizes = joined.groupBy(F.spark_partition_id()).count().collect()
         assert sum(r["count"] for r in sizes) == 8000 and len(sizes) > 3
     finally:
