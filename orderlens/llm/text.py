@@ -15,6 +15,7 @@ from orderlens.operators.storage import store
 
 #: Words of the licence and benchmark operators, after lower-casing A-Z.
 ALNUM_WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+ALNUM_GAP = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 #: Rows and bytes of text in one Arrow batch at most; a batch should fit in memory many times.
 BATCH_ROWS, BATCH_BYTES = "1024", "8m"
 
@@ -38,7 +39,8 @@ def lower_ascii(text: Column) -> Column:
 
 def alnum_words(text: Column) -> Column:
     """Array of the words of a text: runs of 0-9, a-z and characters beyond ASCII."""
-    return F.regexp_extract_all(lower_ascii(text), F.lit(ALNUM_WORD), F.lit(0))
+    # Splitting is several times faster than extracting; at most the first and last part are empty.
+    return F.array_remove(F.split(lower_ascii(text), ALNUM_GAP), "")
 
 
 def row_hash(text: Column) -> Column:
