@@ -141,30 +141,36 @@ def disclosing_terms(
     )
     held = near.select("doc_id", "text_hash", "entity").distinct()
     of_entity = held.groupBy("entity").agg(F.count("*").alias("n_e"))
+    terms = near.select("doc_id", "text_hash", "entity", F.explode("terms").alias("term")).distinct()
+    # Rows with the term near some entity: fewer than rows with the term at all.
+    least = terms.groupBy("term").agg(F.countDistinct("doc_id", "text_hash").alias("least"))
+    rows = docs.count()
+    # From share >= disclosure: a term that more rows hold reveals too little about the entity.
+    most = F.col("n_te") * F.pow(rows / F.col("n_e"), F.lit(1 - disclosure))
     pairs = (
-        near.select("doc_id", "text_hash", "entity", F.explode("terms").alias("term"))
-        .distinct()
-        .groupBy("entity", "term")
+        terms.groupBy("entity", "term")
         .agg(F.count("*").alias("n_te"))
         .filter(F.col("n_te") >= support)
+        .join(of_entity, "entity")
+        .join(least, "term")
+        .filter(F.col("least") <= most + 1e-6)
+        .drop("least")
     )
     pairs = store(pairs, "pairs")
     terms = pairs.select("term").distinct()
     if terms.count() <= BROADCAST_TERMS:
         terms = F.broadcast(terms)
-    words = F.regexp_extract_all(F.lower(F.coalesce("text", F.lit(""))), F.lit(TERM), F.lit(0))
+    words = F.split(F.lower(F.coalesce("text", F.lit(""))), r"\P{L}+")
     of_term = (
         docs.select(F.explode(F.array_distinct(words)).alias("term"))
         .join(terms, "term", "left_semi")
         .groupBy("term")
         .agg(F.count("*").alias("n_t"))
     )
-    rows = docs.count()
     pmi = F.log2(rows * F.col("n_te") / (F.col("n_t") * F.col("n_e")))
     information = F.log2(rows / F.col("n_e"))
     weighed = (
-        pairs.join(of_entity, "entity")
-        .join(of_term, "term")
+        pairs.join(of_term, "term")
         .withColumn("share", F.when(information > 0, pmi / information))
         .filter(F.col("share") >= disclosure)
         .select("entity", "term", "share")
