@@ -20,10 +20,7 @@ from orderlens.views import register_views
 def staged(data: readers.Inputs) -> readers.Inputs:
     """The inputs as columnar tables: text is parsed once, later passes prune columns."""
     return readers.Inputs(
-        store(data.transactions, "transactions"),
-        store(data.customers, "customers"),
-        store(data.products, "products"),
-        store(data.behavior, "behavior"),
+        **{name: table if table is None else store(table, name) for name, table in vars(data).items()}
     )
 
 
@@ -92,20 +89,25 @@ def publish(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
 
 
 def train(
-    spark: SparkSession, inputs: str, target: str, trees: int | None = None
+    spark: SparkSession, inputs: str, target: str, trees: int | None = None, max_depth: int = 30
 ) -> dict[str, DataFrame]:
-    """Fit both classifiers for 'churn' or 'fraud' and report on the test rows."""
-    data = staged(readers.read_inputs(spark, inputs))
+    """Fit both classifiers for 'churn' or 'fraud' and report on the test rows.
+
+    Only the inputs that the target needs are read; features, split and scores are stored once.
+    """
     if target == "churn":
+        data = staged(readers.read_inputs(spark, inputs, {"transactions", "customers", "behavior"}))
         table = features.churn_features(data.customers, data.behavior, data.transactions)
         settings = ("customer_id", features.CHURN_CATEGORIES)
         trees = trees or 200
     else:
+        data = staged(readers.read_inputs(spark, inputs, {"transactions", "customers", "products"}))
         table = features.fraud_features(data.transactions, data.customers, data.products)
         settings = ("transaction_id", features.FRAUD_CATEGORIES)
         trees = trees or 100
-    logistic = training.fit_logistic(table, *settings)
-    forest = training.fit_forest(table, *settings, trees=trees)
+    ready = training.prepare(table, *settings)
+    logistic = training.fit_logistic(ready, *settings)
+    forest = training.fit_forest(ready, *settings, trees=trees, max_depth=max_depth)
     return {
         "logistic": metrics.summary(logistic.scores, "logistic regression"),
         "logistic_confusion": metrics.confusion(logistic.scores),
@@ -118,15 +120,26 @@ def train(
     }
 
 
+def save_results(results: dict[str, DataFrame], folder: str) -> dict[str, str]:
+    """Every result as a parquet table of its own, whole; the paths by name."""
+    paths = {}
+    for name, df in results.items():
+        paths[name] = f"{folder}/{name}"
+        df.write.mode("overwrite").parquet(paths[name])
+    return paths
+
+
 def main() -> None:
     parser = argparse.ArgumentParser(prog="python -m orderlens.jobs")
     parser.add_argument("job", choices=["build", "report", "publish", "churn", "fraud"])
     parser.add_argument("folder", help="CSV inputs for build and training, tables otherwise")
-    parser.add_argument("output", nargs="?", help="folder for the tables of build")
+    parser.add_argument("output", nargs="?", help="folder for tables and results (default: the first)")
+    parser.add_argument("--depth", type=int, default=30, help="depth of the trees, at most 30")
     args = parser.parse_args()
+    output = args.output or args.folder
     spark = open_session(f"orderlens {args.job}")
     if args.job == "build":
-        results = build(spark, args.folder, args.output or args.folder)
+        results = build(spark, args.folder, output)
     elif args.job == "report":
         results = report(spark, args.folder)
     elif args.job == "publish":
@@ -134,10 +147,9 @@ def main() -> None:
             writers.publish_table(df, f"published_{name}")
         results = {}
     else:
-        results = train(spark, args.folder, args.job)
-    for name, df in results.items():
-        print(name)
-        df.show(20, truncate=False)
+        results = train(spark, args.folder, args.job, max_depth=args.depth)
+    for name, path in save_results(results, f"{output}/results/{args.job}").items():
+        print(f"{name}: {path}")
 
 
 if __name__ == "__main__":

@@ -20,11 +20,12 @@ from pyspark.ml.linalg import Vectors
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from orderlens.models.features import LABEL, column_kinds, numeric
+from orderlens.models.features import LABEL, column_kinds, numeric, with_missing_level
+from orderlens.operators import ranks
 from orderlens.operators.storage import store
 
 SEED = 42
-TEST_PARTS = 4
+TEST_SHARE = 0.25
 WEIGHT = "class_weight"
 
 
@@ -37,23 +38,54 @@ class Fitted:
     scores: DataFrame
 
 
-def is_test(id_column: str, seed: int = SEED) -> Column:
-    """A quarter of the rows, chosen by a hash of the id.
+@dataclass
+class Prepared:
+    """Stored feature rows, split; both classifiers are fitted on one such table."""
+
+    id_column: str
+    numbers: list[str]
+    listed: list[str]
+    train: DataFrame
+    test: DataFrame
+    sizes: dict[int, int]
+
+
+def with_digest(features: DataFrame, id_column: str, seed: int = SEED) -> DataFrame:
+    """Rows with a label, and ``digest``, a hash of the id that orders them for the split."""
+    known = features.where(F.col(LABEL).isNotNull())
+    return known.withColumn("digest", F.md5(F.concat_ws(":", F.col(id_column).cast("string"), F.lit(seed))))
+
 
-    Needs no shuffle and gives the same split on every run. Each label keeps its
-    share up to chance, which large data makes small.
+def test_rows(placed: DataFrame, id_column: str) -> Column:
+    """Whether a row is one of the first quarter of its class in the order of digests.
+
+    The classes lie one after another in the order of (label, digest), so the last test row of
+    each is a position of one order, and the split is a row expression.
     """
-    return F.pmod(F.xxhash64(F.col(id_column), F.lit(seed)), F.lit(TEST_PARTS)) == 0
+    sizes = {int(r[0]): r[1] for r in placed.groupBy(LABEL).count().collect()}
+    ends, before = {}, 0
+    for label in sorted(sizes):
+        ends[label] = before + int(TEST_SHARE * sizes[label] + 0.5)
+        before += sizes[label]
+    keys = [LABEL, "digest", id_column]
+    found = ranks.rows_at(placed, keys, list(ends.values()), before)
+    test = F.lit(False)
+    for label, end in ends.items():
+        if end in found and found[end][0] == label:
+            test = test | ((F.col(LABEL) == label) & ranks.up_to(keys, found[end]))
+    return test
 
 
 def split(features: DataFrame, id_column: str) -> tuple[DataFrame, DataFrame]:
-    known = features.where(F.col(LABEL).isNotNull())
-    return known.where(~is_test(id_column)), known.where(is_test(id_column))
+    placed = with_digest(features, id_column)
+    test = test_rows(placed, id_column)
+    return placed.where(~test).drop("digest"), placed.where(test).drop("digest")
 
 
 def split_shares(features: DataFrame, id_column: str) -> DataFrame:
-    side = F.when(is_test(id_column), "test").otherwise("train").alias("side")
-    return features.where(F.col(LABEL).isNotNull()).groupBy(side).agg(
+    placed = with_digest(features, id_column)
+    side = F.when(test_rows(placed, id_column), "test").otherwise("train").alias("side")
+    return placed.groupBy(side).agg(
         F.count("*").alias("rows_n"),
         F.sum(LABEL).alias("positives"),
         (F.sum(LABEL) / F.count("*")).alias("positive_share"),
@@ -76,7 +108,7 @@ def with_balance(train: DataFrame, sizes: dict[int, int]) -> DataFrame:
     return train.withColumn(WEIGHT, weight)
 
 
-def fit_logistic(features: DataFrame, id_column: str, categories: list[str]) -> Fitted:
+def fit_logistic(features: DataFrame | Prepared, id_column: str, categories: list[str]) -> Fitted:
     """Logistic regression on standardised features, balanced classes.
 
     The penalty is half the squared norm against the weighted sum of losses; MLlib
@@ -87,6 +119,7 @@ def fit_logistic(features: DataFrame, id_column: str, categories: list[str]) ->
             labelCol=LABEL,
             weightCol=WEIGHT,
             maxIter=1000,
+            tol=1e-9,
             regParam=1.0 / rows,
             elasticNetParam=0.0,
             standardization=False,
@@ -95,16 +128,16 @@ def fit_logistic(features: DataFrame, id_column: str, categories: list[str]) ->
 
 
 def fit_forest(
-    features: DataFrame,
+    features: DataFrame | Prepared,
     id_column: str,
     categories: list[str],
     trees: int,
-    max_depth: int = 10,
+    max_depth: int = 30,
 ) -> Fitted:
     """Random forest on unscaled features, balanced classes.
 
-    Trees grow by distributed passes to ``max_depth``, at most 30, and split on
-    binned values, so they are not the fully grown trees of a single machine.
+    Trees grow by distributed passes as deep as the data asks, at most to ``max_depth`` (MLlib's
+    own limit is 30), and split on binned values.
     """
     return _fit(features, id_column, categories, scaled=False, classifier=lambda rows: (
         RandomForestClassifier(
@@ -113,40 +146,48 @@ def fit_forest(
             numTrees=trees,
             maxDepth=max_depth,
             featureSubsetStrategy="sqrt",
+            maxMemoryInMB=1024,
+            cacheNodeIds=False,
             seed=SEED,
         )
     ))
 
 
+def prepare(features: DataFrame, id_column: str, categories: list[str]) -> Prepared:
+    """Store the feature rows once, typed, and split them."""
+    numbers, listed = column_kinds(features, id_column, categories)
+    typed = with_missing_level(numeric(features, numbers), listed)
+    train, test = split(store(typed, "features"), id_column)
+    return Prepared(id_column, numbers, listed, train, test, class_sizes(train))
+
+
 def _fit(
-    features: DataFrame, id_column: str, categories: list[str], scaled: bool, classifier
+    features: DataFrame | Prepared, id_column: str, categories: list[str], scaled: bool, classifier
 ) -> Fitted:
-    numbers, listed = column_kinds(features, id_column, categories)
-    table = _stored(numeric(features, numbers))
-    train, test = split(table, id_column)
-    sizes = class_sizes(train)
-    rows = sum(sizes.values())
-    stages = preprocessing(numbers, listed, rows if scaled else None)
-    model = Pipeline(stages=[*stages, classifier(rows)]).fit(with_balance(train, sizes))
-    return Fitted(model, feature_names(model, numbers, listed), score(model, test, id_column))
+    ready = features if isinstance(features, Prepared) else prepare(features, id_column, categories)
+    rows = sum(ready.sizes.values())
+    stages = preprocessing(ready.numbers, ready.listed, rows if scaled else None)
+    train = in_order(with_balance(ready.train, ready.sizes), ready.id_column, rows)
+    model = Pipeline(stages=[*stages, classifier(rows)]).fit(train)
+    scores = store(score(model, ready.test, ready.id_column), "scores")
+    return Fitted(model, feature_names(model, ready.numbers, ready.listed), scores)
 
 
-def _stored(features: DataFrame) -> DataFrame:
-    """Feature rows in even parts on disk.
+def in_order(train: DataFrame, id_column: str, rows: int) -> DataFrame:
+    """Rows in parts and in an order that depend on the rows alone.
 
-    Training passes over them many times; the joins behind them run once, and the
-    parts keep every core busy. Rows are dealt out in turn, whatever their values.
+    Samples are drawn per part, so a forest must see the same parts whatever the session's settings.
+    Parts grow with the square root of the row count, in number and in size.
     """
-    spark = features.sparkSession
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    parts = max(parts, spark.sparkContext.defaultParallelism)
-    return store(features.repartition(parts), "features")
+    parts = max(1, math.isqrt(rows) // 25)
+    return train.repartition(parts, id_column).sortWithinPartitions(id_column)
 
 
 def preprocessing(numbers: list[str], listed: list[str], rows: int | None) -> list:
     """Stages up to the feature vector; numbers are standardised if ``rows`` is given.
 
-    Missing numbers take the training mean. A level unseen in training becomes zeros.
+    Missing numbers take the training mean. A level unseen in training becomes zeros; missing
+    categories have been given a level of their own.
     MLlib scales by the sample deviation; the factor turns it into the population one.
     """
     filled = [f"{name}_filled" for name in numbers]

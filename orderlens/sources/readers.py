@@ -24,27 +24,34 @@ ORDER_NUMBERS = ["discount_applied", "shipping_delay_days"]
 
 @dataclass
 class Inputs:
-    """The four input tables with typed columns."""
+    """The input tables with typed columns; None for those that were not asked for."""
 
-    transactions: DataFrame
-    customers: DataFrame
-    products: DataFrame
-    behavior: DataFrame
+    transactions: DataFrame | None
+    customers: DataFrame | None
+    products: DataFrame | None
+    behavior: DataFrame | None
 
 
-def read_inputs(spark: SparkSession, folder: str) -> Inputs:
+ALL_INPUTS = frozenset({"transactions", "customers", "products", "behavior"})
+
+
+def read_inputs(spark: SparkSession, folder: str, names: set[str] | frozenset[str] = ALL_INPUTS) -> Inputs:
     """The CSV inputs of a folder, typed; values that do not fit become null."""
-    raw = {
-        name: read_csv(spark, f"{folder}/{name}.csv")
-        for name in ("transactions", "customers", "products", "behavior")
-    }
-    orders = typed_orders(raw["transactions"])
-    numbers = {name: _number(name) for name in ORDER_NUMBERS if name in orders.columns}
+    raw = {name: read_csv(spark, f"{folder}/{name}.csv") for name in ALL_INPUTS & names}
+
+    def dimension(name: str, key: str) -> DataFrame | None:
+        return typed_dimension(raw[name], key) if name in raw else None
+
+    orders = None
+    if "transactions" in raw:
+        orders = typed_orders(raw["transactions"])
+        numbers = {name: _number(name) for name in ORDER_NUMBERS if name in orders.columns}
+        orders = orders.withColumns({**numbers, "fraud_label": _number("fraud_label")})
     return Inputs(
-        orders.withColumns({**numbers, "fraud_label": _number("fraud_label")}),
-        typed_dimension(raw["customers"], "customer_id"),
-        typed_dimension(raw["products"], "product_id"),
-        typed_dimension(raw["behavior"], "customer_id"),
+        orders,
+        dimension("customers", "customer_id"),
+        dimension("products", "product_id"),
+        dimension("behavior", "customer_id"),
     )
 
 

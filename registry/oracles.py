@@ -118,6 +118,11 @@ cells AS (
          count(*) FILTER (prediction = label) AS hit,
          (SELECT count(*) FROM scored s WHERE s.prediction = t.label) AS called
   FROM scored t GROUP BY label),
+held AS (
+  SELECT transaction_id, fraud_label AS label,
+         row_number() OVER (PARTITION BY fraud_label ORDER BY md5(transaction_id || ':42'), transaction_id)
+           <= floor(0.25 * count(*) OVER (PARTITION BY fraud_label) + 0.5) AS test
+  FROM txn),
 rates AS (
   SELECT label, support, hit, hit / called AS p, hit / support AS r,
          2.0 * hit / (called + support) AS f
@@ -366,6 +371,10 @@ _BODIES = {
     "label_share": """SELECT 'churn' AS label, count(*) AS rows_n,
         round(100.0 * sum(churn_label) / count(*), 1) AS label_pct FROM cust
       UNION ALL SELECT 'fraud', count(*), round(100.0 * sum(fraud_label) / count(*), 2) FROM txn""",
+    "split_shares": """SELECT if(test, 'test', 'train') AS side, count(*) AS rows_n,
+      sum(label)::BIGINT AS positives, sum(label) / count(*) AS positive_share
+      FROM held GROUP BY 1""",
+    "split_rows": "SELECT transaction_id, label FROM held WHERE test",
     "model_auc": """SELECT count(*) AS rows_n, round((sum(place) FILTER (label = 1)
         - pos * (pos + 1) / 2) / (pos * (count(*) - pos)), 9) AS auc
       FROM (SELECT label, count(*) FILTER (label = 1) OVER () AS pos,

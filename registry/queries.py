@@ -597,6 +597,13 @@ def split_shares(star: StarTables) -> DataFrame:
     return training.split_shares(labelled, "transaction_id")
 
 
+@query
+def split_rows(star: StarTables) -> DataFrame:
+    """The rows held back for testing the fraud models."""
+    labelled = star.transactions().withColumnRenamed("fraud_label", features.LABEL)
+    return training.split(labelled, "transaction_id")[1].select("transaction_id", features.LABEL)
+
+
 @query
 def model_auc(star: StarTables) -> DataFrame:
     return metrics.auc_table(store(fixed_scores(star), "scores"), digits=9)
@@ -614,12 +621,12 @@ def class_report(star: StarTables) -> DataFrame:
 
 @query
 def churn_logreg(star: StarTables) -> DataFrame:
-    return metrics.summary(store(churn_logistic(star).scores, "scores"), "logistic regression")
+    return metrics.summary(churn_logistic(star).scores, "logistic regression")
 
 
 @query
 def churn_forest(star: StarTables) -> DataFrame:
-    return metrics.summary(store(churn_trees(star).scores, "scores"), "random forest")
+    return metrics.summary(churn_trees(star).scores, "random forest")
 
 
 @query
@@ -639,12 +646,12 @@ def churn_importance(star: StarTables) -> DataFrame:
 
 @query
 def fraud_logreg(star: StarTables) -> DataFrame:
-    return metrics.summary(store(fraud_logistic(star).scores, "scores"), "logistic regression")
+    return metrics.summary(fraud_logistic(star).scores, "logistic regression")
 
 
 @query
 def fraud_forest(star: StarTables) -> DataFrame:
-    return metrics.summary(store(fraud_trees(star).scores, "scores"), "random forest")
+    return metrics.summary(fraud_trees(star).scores, "random forest")
 
 
 @query

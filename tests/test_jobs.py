@@ -26,7 +26,7 @@ def test_build_report_publish(spark, folders):
     inputs, output = folders
     checks = jobs.build(spark, inputs, output)
     assert checks["grain"].first()["grain"] == "order"
-    assert checks["people"].first()["customers"] == 150
+    assert checks["people"].first()["customers"] == 178  # 150 known ones and 28 unknown
     stages = [tuple(r) for r in checks["join_inflation"].select("rows_n", "gmv").collect()]
     assert stages == [(1500, 374446791.61)] * 2
 
@@ -60,6 +60,13 @@ def test_train(spark, folders):
     assert results["logistic_top"].count() == 12
 
 
+def test_results_are_saved_whole(spark, folders, tmp_path):
+    results = jobs.report(spark, folders[1])
+    paths = jobs.save_results({k: results[k] for k in ("products", "country")}, str(tmp_path))
+    assert spark.read.parquet(paths["products"]).count() == results["products"].count() > 20
+    assert spark.read.parquet(paths["country"]).count() == 25
+
+
 def test_publishing_needs_segments(spark, folders):
     star = StarTables(spark, "/root/testdata/sf0.001")
     orders = tables.add_order_key(star.transactions())

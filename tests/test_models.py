@@ -26,15 +26,53 @@ def table(spark):
     return spark.createDataFrame(rows, "id string, label int, x double, z double, c string").cache()
 
 
-def test_split_is_stable_and_a_quarter(table):
+def test_split_is_stable_and_stratified(table):
     train, test = training.split(table, "id")
-    assert train.count() + test.count() == 400 and 70 < test.count() < 130
-    again = {r["id"] for r in table.repartition(3).where(training.is_test("id")).collect()}
-    assert again == {r["id"] for r in test.collect()}
+    sizes = {r[0]: r[1] for r in table.groupBy("label").count().collect()}
+    parts = {r[0]: r[1] for r in test.groupBy("label").count().collect()}
+    assert parts == {label: int(0.25 * n + 0.5) for label, n in sizes.items()}
+    ids = {r["id"] for r in test.collect()}
+    assert ids.isdisjoint(r["id"] for r in train.collect()) and train.count() + len(ids) == 400
+    again = {r["id"] for r in training.split(table.repartition(3), "id")[1].collect()}
+    assert again == ids
     shares = {r["side"]: r["rows_n"] for r in training.split_shares(table, "id").collect()}
     assert shares == {"train": train.count(), "test": test.count()}
 
 
+def test_split_of_few_rows(spark):
+    few = spark.createDataFrame([("a", 1), ("b", 0), ("c", 0), ("d", None)], "id string, label int")
+    train, test = training.split(few, "id")
+    assert train.count() == 2 and [r["label"] for r in test.collect()] == [0]
+
+
+def test_forest_does_not_depend_on_partitions(spark, table):
+    name, scores = "spark.sql.shuffle.partitions", []
+    before = spark.conf.get(name)
+    try:
+        for parts in ("8", "16"):
+            spark.conf.set(name, parts)
+            fitted = training.fit_forest(table.repartition(int(parts)), "id", ["c"], trees=10)
+            scores.append({r["id"]: r["probability"] for r in fitted.scores.collect()})
+    finally:
+        spark.conf.set(name, before)
+    assert scores[0] == scores[1]
+
+
+def test_missing_category_is_a_level(table):
+    from pyspark.sql import functions as F
+
+    gaps = table.withColumn("c", F.when(F.col("c") != "b", F.col("c")))
+    fitted = training.fit_logistic(gaps, "id", ["c"])
+    assert fitted.feature_names[2:] == ["c_(missing)", "c_a", "c_c"]
+
+
+def test_unknown_text_is_no_feature(table):
+    from pyspark.sql import functions as F
+
+    fitted = training.fit_logistic(table.withColumn("city", F.lit("Berlin")), "id", ["c"])
+    assert "city" not in fitted.feature_names
+
+
 def test_weights_balance_the_classes(table):
     sizes = training.class_sizes(table)
     sums = training.with_balance(table, sizes).groupBy("label").sum(training.WEIGHT).collect()
