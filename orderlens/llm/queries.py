@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orderlens.llm import chat, decontam, jaccard, licenses, lm, packing, pii, quality, records, toxicity
+from orderlens.llm.oracles import ORACLES  # noqa: F401
 from orderlens.operators.storage import store
 
 #: A text with a higher score is rejected.
@@ -148,5 +149,3 @@ QUERIES = {
     "op10_token_records": op10_token_records,
     "pipeline": pipeline,
 }
-
-ORACLES: dict[str, str] = {}
