@@ -20,15 +20,16 @@ from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from orderlens.llm.text import map_text, mix, small_batches, word_hashes
+from orderlens.llm.text import mix, small_batches, word_hashes
 from orderlens.llm.trie import Trie
 from orderlens.operators.storage import store
 
 #: Events of one shard, and events that a task gathers before it sends them.
-SHARD_EVENTS = 2_000_000
+SHARD_EVENTS, STRETCH_EVENTS = 2_000_000, 1_000_000
 #: Ids of the end of a text, and of what stands before its first word.
 END, BEGIN = np.uint64(1), np.uint64(2)
 
@@ -49,7 +50,7 @@ def word_counts(docs: DataFrame, train: Column) -> DataFrame:
         for batch in batches:
             held.append(tokens(batch.column("text").to_pylist())[0])
             size += len(held[-1])
-            if size > SHARD_EVENTS:
+            if size > STRETCH_EVENTS:
                 yield distinct(held)
                 held, size = [], 0
         if held:
@@ -71,11 +72,15 @@ def _shard_of(context: np.ndarray, word: np.ndarray, frequent: np.ndarray, shard
 
 
 def _events(docs: DataFrame, frequent: np.ndarray, shards: int) -> DataFrame:
-    """Blobs of events by shard: different pairs once, and for each the rows that have it."""
+    """Blobs of events by shard: different pairs once, and for each the texts of the stretch that have it.
+
+    A stretch is what a task gathers before it sends. One more blob per stretch, under a negative shard, says
+    which rows its texts are and how many tokens they have.
+    """
     small_batches(docs.sparkSession)
 
-    def pack(held: list[tuple]) -> Iterator[pa.RecordBatch]:
-        ids = [i for h in held for i in h[0]]
+    def pack(held: list[tuple], stretch: int) -> pa.RecordBatch:
+        ids = np.concatenate([h[0] for h in held])
         train = np.concatenate([h[1] for h in held])
         sizes = np.concatenate([h[3] for h in held])
         word = np.concatenate([h[2] for h in held])
@@ -97,7 +102,7 @@ def _events(docs: DataFrame, frequent: np.ndarray, shards: int) -> DataFrame:
         new[1:] = (context[1:] != context[:-1]) | (token[1:] != token[:-1]) | (shard[1:] != shard[:-1])
         edge = np.flatnonzero(np.diff(shard, prepend=-1))
         flags = train.astype(np.uint8).tobytes()
-        rows = []
+        rows = [(-1 - stretch % shards, ids.tobytes(), b"", b"", b"", (sizes + 1).tobytes())]
         for a, b in zip(edge, [*edge[1:], len(shard)]):
             first = np.flatnonzero(new[a:b])
             times = np.diff(np.append(first, b - a)).astype(np.uint32)
@@ -105,94 +110,94 @@ def _events(docs: DataFrame, frequent: np.ndarray, shards: int) -> DataFrame:
             c = context[a:b][first]
             head = np.flatnonzero(np.concatenate([[True], c[1:] != c[:-1]]))
             spread = np.diff(np.append(head, len(c))).astype(np.uint32)
-            rows.append(
-                (
-                    int(shard[a]),
-                    c[head].tobytes(),
-                    spread.tobytes(),
-                    token[a:b][first].tobytes(),
-                    times.tobytes(),
-                    owner[a:b].tobytes(),
-                )
-            )
+            arrays = (c[head], spread, token[a:b][first], times, owner[a:b])
+            rows.append((int(shard[a]), *(x.tobytes() for x in arrays)))
         columns = list(zip(*rows))
-        yield pa.RecordBatch.from_arrays(
+        return pa.RecordBatch.from_arrays(
             [
                 pa.array(columns[0], pa.int64()),
                 *(pa.array(c, pa.binary()) for c in columns[1:]),
-                pa.array([ids] * len(rows), pa.list_(pa.int64())),
+                pa.array([stretch] * len(rows), pa.int64()),
                 pa.array([flags] * len(rows), pa.binary()),
             ],
-            names=["shard", "contexts", "spread", "words", "times", "owners", "ids", "train"],
+            names=["shard", "contexts", "spread", "words", "times", "owners", "stretch", "train"],
         )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, number = TaskContext.get().partitionId(), 0
         held, size = [], 0
         for batch in batches:
             words, counts = tokens(batch.column("text").to_pylist())
             train = batch.column("train").to_numpy(zero_copy_only=False).astype(bool)
-            held.append((batch.column("row").to_pylist(), train, words, counts))
-            size += len(words)
-            if size > SHARD_EVENTS:
-                yield from pack(held)
-                held, size = [], 0
-        if any(h[0] for h in held):
-            yield from pack(held)
+            held.append((batch.column("row").to_numpy(), train, words, counts))
+            size += len(words) + len(counts)
+            if size > STRETCH_EVENTS:
+                yield pack(held, (part << 32) + number)
+                held, size, number = [], 0, number + 1
+        if size:
+            yield pack(held, (part << 32) + number)
 
     return docs.mapInArrow(
         run,
-        "shard long, contexts binary, spread binary, words binary, times binary, owners binary, ids array<long>, train binary",
+        "shard long, contexts binary, spread binary, words binary, times binary, owners binary, "
+        "stretch long, train binary",
     )
 
 
+ANSWER = "stretch long, rows binary, sizes binary, known binary, base binary, model binary, back_text binary, back_word binary"
+
+
 def _answers(events: DataFrame, frequent: dict[int, int], training_texts: int, weight: float) -> DataFrame:
-    """Per shard: ``row``, ``known``, ``base`` and ``model`` sums, and ``back``: ids of (row, word) that back off."""
-    common = np.array(sorted(frequent), dtype=np.int64).view(np.uint64)
-    common_counts = np.array([frequent[k] for k in sorted(frequent)], dtype=np.int64)
+    """Per shard and stretch, sums over the texts of the stretch: words known, unigram and model logarithms;
+    and the pairs (text, word) that back off. Rows and sizes of the stretches are handed on."""
+    common = np.array(list(frequent), dtype=np.int64).view(np.uint64)
     by_id = np.argsort(common)
-    common, common_counts = common[by_id], common_counts[by_id]
+    common, common_counts = common[by_id], np.array(list(frequent.values()), dtype=np.int64)[by_id]
 
     def score(table: pa.Table) -> pa.Table:
-        parts = []
-        ids: list[int] = []
-        for r in table.to_pylist():
-            spread, times = np.frombuffer(r["spread"], np.uint32), np.frombuffer(r["times"], np.uint32)
-            context = np.repeat(np.frombuffer(r["contexts"], np.uint64), spread)
-            narrow = len(r["owners"]) == 2 * int(times.sum())
+        rows = table.to_pylist()
+        if rows[0]["shard"] < 0:
+            empty = [b""] * len(rows)
+            return answer([r["stretch"] for r in rows], [r["contexts"] for r in rows], [r["owners"] for r in rows], *[empty] * 5)
+        contexts, words, times, owners, flags, starts = [], [], [], [], [], [0]
+        for r in rows:
+            spread, n = np.frombuffer(r["spread"], np.uint32), np.frombuffer(r["times"], np.uint32)
+            narrow = len(r["owners"]) == 2 * int(n.sum())
             owner = np.frombuffer(r["owners"], np.uint16 if narrow else np.uint32)
-            parts.append(
-                (
-                    np.repeat(context, times),
-                    np.repeat(np.frombuffer(r["words"], np.uint64), times),
-                    owner.astype(np.int64) + len(ids),
-                    np.frombuffer(r["train"], np.uint8)[owner] > 0,
-                )
-            )
-            ids += r["ids"]
-        context, word, owner, train = (np.concatenate(p) for p in zip(*parts))
-        del parts
+            contexts.append(np.repeat(np.frombuffer(r["contexts"], np.uint64), spread))
+            words.append(np.frombuffer(r["words"], np.uint64))
+            times.append(n)
+            owners.append(owner.astype(np.int32) + np.int32(starts[-1]))
+            flags.append(np.frombuffer(r["train"], np.uint8)[owner])
+            starts.append(starts[-1] + len(r["train"]))
+        pairs = np.cumsum([0, *map(len, words)])
+        # From here on one entry per pair and stretch, not per event.
+        context, word, n, owner = (np.concatenate(x) for x in (contexts, words, times, owners))
+        n = n.astype(np.int64)
+        train = np.add.reduceat(np.concatenate(flags), np.cumsum(n) - n, dtype=np.int64)
+        rows = [r["stretch"] for r in rows]
+        del contexts, words, times, owners, flags
         # Training counts of the shard's contexts: as words, they are counted where they are contexts.
-        seen, counts = np.unique(context[train], return_counts=True)
+        used = np.flatnonzero(train)
+        order = used[np.lexsort((word[used], context[used]))]
+        tc, tw, tn = context[order], word[order], train[order]
+        new = np.ones(len(tc), dtype=bool)
+        new[1:] = (tc[1:] != tc[:-1]) | (tw[1:] != tw[:-1])
+        first = np.flatnonzero(new)
+        tc, tw = tc[first], tw[first]
+        tn = np.add.reduceat(tn, first) if len(first) else tn
+        head = np.flatnonzero(np.concatenate([[True], tc[1:] != tc[:-1]])) if len(tc) else first
+        seen, counts = tc[head], np.add.reduceat(tn, head) if len(head) else tn
 
         def totals(c: np.ndarray) -> np.ndarray:
-            at = np.minimum(np.searchsorted(seen, c), max(len(seen) - 1, 0))
-            own = np.where(seen[at] == c, counts[at], 0) if len(seen) else np.zeros(len(c), dtype=np.int64)
+            own = _count_of(c, seen, counts)
             if len(common):  # contexts that are split over shards
-                at = np.minimum(np.searchsorted(common, c), len(common) - 1)
-                own = np.where(common[at] == c, common_counts[at], own)
+                own = np.maximum(own, _count_of(c, common, common_counts))
             return np.where(c == BEGIN, training_texts, own)
 
-        order = np.lexsort((word[train], context[train]))
-        tc, tw = context[train][order], word[train][order]
-        new = np.ones(len(tc), dtype=bool)
-        new[1:] = (tc[1:] != tc[:-1]) | (tw[1:] != tw[:-1])
-        first = np.flatnonzero(new)
-        times = np.diff(np.append(first, len(tc)))
         folder = Path(tempfile.mkdtemp(prefix="trie-"))  # read by this task alone, removed at its end
         try:
-            trie = Trie.build(folder, tc[first], tw[first], times, totals, weight)
-            found = trie.log10(context, word)
-            del trie
+            found = Trie.build(folder, tc, tw, tn, totals, weight).log10(context, word)
         finally:
             shutil.rmtree(folder, ignore_errors=True)
         c = totals(context)
@@ -200,26 +205,76 @@ def _answers(events: DataFrame, frequent: dict[int, int], training_texts: int, w
         model = np.where(back, np.log10(weight) - np.log10(c + weight), found)
         real = context != BEGIN  # each word is a context once, so its unigram count is at hand
         base = np.where(real, np.log10(c + 1), 0.0)
-        rows, where = np.unique(np.array(ids, dtype=np.int64)[owner], return_inverse=True)
-
-        def total(x: np.ndarray) -> np.ndarray:
-            return np.bincount(where, x, len(rows))
-
-        return pa.table(
-            {
-                "row": pa.array([rows], pa.list_(pa.int64())),
-                "known": pa.array([total(real & (c > 0)).astype(np.int64)], pa.list_(pa.int64())),
-                "base": pa.array([total(base)], pa.list_(pa.float64())),
-                "model": pa.array([total(model)], pa.list_(pa.float64())),
-                "back_row": pa.array([rows[where[back]]], pa.list_(pa.int64())),
-                "back_word": pa.array([word[back].view(np.int64)], pa.list_(pa.int64())),
-            }
-        )
 
-    return events.groupBy("shard").applyInArrow(
-        score,
-        "row array<long>, known array<long>, base array<double>, model array<double>, "
-        "back_row array<long>, back_word array<long>",
+        def total(x: np.ndarray) -> list[np.ndarray]:
+            sums = np.bincount(owner, np.repeat(x, n), starts[-1])
+            return [sums[a:b] for a, b in zip(starts, starts[1:])]
+
+        ends = np.concatenate([[0], np.cumsum(n)])
+        back_text, back_word = [], []
+        for k in range(len(rows)):
+            p = pairs[k] + np.flatnonzero(back[pairs[k] : pairs[k + 1]])
+            e = np.repeat(ends[p] - (np.cumsum(n[p]) - n[p]), n[p]) + np.arange(n[p].sum())
+            back_text.append((owner[e] - starts[k]).astype(np.uint32).tobytes())
+            back_word.append(np.repeat(word[p], n[p]).tobytes())
+        known = [x.astype(np.uint32).tobytes() for x in total(real & (c > 0))]
+        sums = [[x.tobytes() for x in total(y)] for y in (base, model)]
+        empty = [b""] * len(rows)
+        return answer(rows, empty, empty, known, *sums, back_text, back_word)
+
+    def answer(stretch: list[int], *blobs: list[bytes]) -> pa.Table:
+        names = [f.split()[0] for f in ANSWER.split(", ")]
+        columns = [pa.array(stretch, pa.int64()), *(pa.array(b, pa.binary()) for b in blobs)]
+        return pa.table(dict(zip(names, columns)))
+
+    return events.groupBy("shard").applyInArrow(score, ANSWER)
+
+
+def _count_of(asked: np.ndarray, keys: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """Counts of the asked keys; 0 for those that are not among the sorted ``keys``."""
+    if not len(keys):
+        return np.zeros(len(asked), dtype=np.int64)
+    at = np.minimum(np.searchsorted(keys, asked), len(keys) - 1)
+    return np.where(keys[at] == asked, counts[at], 0)
+
+
+def _sums(answers: DataFrame) -> DataFrame:
+    """Per text: ``row``, ``n_tokens``, ``known``, ``base`` and ``model``, summed over the shards."""
+
+    def add(table: pa.Table) -> pa.Table:
+        rows = table.to_pylist()
+        own = next(r for r in rows if r["rows"])
+        ids, sizes = np.frombuffer(own["rows"], np.int64), np.frombuffer(own["sizes"], np.int64)
+        out = {"row": ids, "n_tokens": sizes, "known": np.zeros(len(ids), dtype=np.int64)}
+        out |= {"base": np.zeros(len(ids)), "model": np.zeros(len(ids))}
+        for r in rows:
+            if r["known"]:
+                out["known"] = out["known"] + np.frombuffer(r["known"], np.uint32)
+                out["base"] = out["base"] + np.frombuffer(r["base"], np.float64)
+                out["model"] = out["model"] + np.frombuffer(r["model"], np.float64)
+        return pa.table(out)
+
+    return (
+        answers.select("stretch", "rows", "sizes", "known", "base", "model")
+        .groupBy("stretch")
+        .applyInArrow(add, "row long, n_tokens long, known long, base double, model double")
+    )
+
+
+def _backed_off(answers: DataFrame) -> DataFrame:
+    """``row`` and ``word`` of every token that the trie does not know after its context."""
+
+    def name(table: pa.Table) -> pa.Table:
+        rows = table.to_pylist()
+        ids = np.frombuffer(next(r["rows"] for r in rows if r["rows"]), np.int64)
+        text = np.concatenate([np.frombuffer(r["back_text"], np.uint32) for r in rows])
+        word = np.concatenate([np.frombuffer(r["back_word"], np.int64) for r in rows])
+        return pa.table({"row": ids[text], "word": word})
+
+    return (
+        answers.select("stretch", "rows", "back_text", "back_word")
+        .groupBy("stretch")
+        .applyInArrow(name, "row long, word long")
     )
 
 
@@ -236,52 +291,42 @@ def score(docs: DataFrame, train: Column, weight: float = 4.0) -> DataFrame:
     rows = docs.select("doc_id", "text", F.coalesce(train, F.lit(False)).alias("train"), key.alias("row"))
     counts = store(word_counts(rows, F.col("train")), "words")
     words, different = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
-
-    def measure(batch: pa.RecordBatch) -> pa.Table:
-        sizes = tokens(batch.column("text").to_pylist())[1] + 1
-        return pa.table({c: batch.column(c) for c in ("doc_id", "train", "row")} | {"n_tokens": pa.array(sizes, pa.int64())})
-
-    kind = dict(rows.dtypes)["doc_id"]
-    members = store(map_text(rows, measure, f"doc_id {kind}, train boolean, row long, n_tokens long"), "rows")
-    events, texts = members.agg(
-        F.coalesce(F.sum("n_tokens"), F.lit(0)), F.coalesce(F.sum(F.col("train").cast("long")), F.lit(0))
-    ).first()
+    every, texts = rows.agg(F.count("*"), F.coalesce(F.sum(F.col("train").cast("long")), F.lit(0))).first()
     train_tokens, vocabulary = words + texts, different + (texts > 0)
-    shards = max(8, -(-events // SHARD_EVENTS))
+    # All rows have about as many tokens as the training rows; with none of these, any number will do.
+    shards = max(8, -(-train_tokens * every // (max(texts, 1) * SHARD_EVENTS)))
     # Words that would fill a quarter of a shard by themselves: fewer than four per shard.
-    most = counts.filter(F.col("n") * 4 * shards > words).collect()
-    frequent = {r["word"]: r["n"] for r in most}
+    frequent = {r["word"]: r["n"] for r in counts.filter(F.col("n") * 4 * shards > words).collect()}
     split = np.array([*frequent, int(BEGIN)], dtype=np.int64).view(np.uint64)
-    answers = store(_answers(_events(rows, split, shards), frequent, texts, weight), "answers")
-    sums = answers.select(F.inline(F.arrays_zip("row", "known", "base", "model")))
-    backed = answers.select(F.inline(F.arrays_zip("back_row", "back_word")))
-    ends = F.lit(int(texts))
-    backed = backed.join(counts, F.col("back_word") == F.col("word"), "left").select(
-        F.col("back_row").alias("row"),
-        F.lit(0).cast("long").alias("known"),
-        F.lit(0.0).alias("base"),
-        (
-            F.log10(F.when(F.col("back_word") == int(END), ends).otherwise(F.coalesce("n", F.lit(0))) + 1.0)
-            - float(np.log10(train_tokens + vocabulary + 1))
-        ).alias("model"),
-    )
-    summed = sums.unionByName(backed).groupBy("row").agg(
-        F.sum("known").alias("known"), F.sum("base").alias("base"), F.sum("model").alias("model")
+    answers = store(_answers(_events(rows.drop("doc_id"), split, shards), frequent, texts, weight), "answers")
+    size = float(np.log10(train_tokens + vocabulary + 1))
+    n = F.when(F.col("word") == int(END), F.lit(int(texts))).otherwise(F.coalesce("n", F.lit(0)))
+    backed = (
+        _backed_off(answers)
+        .join(counts, "word", "left")
+        .groupBy("row")
+        .agg(F.sum(F.log10(n + 1.0) - size).alias("back"))
     )
-    # Repeated rows have sent their events each; the result has them once.
-    own = members.groupBy("row").agg(
-        F.min("doc_id").alias("doc_id"),
-        F.first("train").alias("train"),
+    # Repeated rows have sent their events each, and are one row of the result.
+    summed = _sums(answers).groupBy("row").agg(
         F.first("n_tokens").alias("n_tokens"),
+        F.avg("known").alias("known"),
+        F.avg("base").alias("base"),
+        F.sum("model").alias("model"),
         F.count("*").alias("copies"),
     )
-    size = float(np.log10(train_tokens + vocabulary + 1))
-    return own.join(summed, "row").select(
-        "doc_id",
-        "train",
-        "n_tokens",
-        (F.col("known") / F.col("copies") + int(texts > 0)).cast("long").alias("n_known"),
-        F.lit(int(train_tokens)).alias("train_tokens"),
-        (F.col("base") / F.col("copies") + float(np.log10(texts + 1)) - F.col("n_tokens") * size).alias("base_score"),
-        (F.col("model") / F.col("copies")).alias("score"),
+    own = rows.groupBy("row").agg(F.min("doc_id").alias("doc_id"), F.first("train").alias("train"))
+    model = (F.col("model") + F.coalesce("back", F.lit(0.0))) / F.col("copies")
+    return (
+        own.join(summed, "row")
+        .join(backed, "row", "left")
+        .select(
+            "doc_id",
+            "train",
+            "n_tokens",
+            (F.round("known") + int(texts > 0)).cast("long").alias("n_known"),
+            F.lit(int(train_tokens)).alias("train_tokens"),
+            (F.col("base") + float(np.log10(texts + 1)) - F.col("n_tokens") * size).alias("base_score"),
+            model.alias("score"),
+        )
     )

@@ -163,8 +163,12 @@ class Trie:
             np.save(folder / f"{name}.npy", array)
         return Trie(folder, level.n, level.low)
 
-    def log10(self, context: np.ndarray, word: np.ndarray) -> np.ndarray:
+    def log10(self, context: np.ndarray, word: np.ndarray, at_once: int = 100_000) -> np.ndarray:
         """log10 probability of each word after its context; NaN where the pair was not seen."""
+        parts = range(0, max(len(word), 1), at_once)
+        return np.concatenate([self._log10(context[k : k + at_once], word[k : k + at_once]) for k in parts])
+
+    def _log10(self, context: np.ndarray, word: np.ndarray) -> np.ndarray:
         out = np.full(len(word), np.nan)
         if not len(self.contexts) or not len(word):
             return out
