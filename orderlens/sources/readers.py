@@ -121,7 +121,7 @@ def read_parquet(
 
 def read_tables(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
     """The saved order table and customer table."""
-    return read_parquet(spark, f"{folder}/clean"), read_people(spark, folder)
+    return read_parquet(spark, latest(spark, folder, "clean")), read_people(spark, folder)
 
 
 def read_people(spark: SparkSession, folder: str) -> DataFrame:
@@ -129,14 +129,18 @@ def read_people(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def latest_people(spark: SparkSession, folder: str) -> str:
-    """Path of the newest complete version of the customer table."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/people")
+    return latest(spark, folder, "people")
+
+
+def latest(spark: SparkSession, folder: str, name: str) -> str:
+    """Path of the newest complete version of a saved table."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/{name}")
     files = path.getFileSystem(spark._jsc.hadoopConfiguration())
     versions = [
         entry.getPath()
-        for entry in files.listStatus(path)
+        for entry in (files.listStatus(path) if files.exists(path) else [])
         if files.exists(spark._jvm.org.apache.hadoop.fs.Path(entry.getPath(), "_SUCCESS"))
     ]
     if not versions:
-        raise FileNotFoundError(f"no saved customer table in {folder}")
+        raise FileNotFoundError(f"no saved table {name} in {folder}")
     return max(versions, key=lambda p: p.getName()).toString()

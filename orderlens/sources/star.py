@@ -84,11 +84,13 @@ class StarTables:
         )
 
     def order_lines(self) -> DataFrame:
-        """Line grain, keyed by order, without the order's own columns."""
+        """Line grain, keyed by order, without the order's own columns; every 40th order's
+        lines have unknown products."""
+        unknown = F.when(F.col("l_orderkey") % 40 == 39, -F.col("l_partkey"))
         return self.table("lineitem").select(
             F.col("l_orderkey").cast("string").alias("transaction_id"),
             F.col("l_orderkey").cast("string").alias("order_key"),
-            F.col("l_partkey").cast("string").alias("product_id"),
+            F.coalesce(unknown, F.col("l_partkey")).cast("string").alias("product_id"),
             F.col("l_extendedprice").cast(MONEY).alias("order_value"),
         )
 

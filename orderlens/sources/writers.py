@@ -20,21 +20,24 @@ from orderlens.schemas import (
 
 def save_tables(clean: DataFrame, people: DataFrame | None, folder: str) -> DataFrame:
     """Write the order table, and the customer table if given; read the orders back."""
-    path = f"{folder}/clean"
-    clean.write.mode("overwrite").parquet(path)
+    path = save_version(clean, folder, "clean")
     if people is not None:
         save_people(people, folder)
     return clean.sparkSession.read.schema(clean.schema).parquet(path)
 
 
 def save_people(people: DataFrame, folder: str) -> str:
-    """Write the customer table as a new version and return its path.
+    return save_version(people, folder, "people")
 
-    A version never overwrites the one it may have been derived from; readers take
-    the newest version that carries a success marker.
+
+def save_version(df: DataFrame, folder: str, name: str) -> str:
+    """Write a table as a new version and return its path.
+
+    A version never overwrites an older one, which the table may have been derived from and which
+    others may be reading; readers take the newest version that carries a success marker.
     """
-    path = f"{folder}/people/version={time.time_ns():020d}"
-    people.write.parquet(path)
+    path = f"{folder}/{name}/version={time.time_ns():020d}"
+    df.write.parquet(path)
     return path
 
 

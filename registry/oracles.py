@@ -44,10 +44,11 @@ fact AS (
          order_value * margin_percentage AS profit100
   FROM txn LEFT JOIN cust USING (customer_id) LEFT JOIN prod USING (product_id)),
 lines AS (
-  SELECT l_orderkey::VARCHAR AS order_key, l_partkey::VARCHAR AS product_id,
+  SELECT l_orderkey::VARCHAR AS order_key, part_id AS product_id,
          l_extendedprice::DECIMAL(18,2) AS order_value, category, margin_percentage,
          l_extendedprice::DECIMAL(18,2) * margin_percentage AS profit100
-  FROM lineitem LEFT JOIN prod ON prod.product_id = l_partkey::VARCHAR),
+  FROM (SELECT *, (CASE WHEN l_orderkey % 40 = 39 THEN -l_partkey ELSE l_partkey END)::VARCHAR AS part_id
+        FROM lineitem) LEFT JOIN prod ON prod.product_id = part_id),
 ppl AS (
   SELECT customer_id, sum(order_value) AS gmv, count(DISTINCT transaction_id) AS orders,
          min(order_date) AS first_order, max(order_date) AS last_order
@@ -164,8 +165,9 @@ FROM_CSV, FROM_TEXT = TYPED.format("NULL"), TYPED.format("'NA'")
 _BODIES = {
     # sources and sinks
     "src_csv": FROM_CSV,
-    "sink_parquet": """SELECT 'clean' AS "table", count(*) AS rows_n FROM fact
-      UNION ALL SELECT 'people', count(*) FROM ppl""",
+    "sink_parquet": """SELECT transaction_id, customer_id, country, category,
+      order_value::DOUBLE AS order_value, gmv::DOUBLE AS gmv, orders
+      FROM fact JOIN ppl USING (customer_id)""",
     "people_rfm": """SELECT ppl.customer_id, gmv::DOUBLE AS gmv, orders, first_order,
       segment, r_score AS R FROM ppl JOIN rfmq USING (customer_id)""",
     "publish_orders": f"SELECT {ORDER_COLUMNS}, profit100::DOUBLE / 100.0 AS profit FROM fact",

@@ -116,11 +116,13 @@ def src_csv(star: StarTables) -> DataFrame:
 
 @query
 def sink_parquet(star: StarTables) -> DataFrame:
+    """Both tables written, read back, and joined."""
     folder = new_path(star.spark, "tables")
     writers.save_tables(full_orders(star), people_of(star), folder)
     clean, people = readers.read_tables(star.spark, folder)
-    orders = quality.row_count(clean).withColumn("table", F.lit("clean"))
-    return orders.unionByName(quality.row_count(people).withColumn("table", F.lit("people")))
+    totals = people.select("customer_id", "gmv", "orders")
+    orders = clean.select("transaction_id", "customer_id", "country", "category", "order_value")
+    return lookup_join(orders, totals, "customer_id", ["transaction_id"], "inner")
 
 
 @query
@@ -132,14 +134,15 @@ def people_rfm(star: StarTables) -> DataFrame:
 
 @query
 def publish_orders(star: StarTables) -> DataFrame:
-    return writers.published_orders(full_orders(star))
+    """The published table, written and read back."""
+    return store(writers.published_orders(full_orders(star)), "published")
 
 
 @query
 def publish_people(star: StarTables) -> DataFrame:
     people = stored_people(star)
     scored = writers.add_scores(people, rfm.score_by_quantiles(keyed(star), people))
-    return writers.published_people(scored, with_customers(star))
+    return store(writers.published_people(scored, with_customers(star)), "published")
 
 
 @query
