@@ -24,6 +24,7 @@ from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -32,7 +33,9 @@ from orderlens.llm.text import map_text, mix, row_hash, small_batches, without,
 from orderlens.operators.storage import store
 
 #: N-grams that one fragment, and one block of pairs, should hold.
-FRAGMENT = 1_000_000
+FRAGMENT = 500_000
+#: Stands for an owner that needs no answer.
+NOBODY = (1 << 32) - 1
 #: Ids up to this number are broadcast (8 bytes each); more are joined by a shuffle.
 BROADCAST_IDS = 4_000_000
 #: Fragments of the order that the verification of pairs is cut into: by the two highest bits.
@@ -77,7 +80,7 @@ class Bounds:
     def common(self, n: int) -> int:
         """Common n-grams asked for within the prefixes. Grows no faster than ``need``, so that of two
         partners the longer one's demand is met in the shorter one's prefix as well."""
-        return max(1, self.need(n) // 8)
+        return max(1, self.need(n) // 4)
 
     def prefix(self, n: int) -> int:
         return n - self.need(n) + self.common(n)
@@ -122,27 +125,33 @@ def possible_classes(docs: DataFrame, n: int, bounds: Bounds, ngrams: int) -> Da
     edges = np.array([i * step for i in range(1, fragments)], dtype=np.uint64)
     small_batches(docs.sparkSession)
 
-    def send(ids: list[int], prefixes: list[np.ndarray]) -> pa.RecordBatch:
+    def send(ids: list[int], prefixes: list[np.ndarray], stretch: int) -> pa.RecordBatch:
         grams = np.concatenate(prefixes)
-        owners = np.repeat(np.array(ids, dtype=np.int64), [len(p) for p in prefixes])
+        owners = np.repeat(np.arange(len(ids), dtype=np.uint32), [len(p) for p in prefixes])
         order = np.argsort(grams)
         grams, owners = grams[order], owners[order]
         first = np.flatnonzero(np.concatenate([[True], grams[1:] != grams[:-1]]))
         times = np.diff(np.append(first, len(grams)))
-        shared = np.repeat(times > 1, times)
-        seen, counts = np.unique(owners[shared], return_counts=True)
-        grams, owners, known = grams[first], owners[first], times > 1
+        here = np.bincount(owners[np.repeat(times > 1, times)], minlength=len(ids))
+        # Of n-grams known to be shared the owners need no answer.
+        grams, owners = grams[first], np.where(times > 1, np.uint32(NOBODY), owners[first])
         cut = [0, *np.searchsorted(grams, edges).tolist(), len(grams)]
-        spans = [(k, a, b) for k, (a, b) in enumerate(zip(cut, cut[1:])) if b > a]
-        rows = [(-1, b"", seen.tobytes(), counts.astype(np.int64).tobytes())]
-        rows += [(k, grams[a:b].tobytes(), owners[a:b].tobytes(), known[a:b].tobytes()) for k, a, b in spans]
-        fragment, *blobs = zip(*rows)
+        rows = [(-1 - stretch % fragments, here.astype(np.uint32).tobytes(), b"")]
+        rows += [(k, grams[x:y].tobytes(), owners[x:y].tobytes()) for k, (x, y) in enumerate(zip(cut, cut[1:])) if y > x]
+        slot, first_blob, second_blob = zip(*rows)
         return pa.RecordBatch.from_arrays(
-            [pa.array(fragment, pa.int32()), *(pa.array(b, pa.binary()) for b in blobs)],
-            names=["fragment", "grams", "owners", "known"],
+            [
+                pa.array(slot, pa.int32()),
+                pa.array([stretch] * len(rows), pa.int64()),
+                pa.array([np.array(ids, dtype=np.int64).tobytes()] * len(rows), pa.binary()),
+                pa.array(first_blob, pa.binary()),
+                pa.array(second_blob, pa.binary()),
+            ],
+            names=["slot", "stretch", "classes", "grams", "owners"],
         )
 
     def cut_prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, number = TaskContext.get().partitionId(), 0
         ids, prefixes, held, size = [], [], set(), 0
         for batch in batches:
             for s in ngram_sets(batch.column("text").to_pylist(), n):
@@ -153,38 +162,55 @@ def possible_classes(docs: DataFrame, n: int, bounds: Bounds, ngrams: int) -> Da
                     prefixes.append(s[: bounds.prefix(len(s))])
                     size += len(prefixes[-1])
             if size > FRAGMENT:
-                yield send(ids, prefixes)
+                yield send(ids, prefixes, (part << 32) + number)
+                number += 1
                 ids, prefixes, held, size = [], [], set(), 0
         if ids:
-            yield send(ids, prefixes)
+            yield send(ids, prefixes, (part << 32) + number)
 
     def count(table: pa.Table) -> pa.Table:
-        table = table.combine_chunks()
-        joined = {c: b"".join(table.column(c).to_pylist()) for c in ("grams", "owners", "known")}
-        owners = np.frombuffer(joined["owners"], dtype=np.int64)
-        if not joined["grams"]:  # counted by the senders
-            ids, where = np.unique(owners, return_inverse=True)
-            n = np.bincount(where, np.frombuffer(joined["known"], dtype=np.int64), len(ids))
+        """Per stretch, for each of its classes the n-grams of this fragment that others have too."""
+        rows = table.select(["slot", "stretch", "classes", "grams", "owners"]).to_pylist()
+        if rows[0]["slot"] < 0:  # counted by the senders
+            found = [r["grams"] for r in rows]
         else:
-            grams, known = np.frombuffer(joined["grams"], dtype=np.uint64), np.frombuffer(joined["known"], dtype=bool)
+            ids = [np.frombuffer(r["classes"], dtype=np.int64) for r in rows]
+            classes_, starts = np.concatenate(ids), np.cumsum([0, *map(len, ids)])
+            grams = np.concatenate([np.frombuffer(r["grams"], dtype=np.uint64) for r in rows])
+            own = [np.frombuffer(r["owners"], dtype=np.uint32).astype(np.int64) for r in rows]
+            owners = np.concatenate([np.where(o == NOBODY, -1, o + a) for o, a in zip(own, starts)])
             order = np.argsort(grams)
-            grams, owners, known = grams[order], owners[order], known[order]
+            grams, owners = grams[order], owners[order]
             first = np.flatnonzero(np.concatenate([[True], grams[1:] != grams[:-1]]))
             times = np.diff(np.append(first, len(grams)))
-            shared = np.logical_or.reduceat(known, first)
-            shared |= np.minimum.reduceat(owners, first) != np.maximum.reduceat(owners, first)
-            ids, n = np.unique(owners[np.repeat(shared, times) & ~known], return_counts=True)
-        return pa.table({"class": pa.array(ids, pa.int64()), "shared": pa.array(n.astype(np.int64), pa.int64())})
-
-    sent = docs.select("text").mapInArrow(cut_prefixes, "fragment int, grams binary, owners binary, known binary")
-    # What senders have counted themselves is dealt out; it needn't meet in one place.
-    spread = F.pmod(F.xxhash64("owners"), F.lit(fragments)) - fragments
+            # Held by two classes, or by several in one stretch (then without an owner).
+            of = np.where(owners < 0, np.int64(0), classes_[owners])
+            shared = np.minimum.reduceat(owners, first) < 0
+            shared |= np.minimum.reduceat(of, first) != np.maximum.reduceat(of, first)
+            asking = owners[np.repeat(shared, times) & (owners >= 0)]
+            n = np.bincount(asking, minlength=len(classes_)).astype(np.uint32)
+            found = [n[a:b].tobytes() for a, b in zip(starts, starts[1:])]
+        named = [r["classes"] if r["slot"] < 0 else b"" for r in rows]  # once per stretch
+        columns = {"stretch": [r["stretch"] for r in rows], "classes": named, "counts": found}
+        return pa.table(columns, schema=pa.schema({"stretch": pa.int64(), "classes": pa.binary(), "counts": pa.binary()}))
+
+    def add(table: pa.Table) -> pa.Table:
+        """Sums over the fragments; a row per class of the stretch."""
+        counts = [np.frombuffer(c, dtype=np.uint32) for c in table.column("counts").to_pylist()]
+        ids = np.frombuffer(b"".join(table.column("classes").to_pylist()), dtype=np.int64)
+        return pa.table({"class": pa.array(ids), "shared": pa.array(np.sum(counts, axis=0, dtype=np.int64))})
+
+    schema = "slot int, stretch long, classes binary, grams binary, owners binary"
     return (
-        sent.withColumn("slot", F.when(F.col("fragment") < 0, spread).otherwise(F.col("fragment")))
+        docs.select("text")
+        .mapInArrow(cut_prefixes, schema)
         .groupBy("slot")
-        .applyInArrow(lambda table: count(table.select(["grams", "owners", "known"])), "class long, shared long")
+        .applyInArrow(count, "stretch long, classes binary, counts binary")
+        .groupBy("stretch")
+        .applyInArrow(lambda table: add(table.select(["classes", "counts"])), "class long, shared long")
+        # A class with copies is sent from several stretches; each gives the whole count.
         .groupBy("class")
-        .agg(F.sum("shared").alias("shared"))
+        .agg(F.max("shared").alias("shared"))
     )
 
 
@@ -214,24 +240,43 @@ def sets_of(docs: DataFrame, members: DataFrame, wanted: DataFrame, n: int) -> D
 
 
 def postings(sets: DataFrame, bounds: Bounds) -> DataFrame:
-    """``gram``, ``class``, ``n`` and ``weight`` of every set's prefix in the order of rarity.
+    """``gram``, ``class``, ``n``, ``place`` and ``weight`` of every set's prefix in the order of rarity.
 
-    N-grams of one class alone come first and can be left out, but they count for the prefix's length.
-    ``weight`` is how common the class's n-grams are on average: highest for the middle of a group.
+    N-grams of one class alone come first and can be left out, but they count for the prefix's length and
+    for ``place``. ``weight`` is how common the class's n-grams are on average: highest for the middle of a
+    group.
     """
     grams = sets.select("class", "n", F.explode("grams").alias("gram"))
     shared = grams.groupBy("gram").agg(F.count("*").alias("df")).filter("df > 1")
     own = (
         grams.join(shared, "gram")
         .groupBy("class", "n")
-        .agg(F.array_sort(F.collect_list(F.struct("df", "gram"))).alias("own"))
-    )
-    left = F.col("n") - bounds.need_column(F.col("n")) + 1 - (F.col("n") - F.size("own"))
-    weight = F.aggregate("own", F.lit(0.0), lambda a, x: a + x["df"]) / F.col("n")
-    return own.filter(left > 0).select(
-        "class", "n", weight.alias("weight"), F.explode(F.slice("own", F.lit(1), left.cast("int"))["gram"]).alias("gram")
+        .agg(F.collect_list(F.struct("df", "gram")).alias("own"))
+        .filter(F.size("own") >= bounds.need_column(F.col("n")))
     )
 
+    def order(batch: pa.RecordBatch) -> pa.Table:
+        n, lists = batch.column("n").to_numpy(), batch.column("own")
+        flat = lists.flatten()
+        df, gram = flat.field("df").to_numpy(), flat.field("gram").to_numpy()
+        sizes = np.diff(lists.offsets.to_numpy())
+        row = np.repeat(np.arange(len(n)), sizes)
+        weight = np.bincount(row, df, len(n)) / n
+        by = np.lexsort((gram, df, row))
+        rank = np.arange(len(row)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+        place = np.repeat(n - sizes, sizes) + rank
+        left = n - np.array([bounds.need(x) for x in n.tolist()], dtype=np.int64) + 1
+        kept = place < left[row]
+        columns = {
+            "gram": gram[by][kept],
+            "class": batch.column("class").to_numpy()[row[kept]],
+            "n": n[row[kept]],
+            "place": place[kept],
+        }
+        return pa.table({k: pa.array(v, pa.int64()) for k, v in columns.items()} | {"weight": pa.array(weight[row[kept]])})
+
+    return map_text(own, order, "gram long, class long, n long, place long, weight double")
+
 
 def verified(pairs: DataFrame, sets: DataFrame, bounds: Bounds) -> DataFrame:
     """The pairs (a, b, na, nb) that are similar: fragments count common n-grams, counts are summed.
@@ -283,14 +328,28 @@ def _grouped(posted: DataFrame, labels: DataFrame | None) -> DataFrame:
 
 
 def _pairs(left: DataFrame, right: DataFrame, bounds: Bounds) -> DataFrame:
-    """Different pairs of classes of one n-gram, in different components, of possible lengths."""
-    x = left.select("gram", F.col("class").alias("a"), F.col("n").alias("na"), F.col("component").alias("ca"))
-    y = right.select("gram", F.col("class").alias("b"), F.col("n").alias("nb"), F.col("component").alias("cb"))
-    fits = (F.col("ca") != F.col("cb")) & bounds.lengths(F.col("na"), F.col("nb"))
-    return x.join(y, "gram").filter(fits).select("a", "b", "na", "nb").distinct()
+    """Different pairs of classes of one n-gram, in different components, whose lengths and places allow a link.
+
+    The first n-gram that partners share has all their other common ones behind it, on both sides, so a
+    pair that is refused at each of its n-grams is no link.
+    """
+    names = ["class", "n", "place", "component"]
+    x = left.select("gram", *(F.col(c).alias(f"a_{c}") for c in names))
+    y = right.select("gram", *(F.col(c).alias(f"b_{c}") for c in names))
+    na, nb = F.col("a_n"), F.col("b_n")
+    behind = F.least(na - F.col("a_place"), nb - F.col("b_place"))
+    fits = (
+        (F.col("a_component") != F.col("b_component"))
+        & bounds.lengths(na, nb)
+        & ((100 + bounds.percent) * behind >= bounds.percent * (na + nb))
+    )
+    found = x.join(y, (x["gram"] == y["gram"]) & fits)
+    return found.select(
+        F.col("a_class").alias("a"), F.col("b_class").alias("b"), na.alias("na"), nb.alias("nb")
+    ).distinct()
 
 
-def link(posted: DataFrame, sets: DataFrame, bounds: Bounds, rounds: int = 4) -> DataFrame | None:
+def link(posted: DataFrame, sets: DataFrame, bounds: Bounds, rounds: int = 2) -> DataFrame | None:
     """``node`` and ``component`` of linked classes (step 2); None if no two are linked."""
     labels, edges = None, None
     for k in range(rounds):
@@ -298,8 +357,7 @@ def link(posted: DataFrame, sets: DataFrame, bounds: Bounds, rounds: int = 4) ->
         # The middle of each n-gram's classes first, then others in a changing order.
         order = F.col("weight") if k == 0 else F.xxhash64("class", F.lit(k), "gram").cast("double")
         leads = now.groupBy("gram").agg(
-            F.max_by(F.struct("class", "n", "component"), F.struct(order, "class")).alias("lead"),
-            F.count("*").alias("size"),
+            F.max_by(F.struct("class", "n", "place", "component"), F.struct(order, "class")).alias("lead"),
             F.min("component").alias("low"),
             F.max("component").alias("high"),
         )
@@ -335,7 +393,7 @@ def similar_groups(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
     total = members.agg(F.sum("n_shingles")).first()[0] or 0
     full = members.filter(F.col("class").isNotNull())
     known = full.groupBy("class").agg(F.min("doc_id").alias("least"), F.first("n_shingles").alias("n"))
-    asked = F.greatest(F.lit(1), F.floor(bounds.need_column(F.col("n")) / 8))
+    asked = F.greatest(F.lit(1), F.floor(bounds.need_column(F.col("n")) / 4))
     shared = possible_classes(docs, n, bounds, int(total * bounds.prefix(100) / 100))
     wanted = store(shared.join(known, "class").filter(F.col("shared") >= asked).select("class"), "wanted")
     sets = store(sets_of(docs, full, wanted, n), "sets")
