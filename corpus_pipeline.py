@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from orderlens.llm import decontam, jaccard, packing, pii, queries, toxicity
 from orderlens.llm.text import without
