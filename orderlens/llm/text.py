@@ -17,7 +17,7 @@ from orderlens.operators.storage import store
 ALNUM_WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 ALNUM_GAP = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 #: Rows and bytes of text in one Arrow batch at most; a batch should fit in memory many times.
-BATCH_ROWS, BATCH_BYTES = "1024", "8m"
+BATCH_ROWS, BATCH_BYTES = "1024", "4m"
 
 
 #: Ids that are broadcast at most.
@@ -80,6 +80,8 @@ def map_text(
             if batch.num_rows:
                 out = function(batch)
                 yield from out.to_batches() if isinstance(out, pa.Table) else out
+        # Workers live on after a task; what they keep is missing to the next one.
+        pa.default_memory_pool().release_unused()
 
     return df.mapInArrow(run, schema)
 

@@ -19,7 +19,7 @@ _IRREGULAR = ["  ", "\n\n", " \n", "\n ", "<|", "\x00", *(c for c in map(chr, ra
 #: Byte-level pre-tokenizers write printable bytes as the characters of that number, others from 256 on.
 _PRINTED = [*range(33, 127), *range(161, 173), *range(174, 256)]
 _BYTES = dict(zip((b for b in range(256) if b not in _PRINTED), map(chr, range(256, 512))))
-_WORKER: dict[tuple[int, str], Encoder] = {}
+_WORKER: dict[tuple[int, str, int], Encoder] = {}
 
 
 def definition(path: str) -> str:
@@ -36,11 +36,11 @@ class Encoder:
     can be encoded one by one. Texts with other white space or special strings are encoded whole.
     """
 
-    def __init__(self, text: str, blanks: str):
+    def __init__(self, text: str, blanks: str, remembered: int = REMEMBERED):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_str(text)
         self.tokenize = self.tokenizer.model.tokenize
-        self.blanks = blanks
+        self.blanks, self.remembered = blanks, remembered
         self.known: dict[str, bytes] = {"": b""}
 
     def alone(self, word: str) -> bytes | None:
@@ -76,7 +76,7 @@ class Encoder:
 
     def lookup(self, words: list[str]) -> list[bytes]:
         """Ids of different words; new ones are encoded and remembered."""
-        if len(self.known) > REMEMBERED:
+        if len(self.known) > self.remembered:
             self.known = {"": b""}
         found = list(map(self.known.get, words))
         new = [k for k, x in enumerate(found) if x is None]
@@ -118,10 +118,10 @@ def irregular(text: str) -> bool:
     return text[0].isspace() or text[-1].isspace() or any(s in text for s in _IRREGULAR)
 
 
-def encoder(text: str, blanks: str) -> Encoder:
+def encoder(text: str, blanks: str, remembered: int = REMEMBERED) -> Encoder:
     """The worker's encoder; its memory lasts from task to task."""
-    key = (hash(text), blanks)
+    key = (hash(text), blanks, remembered)
     if key not in _WORKER:
         _WORKER.clear()
-        _WORKER[key] = Encoder(text, blanks)
+        _WORKER[key] = Encoder(text, blanks, remembered)
     return _WORKER[key]
