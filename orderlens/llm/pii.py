@@ -1,10 +1,11 @@
 """Personal data: fixed patterns, and terms that give a protected value away.
 
 A value found by a pattern (an address, a number) is a protected entity. Terms that stand near it are
-weighed over the whole corpus: PMI(t, e) = log2(N * n(t, e) / (n(t) * n(e))), n counting documents, is how
-many of the IC(e) = log2(N / n(e)) bits that single the entity out are revealed by t. Terms that reveal a
-share of at least ``disclosure`` are generalised in the documents that hold the entity, terms that reveal
-``removal`` are removed.
+weighed over the whole corpus: PMI(t, e) = log2(P(e | t) / P(e)) is how many of the IC(e) = log2(N / n(e)) bits
+that single the entity out are revealed by t. P(e) is n(e) / N, and P(e | t) is smoothed towards it, as
+(n(t, e) + prior * P(e)) / (n(t) + prior), so that a term seen once reveals less than one seen often, but no
+count is too low to be weighed. n counts different texts. Terms that reveal a share of at least ``disclosure``
+are generalised in the documents that hold the entity, terms that reveal ``removal`` are removed.
 """
 
 from __future__ import annotations
@@ -12,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from orderlens.llm.text import free_name, let, row_hash
+from orderlens.llm.text import BROADCAST_ROWS, free_name, let, row_hash
 from orderlens.operators.storage import store
 
 _LOCAL = r"[A-Za-z0-9._%+-]"
@@ -29,8 +30,6 @@ GUARDS = {"email": "@", "ip": r"[0-9]\.[0-9]", "card": r"[0-9](?:[\x20-]?[0-9]){
 KINDS = [*PATTERNS, "term"]
 TERM = r"\p{L}{4,}"
 SPAN = "array<struct<start:int,kind:int,end:int,value:string>>"
-#: Terms up to this number are broadcast for counting; more are joined by a shuffle.
-BROADCAST_TERMS = 500_000
 
 
 def _starts(parts: Column, found: Column) -> Column:
@@ -124,64 +123,80 @@ def _near(text: Column, span: Column, reach: int) -> Column:
     return F.array_distinct(F.regexp_extract_all(F.lower(whole), F.lit(TERM), F.lit(0)))
 
 
+def _terms(text: Column) -> Column:
+    """Different terms of a text, in lower case."""
+    return F.array_distinct(F.transform(F.regexp_extract_all(text, F.lit(TERM), F.lit(0)), F.lower))
+
+
 def _entity(span: Column) -> Column:
     value = F.when(span["kind"] >= KINDS.index("card"), _digits(span["value"])).otherwise(F.lower(span["value"]))
     return F.concat_ws(":", span["kind"].cast("string"), value)
 
 
+def _copies(docs: DataFrame) -> DataFrame:
+    """``hash`` of each different text and its number of rows."""
+    return store(docs.groupBy(row_hash(F.col("text")).alias("hash")).agg(F.count("*").alias("copies")), "copies")
+
+
+def _term_counts(docs: DataFrame, copies: DataFrame) -> DataFrame:
+    """``term`` and ``n_t``, the number of different texts that hold it."""
+    repeated = copies.filter("copies > 1")
+    if repeated.count() <= BROADCAST_ROWS:
+        repeated = F.broadcast(repeated)
+    # Each of a text's rows is its share of one.
+    part = F.coalesce(1 / F.col("copies"), F.lit(1.0))
+    rows = docs.withColumn("hash", row_hash(F.col("text"))).join(repeated, "hash", "left")
+    return (
+        rows.select(part.alias("part"), F.explode(_terms(F.coalesce("text", F.lit("")))).alias("term"))
+        .groupBy("term")
+        .agg(F.round(F.sum("part")).cast("long").alias("n_t"))
+    )
+
+
+def _share(n_te: Column, n_t: Column, n_e: Column, texts: int, prior: float) -> Column:
+    """Share of the bits of an entity that a term reveals; ``prior`` texts more hold the term, and the entity by chance."""
+    chance = n_e / texts
+    revealed = F.log2((n_te + prior * chance) / (n_t + prior) / chance)
+    information = -F.log2(chance)
+    return F.when(information > 0, revealed / information)
+
+
+def _most(n_e: Column, texts: int, prior: float, disclosure: float) -> Column:
+    """A term that more texts hold has a share below ``disclosure`` even if all holders of the entity have it."""
+    return F.pow(n_e, F.lit(disclosure)) * texts ** (1 - disclosure) * (1 + prior / texts) - prior + 1e-6
+
+
 def disclosing_terms(
-    docs: DataFrame, found: DataFrame, reach: int, support: int, disclosure: float
-) -> tuple[DataFrame, DataFrame]:
-    """Pairs (``entity``, ``term``, ``share``) over the threshold, and which rows hold which entity.
+    docs: DataFrame, found: DataFrame, reach: int, prior: float, disclosure: float
+) -> DataFrame:
+    """Rows (``text_hash``, ``term``, ``share``): terms of a text that reveal an entity it holds.
 
-    ``found``: stored rows of ``base_spans`` with spans. A pair must occur in ``support`` rows at least.
+    ``found``: stored rows of ``base_spans`` with spans. Every pair of an entity and a term is weighed.
     """
-    near = found.select("doc_id", "text_hash", "text", F.explode("base").alias("span")).select(
-        "doc_id", "text_hash", _entity(F.col("span")).alias("entity"), _near(F.col("text"), F.col("span"), reach).alias("terms")
+    copies = _copies(docs)
+    texts = max(1, copies.count())
+    near = found.select("text_hash", "text", F.explode("base").alias("span")).select(
+        "text_hash", _entity(F.col("span")).alias("entity"), _near(F.col("text"), F.col("span"), reach).alias("terms")
     )
-    held = near.select("doc_id", "text_hash", "entity").distinct()
-    of_entity = held.groupBy("entity").agg(F.count("*").alias("n_e"))
-    terms = near.select("doc_id", "text_hash", "entity", F.explode("terms").alias("term")).distinct()
-    # Rows with the term near some entity: fewer than rows with the term at all.
-    least = terms.groupBy("term").agg(F.countDistinct("doc_id", "text_hash").alias("least"))
-    rows = docs.count()
-    # From share >= disclosure: a term that more rows hold reveals too little about the entity.
-    most = F.col("n_te") * F.pow(rows / F.col("n_e"), F.lit(1 - disclosure))
-    pairs = (
+    of_entity = near.groupBy("entity").agg(F.countDistinct("text_hash").alias("n_e"))
+    terms = store(near.select("text_hash", "entity", F.explode("terms").alias("term")).distinct(), "terms")
+    weighed = (
         terms.groupBy("entity", "term")
         .agg(F.count("*").alias("n_te"))
-        .filter(F.col("n_te") >= support)
         .join(of_entity, "entity")
-        .join(least, "term")
-        .filter(F.col("least") <= most + 1e-6)
-        .drop("least")
-    )
-    pairs = store(pairs, "pairs")
-    terms = pairs.select("term").distinct()
-    if terms.count() <= BROADCAST_TERMS:
-        terms = F.broadcast(terms)
-    words = F.split(F.lower(F.coalesce("text", F.lit(""))), r"\P{L}+")
-    of_term = (
-        docs.select(F.explode(F.array_distinct(words)).alias("term"))
-        .join(terms, "term", "left_semi")
-        .groupBy("term")
-        .agg(F.count("*").alias("n_t"))
-    )
-    pmi = F.log2(rows * F.col("n_te") / (F.col("n_t") * F.col("n_e")))
-    information = F.log2(rows / F.col("n_e"))
-    weighed = (
-        pairs.join(of_term, "term")
-        .withColumn("share", F.when(information > 0, pmi / information))
+        .join(_term_counts(docs, copies), "term")
+        .filter(F.col("n_t") <= _most(F.col("n_e"), texts, prior, disclosure))
+        .withColumn("share", _share(F.col("n_te"), F.col("n_t"), F.col("n_e"), texts, prior))
         .filter(F.col("share") >= disclosure)
         .select("entity", "term", "share")
     )
-    return weighed, held
+    return terms.join(store(weighed, "disclosing"), ["entity", "term"]).select("text_hash", "term", "share")
 
 
 def scan(
     docs: DataFrame,
     reach: int = 120,
-    support: int = 3,
+    prior: float = 1.0,
     disclosure: float = 0.8,
     removal: float = 0.95,
 ) -> DataFrame:
@@ -190,28 +205,25 @@ def scan(
     ``base``: spans of the patterns; ``spans``: these and the disclosing terms, as (start, kind, end, value),
     sorted by start and kind; ``text``: of rows with spans only; ``removed``: the terms to be removed.
 
-    Null and empty texts have no spans. Repeated rows count once as holders of an entity, and are one row.
-    Null ids are ids; rows of one id with different texts are separate. A term that overlaps a pattern's span
-    is no span of its own. An empty table gives no rows; extra columns are not read.
+    Null and empty texts have no spans. Rows of one text count once as holders of an entity; repeated rows are
+    one row. Null ids are ids; rows of one id with different texts are separate. A term that overlaps a
+    pattern's span is no span of its own. An empty table gives no rows; extra columns are not read.
     """
     docs = docs.select("doc_id", "text")
     base = store(base_spans(docs).dropDuplicates(["doc_id", "text_hash"]), "base")
     found = base.filter("text is not null")
-    pairs, held = disclosing_terms(docs, found, reach, support, disclosure)
-    of_row = (
-        held.join(store(pairs, "disclosing"), "entity")
-        .groupBy("doc_id", "text_hash")
+    of_text = (
+        disclosing_terms(docs, found, reach, prior, disclosure)
+        .groupBy("text_hash")
         .agg(
             F.collect_set("term").alias("terms"),
             F.collect_set(F.when(F.col("share") >= removal, F.col("term"))).alias("removed"),
         )
-        .select(F.col("doc_id").alias("id"), F.col("text_hash").alias("hash"), "terms", "removed")
     )
-    same = F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("text_hash") == F.col("hash"))
-    joined = base.join(of_row, same, "left")
     more = F.when(F.col("terms").isNotNull(), _term_spans(F.col("text"), F.col("terms"), F.col("base")))
     none = F.array().cast("array<string>")
-    return joined.select(
+    # Stored, so that a text of many rows is an exchange of its own and can be split.
+    held = found.join(store(of_text, "of_text"), "text_hash", "left").select(
         "doc_id",
         "text_hash",
         "text",
@@ -219,6 +231,8 @@ def scan(
         F.array_sort(F.concat("base", F.coalesce(more, F.array().cast(SPAN)))).alias("spans"),
         F.coalesce("removed", none).alias("removed"),
     )
+    plain = base.filter("text is null").select("*", F.col("base").alias("spans"), none.alias("removed"))
+    return held.unionByName(plain)
 
 
 def _term_spans(text: Column, terms: Column, base: Column) -> Column:

@@ -65,6 +65,19 @@ def test_terms_that_disclose(docs_of):
     assert "Zebulon" not in clean[200] and "[EMAIL]" in clean[200] and "Zebulon" in clean[300]
 
 
+def test_terms_of_an_entity_in_one_text(docs_of):
+    """Every pair is weighed; the rows of one text count once."""
+    filler = [f"common{'abcdefghij'[k]}" for k in range(10)]
+    rows = [(k, " ".join(random.Random(k).choices(filler, k=30))) for k in range(200)]
+    rows.append((300, f"{filler[0]} Quixano wrote to jo@x.example.org about {filler[1]}"))
+    rows += [(k, f"{filler[2]} Zebulon wrote to bo@y.example.org about {filler[3]}") for k in range(400, 406)]
+    got = {r.doc_id: r for r in pii.scan(docs_of(rows)).collect()}
+    assert {s.value for s in got[300].spans if s.kind == 4} >= {"Quixano"}
+    for k in range(400, 406):
+        assert {s.value for s in got[k].spans if s.kind == 4} >= {"Zebulon"} and not got[k].removed
+    assert not any(s.value in filler for r in got.values() for s in r.spans)
+
+
 def test_swap_penalty_narrows_the_gap(docs_of, spark):
     """Toxic texts name one group more often; the penalty keeps its name from counting."""
     rng = random.Random(7)
