@@ -1,6 +1,6 @@
 """Personal data: fixed patterns, and terms that give a protected value away.
 
-A value found by a pattern (an address, a number) is a protected entity. Terms that stand near it are
+A value found by a pattern (an address, a number) is a protected entity. All terms of the texts that hold it are
 weighed over the whole corpus: PMI(t, e) = log2(P(e | t) / P(e)) is how many of the IC(e) = log2(N / n(e)) bits
 that single the entity out are revealed by t. P(e) is n(e) / N, and P(e | t) is smoothed towards it, as
 (n(t, e) + prior * P(e)) / (n(t) + prior), so that a term seen once reveals less than one seen often, but no
@@ -28,7 +28,9 @@ PATTERNS = {
 #: What a text must hold for a pattern to be tried.
 GUARDS = {"email": "@", "ip": r"[0-9]\.[0-9]", "card": r"[0-9](?:[\x20-]?[0-9]){11}", "phone": r"\+[0-9]"}
 KINDS = [*PATTERNS, "term"]
-TERM = r"\p{L}{4,}"
+#: Characters of a term: letters with their marks, and digits.
+_INNER = r"[\p{L}\p{M}\p{N}]"
+TERM = rf"{_INNER}+"
 SPAN = "array<struct<start:int,kind:int,end:int,value:string>>"
 
 
@@ -74,7 +76,12 @@ def _valid(kind: str, value: Column) -> Column:
 
 def pattern_spans(text: Column, kind: str) -> Column:
     """Valid matches of one kind: start and end (code points, end exclusive), kind's place and value."""
-    pattern, number = PATTERNS[kind], KINDS.index(kind)
+    matched = F.filter(_matches(text, F.lit(PATTERNS[kind]), kind), lambda s: _valid(kind, s["value"]))
+    return F.when(text.rlike(GUARDS[kind]), matched).otherwise(F.array().cast(SPAN))
+
+
+def _matches(text: Column, pattern: Column, kind: str) -> Column:
+    """Spans of all matches of a pattern, as of one kind."""
 
     def spans(both: Column) -> Column:
         parts, found = both["parts"], both["found"]
@@ -84,21 +91,19 @@ def pattern_spans(text: Column, kind: str) -> Column:
                 found,
                 lambda v, i: F.struct(
                     F.get(starts, i).alias("start"),
-                    F.lit(number).alias("kind"),
+                    F.lit(KINDS.index(kind)).alias("kind"),
                     (F.get(starts, i) + F.char_length(v)).alias("end"),
                     v.alias("value"),
                 ),
             )
 
-        return F.filter(let(_starts(parts, found), all_), lambda s: _valid(kind, s["value"]))
+        return let(_starts(parts, found), all_)
 
     both = F.struct(
-        F.split(text, pattern, -1).alias("parts"),
-        F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("found"),
+        F.split(text, pattern, -1).alias("parts"), F.regexp_extract_all(text, pattern, F.lit(0)).alias("found")
     )
     tried = F.filter(F.array(both), lambda x: F.size(x["found"]) > 0)
-    matched = F.coalesce(F.get(F.transform(tried, spans), F.lit(0)), F.array().cast(SPAN))
-    return F.when(text.rlike(GUARDS[kind]), matched).otherwise(F.array().cast(SPAN))
+    return F.coalesce(F.get(F.transform(tried, spans), F.lit(0)), F.array().cast(SPAN))
 
 
 def _all_patterns(text: Column) -> Column:
@@ -114,15 +119,6 @@ def base_spans(docs: DataFrame) -> DataFrame:
     return found.withColumn("text", F.when(F.size("base") > 0, F.col("text")))
 
 
-def _near(text: Column, span: Column, reach: int) -> Column:
-    """Terms that stand whole within ``reach`` characters before or after a span."""
-    first = F.greatest(span["start"] - reach, F.lit(0))
-    before = F.substring(text, first + 1, span["start"] - first)
-    after = F.substring(text, span["end"] + 1, F.lit(reach))
-    whole = F.concat_ws(" ", F.regexp_replace(before, r"^\p{L}+", ""), F.regexp_replace(after, r"\p{L}+$", ""))
-    return F.array_distinct(F.regexp_extract_all(F.lower(whole), F.lit(TERM), F.lit(0)))
-
-
 def _terms(text: Column) -> Column:
     """Different terms of a text, in lower case."""
     return F.array_distinct(F.transform(F.regexp_extract_all(text, F.lit(TERM), F.lit(0)), F.lower))
@@ -166,36 +162,52 @@ def _most(n_e: Column, texts: int, prior: float, disclosure: float) -> Column:
     return F.pow(n_e, F.lit(disclosure)) * texts ** (1 - disclosure) * (1 + prior / texts) - prior + 1e-6
 
 
-def disclosing_terms(
-    docs: DataFrame, found: DataFrame, reach: int, prior: float, disclosure: float
-) -> DataFrame:
+def _holders(found: DataFrame) -> DataFrame:
+    """``text_hash``, ``class`` and ``n_e``: which texts hold the entities of a class, and in how many texts these are.
+
+    Entities of the same texts occur with the same terms, so they are one class and weighed once.
+    """
+    spans = found.select("text_hash", F.explode("base").alias("span"))
+    held = store(spans.select("text_hash", _entity(F.col("span")).alias("entity")).distinct(), "held")
+    classes = held.groupBy("entity").agg(
+        F.count("*").alias("n_e"), F.bit_xor(F.xxhash64("text_hash")).alias("class")
+    )
+    # Both sides are stored, so that an entity of many texts is an exchange of its own and can be split.
+    return store(held.join(store(classes, "classes"), "entity").select("text_hash", "class", "n_e").distinct(), "holders")
+
+
+def disclosing_terms(docs: DataFrame, found: DataFrame, prior: float, disclosure: float) -> DataFrame:
     """Rows (``text_hash``, ``term``, ``share``): terms of a text that reveal an entity it holds.
 
-    ``found``: stored rows of ``base_spans`` with spans. Every pair of an entity and a term is weighed.
+    ``found``: stored rows of ``base_spans`` with spans. Every pair of an entity and a term is weighed, but for
+    terms in too many texts to reach ``disclosure``.
     """
     copies = _copies(docs)
     texts = max(1, copies.count())
-    near = found.select("text_hash", "text", F.explode("base").alias("span")).select(
-        "text_hash", _entity(F.col("span")).alias("entity"), _near(F.col("text"), F.col("span"), reach).alias("terms")
-    )
-    of_entity = near.groupBy("entity").agg(F.countDistinct("text_hash").alias("n_e"))
-    terms = store(near.select("text_hash", "entity", F.explode("terms").alias("term")).distinct(), "terms")
+    holders = _holders(found)
+    widest = holders.agg(F.max("n_e")).first()[0] or 0
+    most = lambda n_e: _most(n_e, texts, prior, disclosure)
+    share = lambda n_te: _share(n_te, F.col("n_t"), F.col("n_e"), texts, prior)
+    of_term = _term_counts(docs, copies).filter(F.col("n_t") <= most(F.lit(widest)))
+    # The rows of a term are as many as the texts that hold it: no key is hot.
+    of_text = found.dropDuplicates(["text_hash"]).select("text_hash", F.explode(_terms(F.col("text"))).alias("term"))
+    pairs = of_text.join(of_term, "term").join(holders, "text_hash").filter(F.col("n_t") <= most(F.col("n_e")))
+    pairs = store(pairs, "pairs")
+    several = pairs.filter("n_e > 1")
     weighed = (
-        terms.groupBy("entity", "term")
+        several.groupBy("class", "n_e", "term", "n_t")
         .agg(F.count("*").alias("n_te"))
-        .join(of_entity, "entity")
-        .join(_term_counts(docs, copies), "term")
-        .filter(F.col("n_t") <= _most(F.col("n_e"), texts, prior, disclosure))
-        .withColumn("share", _share(F.col("n_te"), F.col("n_t"), F.col("n_e"), texts, prior))
+        .withColumn("share", share(F.col("n_te")))
         .filter(F.col("share") >= disclosure)
-        .select("entity", "term", "share")
+        .drop("n_te", "n_t")
     )
-    return terms.join(store(weighed, "disclosing"), ["entity", "term"]).select("text_hash", "term", "share")
+    weighed = several.join(store(weighed, "disclosing"), ["class", "n_e", "term"]).select("text_hash", "term", "share")
+    once = pairs.filter("n_e = 1").withColumn("share", share(F.lit(1))).filter(F.col("share") >= disclosure)
+    return weighed.unionByName(once.select("text_hash", "term", "share"))
 
 
 def scan(
     docs: DataFrame,
-    reach: int = 120,
     prior: float = 1.0,
     disclosure: float = 0.8,
     removal: float = 0.95,
@@ -213,7 +225,7 @@ def scan(
     base = store(base_spans(docs).dropDuplicates(["doc_id", "text_hash"]), "base")
     found = base.filter("text is not null")
     of_text = (
-        disclosing_terms(docs, found, reach, prior, disclosure)
+        disclosing_terms(docs, found, prior, disclosure)
         .groupBy("text_hash")
         .agg(
             F.collect_set("term").alias("terms"),
@@ -237,32 +249,12 @@ def scan(
 
 def _term_spans(text: Column, terms: Column, base: Column) -> Column:
     """Places of the given terms in a text, but for those within a span of ``base``."""
-
-    def places(both: Column) -> Column:
-        words, gaps = both["words"], both["gaps"]
-        chosen = F.filter(F.sequence(F.lit(0), F.size(words) - 1), lambda i: F.array_contains(terms, F.lower(F.get(words, i))))
-
-        def span(i: Column) -> Column:
-            total = lambda xs, n: F.aggregate(F.slice(xs, F.lit(1), n), F.lit(0), lambda a, x: a + F.char_length(x))
-            start = total(gaps, i + 1) + total(words, i)
-            word = F.get(words, i)
-            return let(
-                start,
-                lambda s: F.struct(
-                    s.alias("start"),
-                    F.lit(KINDS.index("term")).alias("kind"),
-                    (s + F.char_length(word)).alias("end"),
-                    word.alias("value"),
-                ),
-            )
-
-        clear = lambda s: ~F.exists(base, lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"]))
-        return F.filter(F.transform(chosen, span), clear)
-
-    both = F.struct(
-        F.regexp_extract_all(text, F.lit(TERM), F.lit(0)).alias("words"), F.split(text, TERM, -1).alias("gaps")
-    )
-    return F.when(text.rlike(TERM), let(both, places)).otherwise(F.array().cast(SPAN))
+    words = F.array_distinct(F.regexp_extract_all(text, F.lit(TERM), F.lit(0)))
+    # Words as they are written, matched whole; they need no quoting.
+    chosen = F.array_join(F.filter(words, lambda w: F.array_contains(terms, F.lower(w))), "|")
+    pattern = F.concat(F.lit(f"(?<!{_INNER})(?:"), chosen, F.lit(f")(?!{_INNER})"))
+    clear = lambda s: ~F.exists(base, lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"]))
+    return F.filter(let(pattern, lambda p: _matches(text, p, "term")), clear)
 
 
 def sanitised(text: Column, spans: Column, removed: Column) -> Column:

@@ -78,6 +78,22 @@ def test_terms_of_an_entity_in_one_text(docs_of):
     assert not any(s.value in filler for r in got.values() for s in r.spans)
 
 
+def test_terms_from_the_whole_text(docs_of):
+    """Far from the value, short, or with digits: terms count wherever they stand in a text."""
+    filler = [f"common{'abcdefghij'[k]}" for k in range(10)]
+    rows = [(k, " ".join(random.Random(k).choices(filler, k=30))) for k in range(200)]
+    far = " ".join(filler * 10)
+    rows.append((300, f"Quixano {far} jo@x.example.org ip 10.1.2.3 {far} Lu, u99x, 𝐀bc bc QUIXANO Bosun"))
+    # The term is far from the value in one holder, and near it in the others.
+    rows += [(k, f"Zebulon {far if k == 400 else filler[k % 10]} bo@y.example.org {k % 5}") for k in range(400, 404)]
+    got = {r.doc_id: r for r in pii.scan(docs_of(rows)).collect()}
+    text = got[300].text
+    found = [text[s.start : s.end] for s in got[300].spans if s.kind == 4]
+    assert found == ["Quixano", "ip", "Lu", "u99x", "𝐀bc", "bc", "QUIXANO", "Bosun"]
+    assert all("Zebulon" in {s.value for s in got[k].spans if s.kind == 4} for k in range(400, 404))
+    assert not any(s.value in filler for r in got.values() for s in r.spans)
+
+
 def test_swap_penalty_narrows_the_gap(docs_of, spark):
     """Toxic texts name one group more often; the penalty keeps its name from counting."""
     rng = random.Random(7)
