@@ -182,3 +182,15 @@ def test_churn_features_fill_only_order_columns(spark, orders_of):
     assert b["reg_tenure_days"] == 244
     numbers, listed = features.column_kinds(features.churn_features(customers, behavior, orders), "customer_id", ["gender", "country"])
     assert listed == ["gender"] and "gender" not in numbers and "visits" in numbers
+
+
+@pytest.mark.parametrize("name", ["churn", "fraud"])
+def test_registered_forests_are_as_deep_as_those_of_the_jobs(name, monkeypatch):
+    from registry import queries
+
+    made = []
+    monkeypatch.setattr(queries, f"{name}_table", lambda star: None)
+    monkeypatch.setattr(training, "RandomForestClassifier", lambda **settings: made.append(settings))
+    monkeypatch.setattr(training, "_fit", lambda *a, classifier, **b: classifier(100))
+    getattr(queries, f"{name}_trees")(None)
+    assert [m["maxDepth"] for m in made] == [30]
