@@ -119,11 +119,11 @@ class EliasFano:
 class Trie:
     """Words that follow contexts, with quantised probabilities.
 
-    Level 1 has the contexts, ascending, and monotone pointers (Elias-Fano) into level 2. Level 2 has each
-    context's successors as ids of the shard's dictionary; relative to its context an id is small, and with
-    the context's number times the dictionary's size added the level is one monotone sequence in Elias-Fano
-    code. Each successor has one byte, a place in the table of log10 probabilities. All levels are files
-    of ``folder``, mapped and not read.
+    Level 1 has the contexts, ascending, as plain numbers with their counts; it has no pointers into level 2.
+    Level 2 has each context's successors as ids of the shard's dictionary, with the context's number times the
+    dictionary's size added, so that the level is one monotone sequence in Elias-Fano code; a pair is searched
+    in the whole of it. Each successor has one byte, a place in the table of log10 probabilities. All levels are
+    files of ``folder``, mapped and not read.
     """
 
     def __init__(self, folder: Path, n: int, low: int):
