@@ -8,7 +8,7 @@ split by its successor; the counts of these few tokens are known beforehand.
 
 Smoothing: P(w | v) = c(v, w) / (c(v) + m) if the pair was seen in training, else m / (c(v) + m) * P(w) with
 P(w) = (c(w) + 1) / (N + V + 1), m being a parameter. The sum over all words is at most 1. The order is
-two: for order three each event would carry one more token, which takes the shuffle beyond four times the input.
+two; order three is not built, and its cost is not measured.
 """
 
 from __future__ import annotations
