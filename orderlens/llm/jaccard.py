@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from orderlens.llm.graph import components
-from orderlens.llm.text import map_text, mix, row_hash, small_batches, without, word_hashes
+from orderlens.llm.text import hand_back, map_text, mix, release, row_hash, small_batches, without, word_hashes
 from orderlens.operators.storage import store
 
 #: N-grams that one fragment, and one block of pairs, should hold.
@@ -151,6 +151,7 @@ def possible_classes(docs: DataFrame, n: int, bounds: Bounds, ngrams: int) -> Da
         )
 
     def cut_prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         part, number = TaskContext.get().partitionId(), 0
         ids, prefixes, held, size = [], [], set(), 0
         for batch in batches:
@@ -167,6 +168,7 @@ def possible_classes(docs: DataFrame, n: int, bounds: Bounds, ngrams: int) -> Da
                 ids, prefixes, held, size = [], [], set(), 0
         if ids:
             yield send(ids, prefixes, (part << 32) + number)
+        hand_back()
 
     def count(table: pa.Table) -> pa.Table:
         """Per stretch, for each of its classes the n-grams of this fragment that others have too."""

@@ -15,9 +15,6 @@ from orderlens.llm.text import map_text
 from orderlens.llm.tokens import definition, encoder
 from orderlens.operators.storage import store
 
-#: Words a worker remembers. In the pipeline it shares the memory with what earlier stages have left.
-REMEMBERED = 300_000
-
 
 def pieces(docs: DataFrame, tokenizer_path: str, blanks: str, end_id: int, size: int, with_ids: bool = False) -> DataFrame:
     """Token ids of each text and an end id, cut into pieces of ``size`` and a rest.
@@ -30,7 +27,7 @@ def pieces(docs: DataFrame, tokenizer_path: str, blanks: str, end_id: int, size:
     names = ["start", "length", "ids_crc32", "doc_tokens"]
 
     def cut(batch: pa.RecordBatch) -> pa.Table:
-        encode = encoder(text, blanks, REMEMBERED).encode
+        encode = encoder(text, blanks).encode
         doc_ids, rows = [], []
         for doc_id, ids in zip(batch.column("doc_id").to_pylist(), encode(batch.column("text").to_pylist())):
             ids += end
@@ -43,7 +40,7 @@ def pieces(docs: DataFrame, tokenizer_path: str, blanks: str, end_id: int, size:
         return pa.table(out | ({"ids": pa.array(columns["ids"], pa.binary())} if with_ids else {}))
 
     schema = "doc_id long, " + ", ".join(f"{n} long" for n in names) + ", ids binary" * with_ids
-    return map_text(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), cut, schema)
+    return map_text(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), cut, schema, keeps=True)
 
 
 def patterns(histogram: dict[int, int], size: int) -> list[tuple[tuple[int, ...], int]]:

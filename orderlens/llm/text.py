@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import string
 from collections.abc import Callable, Iterable, Iterator
 
@@ -18,7 +19,8 @@ ALNUM_WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 ALNUM_GAP = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 #: Rows and bytes of text in one Arrow batch at most; a batch should fit in memory many times.
 BATCH_ROWS, BATCH_BYTES = "1024", "4m"
-
+#: What a worker keeps from task to task; a task that does not use it gives it up.
+KEPT: dict = {}
 
 #: Ids that are broadcast at most.
 BROADCAST_ROWS = 4_000_000
@@ -70,22 +72,41 @@ def free_name(df: DataFrame, name: str) -> str:
 
 
 def map_text(
-    df: DataFrame, function: Callable[[pa.RecordBatch], pa.Table | Iterable[pa.RecordBatch]], schema: str | StructType
+    df: DataFrame,
+    function: Callable[[pa.RecordBatch], pa.Table | Iterable[pa.RecordBatch]],
+    schema: str | StructType,
+    keeps: bool = False,
 ) -> DataFrame:
-    """``mapInArrow`` in batches of few rows; ``function`` gets one batch at a time."""
+    """``mapInArrow`` in batches of few rows; ``function`` gets one batch at a time. ``keeps``: it uses ``KEPT``."""
     small_batches(df.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        if not keeps:
+            release()
         for batch in batches:
             if batch.num_rows:
                 out = function(batch)
                 yield from out.to_batches() if isinstance(out, pa.Table) else out
-        # Workers live on after a task; what they keep is missing to the next one.
-        pa.default_memory_pool().release_unused()
+        hand_back()
 
     return df.mapInArrow(run, schema)
 
 
+def release() -> None:
+    """Give up what earlier tasks of this worker have kept."""
+    if KEPT:
+        KEPT.clear()
+        hand_back()
+
+
+def hand_back() -> None:
+    """Return unused memory to the system. Workers live on after a task, and share the executor's memory."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # where the C library has it
+    if trim:
+        trim(0)
+
+
 def small_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)

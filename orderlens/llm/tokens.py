@@ -12,14 +12,15 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from tokenizers import Tokenizer
 
-#: Words a worker remembers (about 200 bytes each) before it starts anew.
-REMEMBERED = 800_000
+from orderlens.llm.text import KEPT
+
+#: Words a worker remembers (about 200 bytes each): the latest half of them, and the half before.
+REMEMBERED = 160_000
 #: White space other than single blanks and line feeds inside, and what may be a special string.
 _IRREGULAR = ["  ", "\n\n", " \n", "\n ", "<|", "\x00", *(c for c in map(chr, range(0x3001)) if c.isspace() and c not in " \n")]
 #: Byte-level pre-tokenizers write printable bytes as the characters of that number, others from 256 on.
 _PRINTED = [*range(33, 127), *range(161, 173), *range(174, 256)]
 _BYTES = dict(zip((b for b in range(256) if b not in _PRINTED), map(chr, range(256, 512))))
-_WORKER: dict[tuple[int, str, int], Encoder] = {}
 
 
 def definition(path: str) -> str:
@@ -40,8 +41,9 @@ class Encoder:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_str(text)
         self.tokenize = self.tokenizer.model.tokenize
-        self.blanks, self.remembered = blanks, remembered
-        self.known: dict[str, bytes] = {"": b""}
+        self.blanks, self.half = blanks, remembered // 2
+        self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def alone(self, word: str) -> bytes | None:
         """Ids of a word of letters, perhaps after a blank, straight from the model; None for others.
@@ -75,17 +77,25 @@ class Encoder:
         return pc.split_pattern(pc.replace_substring(column, " ", "\x00 "), "\x00")
 
     def lookup(self, words: list[str]) -> list[bytes]:
-        """Ids of different words; new ones are encoded and remembered."""
-        if len(self.known) > self.remembered:
-            self.known = {"": b""}
+        """Ids of different words; new ones are encoded and remembered.
+
+        A full memory becomes the older one, and what it has is moved up when it is asked for, so
+        frequent words are never forgotten.
+        """
         found = list(map(self.known.get, words))
-        new = [k for k, x in enumerate(found) if x is None]
-        for k in new:
-            found[k] = self.alone(words[k])
-        rest = [k for k in new if found[k] is None]
-        for k, ids in zip(rest, self.whole([words[k] for k in rest])):
+        missing = [k for k, x in enumerate(found) if x is None]
+        new = []
+        for k in missing:
+            found[k] = self.older.get(words[k])
+            if found[k] is None:
+                found[k] = self.alone(words[k]) if words[k] else b""
+                if found[k] is None:
+                    new.append(k)
+        for k, ids in zip(new, self.whole([words[k] for k in new])):
             found[k] = ids
-        self.known.update((words[k], found[k]) for k in new)
+        self.known.update((words[k], found[k]) for k in missing)
+        if len(self.known) > self.half:
+            self.known, self.older = {}, self.known
         return found
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
@@ -119,9 +129,9 @@ def irregular(text: str) -> bool:
 
 
 def encoder(text: str, blanks: str, remembered: int = REMEMBERED) -> Encoder:
-    """The worker's encoder; its memory lasts from task to task."""
+    """The worker's encoder; its memory lasts from task to task, until a task without one."""
     key = (hash(text), blanks, remembered)
-    if key not in _WORKER:
-        _WORKER.clear()
-        _WORKER[key] = Encoder(text, blanks, remembered)
-    return _WORKER[key]
+    if key not in KEPT:
+        KEPT.clear()
+        KEPT[key] = Encoder(text, blanks, remembered)
+    return KEPT[key]

@@ -7,7 +7,7 @@ import pytest
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
-FOLDER = "/root/testdata/sf0.001"
+from brute import FOLDER  # noqa: E402
 
 #: Names that the operators use themselves.
 EXTRA = ["class", "component", "n", "word", "base", "own", "gone_id", "gone_hash", "found_id", "found_hash", "clean", "row", "block", "toxic", "score", "spans", "train", "part"]

@@ -10,7 +10,7 @@ import brute
 import numpy as np
 import public_tokenizers
 import pytest
-from conftest import FOLDER
+from brute import FOLDER
 from tokenizers import Tokenizer
 
 from orderlens.llm.queries import ORACLES, QUERIES
