@@ -42,4 +42,53 @@ SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items,
   coalesce(digest, sha256('')) AS items_sha256, n_hit IS NOT NULL AS contaminated
 FROM docs LEFT JOIN covered USING (doc_id) LEFT JOIN found USING (doc_id)"""
 
-ORACLES = {"op2_chat_format": CHAT, "op4_decontamination": LEAKS}
+# CRC-32 by a table of 256 steps, over a list of bytes.
+_CRC_STEPS = """(SELECT list(v ORDER BY i) FROM (SELECT i, list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0],
+    lambda a, x: CASE WHEN a % 2 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END) AS v FROM range(256) AS t(i)))"""
+
+
+def _crc32(bytes_: str, steps: str) -> str:
+    return f"xor(list_reduce(list_prepend(4294967295::BIGINT, {bytes_}), lambda a, b: xor(a >> 8, {steps}[(xor(a, b) & 255) + 1])), 4294967295)"
+
+
+_DIGITS = "list_transform(string_split(conv_id::VARCHAR, ''), lambda c: ascii(c)::BIGINT)"
+
+TRIE = f"""
+WITH steps AS (SELECT {_CRC_STEPS} AS s),
+turns AS (
+  SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS i,
+    coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL),
+convs AS (
+  SELECT conv_id, conv_id - conv_id % 5 AS base, {_crc32(_DIGITS, "s")} % 9 AS h
+  FROM (SELECT DISTINCT conv_id FROM turns), steps),
+heads AS (
+  SELECT c.conv_id, i AS depth, role, text FROM convs c JOIN turns t ON t.conv_id = c.base AND i <= h),
+taken AS (SELECT conv_id, count(*) AS n FROM heads GROUP BY conv_id),
+rebuilt AS (
+  SELECT * FROM heads UNION ALL
+  SELECT t.conv_id, coalesce(n, 0) + i - h, role, text
+  FROM turns t JOIN convs USING (conv_id) LEFT JOIN taken USING (conv_id) WHERE i > h),
+named AS (
+  SELECT conv_id, depth, octet_length(encode(text)) AS size,
+    md5(string_agg(md5(md5(role) || text), '' ) OVER (PARTITION BY conv_id ORDER BY depth)) AS name FROM rebuilt
+  UNION ALL SELECT conv_id, 0, 0, '' FROM convs),
+nodes AS (
+  SELECT min(conv_id) AS conv_id, depth, name, count(*) AS n, any_value(size) AS size FROM named GROUP BY depth, name),
+lasts AS (SELECT conv_id, max(depth) AS depth FROM named GROUP BY conv_id),
+ends AS (
+  SELECT depth, name, sha256(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id)) AS digest
+  FROM lasts JOIN named USING (conv_id, depth) GROUP BY depth, name),
+up AS (
+  SELECT x.name, x.depth, p.conv_id AS parent, p.name AS parent_name
+  FROM nodes x JOIN named r ON r.conv_id = x.conv_id AND r.depth = x.depth - 1 JOIN nodes p ON p.depth = r.depth AND p.name = r.name),
+children AS (SELECT parent_name AS name, depth - 1 AS depth, count(*) AS n_children FROM up GROUP BY ALL),
+below AS (
+  SELECT r.depth, r.name, sum((y.n - 1) * y.size) AS saved, count(*) FILTER (n_children IS NULL) AS leaves
+  FROM nodes y JOIN named r ON r.conv_id = y.conv_id AND r.depth <= y.depth
+    LEFT JOIN children c ON c.depth = y.depth AND c.name = y.name GROUP BY r.depth, r.name)
+SELECT x.conv_id, x.depth::BIGINT AS depth, parent AS parent_conv_id, x.n AS n_convs, coalesce(n_children, 0) AS n_children,
+  leaves AS n_leaves, saved::BIGINT AS saved_tokens, coalesce(digest, sha256('')) AS ends_sha256
+FROM nodes x LEFT JOIN up USING (depth, name) LEFT JOIN children USING (depth, name) LEFT JOIN ends USING (depth, name)
+  JOIN below USING (depth, name)"""
+
+ORACLES = {"op11_conversation_trie": TRIE, "op2_chat_format": CHAT, "op4_decontamination": LEAKS}

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderlens.llm import chat, decontam, jaccard, licenses, lm, packing, pii, quality, records, toxicity
+from orderlens.llm import chat, conversations, decontam, jaccard, licenses, lm, packing, pii, prefix_trie, quality, records, toxicity
 from orderlens.llm.oracles import ORACLES  # noqa: F401
 from orderlens.operators.storage import store
 
@@ -130,6 +130,14 @@ def op10_token_records(spark: SparkSession, folder: str) -> DataFrame:
     return index.select("doc_id", "start", "n_tokens", "ids_crc32")
 
 
+def op11_conversation_trie(spark: SparkSession, folder: str) -> DataFrame:
+    turns = store(conversations.numbered_turns(table(spark, folder, "conversations")), "turns")
+    conv = F.col("conv_id")
+    borrowed = F.crc32(conv.cast("string").cast("binary")) % 9
+    rebuilt, ids = conversations.with_borrowed_beginnings(turns, conv - F.pmod(conv, F.lit(5)), borrowed, 8)
+    return prefix_trie.trie(rebuilt, ids).withColumnRenamed("saved", "saved_tokens")
+
+
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     import corpus_pipeline
 
@@ -147,5 +155,6 @@ QUERIES = {
     "op8_ngram_jaccard": op8_ngram_jaccard,
     "op9_lm_scores": op9_lm_scores,
     "op10_token_records": op10_token_records,
+    "op11_conversation_trie": op11_conversation_trie,
     "pipeline": pipeline,
 }
