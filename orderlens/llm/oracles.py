@@ -91,4 +91,35 @@ SELECT x.conv_id, x.depth::BIGINT AS depth, parent AS parent_conv_id, x.n AS n_c
 FROM nodes x LEFT JOIN up USING (depth, name) LEFT JOIN children USING (depth, name) LEFT JOIN ends USING (depth, name)
   JOIN below USING (depth, name)"""
 
-ORACLES = {"op11_conversation_trie": TRIE, "op2_chat_format": CHAT, "op4_decontamination": LEAKS}
+# Letters beyond ASCII are two bytes, of which the first is 195.
+_KEY_BYTES = """list_transform(string_split(doc_id::VARCHAR || ':', ''), lambda c: ascii(c)::BIGINT)
+    || flatten(list_transform(string_split(run, ''), lambda c: CASE WHEN unicode(c) < 128 THEN [unicode(c)::BIGINT] ELSE [195, unicode(c) - 64] END))"""
+
+SPELLING = rf"""
+WITH RECURSIVE steps AS (SELECT {_CRC_STEPS} AS s),
+runs AS (
+  SELECT doc_id, run, count(*) AS n
+  FROM (SELECT doc_id, unnest(regexp_extract_all({_LOWER}, '[a-z\x{{C0}}-\x{{FF}}]+')) AS run FROM documents)
+  WHERE length(run) >= 7 GROUP BY ALL),
+hashed AS (SELECT run, n, {_crc32(_KEY_BYTES, "s")} AS h FROM runs, steps),
+cut AS (
+  SELECT CASE WHEN h % 31 = 0 THEN left(run, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word, n FROM hashed),
+words AS (SELECT word, sum(n)::BIGINT AS n FROM cut WHERE length(word) >= 7 GROUP BY word HAVING sum(n) >= 2),
+shorter AS (
+  SELECT word, n, k, left(word, k) || substr(word, k + 2) AS rest FROM (SELECT word, n, unnest(range(length(word))) AS k FROM words)),
+near AS (
+  SELECT x.word, x.n, y.word AS other, y.n AS other_n FROM shorter x JOIN shorter y ON x.rest = y.rest AND x.k = y.k AND x.word <> y.word
+  UNION SELECT x.word, x.n, y.word, y.n FROM shorter x JOIN words y ON x.rest = y.word
+  UNION SELECT y.word, y.n, x.word, x.n FROM shorter x JOIN words y ON x.rest = y.word),
+best AS (
+  SELECT word, count(*) AS n_near, arg_min(other, (-other_n, other)) AS other, max(other_n) AS other_n FROM near GROUP BY word),
+known AS (
+  SELECT word, w.n, coalesce(n_near, 0) AS n_near,
+    CASE WHEN other_n >= 10 * w.n THEN other END AS form, CASE WHEN other_n >= 10 * w.n THEN other_n END AS form_n
+  FROM words w LEFT JOIN best USING (word)),
+walk AS (
+  SELECT word, word AS root, form AS further FROM known
+  UNION ALL SELECT w.word, k.word, k.form FROM walk w JOIN known k ON k.word = w.further)
+SELECT word, form, root, n, n_near, form_n FROM known JOIN (SELECT word, root FROM walk WHERE further IS NULL) USING (word)"""
+
+ORACLES = {"op13_spelling_variants": SPELLING, "op11_conversation_trie": TRIE, "op2_chat_format": CHAT, "op4_decontamination": LEAKS}

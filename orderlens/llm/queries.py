@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderlens.llm import chat, conversations, decontam, jaccard, licenses, lm, packing, pii, prefix_trie, quality, records, toxicity
+from orderlens.llm import chat, conversations, decontam, fingerprints, jaccard, licenses, lm, packing, pii, prefix_trie, quality, records, spelling, toxicity
 from orderlens.llm.oracles import ORACLES  # noqa: F401
 from orderlens.operators.storage import store
 
@@ -138,6 +138,15 @@ def op11_conversation_trie(spark: SparkSession, folder: str) -> DataFrame:
     return prefix_trie.trie(rebuilt, ids).withColumnRenamed("saved", "saved_tokens")
 
 
+def op12_spot_signatures(spark: SparkSession, folder: str) -> DataFrame:
+    return fingerprints.compare_with_followers(table(spark, folder, "documents"))
+
+
+def op13_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
+    words = store(spelling.counted_words(table(spark, folder, "documents")), "words")
+    return spelling.variants(words)
+
+
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     import corpus_pipeline
 
@@ -156,5 +165,7 @@ QUERIES = {
     "op9_lm_scores": op9_lm_scores,
     "op10_token_records": op10_token_records,
     "op11_conversation_trie": op11_conversation_trie,
+    "op12_spot_signatures": op12_spot_signatures,
+    "op13_spelling_variants": op13_spelling_variants,
     "pipeline": pipeline,
 }

@@ -118,6 +118,8 @@ _BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 _INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
+#: Bytes below 128 other than letters and digits.
+PUNCTUATION = np.array([b < 128 and not chr(b).isalnum() for b in range(256)])
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 
@@ -138,15 +140,15 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def word_hashes(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+def word_hashes(texts: list[str | None], gaps: np.ndarray = _SPACE) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all words (runs without white space, A-Z lowered) and the number of words per text.
 
-    Null has no words. Equal words have equal hashes; different ones differ but for a chance of 2**-64.
+    ``gaps`` marks other bytes that separate words; the line feed must be one. Null has no words. Equal words have equal hashes; different ones differ but for a chance of 2**-64.
     """
     data = [(t or "").encode() for t in texts]
     raw = np.frombuffer(b"\n".join(data) + b"\n", dtype=np.uint8)
     lengths = np.fromiter(map(len, data), dtype=np.int64, count=len(data)) + 1
-    space = _SPACE[raw]
+    space = gaps[raw]
     edge = np.flatnonzero(np.diff(space.astype(np.int8), prepend=np.int8(1)))
     begin, end = edge[0::2], edge[1::2]
     if not len(begin):
