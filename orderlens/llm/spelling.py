@@ -24,7 +24,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import Broadcast
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from orderlens.llm.text import hand_back, mix, release, small_batches
@@ -178,7 +178,7 @@ def gram_dictionary(words: DataFrame, rare: int = RARE) -> list[np.ndarray]:
 
 
 def edit_keys(words: DataFrame, frequent: list[np.ndarray], gaps: bool) -> DataFrame:
-    """``key``, ``word`` and ``n`` of every place of a word, or of every gap between its letters (step 4)."""
+    """``key`` and ``id`` of every place of a word (``id``, ``word``), or of every gap between its letters (step 4)."""
     shared = words.sparkSession.sparkContext.broadcast(frequent)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -186,36 +186,41 @@ def edit_keys(words: DataFrame, frequent: list[np.ndarray], gaps: bool) -> DataF
             letters = Letters(batch.column("word").to_pylist())
             keys = letters.keys(shared.value)[gaps]
             wanted = np.flatnonzero((letters.place >= LONGEST - 1) & (letters.room > (0 if gaps else 1)))
-            of = pa.array(letters.word[wanted])
-            columns = [pa.array(keys[wanted].astype(np.int64)), batch.column("word").take(of), batch.column("n").take(of)]
-            yield pa.RecordBatch.from_arrays(columns, names=["key", "word", "n"])
+            ids = batch.column("id").to_numpy()[letters.word[wanted]]
+            yield pa.RecordBatch.from_arrays([pa.array(keys[wanted].astype(np.int64)), pa.array(ids)], names=["key", "id"])
 
-    return words.select("word", "n").mapInArrow(cut, "key long, word string, n long")
+    return words.select("id", "word").mapInArrow(cut, "key long, id long")
 
 
 def near_pairs(words: DataFrame, rare: int = RARE) -> DataFrame:
     """``a``, ``na``, ``b``, ``nb``: every pair a < b of the stored ``words`` (``word``, ``n``) at edit distance one, once.
 
-    Words consist of the letters of ``RUN``. ``rare``: places up to which a gram is not frequent.
+    Words consist of the letters of ``RUN``. ``rare``: places up to which a gram is not frequent. Hashes stand for
+    words until candidates are verified, so a word's length counts once.
     """
     small_batches(words.sparkSession)
     frequent = gram_dictionary(words, rare)
+    named = words.select(F.xxhash64("word").alias("id"), "word", "n")
 
     def side(keys: DataFrame, name: str) -> DataFrame:
-        return keys.select(F.col("key").alias(f"key_{name}"), F.col("word").alias(name), F.col("n").alias(f"n{name}"))
-
-    here = edit_keys(words, frequent, gaps=False)
-    x = side(here, "a")
-    replaced = x.join(side(here, "b"), F.expr("key_a = key_b AND a < b AND levenshtein(a, b, 1) = 1"))
-    put_in = x.join(side(edit_keys(words, frequent, gaps=True), "b"), F.expr("key_a = key_b AND levenshtein(a, b, 1) = 1"))
-    swapped = F.col("a") > F.col("b")
-    ordered = put_in.select(
-        F.least("a", "b").alias("a"),
-        F.when(swapped, F.col("nb")).otherwise(F.col("na")).alias("na"),
-        F.greatest("a", "b").alias("b"),
-        F.when(swapped, F.col("na")).otherwise(F.col("nb")).alias("nb"),
+        return keys.select(F.col("key").alias(f"key_{name}"), F.col("id").alias(name))
+
+    def whole(name: str) -> DataFrame:
+        return named.select(F.col("id").alias(name), F.col("word").alias(f"word_{name}"), F.col("n").alias(f"n_{name}"))
+
+    x = side(edit_keys(named, frequent, gaps=False), "x")
+    replaced = x.join(side(edit_keys(named, frequent, gaps=False), "y"), F.expr("key_x = key_y AND x < y")).select("x", "y")
+    put_in = x.join(side(edit_keys(named, frequent, gaps=True), "y"), F.expr("key_x = key_y")).select("x", "y")
+    candidates = replaced.unionByName(put_in).distinct()
+    verified = candidates.join(whole("x"), "x").join(whole("y"), "y").where("levenshtein(word_x, word_y, 1) = 1")
+    first = F.col("word_x") < F.col("word_y")
+
+    def ordered(low: str, high: str, name: str) -> Column:
+        return F.when(first, F.col(low)).otherwise(F.col(high)).alias(name)
+
+    return verified.select(
+        ordered("word_x", "word_y", "a"), ordered("n_x", "n_y", "na"), ordered("word_y", "word_x", "b"), ordered("n_y", "n_x", "nb")
     )
-    return replaced.select("a", "na", "b", "nb").unionByName(ordered).distinct()
 
 
 def variants(words: DataFrame, factor: int = 10) -> DataFrame:

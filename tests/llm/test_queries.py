@@ -31,7 +31,7 @@ def test_names():
     assert [n for n in QUERIES if n != "pipeline"] == sorted(
         (n for n in QUERIES if n != "pipeline"), key=lambda n: int(n[2:].split("_")[0])
     )
-    assert len(QUERIES) == 11 and set(ORACLES) <= set(QUERIES)
+    assert len(QUERIES) == 14 and set(ORACLES) <= set(QUERIES)
 
 
 def test_licenses(spark, texts):
