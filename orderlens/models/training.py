@@ -1,12 +1,12 @@
-"""Split, preprocessing and the two classifiers on MLlib."""
+"""Split, preprocessing and the two classifiers."""
 
 from __future__ import annotations
 
 import math
 from dataclasses import dataclass
 
-from pyspark.ml import Pipeline, PipelineModel, Transformer
-from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
+import numpy as np
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import (
     ElementwiseProduct,
     Imputer,
@@ -20,6 +20,7 @@ from pyspark.ml.linalg import Vectors
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from orderlens.models import forest, newton
 from orderlens.models.features import LABEL, column_kinds, numeric, with_missing_level
 from orderlens.operators import ranks
 from orderlens.operators.storage import store
@@ -31,10 +32,13 @@ WEIGHT = "class_weight"
 
 @dataclass
 class Fitted:
-    """A trained model, the feature names behind its vector, and the test rows scored."""
+    """A trained model: the stages that make its vector, the names in it, a coefficient or importance for each,
+    and the test rows scored."""
 
-    model: PipelineModel
+    stages: PipelineModel
     feature_names: list[str]
+    weights: np.ndarray
+    intercept: float
     scores: DataFrame
 
 
@@ -111,20 +115,15 @@ def with_balance(train: DataFrame, sizes: dict[int, int]) -> DataFrame:
 def fit_logistic(features: DataFrame | Prepared, id_column: str, categories: list[str]) -> Fitted:
     """Logistic regression on standardised features, balanced classes.
 
-    The penalty is half the squared norm against the weighted sum of losses; MLlib
-    divides the losses by the total weight, hence the strength 1 / rows.
+    The penalty is half the squared norm against the weighted sum of losses.
     """
-    return _fit(features, id_column, categories, scaled=True, classifier=lambda rows: (
-        LogisticRegression(
-            labelCol=LABEL,
-            weightCol=WEIGHT,
-            maxIter=1000,
-            tol=1e-9,
-            regParam=1.0 / rows,
-            elasticNetParam=0.0,
-            standardization=False,
-        )
-    ))
+    ready = features if isinstance(features, Prepared) else prepare(features, id_column, categories)
+    stages, names, train = _vectors(ready, scaled=True)
+    rows = store(train.select(LABEL, F.col(WEIGHT).alias("weight"), "features"), "vectors")
+    weights, intercept = newton.fit(rows, len(names))
+    test = _as_arrays(stages.transform(ready.test))
+    scores = test.select(id_column, LABEL, newton.probability(weights, intercept).alias("probability"))
+    return Fitted(stages, names, weights, intercept, store(_with_prediction(scores), "scores"))
 
 
 def fit_forest(
@@ -133,24 +132,39 @@ def fit_forest(
     categories: list[str],
     trees: int,
     max_depth: int = 30,
+    handed: int = forest.HANDED,
 ) -> Fitted:
     """Random forest on unscaled features, balanced classes.
 
-    Trees grow by distributed passes as deep as the data asks, at most to ``max_depth`` (MLlib's
-    own limit is 30), and split on binned values.
+    Trees grow as deep as the data asks, at most to ``max_depth``, and split on binned values. ``handed``: rows of
+    a node up to which its subtree is completed in one group.
     """
-    return _fit(features, id_column, categories, scaled=False, classifier=lambda rows: (
-        RandomForestClassifier(
-            labelCol=LABEL,
-            weightCol=WEIGHT,
-            numTrees=trees,
-            maxDepth=max_depth,
-            featureSubsetStrategy="sqrt",
-            maxMemoryInMB=1024,
-            cacheNodeIds=False,
-            seed=SEED,
-        )
-    ))
+    ready = features if isinstance(features, Prepared) else prepare(features, id_column, categories)
+    stages, names, train = _vectors(ready, scaled=False)
+    rows = train.select(F.xxhash64(F.col(id_column).cast("string")).alias("key"), F.col(LABEL), "features")
+    total = sum(ready.sizes.values())
+    balance = tuple(total / (len(ready.sizes) * ready.sizes[label]) for label in (0, 1))
+    grown = forest.fit(store(rows, "vectors"), len(names), trees, balance, max_depth, SEED, handed)
+    test = stages.transform(ready.test).withColumn("key", F.monotonically_increasing_id())
+    test = store(_as_arrays(test).select("key", id_column, LABEL, "features"), "vectors")
+    scores = test.join(forest.score(grown, test), "key").select(id_column, LABEL, "probability")
+    return Fitted(stages, names, grown.importances, 0.0, store(_with_prediction(scores), "scores"))
+
+
+def _vectors(ready: Prepared, scaled: bool) -> tuple[PipelineModel, list[str], DataFrame]:
+    """Fitted stages, feature names, and the training rows with class weights and ``features`` as an array."""
+    rows = sum(ready.sizes.values())
+    train = with_balance(ready.train, ready.sizes)
+    stages = Pipeline(stages=preprocessing(ready.numbers, ready.listed, rows if scaled else None)).fit(train)
+    return stages, feature_names(stages, ready.numbers, ready.listed), _as_arrays(stages.transform(train))
+
+
+def _as_arrays(rows: DataFrame) -> DataFrame:
+    return rows.withColumn("features", vector_to_array("features"))
+
+
+def _with_prediction(scores: DataFrame) -> DataFrame:
+    return scores.withColumn("prediction", (F.col("probability") > 0.5).cast("int"))
 
 
 def prepare(features: DataFrame, id_column: str, categories: list[str]) -> Prepared:
@@ -161,28 +175,6 @@ def prepare(features: DataFrame, id_column: str, categories: list[str]) -> Prepa
     return Prepared(id_column, numbers, listed, train, test, class_sizes(train))
 
 
-def _fit(
-    features: DataFrame | Prepared, id_column: str, categories: list[str], scaled: bool, classifier
-) -> Fitted:
-    ready = features if isinstance(features, Prepared) else prepare(features, id_column, categories)
-    rows = sum(ready.sizes.values())
-    stages = preprocessing(ready.numbers, ready.listed, rows if scaled else None)
-    train = in_order(with_balance(ready.train, ready.sizes), ready.id_column, rows)
-    model = Pipeline(stages=[*stages, classifier(rows)]).fit(train)
-    scores = store(score(model, ready.test, ready.id_column), "scores")
-    return Fitted(model, feature_names(model, ready.numbers, ready.listed), scores)
-
-
-def in_order(train: DataFrame, id_column: str, rows: int) -> DataFrame:
-    """Rows in parts and in an order that depend on the rows alone.
-
-    Samples are drawn per part, so a forest must see the same parts whatever the session's settings.
-    Parts grow with the square root of the row count, in number and in size.
-    """
-    parts = max(1, math.isqrt(rows) // 25)
-    return train.repartition(parts, id_column).sortWithinPartitions(id_column)
-
-
 def preprocessing(numbers: list[str], listed: list[str], rows: int | None) -> list:
     """Stages up to the feature vector; numbers are standardised if ``rows`` is given.
 
@@ -229,28 +221,16 @@ def feature_names(model: PipelineModel, numbers: list[str], listed: list[str]) -
     return names
 
 
-def score(model: Transformer, rows: DataFrame, id_column: str) -> DataFrame:
-    """Id, label, probability of class 1 and the predicted class."""
-    return model.transform(rows).select(
-        id_column,
-        LABEL,
-        vector_to_array("probability")[1].alias("probability"),
-        F.col("prediction").cast("int").alias("prediction"),
-    )
-
-
 def coefficients(fitted: Fitted, top: int = 12) -> DataFrame:
     """The largest coefficients by absolute value; one number per feature."""
-    values = fitted.model.stages[-1].coefficients.toArray()
-    return _top(fitted, "coefficient", values, top)
+    return _top(fitted, "coefficient", top)
 
 
 def importances(fitted: Fitted, top: int = 12) -> DataFrame:
-    values = fitted.model.stages[-1].featureImportances.toArray()
-    return _top(fitted, "importance", values, top)
+    return _top(fitted, "importance", top)
 
 
-def _top(fitted: Fitted, name: str, values, top: int) -> DataFrame:
-    rows = [(f, float(v)) for f, v in zip(fitted.feature_names, values, strict=True)]
+def _top(fitted: Fitted, name: str, top: int) -> DataFrame:
+    rows = [(f, float(v)) for f, v in zip(fitted.feature_names, fitted.weights, strict=True)]
     table = fitted.scores.sparkSession.createDataFrame(rows, f"feature string, {name} double")
     return table.orderBy(F.desc(F.abs(name)), "feature").limit(top)

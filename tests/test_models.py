@@ -11,7 +11,8 @@ import pytest
 from pyspark.ml import Pipeline
 from pyspark.ml.functions import vector_to_array
 
-from orderlens.models import features, metrics, training
+from orderlens.models import features, forest, metrics, newton, training
+from orderlens.operators.storage import store
 
 
 @pytest.fixture(scope="module")
@@ -111,16 +112,15 @@ def test_logistic_regression_solves_the_penalised_problem(table):
     """The gradient of sum(weight * loss) + |w|^2 / 2 vanishes at the fitted model."""
     fitted = training.fit_logistic(table, "id", ["c"])
     train, _ = training.split(table, "id")
-    last = fitted.model.stages[-1]
-    rows = fitted.model.transform(training.with_balance(train, training.class_sizes(train)))
+    rows = fitted.stages.transform(training.with_balance(train, training.class_sizes(train)))
     data = rows.select("label", training.WEIGHT, vector_to_array("features").alias("v")).collect()
     x = np.array([r["v"] for r in data])
     y = np.array([r["label"] for r in data])
     weight = np.array([r[training.WEIGHT] for r in data])
-    w = last.coefficients.toArray()
-    error = weight * (1 / (1 + np.exp(-(x @ w + last.intercept))) - y)
-    assert np.abs(x.T @ error + w).max() < 0.05
-    assert abs(error.sum()) < 0.05
+    w = fitted.weights
+    error = weight * (1 / (1 + np.exp(-(x @ w + fitted.intercept))) - y)
+    assert np.abs(x.T @ error + w).max() < 1e-9
+    assert abs(error.sum()) < 1e-9
     top = training.coefficients(fitted, 3).collect()
     assert len(top) == 3 and top[0]["feature"] == "x" and top[0]["coefficient"] > 0
 
@@ -184,13 +184,103 @@ def test_churn_features_fill_only_order_columns(spark, orders_of):
     assert listed == ["gender"] and "gender" not in numbers and "visits" in numbers
 
 
+def test_constant_and_equal_features_have_an_optimum(spark):
+    """A constant column, one given twice, and classes that one column parts."""
+    rows = [(float(k % 2), 1.0, float(k), float(k), 1.0) for k in range(60)]
+    df = spark.createDataFrame(rows, "label double, weight double, a double, b double, c double")
+    from pyspark.sql import functions as F
+
+    for features in (["a", "b", "c"], ["label", "a"]):
+        data = df.select(F.col("label").cast("int").alias("label"), "weight", F.array(*features).alias("features"))
+        weights, intercept = newton.fit(data, len(features))
+        loss, gradient, _ = newton.sums(data, np.append(weights, intercept))
+        assert np.abs(gradient + np.append(weights, 0)).max() < 1e-9 and np.isfinite(loss)
+
+
+def brute_tree(x, y, times, tree, node, settings, names=()):
+    """(feature, threshold bin, left, right) or a probability, by trying every cut of every tried feature."""
+    w = settings.weights
+    a, b = (times * (y == 0)).sum() * w[0], (times * (y == 1)).sum() * w[1]
+    if a == 0 or b == 0 or node.bit_length() - 1 >= settings.max_depth:
+        return b / (a + b), {}
+    rank = forest.feature_order(tree, np.array([node]), x.shape[1], settings.seed)[0]
+
+    def impurity(part):
+        p, q = (times[part] * (y[part] == 0)).sum() * w[0], (times[part] * (y[part] == 1)).sum() * w[1]
+        return 2 * p * q / (p + q) if p + q else 0
+
+    for tried in (rank < settings.tried, rank >= settings.tried):
+        best = None
+        for f in np.flatnonzero(tried):
+            for cut in range(forest.BINS - 1):
+                left = x[:, f] <= cut
+                if times[left].sum() and times[~left].sum():
+                    gain = 2 * a * b / (a + b) - impurity(left) - impurity(~left)
+                    if best is None or gain > best[0] + 1e-9:
+                        best = (gain, f, cut)
+        if best:
+            gain, f, cut = best
+            left = x[:, f] <= cut
+            one, g1 = brute_tree(x[left], y[left], times[left], tree, 2 * node, settings)
+            two, g2 = brute_tree(x[~left], y[~left], times[~left], tree, 2 * node + 1, settings)
+            gains = {k: g1.get(k, 0) + g2.get(k, 0) for k in {*g1, *g2}}
+            gains[f] = gains.get(f, 0) + gain
+            return (f, cut, one, two), gains
+    return b / (a + b), {}
+
+
+def brute_score(tree, row):
+    while isinstance(tree, tuple):
+        tree = tree[3] if row[tree[0]] > tree[1] else tree[2]
+    return tree
+
+
+@pytest.mark.parametrize("handed", [3, 40, 10_000])
+def test_forest_equals_brute_force_for_any_group_size(spark, handed):
+    """Both phases, and every split between them, give the trees that trying all cuts gives."""
+    rng = random.Random(8)
+    rows = []
+    for i in range(240):
+        x = [float(rng.randrange(5)), float(rng.randrange(3)), rng.choice([0.0, 1.0]), 7.0, float(i % 2)]
+        rows.append((rng.getrandbits(62), int(x[0] + x[2] + rng.random() > 3), x))
+    data = store(spark.createDataFrame(rows, "key long, label int, features array<double>").repartition(4), "rows")
+    grown = forest.fit(data, 5, 6, (0.75, 1.5), 30, 42, handed)
+    assert any(u.splits for u in grown.upper) == (handed < 240)
+    x = np.array([[np.searchsorted(e, v) for e, v in zip(grown.edges, r[2])] for r in rows])
+    y, keys = np.array([r[1] for r in rows]), np.array([r[0] for r in rows])
+    want, shares = np.zeros(len(rows)), np.zeros(5)
+    for t in range(6):
+        times = forest.bootstrap(keys, t, 42)
+        kept = times > 0
+        tree, gains = brute_tree(x[kept], y[kept], times[kept], t, 1, grown.settings)
+        want += [brute_score(tree, r) for r in x]
+        shares += np.array([gains.get(f, 0) for f in range(5)]) / sum(gains.values())
+    got = {r["key"]: r["probability"] for r in forest.score(grown, data).collect()}
+    assert [got[k] for k in keys.tolist()] == pytest.approx((want / 6).tolist())
+    assert grown.importances.tolist() == pytest.approx((shares / 6).tolist()) and grown.importances.sum() == pytest.approx(1)
+
+
+def test_groups_stay_within_their_bound(spark, monkeypatch):
+    """A tree that parts a few rows at a time hands over no group above the bound; equal rows become a leaf."""
+    rows = [(k, int(k % 50 == 0), [float(min(k, 60)), 1.0]) for k in range(600)]
+    data = store(spark.createDataFrame(rows, "key long, label int, features array<double>"), "rows")
+    grown = forest.fit(data, 2, 3, (1.0, 1.0), 30, 1, handed=30)
+    k = grown.settings.features
+    dealt = forest._dealt(store(forest.binned(data, grown.edges, ["key", "label"]), "b"), grown.upper, ["label"], k, lambda key, tree: forest.bootstrap(key, tree, 1))
+    sizes = {}
+    for r in dealt.collect():
+        sizes[r["tree"], r["node"]] = sizes.get((r["tree"], r["node"]), 0) + sum(r["times"])
+    assert sizes and max(sizes.values()) <= 30
+    assert any(u.leaves for u in grown.upper)
+    assert all(0 <= r["probability"] <= 1 for r in forest.score(grown, data).collect())
+
+
 @pytest.mark.parametrize("name", ["churn", "fraud"])
 def test_registered_forests_are_as_deep_as_those_of_the_jobs(name, monkeypatch):
     from registry import queries
 
     made = []
     monkeypatch.setattr(queries, f"{name}_table", lambda star: None)
-    monkeypatch.setattr(training, "RandomForestClassifier", lambda **settings: made.append(settings))
-    monkeypatch.setattr(training, "_fit", lambda *a, classifier, **b: classifier(100))
+    monkeypatch.setattr(training, "fit_forest", lambda *a, trees, max_depth=30, **b: made.append((trees, max_depth)))
     getattr(queries, f"{name}_trees")(None)
-    assert [m["maxDepth"] for m in made] == [30]
+    assert made == [({"churn": 200, "fraud": 100}[name], 30)]
