@@ -57,7 +57,7 @@ def report(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
     """All reports; adds segment and recency score to the customer table."""
     clean, people = readers.read_tables(spark, folder)
     scores = rfm.score_by_quantiles(clean, people)
-    writers.save_people(writers.add_scores(people, scores), folder)
+    writers.save_people(rfm.with_segments(clean, people), folder)
     return {
         "totals": sales.totals_with_spread(clean),
         "country": sales.by_dimension(clean, "country"),
@@ -144,7 +144,7 @@ def main() -> None:
         results = report(spark, args.folder)
     elif args.job == "publish":
         for name, df in zip(("clean_orders", "people"), publish(spark, args.folder)):
-            writers.publish_table(df, f"published_{name}")
+            writers.publish_table(df, f"published_{name}", output)
         results = {}
     else:
         results = train(spark, args.folder, args.job, max_depth=args.depth)

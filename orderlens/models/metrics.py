@@ -2,23 +2,39 @@
 
 from __future__ import annotations
 
-from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from orderlens.models.features import LABEL
+from orderlens.operators.running import running
 
 
-def roc_auc(scores: DataFrame, score: str = "probability", label: str = LABEL) -> float:
-    """Exact area under the ROC curve; every distinct score is a threshold."""
-    pairs = scores.select(F.col(score).cast("double").alias("s"), F.col(label).cast("double").alias("l"))
-    return BinaryClassificationEvaluator(
-        rawPredictionCol="s", labelCol="l", metricName="areaUnderROC", numBins=0
-    ).evaluate(pairs)
+def roc_auc(scores: DataFrame, score: str = "probability", label: str = LABEL) -> float | None:
+    """Exact area under the ROC curve by rank sums; equal scores share their mean rank.
+
+    Rows become counts per distinct score first. Ranks are running counts over ranges of scores, doubled, so that
+    all sums are exact integers. None if a class has no rows.
+    """
+    known = scores.where(F.col(score).isNotNull() & F.col(label).isNotNull())
+    counts = known.groupBy(F.col(score).cast("double").alias("s")).agg(
+        F.count("*").alias("n"), F.count_if(F.col(label) == 1).alias("ones")
+    )
+    ranked = running(counts, [], ["s"], sums={"until": "n"})
+    wide = "decimal(38,0)"
+    doubled = F.col("ones").cast(wide) * (2 * F.col("until") - F.col("n") + 1).cast("decimal(19,0)")
+    total = ranked.agg(F.sum("ones"), F.sum("n"), F.sum(doubled.cast(wide))).first()
+    ones, rows, twice = (int(v or 0) for v in total)
+    if not 0 < ones < rows:
+        return None
+    return (twice - ones * (ones + 1)) / (2 * ones * (rows - ones))
+
+
+def _rounded(area: float | None, digits: int) -> Column:
+    return F.lit(None if area is None else round(area, digits)).cast("double")
 
 
 def auc_table(scores: DataFrame, score: str = "probability", digits: int = 3) -> DataFrame:
-    area = F.lit(round(roc_auc(scores, score), digits))
+    area = _rounded(roc_auc(scores, score), digits)
     return scores.agg(F.count("*").alias("rows_n")).withColumn("auc", area)
 
 
@@ -74,7 +90,7 @@ def summary(scores: DataFrame, model: str) -> DataFrame:
     )
     return one.select(
         F.lit(model).alias("model"),
-        F.lit(round(roc_auc(scores), 3)).alias("auc"),
+        _rounded(roc_auc(scores), 3).alias("auc"),
         F.round("accuracy", 3).alias("accuracy"),
         F.round(_or_zero("hit", F.col("hit") + F.col("false_alarm")), 3).alias("precision"),
         F.round(_or_zero("hit", F.col("support")), 3).alias("recall"),

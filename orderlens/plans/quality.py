@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from orderlens.functions import money_sum, percent, profit_sum
 from orderlens.operators import ranks
+from orderlens.operators.storage import store
 from orderlens.plans.sales import distinct_n
 
 
@@ -52,11 +53,19 @@ def sanity(raw: DataFrame, clean: DataFrame) -> DataFrame:
 
 
 def duplicate_rows(df: DataFrame) -> DataFrame:
-    """Rows beyond the first of each identical row."""
-    copies = df.groupBy(*df.columns).agg(F.count("*").alias("n"))
-    return copies.agg(
-        F.coalesce(F.sum("n"), F.lit(0)).alias("rows_n"),
-        F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("duplicate_rows"),
+    """Rows beyond the first of each identical row.
+
+    Only 128-bit digests of the rows are shuffled. Rows whose digest occurs again are compared in full.
+    """
+    names = [F.col(f"`{c}`") for c in df.columns]
+    first, second = F.xxhash64(*names), F.xxhash64(F.lit(1), *names)
+    digests = df.select(first.alias("first"), second.alias("second")).groupBy("first", "second")
+    counts = store(digests.agg(F.count("*").alias("n")), "digests")
+    again = counts.where("n > 1").select(F.col("first").alias("again_first"), F.col("second").alias("again_second"))
+    suspects = df.join(again, (first == F.col("again_first")) & (second == F.col("again_second")), "left_semi")
+    copies = suspects.groupBy(*names).agg(F.count("*").alias("copies"))
+    return counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("rows_n")).withColumn(
+        "duplicate_rows", copies.agg(F.coalesce(F.sum(F.col("copies") - 1), F.lit(0))).scalar()
     )
 
 

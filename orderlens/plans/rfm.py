@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from orderlens.functions import days_from, mean, percent
 from orderlens.operators import ranks
+from orderlens.operators.running import running
 from orderlens.operators.storage import store
 
 
@@ -38,14 +39,40 @@ def rfm_base(clean: DataFrame, people: DataFrame, how: str = "left") -> DataFram
 
 def score_by_quantiles(clean: DataFrame, people: DataFrame) -> DataFrame:
     base = rfm_base(clean, people)
+    return _segmented(base, *_quantile_scores(base))
+
+
+def with_segments(clean: DataFrame, people: DataFrame) -> DataFrame:
+    """The customer table (with ``last_order``) with ``segment`` and recency score ``R``, older ones replaced; stored.
+
+    The scores are row expressions once the bounds are found, so the table is not joined with itself.
+    """
+    latest = clean.agg(F.max("order_date")).scalar()
+    measures = {
+        "recency": days_from(F.col("last_order"), latest),
+        "frequency": F.col("orders"),
+        "monetary": F.col("gmv"),
+    }
+    base = store(people.drop("segment", "R").withColumns(measures), "rfm")
+    scored = _segmented(base, *_quantile_scores(base))
+    return scored.withColumn("R", F.col("r_score")).drop(*measures, "r_score", "f_score", "m_score")
+
+
+def _quantile_scores(base: DataFrame) -> tuple[Column, Column, Column]:
     n = _known(base)
-    return _segmented(
-        base,
-        4 - ranks.value_thirds(base, "recency", n["recency"]),
-        *(
-            ranks.thirds(base, name, "customer_id", n[name], ranks.tertile_ends(n[name]))
-            for name in ("frequency", "monetary")
-        ),
+    frequency, monetary = (
+        ranks.thirds(base, name, "customer_id", n[name], ranks.tertile_ends(n[name]))
+        for name in ("frequency", "monetary")
+    )
+    return 4 - ranks.value_thirds(base, "recency", n["recency"]), frequency, monetary
+
+
+def ranks_of_customers(people: DataFrame) -> DataFrame:
+    """Place of each customer by order count and by amount, from 1; equal ones by customer id."""
+    base = people.select("customer_id", "orders", "gmv")
+    counted = running(base, [], ["orders", "customer_id"], number="frequency_rank")
+    return running(counted, [], ["gmv", "customer_id"], number="monetary_rank").select(
+        "customer_id", "frequency_rank", "monetary_rank"
     )
 
 

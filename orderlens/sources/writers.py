@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import time
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orderlens.functions import profit_units
@@ -41,12 +41,6 @@ def save_version(df: DataFrame, folder: str, name: str) -> str:
     return path
 
 
-def add_scores(people: DataFrame, rfm: DataFrame) -> DataFrame:
-    """Customer table with segment and recency score, older ones replaced."""
-    scores = rfm.select("customer_id", "segment", F.col("r_score").alias("R"))
-    return people.drop("segment", "R").join(scores, "customer_id", "left")
-
-
 def published_orders(clean: DataFrame) -> DataFrame:
     """The contract columns and the row profit."""
     require_columns(clean, ORDER_COLUMNS, "the order table")
@@ -61,9 +55,40 @@ def published_people(people: DataFrame, clean: DataFrame) -> DataFrame:
     return kept.join(customer_churn(clean), "customer_id", "left")
 
 
-def publish_table(df: DataFrame, name: str) -> None:
-    """Replace a catalog table."""
-    df.write.mode("overwrite").saveAsTable(name)
+def publish_table(df: DataFrame, name: str, folder: str) -> None:
+    """Replace a catalog table in one step.
+
+    The rows become a new version below ``folder``; only when all of it is committed does the table's location
+    change. A job that fails, or tasks that are run again, leave the old table as it is. A table with other
+    columns has to be dropped and made anew.
+    """
+    spark = df.sparkSession
+    path = save_version(df, folder, name)
+    stored = spark.read.parquet(path)
+    if spark.catalog.tableExists(name) and spark.table(name).schema == stored.schema:
+        spark.sql(f"ALTER TABLE {name} SET LOCATION '{path}'")
+    else:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+        spark.sql(f"CREATE TABLE {name} USING parquet LOCATION '{path}'")
+    spark.catalog.refreshTable(name)
+
+
+def remove_versions(spark: SparkSession, folder: str, name: str, keep: int = 2) -> list[str]:
+    """Remove all but the newest ``keep`` complete versions of a table, and incomplete ones older than these.
+
+    Call it when no reader of an older version is left. Returns the removed paths.
+    """
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/{name}")
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not files.exists(path):
+        return []
+    versions = sorted((e.getPath() for e in files.listStatus(path)), key=lambda p: p.getName())
+    whole = [p for p in versions if files.exists(spark._jvm.org.apache.hadoop.fs.Path(p, "_SUCCESS"))]
+    kept = whole[-max(1, keep) :]
+    gone = [p for p in versions if kept and p.getName() < kept[0].getName()]
+    for p in gone:
+        files.delete(p, True)
+    return [p.toString() for p in gone]
 
 
 def publish_jdbc(

@@ -320,6 +320,8 @@ _BODIES = {
       FROM (SELECT count(*) AS n FROM ppl GROUP BY date_trunc('month', first_order))""",
     # recency, frequency, monetary
     "rfm_customers": "SELECT * REPLACE (monetary::DOUBLE AS monetary) FROM rfmq",
+    "rfm_ranks": """SELECT customer_id, row_number() OVER (ORDER BY orders, customer_id) AS frequency_rank,
+      row_number() OVER (ORDER BY gmv, customer_id) AS monetary_rank FROM ppl""",
     "rfm_segments": SEGMENTS.format("rfmq"),
     "recency_summary": f"""SELECT min(recency) AS recency_min,
       {MIDDLE.format("recency")} AS recency_median, max(recency) AS recency_max FROM base""",
@@ -378,7 +380,7 @@ _BODIES = {
       FROM held GROUP BY 1""",
     "split_rows": "SELECT transaction_id, label FROM held WHERE test",
     "model_auc": """SELECT count(*) AS rows_n, round((sum(place) FILTER (label = 1)
-        - pos * (pos + 1) / 2) / (pos * (count(*) - pos)), 9) AS auc
+        - pos * (pos + 1) / 2) / (pos * (count(*) - pos)), 12) AS auc
       FROM (SELECT label, count(*) FILTER (label = 1) OVER () AS pos,
         rank() OVER (ORDER BY score) + (count(*) OVER (PARTITION BY score) - 1) / 2 AS place
         FROM scored) GROUP BY pos""",

@@ -128,8 +128,7 @@ def sink_parquet(star: StarTables) -> DataFrame:
 @query
 def people_rfm(star: StarTables) -> DataFrame:
     people = stored_people(star)
-    scores = rfm.score_by_quantiles(keyed(star), people)
-    return writers.add_scores(people, scores).drop("last_order")
+    return rfm.with_segments(keyed(star), people).drop("last_order")
 
 
 @query
@@ -141,7 +140,7 @@ def publish_orders(star: StarTables) -> DataFrame:
 @query
 def publish_people(star: StarTables) -> DataFrame:
     people = stored_people(star)
-    scored = writers.add_scores(people, rfm.score_by_quantiles(keyed(star), people))
+    scored = rfm.with_segments(keyed(star), people)
     return store(writers.published_people(scored, with_customers(star)), "published")
 
 
@@ -149,7 +148,7 @@ def publish_people(star: StarTables) -> DataFrame:
 def sql_views(star: StarTables) -> DataFrame:
     """Amount and customers per segment by SQL over the two published tables."""
     people = stored_people(star)
-    scored = writers.add_scores(people, rfm.score_by_quantiles(keyed(star), people))
+    scored = rfm.with_segments(keyed(star), people)
     register_views(full_orders(star), scored)
     return star.spark.sql(
         "SELECT segment, count(DISTINCT customer_id) AS customers,"
@@ -424,6 +423,11 @@ def rfm_customers(star: StarTables) -> DataFrame:
     return quantile_scores(star)
 
 
+@query
+def rfm_ranks(star: StarTables) -> DataFrame:
+    return rfm.ranks_of_customers(people_of(star))
+
+
 @query
 def rfm_segments(star: StarTables) -> DataFrame:
     return rfm.segment_sizes(quantile_scores(star))
@@ -609,7 +613,7 @@ def split_rows(star: StarTables) -> DataFrame:
 
 @query
 def model_auc(star: StarTables) -> DataFrame:
-    return metrics.auc_table(store(fixed_scores(star), "scores"), digits=9)
+    return metrics.auc_table(store(fixed_scores(star), "scores"), digits=12)
 
 
 @query

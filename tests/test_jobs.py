@@ -76,9 +76,24 @@ def test_publishing_needs_segments(spark, folders):
         writers.published_orders(orders)
 
 
-def test_publish_as_table(spark, folders):
+def test_publish_as_table(spark, folders, tmp_path):
     orders, _ = jobs.publish(spark, folders[1])
-    writers.publish_table(orders, "published_orders_test")
-    writers.publish_table(orders, "published_orders_test")
-    assert spark.table("published_orders_test").count() == 1500
-    spark.sql("DROP TABLE published_orders_test")
+    name = "published_orders_test"
+    writers.publish_table(orders, name, str(tmp_path))
+    writers.publish_table(orders.limit(10), name, str(tmp_path))
+    assert spark.table(name).count() == 10
+    # A task fails after others have written; the published table stays.
+    broken = orders.repartition(6).withColumn("profit", F.when(F.col("transaction_id") == orders.first()["transaction_id"], F.raise_error(F.lit("lost"))).otherwise(F.col("profit")))
+    with pytest.raises(Exception, match="lost"):
+        writers.publish_table(broken, name, str(tmp_path))
+    assert spark.table(name).count() == 10
+    writers.publish_table(orders, name, str(tmp_path))
+    assert spark.table(name).count() == 1500
+    # Two whole versions and a broken one are older than the newest.
+    assert len(writers.remove_versions(spark, str(tmp_path), name, keep=1)) == 3
+    assert writers.remove_versions(spark, str(tmp_path), name) == []
+    assert spark.table(name).count() == 1500
+    writers.publish_table(orders.drop("profit"), name, str(tmp_path))
+    assert "profit" not in spark.table(name).columns
+    assert writers.remove_versions(spark, str(tmp_path), "unknown") == []
+    spark.sql(f"DROP TABLE {name}")

@@ -149,6 +149,15 @@ def test_auc_counts_ties_half(spark):
     assert metrics.roc_auc(scored(spark, rows)) == pytest.approx(3.5 / 4)
 
 
+def test_auc_against_all_pairs(spark):
+    rng = random.Random(2)
+    rows = [(int(rng.random() < 0.3), 0, rng.randrange(40) / 40) for _ in range(900)]
+    pairs = [(a > b) + (a == b) / 2 for y, _, a in rows if y for z, _, b in rows if not z]
+    assert metrics.roc_auc(scored(spark, rows).repartition(6)) == pytest.approx(sum(pairs) / len(pairs), abs=1e-12)
+    assert metrics.roc_auc(scored(spark, [(1, 1, 0.5)])) is None
+    assert metrics.auc_table(scored(spark, rows).where("label = 7")).first()["auc"] is None
+
+
 def test_report_with_a_class_never_predicted(spark):
     rows = [(0, 0, 0.1)] * 3 + [(1, 0, 0.2)]
     table = {r["class"]: r for r in metrics.class_report(scored(spark, rows)).collect()}

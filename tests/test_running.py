@@ -13,17 +13,18 @@ def test_numbers_within_groups(spark):
     rng = random.Random(5)
     rows = [(rng.choice(["hot"] * 6 + ["a", "b", None]), rng.randrange(50), rng.getrandbits(40)) for _ in range(4000)]
     df = spark.createDataFrame(rows, "g string, v int, h long").repartition(5)
-    got = running(df, ["g"], ["v", "h"], number="place", xors={"x": "h"}, parts=16).collect()
+    got = running(df, ["g"], ["v", "h"], number="place", xors={"x": "h"}, sums={"s": "v"}, parts=16).collect()
     assert len(got) == len(rows)
     for group in {r[0] for r in rows}:
         want = sorted((v, h) for g, v, h in rows if g == group)
         own = sorted((r for r in got if r.g == group), key=lambda r: r.place)
         assert [r.place for r in own] == list(range(1, len(want) + 1))
         assert [(r.v, r.h) for r in own] == want
-        total = 0
+        digest = total = 0
         for r in own:
-            total ^= r.h
-            assert r.x == total
+            digest ^= r.h
+            total += r.v
+            assert (r.x, r.s) == (digest, total)
 
 
 def test_whole_table_copies_and_no_rows(spark):

@@ -135,6 +135,25 @@ def test_duplicate_rows(orders_of):
     assert quality.duplicate_rows(orders_of([])).first()["duplicate_rows"] == 0
 
 
+def test_duplicates_shuffle_digests(spark, tmp_path):
+    """No text column goes through the exchange in which all rows are counted."""
+    from orderlens.plans import quality
+
+    path = str(tmp_path / "rows")
+    spark.range(100).selectExpr("id", "repeat('x', 20) AS wide", "CAST(NULL AS string) AS none").write.parquet(path)
+    seen = []
+    store = quality.store
+    try:
+        quality.store = lambda df, label: seen.append(df) or store(df, label)
+        row = quality.duplicate_rows(spark.read.parquet(path).unionByName(spark.read.parquet(path).where("id < 7"))).first()
+    finally:
+        quality.store = store
+    assert (row["rows_n"], row["duplicate_rows"]) == (107, 7)
+    plan = seen[0]._jdf.queryExecution().executedPlan().toString()
+    exchanges = [line for line in plan.split("\n") if "Exchange" in line]
+    assert exchanges and not any("wide" in line or "id#" in line for line in exchanges)
+
+
 def test_first_known_label(spark):
     rows = [
         ("a", None, "2024-01-01"),
