@@ -12,11 +12,13 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from orderlens.llm.text import map_text
-from orderlens.llm.tokens import definition, encoder
+from orderlens.llm.tokens import REMEMBERED, definition, encoder
 from orderlens.operators.storage import store
 
 
-def pieces(docs: DataFrame, tokenizer_path: str, blanks: str, end_id: int, size: int, with_ids: bool = False) -> DataFrame:
+def pieces(
+    docs: DataFrame, tokenizer_path: str, blanks: str, end_id: int, size: int, with_ids: bool = False, remembered: int = REMEMBERED
+) -> DataFrame:
     """Token ids of each text and an end id, cut into pieces of ``size`` and a rest.
 
     ``doc_id``, ``start``, ``length``, ``ids_crc32``, ``doc_tokens`` and, if asked for, ``ids`` (unsigned
@@ -27,7 +29,7 @@ def pieces(docs: DataFrame, tokenizer_path: str, blanks: str, end_id: int, size:
     names = ["start", "length", "ids_crc32", "doc_tokens"]
 
     def cut(batch: pa.RecordBatch) -> pa.Table:
-        encode = encoder(text, blanks).encode
+        encode = encoder(text, blanks, remembered).encode
         doc_ids, rows = [], []
         for doc_id, ids in zip(batch.column("doc_id").to_pylist(), encode(batch.column("text").to_pylist())):
             ids += end
@@ -131,13 +133,20 @@ def pack(rows: DataFrame, size: int = 2048) -> DataFrame:
 
 
 def pack_documents(
-    docs: DataFrame, tokenizer_path: str, blanks: str = "dropped", end_id: int = 1, size: int = 2048, with_ids: bool = False
+    docs: DataFrame,
+    tokenizer_path: str,
+    blanks: str = "dropped",
+    end_id: int = 1,
+    size: int = 2048,
+    with_ids: bool = False,
+    remembered: int = REMEMBERED,
 ) -> DataFrame:
     """Every piece of every document of ``docs`` (``doc_id``, ``text``) with its place in a sequence.
 
-    Null and empty texts are the end id alone. Repeated rows are packed each for itself.
+    Null and empty texts are the end id alone. Repeated rows are packed each for itself. ``remembered``: words whose
+    ids a worker keeps; it changes time and memory only.
     """
-    return pack(store(pieces(docs, tokenizer_path, blanks, end_id, size, with_ids), "pieces"), size)
+    return pack(store(pieces(docs, tokenizer_path, blanks, end_id, size, with_ids, remembered), "pieces"), size)
 
 
 def sequences(packed: DataFrame, size: int = 2048, pad_id: int = 0) -> DataFrame:
