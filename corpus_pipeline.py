@@ -31,8 +31,8 @@ def hide_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of the documents' token ids, placed in sequences."""
-    return packing.pack_documents(docs, queries.tokenizer("word_bpe_49k.json"), "dropped", 1, 2048)
+    """Pieces of the documents' token ids, placed in sequences. Few words are kept: earlier stages hold memory too."""
+    return packing.pack_documents(docs, queries.tokenizer("word_bpe_49k.json"), "dropped", 1, 2048, remembered=160_000)
 
 
 STAGES = [
