@@ -1,14 +1,15 @@
-"""Language-model scores from a bigram trie in shards; the shards never meet in one place.
-
-A token is an event (previous token, token). Events are dealt out by their previous token, so a shard has all
-successors of its contexts: it builds its part of the trie from the training events and looks up all of its
-events in it. What isn't found there backs off to the unigram count of the token, by a join. Sums per
-document are all that leaves a shard. A previous token so frequent that its events would fill a shard is
-split by its successor; the counts of these few tokens are known beforehand.
-
-Smoothing: P(w | v) = c(v, w) / (c(v) + m) if the pair was seen in training, else m / (c(v) + m) * P(w) with
-P(w) = (c(w) + 1) / (N + V + 1), m being a parameter. The sum over all words is at most 1. The order is
-two; order three is not built, and its cost is not measured.
+"""Language-model scores from a trigram trie in shards; the shards never meet in one place.
+
+A token is an event (u, v, w): the two tokens before it and itself. Events are dealt out by v, so a shard has
+all successors of its contexts v and of all pairs (u, v): it builds its part of the trie from the training events
+and looks up all of its events in it. What isn't found after v backs off to the unigram count of w, by a join.
+Sums per document are all that leaves a shard, for the documents that occur in it. A context v so frequent that
+its events would fill a shard is split by u, and the counts of its pairs (v, w), added up over the shards, are
+joined as well. The first token of a text has one context only, the beginning, which is split by w.
+
+Smoothing, with a parameter m: P(w | u, v) = c(u, v, w) / (c(u, v) + m) if the triple was seen in training, else
+m / (c(u, v) + m) * P(w | v); P(w | v) = c(v, w) / (c(v) + m) if the pair was seen, else m / (c(v) + m) * P(w);
+P(w) = (c(w) + 1) / (N + V + 1). The sum over all words is at most 1. The order is three, or two on request.
 """
 
 from __future__ import annotations
@@ -25,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from orderlens.llm.text import mix, small_batches, word_hashes
-from orderlens.llm.trie import Trie
+from orderlens.llm.trie import Trie, _changes
 from orderlens.operators.storage import store
 
 #: Events of one shard, and events that a task gathers before it sends them.
@@ -65,25 +66,41 @@ def word_counts(docs: DataFrame, train: Column) -> DataFrame:
     return found.groupBy("word").agg(F.sum("n").alias("n"))
 
 
-def _shard_of(context: np.ndarray, word: np.ndarray, frequent: np.ndarray, shards: int) -> np.ndarray:
-    split = np.isin(context, frequent)
-    key = np.where(split, mix(context + mix(word)), mix(context))
-    return (key % np.uint64(shards)).astype(np.int64)
+def bundle(*arrays: np.ndarray) -> bytes:
+    """Arrays in one blob; unsigned numbers in as few bytes as the largest needs."""
+    parts = []
+    for x in arrays:
+        if x.dtype.kind != "f" and x.dtype != np.uint64:
+            top = int(x.max()) if len(x) else 0
+            x = x.astype(next(t for t in (np.uint8, np.uint16, np.uint32, np.uint64) if top <= np.iinfo(t).max))
+        parts += [x.dtype.char.encode(), len(x).to_bytes(8, "little"), x.tobytes()]
+    return b"".join(parts)
+
+
+def unbundle(data: bytes) -> list[np.ndarray]:
+    out, at = [], 0
+    while at < len(data):
+        kind, n = np.dtype(chr(data[at])), int.from_bytes(data[at + 1 : at + 9], "little")
+        out.append(np.frombuffer(data, kind, n, at + 9))
+        at += 9 + n * kind.itemsize
+    return out
+
+
+def _lengths(new: np.ndarray) -> np.ndarray:
+    """Lengths of the runs that begin where ``new`` holds."""
+    return np.diff(np.append(np.flatnonzero(new), len(new)))
 
 
 def _events(docs: DataFrame, frequent: np.ndarray, shards: int) -> DataFrame:
-    """Blobs of events by shard: different pairs once, and for each the texts of the stretch that have it.
+    """Blobs of events by shard: different triples once, and for each the texts of the stretch that have it.
 
-    A stretch is what a task gathers before it sends. One more blob per stretch, under a negative shard, says
-    which rows its texts are and how many tokens they have.
+    A stretch is what a task gathers before it sends. Words stand as places in the blob's own dictionary. One
+    more blob per stretch, under a negative shard, says which rows its texts are and how many tokens they have.
     """
     small_batches(docs.sparkSession)
 
     def pack(held: list[tuple], stretch: int) -> pa.RecordBatch:
-        ids = np.concatenate([h[0] for h in held])
-        train = np.concatenate([h[1] for h in held])
-        sizes = np.concatenate([h[3] for h in held])
-        word = np.concatenate([h[2] for h in held])
+        ids, train, word, sizes = (np.concatenate(x) for x in zip(*held))
         # Each text's words and its end follow on what stands before them.
         owner = np.repeat(np.arange(len(sizes)), sizes + 1)
         last = np.cumsum(sizes + 1) - 1
@@ -91,36 +108,41 @@ def _events(docs: DataFrame, frequent: np.ndarray, shards: int) -> DataFrame:
         inner = np.ones(len(owner), dtype=bool)
         inner[last] = False
         token[inner], token[last] = word, END
-        context = np.empty_like(token)
-        context[1:] = token[:-1]
-        context[np.concatenate([[0], last[:-1] + 1])] = BEGIN
-        shard = _shard_of(context, token, frequent, shards)
-        order = np.lexsort((token, context, shard))
-        shard, context, token, owner = shard[order], context[order], token[order], owner[order]
-        owner = owner.astype(np.uint16 if len(sizes) <= 1 << 16 else np.uint32)
-        new = np.ones(len(token), dtype=bool)
-        new[1:] = (context[1:] != context[:-1]) | (token[1:] != token[:-1]) | (shard[1:] != shard[:-1])
-        edge = np.flatnonzero(np.diff(shard, prepend=-1))
-        flags = train.astype(np.uint8).tobytes()
-        rows = [(-1 - stretch % shards, ids.tobytes(), b"", b"", b"", (sizes + 1).tobytes())]
-        for a, b in zip(edge, [*edge[1:], len(shard)]):
-            first = np.flatnonzero(new[a:b])
-            times = np.diff(np.append(first, b - a)).astype(np.uint32)
-            # Different contexts once, with the number of their pairs.
-            c = context[a:b][first]
-            head = np.flatnonzero(np.concatenate([[True], c[1:] != c[:-1]]))
-            spread = np.diff(np.append(head, len(c))).astype(np.uint32)
-            arrays = (c[head], spread, token[a:b][first], times, owner[a:b])
-            rows.append((int(shard[a]), *(x.tobytes() for x in arrays)))
-        columns = list(zip(*rows))
+        words, own = np.unique(np.append(token, BEGIN), return_inverse=True)
+        begin, w = own[-1], own[:-1]
+        start = np.concatenate([[0], last[:-1] + 1])
+        v, u = np.empty_like(w), np.empty_like(w)
+        v[1:] = w[:-1]
+        v[start] = begin
+        u[1:] = v[:-1]
+        u[start] = begin
+        spread = mix(words)
+        key = spread[v]
+        split = np.isin(words, frequent)[v]
+        key[split] = mix(words[v[split]] + spread[u[split]])
+        key[start] = mix(BEGIN + spread[w[start]])
+        shard = (key % np.uint64(shards)).astype(np.int64)
+        # The sort is stable, so the texts of a triple ascend.
+        high, low = shard << 32 | v, u << 32 | w
+        order = np.lexsort((low, high))
+        high, low, owner = high[order], low[order], owner[order]
+        new = _changes(high, low, owner)
+        times, high, low, owner = _lengths(new), high[new], low[new], owner[new]
+        mark = owner << 1 | train[owner]
+        edge = np.flatnonzero(_changes(high >> 32))
+        rows = [(-1 - stretch % shards, bundle(ids.view(np.uint64), sizes + 1))]
+        for a, b in zip(edge, [*edge[1:], len(high)]):
+            h, l = high[a:b], low[a:b]
+            triple, pair, head = _changes(h, l), _changes(h, l >> 32), _changes(h)
+            v, u, w = h[head] & 0xFFFFFFFF, l[pair] >> 32, l[triple] & 0xFFFFFFFF
+            used, places = np.unique(np.concatenate([v, u, w]), return_inverse=True)
+            v, u, w = np.split(places, [len(v), len(v) + len(u)])
+            spreads = _lengths(head[pair]), _lengths(pair[triple]), _lengths(triple)
+            rows.append((int(h[0] >> 32), bundle(words[used], v, u, w, *spreads, mark[a:b], times[a:b])))
+        shard_column, data = zip(*rows)
         return pa.RecordBatch.from_arrays(
-            [
-                pa.array(columns[0], pa.int64()),
-                *(pa.array(c, pa.binary()) for c in columns[1:]),
-                pa.array([stretch] * len(rows), pa.int64()),
-                pa.array([flags] * len(rows), pa.binary()),
-            ],
-            names=["shard", "contexts", "spread", "words", "times", "owners", "stretch", "train"],
+            [pa.array(shard_column, pa.int64()), pa.array([stretch] * len(rows), pa.int64()), pa.array(data, pa.binary())],
+            names=["shard", "stretch", "data"],
         )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -137,57 +159,52 @@ def _events(docs: DataFrame, frequent: np.ndarray, shards: int) -> DataFrame:
         if size:
             yield pack(held, (part << 32) + number)
 
-    return docs.mapInArrow(
-        run,
-        "shard long, contexts binary, spread binary, words binary, times binary, owners binary, "
-        "stretch long, train binary",
-    )
+    return docs.mapInArrow(run, "shard long, stretch long, data binary")
+
 
+#: ``rows``: ids and sizes of a stretch's texts; ``sums``: texts, words known, unigram and model logarithms; ``back``:
+#: text, context and word of what backs off, and how often; ``pairs``: counts of contexts that are split.
+ANSWER = "stretch long, rows binary, sums binary, back binary, pairs binary"
 
-ANSWER = "stretch long, rows binary, sizes binary, known binary, base binary, model binary, back_text binary, back_word binary"
 
+def _answers(events: DataFrame, frequent: dict[int, int], training_texts: int, weight: float, order: int) -> DataFrame:
+    """Per shard and stretch, sums over the texts of the stretch that occur in the shard, and what backs off.
 
-def _answers(events: DataFrame, frequent: dict[int, int], training_texts: int, weight: float) -> DataFrame:
-    """Per shard and stretch, sums over the texts of the stretch: words known, unigram and model logarithms;
-    and the pairs (text, word) that back off. Rows and sizes of the stretches are handed on."""
+    What is left to a frequent context's pairs is marked with the context, as its counts are spread over shards;
+    all else that backs off has context 0. Rows and sizes of the stretches are handed on."""
     common = np.array(list(frequent), dtype=np.int64).view(np.uint64)
     by_id = np.argsort(common)
     common, common_counts = common[by_id], np.array(list(frequent.values()), dtype=np.int64)[by_id]
 
     def score(table: pa.Table) -> pa.Table:
-        rows = table.to_pylist()
-        if rows[0]["shard"] < 0:
-            empty = [b""] * len(rows)
-            return answer([r["stretch"] for r in rows], [r["contexts"] for r in rows], [r["owners"] for r in rows], *[empty] * 5)
-        contexts, words, times, owners, flags, starts = [], [], [], [], [], [0]
-        for r in rows:
-            spread, n = np.frombuffer(r["spread"], np.uint32), np.frombuffer(r["times"], np.uint32)
-            narrow = len(r["owners"]) == 2 * int(n.sum())
-            owner = np.frombuffer(r["owners"], np.uint16 if narrow else np.uint32)
-            contexts.append(np.repeat(np.frombuffer(r["contexts"], np.uint64), spread))
-            words.append(np.frombuffer(r["words"], np.uint64))
-            times.append(n)
-            owners.append(owner.astype(np.int32) + np.int32(starts[-1]))
-            flags.append(np.frombuffer(r["train"], np.uint8)[owner])
-            starts.append(starts[-1] + len(r["train"]))
-        pairs = np.cumsum([0, *map(len, words)])
-        # From here on one entry per pair and stretch, not per event.
-        context, word, n, owner = (np.concatenate(x) for x in (contexts, words, times, owners))
-        n = n.astype(np.int64)
-        train = np.add.reduceat(np.concatenate(flags), np.cumsum(n) - n, dtype=np.int64)
-        rows = [r["stretch"] for r in rows]
-        del contexts, words, times, owners, flags
-        # Training counts of the shard's contexts: as words, they are counted where they are contexts.
-        used = np.flatnonzero(train)
-        order = used[np.lexsort((word[used], context[used]))]
-        tc, tw, tn = context[order], word[order], train[order]
-        new = np.ones(len(tc), dtype=bool)
-        new[1:] = (tc[1:] != tc[:-1]) | (tw[1:] != tw[:-1])
+        shard, stretch, data = (table.column(c).to_pylist() for c in ("shard", "stretch", "data"))
+        if shard[0] < 0:
+            return answer([(s, d, b"", b"", b"") for s, d in zip(stretch, data)])
+        parts, marks, bounds = [], [], [0]
+        for blob in data:
+            words, v, u, w, per_head, per_pair, entries, mark, times = unbundle(blob)
+            u, per_v = np.repeat(u, per_pair), np.repeat(v, per_head)
+            parts.append((words[u], words[np.repeat(per_v, per_pair)], words[w], entries))
+            marks.append((mark >> 1, mark & 1, times))
+            bounds.append(bounds[-1] + len(w))
+        u, v, w, entries = (np.concatenate(x) for x in zip(*parts))
+        del parts, data
+        trained = np.concatenate([m[1].astype(np.int64) * m[2] for m in marks])
+        ends = np.cumsum(entries, dtype=np.int64)
+        count = np.add.reduceat(trained, ends - entries)
+        # Triples of all stretches once; ``at`` leads from a stretch's triple to it.
+        by = np.lexsort((w, u, v))
+        new = _changes(v[by], u[by], w[by])
+        at = np.empty(len(by), dtype=np.int64)
+        at[by] = np.cumsum(new) - 1
         first = np.flatnonzero(new)
-        tc, tw = tc[first], tw[first]
-        tn = np.add.reduceat(tn, first) if len(first) else tn
-        head = np.flatnonzero(np.concatenate([[True], tc[1:] != tc[:-1]])) if len(tc) else first
-        seen, counts = tc[head], np.add.reduceat(tn, head) if len(head) else tn
+        u, v, w, count = u[by][first], v[by][first], w[by][first], np.add.reduceat(count[by], first)
+        del by, trained
+        used = count > 0
+        tu, tv, tw, tn = u[used], v[used], w[used], count[used]
+        # Training counts of the shard's contexts: as words, they are counted where they are contexts.
+        head = np.flatnonzero(_changes(tv))
+        seen, counts = tv[head], np.add.reduceat(tn, head) if len(head) else tn
 
         def totals(c: np.ndarray) -> np.ndarray:
             own = _count_of(c, seen, counts)
@@ -195,37 +212,46 @@ def _answers(events: DataFrame, frequent: dict[int, int], training_texts: int, w
                 own = np.maximum(own, _count_of(c, common, common_counts))
             return np.where(c == BEGIN, training_texts, own)
 
+        c = totals(v)
+        split = np.isin(v, common)
         folder = Path(tempfile.mkdtemp(prefix="trie-"))  # read by this task alone, removed at its end
         try:
-            found = Trie.build(folder, tc, tw, tn, totals, weight).log10(context, word)
+            trie = Trie.build(folder, tu, tv, tw, tn, totals, weight, np.array([BEGIN]))
+            three, rest, two = trie.log10(u, v, w, order)
+            rest_two = trie.left(v)
+            del trie
         finally:
             shutil.rmtree(folder, ignore_errors=True)
-        c = totals(context)
-        back = np.isnan(found)
-        model = np.where(back, np.log10(weight) - np.log10(c + weight), found)
-        real = context != BEGIN  # each word is a context once, so its unigram count is at hand
+        # A split context's pairs are counted elsewhere: its share of the probability is here, theirs joined.
+        shorter = np.where(split, -np.log10(c + weight), np.where(np.isnan(two), rest_two, two))
+        model = np.where(np.isnan(three), rest + shorter, three)
+        back = np.isnan(three) & (split | np.isnan(two))
+        real = v != BEGIN  # each word is a context once, so its unigram count is at hand
         base = np.where(real, np.log10(c + 1), 0.0)
-
-        def total(x: np.ndarray) -> list[np.ndarray]:
-            sums = np.bincount(owner, np.repeat(x, n), starts[-1])
-            return [sums[a:b] for a, b in zip(starts, starts[1:])]
-
-        ends = np.concatenate([[0], np.cumsum(n)])
-        back_text, back_word = [], []
-        for k in range(len(rows)):
-            p = pairs[k] + np.flatnonzero(back[pairs[k] : pairs[k + 1]])
-            e = np.repeat(ends[p] - (np.cumsum(n[p]) - n[p]), n[p]) + np.arange(n[p].sum())
-            back_text.append((owner[e] - starts[k]).astype(np.uint32).tobytes())
-            back_word.append(np.repeat(word[p], n[p]).tobytes())
-        known = [x.astype(np.uint32).tobytes() for x in total(real & (c > 0))]
-        sums = [[x.tobytes() for x in total(y)] for y in (base, model)]
-        empty = [b""] * len(rows)
-        return answer(rows, empty, empty, known, *sums, back_text, back_word)
-
-    def answer(stretch: list[int], *blobs: list[bytes]) -> pa.Table:
+        known = (real & (c > 0)).astype(np.float64)
+        context = np.where(split, v, np.uint64(0))
+        rows = []
+        for k, (text, _, times) in enumerate(marks):
+            mine = at[bounds[k] : bounds[k + 1]]
+            per = entries[bounds[k] : bounds[k + 1]]
+            which = np.repeat(mine, per)
+            texts, own = np.unique(text, return_inverse=True)
+            sums = [np.bincount(own, x[which] * times, len(texts)) for x in (known, base, model)]
+            far = back[which]
+            off = bundle(text[far], context[which[far]], w[which[far]], times[far])
+            rows.append((stretch[k], b"", bundle(texts, sums[0].astype(np.int64), *sums[1:]), off, b""))
+        mine = np.isin(tv, common)
+        if mine.any():
+            by = np.lexsort((tw[mine], tv[mine]))
+            pv, pw, pn = tv[mine][by], tw[mine][by], tn[mine][by]
+            first = np.flatnonzero(_changes(pv, pw))
+            rows.append((-1, b"", b"", b"", bundle(pv[first], pw[first], np.add.reduceat(pn, first))))
+        return answer(rows)
+
+    def answer(rows: list[tuple]) -> pa.Table:
+        stretch, *blobs = zip(*rows)
         names = [f.split()[0] for f in ANSWER.split(", ")]
-        columns = [pa.array(stretch, pa.int64()), *(pa.array(b, pa.binary()) for b in blobs)]
-        return pa.table(dict(zip(names, columns)))
+        return pa.table(dict(zip(names, [pa.array(stretch, pa.int64()), *(pa.array(b, pa.binary()) for b in blobs)])))
 
     return events.groupBy("shard").applyInArrow(score, ANSWER)
 
@@ -242,43 +268,67 @@ def _sums(answers: DataFrame) -> DataFrame:
     """Per text: ``row``, ``n_tokens``, ``known``, ``base`` and ``model``, summed over the shards."""
 
     def add(table: pa.Table) -> pa.Table:
-        rows = table.to_pylist()
-        own = next(r for r in rows if r["rows"])
-        ids, sizes = np.frombuffer(own["rows"], np.int64), np.frombuffer(own["sizes"], np.int64)
-        out = {"row": ids, "n_tokens": sizes, "known": np.zeros(len(ids), dtype=np.int64)}
-        out |= {"base": np.zeros(len(ids)), "model": np.zeros(len(ids))}
-        for r in rows:
-            if r["known"]:
-                out["known"] = out["known"] + np.frombuffer(r["known"], np.uint32)
-                out["base"] = out["base"] + np.frombuffer(r["base"], np.float64)
-                out["model"] = out["model"] + np.frombuffer(r["model"], np.float64)
-        return pa.table(out)
+        ids, sizes = unbundle(next(r for r in table.column("rows").to_pylist() if r))
+        known, base, model = np.zeros(len(ids), dtype=np.int64), np.zeros(len(ids)), np.zeros(len(ids))
+        for blob in table.column("sums").to_pylist():
+            if blob:
+                texts, *sums = unbundle(blob)
+                for total, x in zip((known, base, model), sums):
+                    total[texts] += x.astype(total.dtype)
+        columns = {"row": ids.view(np.int64), "n_tokens": sizes.astype(np.int64), "known": known, "base": base, "model": model}
+        return pa.table(columns)
 
     return (
-        answers.select("stretch", "rows", "sizes", "known", "base", "model")
+        answers.filter("stretch >= 0")
+        .select("stretch", "rows", "sums")
         .groupBy("stretch")
         .applyInArrow(add, "row long, n_tokens long, known long, base double, model double")
     )
 
 
 def _backed_off(answers: DataFrame) -> DataFrame:
-    """``row`` and ``word`` of every token that the trie does not know after its context."""
+    """``row``, ``context``, ``word`` and ``times`` of the tokens that the trie does not know after their contexts."""
 
     def name(table: pa.Table) -> pa.Table:
-        rows = table.to_pylist()
-        ids = np.frombuffer(next(r["rows"] for r in rows if r["rows"]), np.int64)
-        text = np.concatenate([np.frombuffer(r["back_text"], np.uint32) for r in rows])
-        word = np.concatenate([np.frombuffer(r["back_word"], np.int64) for r in rows])
-        return pa.table({"row": ids[text], "word": word})
+        ids = unbundle(next(r for r in table.column("rows").to_pylist() if r))[0].view(np.int64)
+        text, context, word, times = (
+            np.concatenate(x) for x in zip(*(unbundle(b) for b in table.column("back").to_pylist() if b), NO_BACK)
+        )
+        columns = {"row": ids[text.astype(np.int64)], "context": context.view(np.int64)}
+        return pa.table(columns | {"word": word.view(np.int64), "times": times.astype(np.int64)})
 
     return (
-        answers.select("stretch", "rows", "back_text", "back_word")
+        answers.filter("stretch >= 0")
+        .select("stretch", "rows", "back")
         .groupBy("stretch")
-        .applyInArrow(name, "row long, word long")
+        .applyInArrow(name, "row long, context long, word long, times long")
+    )
+
+
+NO_BACK = [np.zeros(0, dtype=t) for t in (np.uint8, np.uint64, np.uint64, np.uint8)]
+
+
+def _after_frequent(answers: DataFrame) -> DataFrame:
+    """``word`` and ``after``: how often it follows each frequent context in training, by context."""
+
+    def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for blob in batch.column("pairs").to_pylist():
+                context, word, n = unbundle(blob)
+                arrays = [pa.array(x.astype(np.uint64).view(np.int64)) for x in (context, word, n)]
+                yield pa.RecordBatch.from_arrays(arrays, names=["context", "word", "n"])
+
+    found = answers.filter("stretch < 0").select("pairs").mapInArrow(pairs, "context long, word long, n long")
+    # A word has at most one entry per frequent context.
+    return (
+        found.groupBy("word", "context")
+        .agg(F.sum("n").alias("n"))
+        .groupBy(F.col("word").alias("follower"))
+        .agg(F.map_from_entries(F.collect_list(F.struct("context", "n"))).alias("after"))
     )
 
 
-def score(docs: DataFrame, train: Column, weight: float = 4.0) -> DataFrame:
+def score(docs: DataFrame, train: Column, weight: float = 4.0, order: int = 3, shard_events: int = SHARD_EVENTS) -> DataFrame:
     """Scores of every row of ``docs`` (``doc_id``, ``text``), learnt from the rows where ``train`` holds.
 
     Columns: ``doc_id``, ``train``, ``n_tokens`` (words and the end), ``n_known`` (seen in training),
@@ -286,7 +336,11 @@ def score(docs: DataFrame, train: Column, weight: float = 4.0) -> DataFrame:
 
     Null and empty texts are the end alone. Rows with one id and one text are one row of the result;
     repeated rows each count in training. A null id is an id. Without training rows all counts are 0.
+    ``order`` is 2 or 3. ``shard_events`` decides how the work is cut, not what comes out, but for the
+    bytes that probabilities are rounded to.
     """
+    if order not in (2, 3):
+        raise ValueError("order must be 2 or 3")
     key = F.xxhash64(F.col("doc_id").cast("string"), F.coalesce("text", F.lit("")))
     rows = docs.select("doc_id", "text", F.coalesce(train, F.lit(False)).alias("train"), key.alias("row"))
     counts = store(word_counts(rows, F.col("train")), "words")
@@ -294,18 +348,24 @@ def score(docs: DataFrame, train: Column, weight: float = 4.0) -> DataFrame:
     every, texts = rows.agg(F.count("*"), F.coalesce(F.sum(F.col("train").cast("long")), F.lit(0))).first()
     train_tokens, vocabulary = words + texts, different + (texts > 0)
     # All rows have about as many tokens as the training rows; with none of these, any number will do.
-    shards = max(8, -(-train_tokens * every // (max(texts, 1) * SHARD_EVENTS)))
+    shards = max(8, -(-train_tokens * every // (max(texts, 1) * shard_events)))
     # Words that would fill a quarter of a shard by themselves: fewer than four per shard.
     frequent = {r["word"]: r["n"] for r in counts.filter(F.col("n") * 4 * shards > words).collect()}
-    split = np.array([*frequent, int(BEGIN)], dtype=np.int64).view(np.uint64)
-    answers = store(_answers(_events(rows.drop("doc_id"), split, shards), frequent, texts, weight), "answers")
+    split = np.array(list(frequent), dtype=np.int64).view(np.uint64)
+    events = _events(rows.drop("doc_id"), split, shards)
+    answers = store(_answers(events, frequent, texts, weight, order), "answers")
     size = float(np.log10(train_tokens + vocabulary + 1))
     n = F.when(F.col("word") == int(END), F.lit(int(texts))).otherwise(F.coalesce("n", F.lit(0)))
+    one = F.log10(n + 1.0) - size
+    # After a frequent context its share has been taken; left are the pair's count, or the weight and the unigram.
+    pair = F.col("after")[F.col("context")]
+    worth = F.when(F.col("context") == 0, one).otherwise(F.coalesce(F.log10(pair.cast("double")), one + float(np.log10(weight))))
     backed = (
         _backed_off(answers)
         .join(counts, "word", "left")
+        .join(_after_frequent(answers), F.col("word") == F.col("follower"), "left")
         .groupBy("row")
-        .agg(F.sum(F.log10(n + 1.0) - size).alias("back"))
+        .agg(F.sum(worth * F.col("times")).alias("back"))
     )
     # Repeated rows have sent their events each, and are one row of the result.
     summed = _sums(answers).groupBy("row").agg(

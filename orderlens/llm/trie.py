@@ -1,4 +1,4 @@
-"""A two-level n-gram trie in Elias-Fano code, memory-mapped, for one shard of a language model."""
+"""An n-gram trie of order three in Elias-Fano code, memory-mapped, for one shard of a language model."""
 
 from __future__ import annotations
 
@@ -19,6 +19,7 @@ class EliasFano:
     def __init__(self, n: int, low: int, lower: np.ndarray, upper: np.ndarray, ones: np.ndarray):
         self.n, self.low, self.lower, self.upper, self.ones = n, low, lower, upper, ones
         self.zeros = np.arange(len(ones), dtype=np.int64) * _SAMPLE - ones
+        self.highest = int(self.zeros[-1]) - 1  # buckets that a zero ends
 
     @classmethod
     def build(cls, numbers: np.ndarray, universe: int) -> EliasFano:
@@ -91,14 +92,41 @@ class EliasFano:
         value[more] |= self.lower[word[more] + 1] << (np.uint64(64) - shift[more])
         return value & np.uint64((1 << self.low) - 1)
 
-    def find(self, numbers: np.ndarray) -> np.ndarray:
-        """Place of each number, or -1. Its bucket is looked up, then searched by halving."""
+    def access(self, i: np.ndarray) -> np.ndarray:
+        """The i-th numbers (from 0)."""
+        i = i.astype(np.int64)
+        block = np.searchsorted(self.ones, i, side="right") - 1  # the i-th one lies in this block
+        left = i - self.ones[block]
+        high = np.zeros(len(i), dtype=np.int64)
+        open_ = np.ones(len(i), dtype=bool)
+        for k in range(_SAMPLE // 64):
+            word = block * (_SAMPLE // 64) + k
+            w = self.upper[np.minimum(word, len(self.upper) - 1)]
+            ones = np.bitwise_count(w).astype(np.int64)
+            last = open_ & (left < ones)
+            if last.any():
+                # The place of the one with ``left`` ones before it is that of a zero of the inverted word.
+                want = left[last] + 1
+                before = self._ones_before(~w[last], want)
+                high[last] = word[last] * 64 + before + want - 1 - i[last]
+            left = np.where(open_ & ~last, left - ones, left)
+            open_ &= ~last
+        return (high << self.low) + self.low_bits(i).astype(np.int64)
+
+    def find(self, numbers: np.ndarray, begin: np.ndarray | None = None, end: np.ndarray | None = None) -> np.ndarray:
+        """Place of each number, or -1, among the places from ``begin`` to before ``end`` (by default all).
+
+        The number's bucket is cut to this range, then searched by halving."""
         if not self.n:
             return np.full(len(numbers), -1, dtype=np.int64)
         high = (numbers.astype(np.uint64) >> np.uint64(self.low)).astype(np.int64)
+        known = high <= self.highest
+        high = np.minimum(high, self.highest)
         target = numbers.astype(np.uint64) & np.uint64((1 << self.low) - 1)
-        a, end = self.bucket_starts(high), self.bucket_starts(high + 1)
-        b = end.copy()
+        a, end_ = self.bucket_starts(high), self.bucket_starts(high + 1)
+        if begin is not None:
+            a, end_ = np.maximum(a, begin), np.minimum(end_, end)
+        b = np.where(known, end_, a)
         while True:  # least place in the bucket whose low bits reach the target
             open_ = np.flatnonzero(a < b)
             if not len(open_):
@@ -107,7 +135,7 @@ class EliasFano:
             less = self.low_bits(middle) < target[open_]
             a[open_[less]] = middle[less] + 1
             b[open_[~less]] = middle[~less]
-        inside = a < end
+        inside = known & (a < end_)
         found = np.where(inside, a, 0)
         inside &= self.low_bits(found) == target
         return np.where(inside, found, -1)
@@ -116,71 +144,174 @@ class EliasFano:
         return {"lower": self.lower, "upper": self.upper, "ones": self.ones}
 
 
+class Level:
+    """Ids in ranges, ascending within each, as one monotone sequence: each range goes on from the last number
+    of the one before it. Pointers, in the same code, say where ranges begin."""
+
+    def __init__(self, pointers: EliasFano, ids: EliasFano):
+        self.pointers, self.ids = pointers, ids
+
+    @staticmethod
+    def build(ranges: np.ndarray, ids: np.ndarray, n_ranges: int) -> Level:
+        """``ranges``: the range's number per id, ascending; ``ids`` ascend within a range."""
+        starts = np.searchsorted(ranges, np.arange(n_ranges + 1))
+        last = np.zeros(n_ranges + 1, dtype=np.int64)
+        filled = np.flatnonzero(np.diff(starts))
+        last[filled + 1] = ids[starts[filled + 1] - 1]
+        numbers = ids + np.cumsum(last)[ranges]
+        universe = int(numbers[-1]) + 1 if len(numbers) else 1
+        return Level(EliasFano.build(starts, len(ids) + 1), EliasFano.build(numbers, universe))
+
+    def range_of(self, number: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Begin and end of ranges, and what stands before their ids; a negative number is an empty range."""
+        none, number = number < 0, np.maximum(number, 0)
+        begin, end = self.pointers.access(number), self.pointers.access(number + 1)
+        if not self.ids.n:
+            return begin, begin, begin
+        before = np.where(begin > 0, self.ids.access(np.maximum(begin, 1) - 1), 0)
+        return begin, np.where(none, begin, end), before
+
+    def find(self, ids: np.ndarray, begin: np.ndarray, end: np.ndarray, before: np.ndarray) -> np.ndarray:
+        """Places of the ids in their ranges; -1 for a negative id or one that the range lacks."""
+        place = np.full(len(ids), -1, dtype=np.int64)
+        some = np.flatnonzero((ids >= 0) & (begin < end))
+        place[some] = self.ids.find(ids[some] + before[some], begin[some], end[some])
+        return place
+
+
 class Trie:
-    """Words that follow contexts, with quantised probabilities.
+    """Words after one and two words, with quantised probabilities and back-off weights.
 
-    Level 1 has the contexts, ascending, as plain numbers with their counts; it has no pointers into level 2.
-    Level 2 has each context's successors as ids of the shard's dictionary, with the context's number times the
-    dictionary's size added, so that the level is one monotone sequence in Elias-Fano code; a pair is searched
-    in the whole of it. Each successor has one byte, a place in the table of log10 probabilities. All levels are
-    files of ``folder``, mapped and not read.
+    A context v has a range of successors w and a range of the words u before it; each pair (u, v) has a range
+    of successors. Ids are places in the shard's dictionary, except in the last level: there an id is the
+    word's place among the successors of v, so it stays small. All levels are monotone sequences in Elias-Fano
+    code with monotone pointers, and a search stays between two pointers. Probabilities and weights are bytes,
+    places in tables of log10 values. All arrays are files of ``folder``, mapped and not read.
     """
 
-    def __init__(self, folder: Path, n: int, low: int):
+    def __init__(self, folder: Path, shapes: dict[str, tuple[int, int]]):
         def load(name: str) -> np.ndarray:
             return np.load(folder / f"{name}.npy", mmap_mode="r")
 
-        self.words, self.contexts, self.counts = load("words"), load("contexts"), load("counts")
-        self.codes, self.table = load("codes"), load("table")
-        self.successors = EliasFano(n, low, load("lower"), load("upper"), load("ones"))
+        def sequence(name: str) -> EliasFano:
+            return EliasFano(*shapes[name], *(load(f"{name}-{part}") for part in ("lower", "upper", "ones")))
+
+        self.words, self.heads = load("words"), load("heads")
+        self.after, self.before, self.after_two = (Level(sequence(f"{x}-at"), sequence(x)) for x in LEVELS)
+        self.codes = {x: (load(f"{x}-codes"), load(f"{x}-table")) for x in ("two", "two-rest", "three", "three-rest")}
 
     @staticmethod
-    def build(folder: Path, context: np.ndarray, word: np.ndarray, count: np.ndarray, totals, weight: float) -> Trie:
-        """From different (context, word) pairs, sorted by context, with counts.
+    def build(
+        folder: Path, u: np.ndarray, v: np.ndarray, w: np.ndarray, count: np.ndarray, totals, weight: float, alone: np.ndarray
+    ) -> Trie:
+        """From different triples, sorted by (v, u, w), with counts.
 
-        ``totals``: function from contexts to their counts in the whole training text. The probability of a
-        successor is count / (total + weight); the rest is left for words not seen there.
+        ``totals``: function from words to their counts as contexts. The probability of a successor is count /
+        (total + weight), and the rest is left for words not seen there. No pair is stored for the contexts
+        v of ``alone``.
         """
-        words = np.unique(word)
-        contexts, first = np.unique(context, return_index=True)
-        number = np.searchsorted(contexts, context)
-        own = np.searchsorted(words, word)
-        order = np.lexsort((own, number))
-        sequence = (number * len(words) + own)[order]
-        counts = totals(contexts)
-        logs = np.log10(count[order] / (counts[number[order]] + weight))
-        codes, table = quantise(logs)
-        level = EliasFano.build(sequence, max(1, len(contexts) * len(words)))
-        files = {
-            "words": words,
-            "contexts": contexts,
-            "counts": counts,
-            "codes": codes,
-            "table": table,
-            **level.arrays(),
+        words = np.unique(np.concatenate([u, w]))
+        heads, head = np.unique(v, return_inverse=True)
+        u, w = np.searchsorted(words, u), np.searchsorted(words, w)
+        # Pairs (v, w): the successors of one word.
+        order = np.lexsort((w, head))
+        new = _changes(head[order], w[order])
+        first = np.flatnonzero(new)
+        pair_head, pair_word = head[order][first], w[order][first]
+        pair_count = np.add.reduceat(count[order], first) if len(first) else count
+        start = np.searchsorted(pair_head, np.arange(len(heads)))
+        relative = np.empty(len(order), dtype=np.int64)
+        relative[order] = np.cumsum(new) - 1 - start[head[order]]
+        total = totals(heads)
+        # Pairs (u, v) with their successors, as places among those of v.
+        long = ~np.isin(v, alone)
+        u, count, relative, owner = u[long], count[long], relative[long], head[long]
+        new = _changes(owner, u)
+        first = np.flatnonzero(new)
+        number = np.cumsum(new) - 1
+        two_total = np.add.reduceat(count, first) if len(first) else count
+        levels = {
+            "after": Level.build(pair_head, pair_word, len(heads)),
+            "before": Level.build(owner[first], u[first], len(heads)),
+            "after-two": Level.build(number, relative, len(first)),
         }
+        logs = {
+            "two": np.log10(pair_count / (total[pair_head] + weight)),
+            "two-rest": np.log10(weight / (total + weight)),
+            "three": np.log10(count / (two_total[number] + weight)),
+            "three-rest": np.log10(weight / (two_total + weight)),
+        }
+        files, shapes = {"words": words, "heads": heads}, {}
+        for name, level in levels.items():
+            for key, sequence in ((name, level.ids), (f"{name}-at", level.pointers)):
+                files |= {f"{key}-{part}": array for part, array in sequence.arrays().items()}
+                shapes[key] = (sequence.n, sequence.low)
+        for name, values in logs.items():
+            files[f"{name}-codes"], files[f"{name}-table"] = quantise(values)
         for name, array in files.items():
             np.save(folder / f"{name}.npy", array)
-        return Trie(folder, level.n, level.low)
-
-    def log10(self, context: np.ndarray, word: np.ndarray, at_once: int = 100_000) -> np.ndarray:
-        """log10 probability of each word after its context; NaN where the pair was not seen."""
-        parts = range(0, max(len(word), 1), at_once)
-        return np.concatenate([self._log10(context[k : k + at_once], word[k : k + at_once]) for k in parts])
-
-    def _log10(self, context: np.ndarray, word: np.ndarray) -> np.ndarray:
-        out = np.full(len(word), np.nan)
-        if not len(self.contexts) or not len(word):
-            return out
-        c = np.minimum(np.searchsorted(self.contexts, context), len(self.contexts) - 1)
-        w = np.minimum(np.searchsorted(self.words, word), len(self.words) - 1)
-        both = np.flatnonzero((self.contexts[c] == context) & (self.words[w] == word))
-        place = self.successors.find(c[both] * np.int64(len(self.words)) + w[both])
+        return Trie(folder, shapes)
+
+    def log10(
+        self, u: np.ndarray, v: np.ndarray, w: np.ndarray, order: int = 3, at_once: int = 200_000
+    ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """For triples sorted by (v, u): log10 probability after (u, v), NaN if not seen; log10 weight of what is left
+        there; and log10 probability of w after v, NaN if not seen."""
+        cuts = range(0, max(len(w), 1), at_once)
+        parts = [self._log10(*(x[k : k + at_once] for x in (u, v, w)), order) for k in cuts]
+        return tuple(np.concatenate(x) for x in zip(*parts))
+
+    def _log10(self, u: np.ndarray, v: np.ndarray, w: np.ndarray, order: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        # Contexts and pairs once, however many words follow them.
+        first = np.flatnonzero(_changes(v))
+        times = np.diff(np.append(first, len(v)))
+        head = _place(self.heads, v[first])
+        successors = [np.repeat(x, times) for x in self.after.range_of(head)]
+        place = self.after.find(_place(self.words, w), *successors)
+        two = self._value("two", place)
+        if order == 2:
+            return np.full(len(w), np.nan), np.zeros(len(w)), two
+        pair = np.flatnonzero(_changes(v, u))
+        per = np.diff(np.append(pair, len(v)))
+        of = np.searchsorted(first, pair, side="right") - 1
+        ranges = [x[of] for x in self.before.range_of(head)]
+        context = self.before.find(_place(self.words, u[pair]), *ranges)
+        seen = [np.repeat(x, per) for x in self.after_two.range_of(context)]
+        relative = np.where(place >= 0, place - successors[0], -1)
+        three = self._value("three", self.after_two.find(relative, *seen))
+        rest = np.nan_to_num(self._value("three-rest", context))
+        return three, np.repeat(rest, per), two
+
+    def left(self, v: np.ndarray) -> np.ndarray:
+        """log10 of what a context leaves for words not seen after it; 0 for one that was not seen."""
+        return np.nan_to_num(self._value("two-rest", _place(self.heads, v)))
+
+    def _value(self, name: str, place: np.ndarray) -> np.ndarray:
+        codes, table = self.codes[name]
+        out = np.full(len(place), np.nan)
         seen = place >= 0
-        out[both[seen]] = self.table[self.codes[place[seen]]]
+        out[seen] = table[codes[place[seen]]]
         return out
 
 
+LEVELS = ("after", "before", "after-two")
+
+
+def _changes(*keys: np.ndarray) -> np.ndarray:
+    """Where a sorted row differs from the one before it."""
+    new = np.ones(len(keys[0]), dtype=bool)
+    new[1:] = np.logical_or.reduce([k[1:] != k[:-1] for k in keys])
+    return new
+
+
+def _place(keys: np.ndarray, asked: np.ndarray) -> np.ndarray:
+    """Place of each asked key among the sorted ``keys``, or -1."""
+    if not len(keys):
+        return np.full(len(asked), -1, dtype=np.int64)
+    at = np.minimum(np.searchsorted(keys, asked), len(keys) - 1)
+    return np.where(keys[at] == asked, at, -1)
+
+
 def quantise(logs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """One byte per value: places in a table of means of 256 equally wide bins."""
     if not len(logs):

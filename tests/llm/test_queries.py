@@ -11,8 +11,10 @@ import numpy as np
 import public_tokenizers
 import pytest
 from brute import FOLDER
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
+from orderlens.llm import lm
 from orderlens.llm.queries import ORACLES, QUERIES
 
 
@@ -115,30 +117,63 @@ def test_jaccard(spark, texts):
     assert got == brute.groups(texts)
 
 
-def test_lm(spark, texts):
-    train = {i for i in texts if zlib.crc32(str(i).encode()) % 7 != 2}
+def brute_lm(texts, train, order: int = 3, m: float = 4.0):
+    """Per text: tokens, base and model logarithm."""
     tokens = {i: [*brute.blanks(t), None] for i, t in texts.items()}
-    one, two, before = Counter(), Counter(), Counter()
+    one, two, three, before, pairs = Counter(), Counter(), Counter(), Counter(), Counter()
     for i in train:
-        one.update(tokens[i])
-        two.update(zip([0, *tokens[i]], tokens[i]))
-        before.update([0, *tokens[i]][:-1])
-    n, v, m = sum(one.values()), len(one), 4.0
-    for r in rows(spark, "op9_lm_scores"):
-        own = tokens[r.doc_id]
-        assert (r.held_out, r.n_tokens, r.train_tokens) == (r.doc_id not in train, len(own), n)
-        assert r.n_known == sum(one[w] > 0 for w in own)
-        assert r.base_score == pytest.approx(sum(log10((one[w] + 1) / (n + v + 1)) for w in own))
+        own = [0, *tokens[i]]
+        one.update(own[1:])
+        two.update(zip(own, own[1:]))
+        before.update(own[:-1])
+        three.update(zip(own, own[1:], own[2:]))
+        pairs.update(zip(own[:-1], own[1:-1]))
+    n, v = sum(one.values()), len(one)
+    for i, own in tokens.items():
+        unigram = [log10((one[w] + 1) / (n + v + 1)) for w in own]
         score = 0.0
-        for a, b in zip([0, *own], own):
+        for k, (p, b) in enumerate(zip(unigram, own)):
+            a = own[k - 1] if k else 0
             if two[a, b]:
-                score += log10(two[a, b] / (before[a] + m))
+                p = log10(two[a, b] / (before[a] + m))
             else:
-                score += log10(m / (before[a] + m)) + log10((one[b] + 1) / (n + v + 1))
+                p += log10(m / (before[a] + m))
+            if k and order == 3:
+                u = own[k - 2] if k > 1 else 0
+                if three[u, a, b]:
+                    p = log10(three[u, a, b] / (pairs[u, a] + m))
+                else:
+                    p += log10(m / (pairs[u, a] + m))
+            score += p
+        yield i, own, sum(one[w] > 0 for w in own), n, sum(unigram), score
+
+
+def test_lm(spark, texts):
+    train = {i for i in texts if zlib.crc32(str(i).encode()) % 7 != 2}
+    want = {i: rest for i, *rest in brute_lm(texts, train)}
+    for r in rows(spark, "op9_lm_scores"):
+        own, known, n, base, score = want[r.doc_id]
+        assert (r.held_out, r.n_tokens, r.train_tokens) == (r.doc_id not in train, len(own), n)
+        assert r.n_known == known
+        assert r.base_score == pytest.approx(base)
         # One byte per probability: a 256th of the range.
         assert abs(score - r.score) <= 0.02 * len(own)
 
 
+@pytest.mark.parametrize("order, shard_events", [(2, 2_000_000), (2, 3_000), (3, 3_000)])
+def test_lm_orders_and_split_contexts(spark, texts, order, shard_events):
+    """Small shards split many contexts; a text of one word repeated is a hot context as well."""
+    texts = dict(sorted(texts.items())[:120]) | {-1: "same " * 5000, -2: "", -3: "same other"}
+    train = {i for i in texts if i % 3}
+    want = {i: rest for i, *rest in brute_lm(texts, train, order)}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(3)
+    for r in lm.score(docs, F.col("doc_id") % 3 != 0, order=order, shard_events=shard_events).collect():
+        own, known, n, base, score = want[r.doc_id]
+        assert (r.n_tokens, r.n_known, r.train_tokens) == (len(own), known, n)
+        assert r.base_score == pytest.approx(base)
+        assert abs(score - r.score) <= 0.02 * len(own)
+
+
 def test_records(spark, texts):
     ids, want, at = token_ids(texts, "byte_bpe_50k.json", 2), {}, 0
     for i in sorted(ids):
