@@ -25,14 +25,17 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from orderlens.llm.text import mix, small_batches, word_hashes
+from orderlens.llm.text import hand_back, mix, small_batches, word_hashes
 from orderlens.llm.trie import Trie, _changes
 from orderlens.operators.storage import store
 
 #: Events of one shard, and events that a task gathers before it sends them.
 SHARD_EVENTS, STRETCH_EVENTS = 2_000_000, 1_000_000
+#: The commonest words, which stand as two bytes wherever a dictionary is sent (8 bytes each in every task).
+CODED = 1 << 16
 #: Ids of the end of a text, and of what stands before its first word.
 END, BEGIN = np.uint64(1), np.uint64(2)
+BEGIN_ONLY = np.array([BEGIN])
 
 
 def tokens(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
@@ -91,11 +94,15 @@ def _lengths(new: np.ndarray) -> np.ndarray:
     return np.diff(np.append(np.flatnonzero(new), len(new)))
 
 
-def _events(docs: DataFrame, frequent: np.ndarray, shards: int) -> DataFrame:
+def _decoded(codes: np.ndarray, rare: np.ndarray, coded: np.ndarray) -> np.ndarray:
+    return np.concatenate([coded[codes], rare])
+
+
+def _events(docs: DataFrame, frequent: np.ndarray, coded: np.ndarray, shards: int) -> DataFrame:
     """Blobs of events by shard: different triples once, and for each the texts of the stretch that have it.
 
-    A stretch is what a task gathers before it sends. Words stand as places in the blob's own dictionary. One
-    more blob per stretch, under a negative shard, says which rows its texts are and how many tokens they have.
+    A stretch is what a task gathers before it sends. Words stand as places in the blob's own dictionary, which
+    has the places of common words among ``coded`` and the ids of the others. One more blob per stretch, under a negative shard, says which rows its texts are and how many tokens they have.
     """
     small_batches(docs.sparkSession)
 
@@ -117,6 +124,9 @@ def _events(docs: DataFrame, frequent: np.ndarray, shards: int) -> DataFrame:
         u[1:] = v[:-1]
         u[start] = begin
         spread = mix(words)
+        code = np.searchsorted(coded, words)
+        if len(coded):
+            code[coded[np.minimum(code, len(coded) - 1)] != words] = len(coded)
         key = spread[v]
         split = np.isin(words, frequent)[v]
         key[split] = mix(words[v[split]] + spread[u[split]])
@@ -136,9 +146,13 @@ def _events(docs: DataFrame, frequent: np.ndarray, shards: int) -> DataFrame:
             triple, pair, head = _changes(h, l), _changes(h, l >> 32), _changes(h)
             v, u, w = h[head] & 0xFFFFFFFF, l[pair] >> 32, l[triple] & 0xFFFFFFFF
             used, places = np.unique(np.concatenate([v, u, w]), return_inverse=True)
-            v, u, w = np.split(places, [len(v), len(v) + len(u)])
+            # Common words first in the blob's dictionary.
+            is_coded = code[used] < len(coded)
+            place = np.where(is_coded, np.cumsum(is_coded), is_coded.sum() + np.cumsum(~is_coded)) - 1
+            dictionary = code[used[is_coded]], words[used[~is_coded]]
+            v, u, w = np.split(place[places], [len(v), len(v) + len(u)])
             spreads = _lengths(head[pair]), _lengths(pair[triple]), _lengths(triple)
-            rows.append((int(h[0] >> 32), bundle(words[used], v, u, w, *spreads, mark[a:b], times[a:b])))
+            rows.append((int(h[0] >> 32), bundle(*dictionary, v, u, w, *spreads, mark[a:b], times[a:b])))
         shard_column, data = zip(*rows)
         return pa.RecordBatch.from_arrays(
             [pa.array(shard_column, pa.int64()), pa.array([stretch] * len(rows), pa.int64()), pa.array(data, pa.binary())],
@@ -158,6 +172,8 @@ def _events(docs: DataFrame, frequent: np.ndarray, shards: int) -> DataFrame:
                 held, size, number = [], 0, number + 1
         if size:
             yield pack(held, (part << 32) + number)
+        del held
+        hand_back()
 
     return docs.mapInArrow(run, "shard long, stretch long, data binary")
 
@@ -167,7 +183,9 @@ def _events(docs: DataFrame, frequent: np.ndarray, shards: int) -> DataFrame:
 ANSWER = "stretch long, rows binary, sums binary, back binary, pairs binary"
 
 
-def _answers(events: DataFrame, frequent: dict[int, int], training_texts: int, weight: float, order: int) -> DataFrame:
+def _answers(
+    events: DataFrame, frequent: dict[int, int], coded: np.ndarray, training_texts: int, weight: float, order: int
+) -> DataFrame:
     """Per shard and stretch, sums over the texts of the stretch that occur in the shard, and what backs off.
 
     What is left to a frequent context's pairs is marked with the context, as its counts are spread over shards;
@@ -180,43 +198,51 @@ def _answers(events: DataFrame, frequent: dict[int, int], training_texts: int, w
         shard, stretch, data = (table.column(c).to_pylist() for c in ("shard", "stretch", "data"))
         if shard[0] < 0:
             return answer([(s, d, b"", b"", b"") for s, d in zip(stretch, data)])
+        # The shard's own dictionary; words are places in it, BEGIN among them.
+        blobs = [unbundle(blob) for blob in data]
+        words = np.unique(np.concatenate([BEGIN_ONLY, *(_decoded(*b[:2], coded) for b in blobs)]))
         parts, marks, bounds = [], [], [0]
-        for blob in data:
-            words, v, u, w, per_head, per_pair, entries, mark, times = unbundle(blob)
-            u, per_v = np.repeat(u, per_pair), np.repeat(v, per_head)
-            parts.append((words[u], words[np.repeat(per_v, per_pair)], words[w], entries))
-            marks.append((mark >> 1, mark & 1, times))
+        for codes, rare, v, u, w, per_head, per_pair, entries, mark, times in blobs:
+            own = np.searchsorted(words, _decoded(codes, rare, coded)).astype(np.int32)
+            per_v = np.repeat(v, per_head)
+            parts.append((own[np.repeat(u, per_pair)], own[np.repeat(per_v, per_pair)], own[w], entries))
+            marks.append((mark, times))
             bounds.append(bounds[-1] + len(w))
         u, v, w, entries = (np.concatenate(x) for x in zip(*parts))
-        del parts, data
-        trained = np.concatenate([m[1].astype(np.int64) * m[2] for m in marks])
-        ends = np.cumsum(entries, dtype=np.int64)
-        count = np.add.reduceat(trained, ends - entries)
+        del parts, data, blobs
+        trained = np.concatenate([(m & 1).astype(np.int32) * t for m, t in marks])
+        starts = np.cumsum(entries, dtype=np.int64) - entries
+        count = np.add.reduceat(trained, starts, dtype=np.int64)
+        del starts, trained
         # Triples of all stretches once; ``at`` leads from a stretch's triple to it.
-        by = np.lexsort((w, u, v))
-        new = _changes(v[by], u[by], w[by])
-        at = np.empty(len(by), dtype=np.int64)
+        context = v.astype(np.int64) << 32 | u
+        by = np.lexsort((w, context))
+        new = _changes(context[by], w[by])
+        del context
+        at = np.empty(len(by), dtype=np.int32)
         at[by] = np.cumsum(new) - 1
         first = np.flatnonzero(new)
         u, v, w, count = u[by][first], v[by][first], w[by][first], np.add.reduceat(count[by], first)
-        del by, trained
+        del by, new
         used = count > 0
         tu, tv, tw, tn = u[used], v[used], w[used], count[used]
         # Training counts of the shard's contexts: as words, they are counted where they are contexts.
         head = np.flatnonzero(_changes(tv))
         seen, counts = tv[head], np.add.reduceat(tn, head) if len(head) else tn
 
+        begin = np.searchsorted(words, BEGIN)
+        here = np.isin(words, common)  # contexts that are split over shards
+        spread_counts = _count_of(words, common, common_counts)
+
         def totals(c: np.ndarray) -> np.ndarray:
-            own = _count_of(c, seen, counts)
-            if len(common):  # contexts that are split over shards
-                own = np.maximum(own, _count_of(c, common, common_counts))
-            return np.where(c == BEGIN, training_texts, own)
+            own = np.maximum(_count_of(c, seen, counts), spread_counts[c])
+            return np.where(c == begin, training_texts, own)
 
         c = totals(v)
-        split = np.isin(v, common)
+        split = here[v]
         folder = Path(tempfile.mkdtemp(prefix="trie-"))  # read by this task alone, removed at its end
         try:
-            trie = Trie.build(folder, tu, tv, tw, tn, totals, weight, np.array([BEGIN]))
+            trie = Trie.build(folder, tu, tv, tw, tn, totals, weight, np.array([begin]))
             three, rest, two = trie.log10(u, v, w, order)
             rest_two = trie.left(v)
             del trie
@@ -226,26 +252,31 @@ def _answers(events: DataFrame, frequent: dict[int, int], training_texts: int, w
         shorter = np.where(split, -np.log10(c + weight), np.where(np.isnan(two), rest_two, two))
         model = np.where(np.isnan(three), rest + shorter, three)
         back = np.isnan(three) & (split | np.isnan(two))
-        real = v != BEGIN  # each word is a context once, so its unigram count is at hand
+        real = v != begin  # each word is a context once, so its unigram count is at hand
         base = np.where(real, np.log10(c + 1), 0.0)
         known = (real & (c > 0)).astype(np.float64)
-        context = np.where(split, v, np.uint64(0))
         rows = []
-        for k, (text, _, times) in enumerate(marks):
+        for k, (mark, times) in enumerate(marks):
+            text = mark >> 1
             mine = at[bounds[k] : bounds[k + 1]]
             per = entries[bounds[k] : bounds[k + 1]]
             which = np.repeat(mine, per)
             texts, own = np.unique(text, return_inverse=True)
             sums = [np.bincount(own, x[which] * times, len(texts)) for x in (known, base, model)]
             far = back[which]
-            off = bundle(text[far], context[which[far]], w[which[far]], times[far])
-            rows.append((stretch[k], b"", bundle(texts, sums[0].astype(np.int64), *sums[1:]), off, b""))
-        mine = np.isin(tv, common)
+            left = which[far]
+            context = np.where(split[left], words[v[left]], np.uint64(0))
+            off = bundle(text[far], context, words[w[left]], times[far])
+            # The model's sums are rounded to a byte per probability anyway.
+            totalled = bundle(texts, sums[0].astype(np.int64), sums[1], sums[2].astype(np.float32))
+            rows.append((stretch[k], b"", totalled, off, b""))
+        mine = here[tv]
         if mine.any():
             by = np.lexsort((tw[mine], tv[mine]))
             pv, pw, pn = tv[mine][by], tw[mine][by], tn[mine][by]
             first = np.flatnonzero(_changes(pv, pw))
-            rows.append((-1, b"", b"", b"", bundle(pv[first], pw[first], np.add.reduceat(pn, first))))
+            rows.append((-1, b"", b"", b"", bundle(words[pv[first]], words[pw[first]], np.add.reduceat(pn, first))))
+        hand_back()
         return answer(rows)
 
     def answer(rows: list[tuple]) -> pa.Table:
@@ -352,8 +383,10 @@ def score(docs: DataFrame, train: Column, weight: float = 4.0, order: int = 3, s
     # Words that would fill a quarter of a shard by themselves: fewer than four per shard.
     frequent = {r["word"]: r["n"] for r in counts.filter(F.col("n") * 4 * shards > words).collect()}
     split = np.array(list(frequent), dtype=np.int64).view(np.uint64)
-    events = _events(rows.drop("doc_id"), split, shards)
-    answers = store(_answers(events, frequent, texts, weight, order), "answers")
+    commonest = counts.orderBy(F.desc("n"), "word").select("word").limit(CODED).collect()
+    coded = np.sort(np.array([r["word"] for r in commonest], dtype=np.int64).view(np.uint64))
+    events = _events(rows.drop("doc_id"), split, coded, shards)
+    answers = store(_answers(events, frequent, coded, texts, weight, order), "answers")
     size = float(np.log10(train_tokens + vocabulary + 1))
     n = F.when(F.col("word") == int(END), F.lit(int(texts))).otherwise(F.coalesce("n", F.lit(0)))
     one = F.log10(n + 1.0) - size

@@ -258,7 +258,7 @@ class Trie:
         """For triples sorted by (v, u): log10 probability after (u, v), NaN if not seen; log10 weight of what is left
         there; and log10 probability of w after v, NaN if not seen."""
         cuts = range(0, max(len(w), 1), at_once)
-        parts = [self._log10(*(x[k : k + at_once] for x in (u, v, w)), order) for k in cuts]
+        parts = [[x.astype(np.float32) for x in self._log10(*(x[k : k + at_once] for x in (u, v, w)), order)] for k in cuts]
         return tuple(np.concatenate(x) for x in zip(*parts))
 
     def _log10(self, u: np.ndarray, v: np.ndarray, w: np.ndarray, order: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
