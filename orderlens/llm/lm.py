@@ -179,12 +179,13 @@ def _events(docs: DataFrame, frequent: np.ndarray, coded: np.ndarray, shards: in
 
 
 #: ``rows``: ids and sizes of a stretch's texts; ``sums``: texts, words known, unigram and model logarithms; ``back``:
-#: text, context and word of what backs off, and how often; ``pairs``: counts of contexts that are split.
+#: text, context and word of what backs off, and how often; ``pairs``: counts of
+#: split contexts, by bucket of the word, with a negative stretch.
 ANSWER = "stretch long, rows binary, sums binary, back binary, pairs binary"
 
 
 def _answers(
-    events: DataFrame, frequent: dict[int, int], coded: np.ndarray, training_texts: int, weight: float, order: int
+    events: DataFrame, frequent: dict[int, int], coded: np.ndarray, shards: int, training_texts: int, weight: float, order: int
 ) -> DataFrame:
     """Per shard and stretch, sums over the texts of the stretch that occur in the shard, and what backs off.
 
@@ -272,10 +273,15 @@ def _answers(
             rows.append((stretch[k], b"", totalled, off, b""))
         mine = here[tv]
         if mine.any():
-            by = np.lexsort((tw[mine], tv[mine]))
-            pv, pw, pn = tv[mine][by], tw[mine][by], tn[mine][by]
+            pv, pw, pn = words[tv[mine]], words[tw[mine]], tn[mine]
+            bucket = (mix(pw) % np.uint64(max(1, shards // 8))).astype(np.int64)
+            by = np.lexsort((pv, pw, bucket))
+            bucket, pv, pw, pn = bucket[by], pv[by], pw[by], pn[by]
             first = np.flatnonzero(_changes(pv, pw))
-            rows.append((-1, b"", b"", b"", bundle(words[pv[first]], words[pw[first]], np.add.reduceat(pn, first))))
+            bucket, pv, pw, pn = bucket[first], pv[first], pw[first], np.add.reduceat(pn, first)
+            edge = np.flatnonzero(_changes(bucket))
+            for i, j in zip(edge, [*edge[1:], len(bucket)]):
+                rows.append((-1 - int(bucket[i]), b"", b"", b"", bundle(pv[i:j], pw[i:j], pn[i:j])))
         hand_back()
         return answer(rows)
 
@@ -340,22 +346,26 @@ NO_BACK = [np.zeros(0, dtype=t) for t in (np.uint8, np.uint64, np.uint64, np.uin
 
 
 def _after_frequent(answers: DataFrame) -> DataFrame:
-    """``word`` and ``after``: how often it follows each frequent context in training, by context."""
-
-    def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for blob in batch.column("pairs").to_pylist():
-                context, word, n = unbundle(blob)
-                arrays = [pa.array(x.astype(np.uint64).view(np.int64)) for x in (context, word, n)]
-                yield pa.RecordBatch.from_arrays(arrays, names=["context", "word", "n"])
+    """``follower`` and ``after``: how often the word follows each frequent context in training, by context."""
+
+    def merge(table: pa.Table) -> pa.Table:
+        context, word, n = (np.concatenate(x) for x in zip(*map(unbundle, table.column("pairs").to_pylist())))
+        by = np.lexsort((context, word))
+        context, word, n = context[by], word[by], n[by].astype(np.int64)
+        first = np.flatnonzero(_changes(word, context))
+        context, word, n = context[first], word[first], np.add.reduceat(n, first)
+        head = np.flatnonzero(_changes(word))
+        # A word has at most one entry per frequent context.
+        after = pa.MapArray.from_arrays(
+            pa.array(np.append(head, len(word)), pa.int32()), pa.array(context.view(np.int64)), pa.array(n)
+        )
+        return pa.table({"follower": pa.array(word[head].view(np.int64)), "after": after})
 
-    found = answers.filter("stretch < 0").select("pairs").mapInArrow(pairs, "context long, word long, n long")
-    # A word has at most one entry per frequent context.
     return (
-        found.groupBy("word", "context")
-        .agg(F.sum("n").alias("n"))
-        .groupBy(F.col("word").alias("follower"))
-        .agg(F.map_from_entries(F.collect_list(F.struct("context", "n"))).alias("after"))
+        answers.filter("stretch < 0")
+        .select("stretch", "pairs")
+        .groupBy("stretch")
+        .applyInArrow(merge, "follower long, after map<long, long>")
     )
 
 
@@ -386,7 +396,7 @@ def score(docs: DataFrame, train: Column, weight: float = 4.0, order: int = 3, s
     commonest = counts.orderBy(F.desc("n"), "word").select("word").limit(CODED).collect()
     coded = np.sort(np.array([r["word"] for r in commonest], dtype=np.int64).view(np.uint64))
     events = _events(rows.drop("doc_id"), split, coded, shards)
-    answers = store(_answers(events, frequent, coded, texts, weight, order), "answers")
+    answers = store(_answers(events, frequent, coded, shards, texts, weight, order), "answers")
     size = float(np.log10(train_tokens + vocabulary + 1))
     n = F.when(F.col("word") == int(END), F.lit(int(texts))).otherwise(F.coalesce("n", F.lit(0)))
     one = F.log10(n + 1.0) - size
