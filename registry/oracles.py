@@ -6,6 +6,8 @@ plain global windows here; the Spark side has no such window.
 
 from __future__ import annotations
 
+from registry import logistic
+
 PREFIX = """
 WITH txn AS (
   SELECT o_orderkey::VARCHAR AS transaction_id, o_orderkey::VARCHAR AS order_key,
@@ -397,4 +399,20 @@ _BODIES = {
         sum(support)::BIGINT FROM rates""",
 }
 
-ORACLES = {name: PREFIX + body for name, body in _BODIES.items()}
+# The features of the two logistic regressions.
+_CHURN_NUMBERS = [
+    "age", "loyalty_score", "views", "clicks", "purchases", "errors", "signups", "avg_event_value", "orders_n", "gmv",
+    "aov", "avg_discount", "avg_ship_delay", "fraud_rate", "recency_days", "tenure_days", "reg_tenure_days",
+]
+_FRAUD_NUMBERS = [
+    "order_value", "discount_applied", "shipping_delay_days", "age", "loyalty_score", "margin_percentage", "popularity_score",
+]
+_FRAUD_LEVELS = ["payment_method", "device_type", "gender", "country", "category"]
+
+ORACLES = {
+    **{name: PREFIX + body for name, body in _BODIES.items()},
+    **logistic.twins(
+        PREFIX, "churn", _BODIES["churn_features"], "customer_id", _CHURN_NUMBERS, ["gender", "country"]
+    ),
+    **logistic.twins(PREFIX, "fraud", _BODIES["fraud_features"], "transaction_id", _FRAUD_NUMBERS, _FRAUD_LEVELS),
+}

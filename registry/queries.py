@@ -25,6 +25,7 @@ from orderlens.plans import (
 from orderlens.sources import readers, writers
 from orderlens.sources.star import StarTables
 from orderlens.views import register_views
+from registry import logistic
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -574,6 +575,11 @@ def fraud_trees(star: StarTables) -> training.Fitted:
     )
 
 
+def rounded(df: DataFrame, name: str) -> DataFrame:
+    """One column to the digits that its SQL twin is compared in."""
+    return df.withColumn(name, F.round(name, logistic.DIGITS))
+
+
 @query
 def txn_features(star: StarTables) -> DataFrame:
     return features.order_features(star.transactions())
@@ -638,12 +644,12 @@ def churn_forest(star: StarTables) -> DataFrame:
 
 @query
 def churn_scores(star: StarTables) -> DataFrame:
-    return churn_logistic(star).scores
+    return rounded(churn_logistic(star).scores, "probability")
 
 
 @query
 def churn_coefs(star: StarTables) -> DataFrame:
-    return training.coefficients(churn_logistic(star))
+    return rounded(training.coefficients(churn_logistic(star)), "coefficient")
 
 
 @query
@@ -663,12 +669,12 @@ def fraud_forest(star: StarTables) -> DataFrame:
 
 @query
 def fraud_scores(star: StarTables) -> DataFrame:
-    return fraud_logistic(star).scores
+    return rounded(fraud_logistic(star).scores, "probability")
 
 
 @query
 def fraud_coefs(star: StarTables) -> DataFrame:
-    return training.coefficients(fraud_logistic(star))
+    return rounded(training.coefficients(fraud_logistic(star)), "coefficient")
 
 
 @query
