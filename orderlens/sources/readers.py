@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from orderlens.functions import clean_id, to_margin, to_timestamp
 from orderlens.plans.tables import typed_orders
+from orderlens.sources import quoted
 
 LABELS = {"churn_label", "fraud_label"}
 DIMENSION_TEXT = {"country", "gender", "category"}
@@ -99,10 +100,15 @@ def _number(name: str) -> Column:
 def read_csv(spark: SparkSession, path: str) -> DataFrame:
     """CSV with a header line as text columns, header names trimmed, missing values null.
 
-    A quote inside a quoted field is doubled. Text keeps the scan to one pass (no type inference); ``typed_orders`` and the
-    feature tables coerce the values, bad ones to null.
+    A quote inside a quoted field is doubled. Fields may hold line feeds: if a first pass finds a line that leaves a
+    quote open, the records are put together from their lines, still by many tasks a file. There is no type
+    inference; ``typed_orders`` and the feature tables coerce the values, bad ones to null.
     """
-    df = spark.read.option("header", True).option("escape", '"').csv(path)
+    lines = quoted.lines_of(spark, path)
+    if quoted.has_open_lines(lines):
+        df = quoted.table(lines)
+    else:
+        df = spark.read.option("header", True).option("escape", '"').csv(path)
     names = [name.strip() for name in df.columns]
     repeated = sorted({name for name in names if names.count(name) > 1})
     if repeated:

@@ -65,7 +65,7 @@ class StarTables:
         """The order columns as padded text, some amounts and dates unreadable.
 
         Dates come in four formats, some amounts have three places, and a note has
-        quotes, a comma and sometimes a word for a missing value.
+        quotes, a comma, in every third order a line feed, and sometimes a word for a missing value.
         """
         key = F.col("o_orderkey")
         amount = F.col("o_totalprice").cast("decimal(18,2)").cast("string")
@@ -73,7 +73,8 @@ class StarTables:
         date = F.date_format("o_orderdate", "MM/dd/yyyy")
         for rest, form in ((1, "MMM d yyyy"), (2, "yyyyMMdd"), (3, "MM/dd/yy")):
             date = F.when(key % 4 == rest, F.date_format("o_orderdate", form)).otherwise(date)
-        note = F.concat(F.lit('say "hi", order '), (key % 7).cast("string"))
+        gap = F.when(key % 3 == 0, F.lit("\n")).otherwise(F.lit(" "))
+        note = F.concat(F.lit('say "hi",'), gap, F.lit("order "), (key % 7).cast("string"))
         return self.table("orders").select(
             F.concat(F.lit("\t "), key.cast("string"), F.lit("\u00a0")).alias("transaction_id"),
             F.concat(F.lit("\u00a0"), self.order_customer()).alias("customer_id"),

@@ -160,7 +160,8 @@ TYPED = """SELECT transaction_id, customer_id, product_id,
   CASE WHEN o_orderkey % 89 <> 0 THEN order_date::DATE::TIMESTAMP END AS order_date,
   CASE WHEN o_orderkey % 97 <> 0 THEN (order_value::DECIMAL(18,3)
     + CASE WHEN o_orderkey % 5 = 0 THEN 0.005 ELSE 0 END)::DOUBLE END AS order_value,
-  CASE WHEN o_orderkey % 31 <> 0 THEN 'say "hi", order ' || (o_orderkey % 7) ELSE {0} END AS note
+  CASE WHEN o_orderkey % 31 <> 0 THEN 'say "hi",' || if(o_orderkey % 3 = 0, chr(10), ' ') || 'order ' || (o_orderkey % 7)
+    ELSE {0} END AS note
   FROM txn JOIN orders ON o_orderkey::VARCHAR = transaction_id"""
 FROM_CSV, FROM_TEXT = TYPED.format("NULL"), TYPED.format("'NA'")
 
