@@ -128,10 +128,12 @@ def chosen_paths(messages: DataFrame, branches: int = 1) -> DataFrame:
     """
     nodes = messages.select("node", "parent", F.coalesce("score", F.lit(0.0)).cast("double").alias("score"))
     nodes = nodes.groupBy("node").agg(F.min("parent").alias("parent"), F.max("score").alias("score"))
+    # Roots stay out of the join: null parents would all meet in one task.
+    nodes = store(nodes, "nodes")
     known = nodes.select(F.col("node").alias("known"))
-    nodes = nodes.join(known, F.col("parent") == F.col("known"), "left").select(
-        "node", F.col("known").alias("up"), "score"
-    )
+    roots = nodes.filter("parent is null").select("node", F.col("parent").alias("up"), "score")
+    replies = nodes.filter("parent is not null").join(known, F.col("parent") == F.col("known"), "left")
+    nodes = replies.select("node", F.col("known").alias("up"), "score").unionByName(roots)
     # ``root`` is the furthest ancestor so far, ``total`` and ``depth`` cover the steps up to it without it.
     now = store(
         nodes.select(

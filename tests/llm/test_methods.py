@@ -181,8 +181,10 @@ def test_words_give_the_ids_of_whole_texts(name, blanks):
 
 
 def test_frames_and_their_checks():
-    data = b"".join(records.frame(p) for p in (b"", b"abc\n", bytes(300))) + b"\n"
+    stretches = [[b"", b"abc\n"], [], [bytes(300)]]
+    data = b"".join(records.stretch([records.frame(p) for p in s], s == stretches[-1]) + b"\n" for s in stretches)
     assert [p for _, p in records.frames(data)] == [b"", b"abc\n", bytes(300)]
+    assert all(data[at + 12 : at + 12 + len(p)] == p for at, p in records.frames(data))
     for k in range(len(data)):
         wrong = data[:k] + bytes([data[k] ^ 1]) + data[k + 1 :]
         with pytest.raises(ValueError):
@@ -195,6 +197,31 @@ def test_frames_and_their_checks():
     assert zlib.crc32(records.unpack_record(records.pack_record(None, ids.tobytes(), 4))[1].tobytes()) == zlib.crc32(ids.tobytes())
 
 
+def test_records_files_are_bounded_by_their_stretches(spark, tmp_path, monkeypatch):
+    """One task writes several files; each frame is found again by its file, offset and length."""
+    monkeypatch.setattr(records, "STRETCHES", 2)
+    monkeypatch.setattr(records, "small_batches", lambda spark: None)
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    old = spark.conf.get(name)
+    spark.conf.set(name, "3")
+    try:
+        docs = spark.createDataFrame([(k, f"text {k} " * (k % 4)) for k in range(25)], "doc_id long, text string")
+        path = str(tmp_path / "records")
+        records.write(docs.coalesce(1), path, public_tokenizers.path("byte_bpe_50k.json"), "leading", 2, parts=1)
+    finally:
+        spark.conf.set(name, old)
+    files = {records.file_number(str(f)): f.read_bytes() for f in (tmp_path / "records").glob("part-*")}
+    assert len(files) == 5 and sorted(files) == list(range(5))
+    index = records.index(records.read(spark, path)).orderBy("start").collect()
+    assert [r.doc_id for r in index] == list(range(25))
+    at = 0
+    for r in index:
+        (framed,) = [files[r.file][r.offset : r.offset + r.length]]
+        doc_id, ids = records.unpack_record(framed[12:-4])
+        assert (doc_id, len(ids), r.start, zlib.crc32(ids.tobytes())) == (r.doc_id, r.n_tokens, at, r.ids_crc32)
+        at += len(ids)
+
+
 def test_host_rates_are_shrunk(spark):
     """A small host with few failures more is drawn to the others; a large bad host is rejected."""
     good = " ".join(f"w{k}" for k in range(40))
