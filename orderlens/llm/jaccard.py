@@ -34,8 +34,6 @@ from orderlens.operators.storage import store
 
 #: N-grams that one fragment, and one block of pairs, should hold.
 FRAGMENT = 500_000
-#: Stands for an owner that needs no answer.
-NOBODY = (1 << 32) - 1
 #: Ids up to this number are broadcast (8 bytes each); more are joined by a shuffle.
 BROADCAST_IDS = 4_000_000
 #: Fragments of the order that the verification of pairs is cut into: by the two highest bits.
@@ -114,11 +112,30 @@ def classes(docs: DataFrame, n: int) -> DataFrame:
     return map_text(rows, measure, f"doc_id {kind}, text_hash long, n_shingles long, class long")
 
 
+def addressed(owners: np.ndarray, ids: np.ndarray) -> tuple[bytes, bytes, bytes]:
+    """The owners that occur in a message: their numbers in the stretch, their classes, and who of them owns each n-gram.
+
+    ``owners`` at or above the number of ``ids`` are nobody.
+    """
+    names, places = np.unique(owners, return_inverse=True)
+    names = names[names < len(ids)]
+    kind = np.uint16 if len(names) < 1 << 16 else np.uint32
+    return names.astype(np.uint32).tobytes(), ids[names].tobytes(), places.astype(kind).tobytes()
+
+
+def placed_owners(blob: bytes, n: int, owners: int) -> np.ndarray:
+    """Place of the owner of each of ``n`` n-grams among a message's classes; -1 for nobody."""
+    places = np.frombuffer(blob, dtype=f"<u{len(blob) // n}").astype(np.int64)
+    return np.where(places >= owners, -1, places)
+
+
 def possible_classes(docs: DataFrame, n: int, bounds: Bounds, ngrams: int) -> DataFrame:
     """``class`` of the sets that share enough of their prefix with other classes (step 1).
 
     Within a stretch of a partition each n-gram is sent once: if several classes there have it, it is known
-    to be shared and counted at once. So a frequent n-gram comes to its fragment once per stretch.
+    to be shared and counted at once. So a frequent n-gram comes to its fragment once per stretch. A message names the
+    classes that own its n-grams and no others, and the answer those with shared n-grams, so the bytes of an n-gram
+    do not depend on the number of fragments.
     """
     fragments = max(16, -(-ngrams // FRAGMENT))
     step = -(-(1 << 64) // fragments)
@@ -134,20 +151,19 @@ def possible_classes(docs: DataFrame, n: int, bounds: Bounds, ngrams: int) -> Da
         times = np.diff(np.append(first, len(grams)))
         here = np.bincount(owners[np.repeat(times > 1, times)], minlength=len(ids))
         # Of n-grams known to be shared the owners need no answer.
-        grams, owners = grams[first], np.where(times > 1, np.uint32(NOBODY), owners[first])
+        grams, owners = grams[first], np.where(times > 1, len(ids), owners[first])
         cut = [0, *np.searchsorted(grams, edges).tolist(), len(grams)]
-        rows = [(-1 - stretch % fragments, here.astype(np.uint32).tobytes(), b"")]
-        rows += [(k, grams[x:y].tobytes(), owners[x:y].tobytes()) for k, (x, y) in enumerate(zip(cut, cut[1:])) if y > x]
-        slot, first_blob, second_blob = zip(*rows)
+        every = np.array(ids, dtype=np.int64)
+        rows = [(-1 - stretch % fragments, every.tobytes(), here.astype(np.uint32).tobytes(), b"", b"")]
+        for k, (x, y) in enumerate(zip(cut, cut[1:])):
+            if y > x:
+                names, classes_, places = addressed(owners[x:y], every)
+                rows.append((k, classes_, names, grams[x:y].tobytes(), places))
+        slot, *blobs = zip(*rows)
+        arrays = [pa.array(slot, pa.int32()), pa.array([stretch] * len(rows), pa.int64())]
         return pa.RecordBatch.from_arrays(
-            [
-                pa.array(slot, pa.int32()),
-                pa.array([stretch] * len(rows), pa.int64()),
-                pa.array([np.array(ids, dtype=np.int64).tobytes()] * len(rows), pa.binary()),
-                pa.array(first_blob, pa.binary()),
-                pa.array(second_blob, pa.binary()),
-            ],
-            names=["slot", "stretch", "classes", "grams", "owners"],
+            arrays + [pa.array(blob, pa.binary()) for blob in blobs],
+            names=["slot", "stretch", "classes", "names", "grams", "owners"],
         )
 
     def cut_prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -171,45 +187,54 @@ def possible_classes(docs: DataFrame, n: int, bounds: Bounds, ngrams: int) -> Da
         hand_back()
 
     def count(table: pa.Table) -> pa.Table:
-        """Per stretch, for each of its classes the n-grams of this fragment that others have too."""
-        rows = table.select(["slot", "stretch", "classes", "grams", "owners"]).to_pylist()
+        """Per stretch, for its classes the n-grams of this fragment that others have too, if there are any."""
+        rows = table.select(["slot", "stretch", "classes", "names", "grams", "owners"]).to_pylist()
         if rows[0]["slot"] < 0:  # counted by the senders
-            found = [r["grams"] for r in rows]
+            answers = [(r["stretch"], r["classes"], b"", r["names"]) for r in rows]
         else:
             ids = [np.frombuffer(r["classes"], dtype=np.int64) for r in rows]
             classes_, starts = np.concatenate(ids), np.cumsum([0, *map(len, ids)])
-            grams = np.concatenate([np.frombuffer(r["grams"], dtype=np.uint64) for r in rows])
-            own = [np.frombuffer(r["owners"], dtype=np.uint32).astype(np.int64) for r in rows]
-            owners = np.concatenate([np.where(o == NOBODY, -1, o + a) for o, a in zip(own, starts)])
+            sent = [np.frombuffer(r["grams"], dtype=np.uint64) for r in rows]
+            own = [placed_owners(r["owners"], len(g), len(i)) for r, g, i in zip(rows, sent, ids)]
+            grams, owners = np.concatenate(sent), np.concatenate([np.where(o < 0, -1, o + a) for o, a in zip(own, starts)])
             order = np.argsort(grams)
             grams, owners = grams[order], owners[order]
             first = np.flatnonzero(np.concatenate([[True], grams[1:] != grams[:-1]]))
             times = np.diff(np.append(first, len(grams)))
             # Held by two classes, or by several in one stretch (then without an owner).
-            of = np.where(owners < 0, np.int64(0), classes_[owners])
+            of = np.append(classes_, 0)[owners]
             shared = np.minimum.reduceat(owners, first) < 0
             shared |= np.minimum.reduceat(of, first) != np.maximum.reduceat(of, first)
             asking = owners[np.repeat(shared, times) & (owners >= 0)]
             n = np.bincount(asking, minlength=len(classes_)).astype(np.uint32)
-            found = [n[a:b].tobytes() for a, b in zip(starts, starts[1:])]
-        named = [r["classes"] if r["slot"] < 0 else b"" for r in rows]  # once per stretch
-        columns = {"stretch": [r["stretch"] for r in rows], "classes": named, "counts": found}
-        return pa.table(columns, schema=pa.schema({"stretch": pa.int64(), "classes": pa.binary(), "counts": pa.binary()}))
+            answers = []
+            for r, a, b in zip(rows, starts, starts[1:]):
+                some = np.flatnonzero(n[a:b])
+                if len(some):
+                    names = np.frombuffer(r["names"], dtype=np.uint32)[some]
+                    answers.append((r["stretch"], None, names.tobytes(), n[a:b][some].tobytes()))
+        columns = dict(zip(["stretch", "classes", "names", "counts"], zip(*answers))) if answers else {}
+        schema = pa.schema({"stretch": pa.int64(), "classes": pa.binary(), "names": pa.binary(), "counts": pa.binary()})
+        return pa.table({f.name: columns.get(f.name, []) for f in schema}, schema=schema)
 
     def add(table: pa.Table) -> pa.Table:
         """Sums over the fragments; a row per class of the stretch."""
-        counts = [np.frombuffer(c, dtype=np.uint32) for c in table.column("counts").to_pylist()]
-        ids = np.frombuffer(b"".join(table.column("classes").to_pylist()), dtype=np.int64)
-        return pa.table({"class": pa.array(ids), "shared": pa.array(np.sum(counts, axis=0, dtype=np.int64))})
-
-    schema = "slot int, stretch long, classes binary, grams binary, owners binary"
+        rows = table.select(["classes", "names", "counts"]).to_pylist()
+        (own,) = [r for r in rows if r["classes"] is not None]
+        total = np.frombuffer(own["counts"], dtype=np.uint32).astype(np.int64)
+        for r in rows:
+            if r["classes"] is None:
+                total[np.frombuffer(r["names"], dtype=np.uint32)] += np.frombuffer(r["counts"], dtype=np.uint32)
+        return pa.table({"class": pa.array(np.frombuffer(own["classes"], dtype=np.int64)), "shared": pa.array(total)})
+
+    schema = "slot int, stretch long, classes binary, names binary, grams binary, owners binary"
     return (
         docs.select("text")
         .mapInArrow(cut_prefixes, schema)
         .groupBy("slot")
-        .applyInArrow(count, "stretch long, classes binary, counts binary")
+        .applyInArrow(count, "stretch long, classes binary, names binary, counts binary")
         .groupBy("stretch")
-        .applyInArrow(lambda table: add(table.select(["classes", "counts"])), "class long, shared long")
+        .applyInArrow(add, "class long, shared long")
         # A class with copies is sent from several stretches; each gives the whole count.
         .groupBy("class")
         .agg(F.max("shared").alias("shared"))
@@ -380,6 +405,32 @@ def link(posted: DataFrame, sets: DataFrame, bounds: Bounds, rounds: int = 2) ->
     return labels
 
 
+def _candidates(docs: DataFrame, n: int, bounds: Bounds) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Class of every row; least id and size of every class; sets of the classes that may have a partner."""
+    members = store(classes(docs, n), "classes")
+    total = members.agg(F.sum("n_shingles")).first()[0] or 0
+    full = members.filter(F.col("class").isNotNull())
+    known = full.groupBy("class").agg(F.min("doc_id").alias("least"), F.first("n_shingles").alias("n"))
+    asked = F.greatest(F.lit(1), F.floor(bounds.need_column(F.col("n")) / 4))
+    shared = possible_classes(docs, n, bounds, int(total * bounds.prefix(100) / 100))
+    wanted = store(shared.join(known, "class").filter(F.col("shared") >= asked).select("class"), "wanted")
+    return members, known, store(sets_of(docs, full, wanted, n), "sets")
+
+
+def similar_pairs(docs: DataFrame, n: int = 5, percent: int = 80) -> tuple[DataFrame, DataFrame]:
+    """Every link between different sets, and who has them: the whole join, without expanding copies.
+
+    First ``a`` < ``b`` (classes), ``na``, ``nb``, ``common``; second ``doc_id``, ``text_hash``, ``n_shingles``, ``class`` of
+    every row of ``docs`` (null class: no n-grams, no links). Rows of one class are linked with each other. A group
+    of k different near copies has up to k * (k - 1) / 2 pairs; ``similar_groups`` does without them.
+    """
+    bounds = Bounds(percent)
+    members, _, sets = _candidates(docs, n, bounds)
+    posted = store(_grouped(postings(sets, bounds), None), "postings")
+    found = verified(_pairs(posted, posted, bounds).filter("a < b"), sets, bounds)
+    return store(found.select("a", "b", "na", "nb", "common"), "pairs"), members
+
+
 def similar_groups(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
     """One row per row of ``docs`` (``doc_id``, ``text``): ``doc_id``, ``text_hash``, ``n_shingles``, ``component_id``
     and ``component``.
@@ -391,14 +442,7 @@ def similar_groups(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
     group only if no other id is in it. An empty table gives no rows; extra columns are not read.
     """
     bounds = Bounds(percent)
-    members = store(classes(docs, n), "classes")
-    total = members.agg(F.sum("n_shingles")).first()[0] or 0
-    full = members.filter(F.col("class").isNotNull())
-    known = full.groupBy("class").agg(F.min("doc_id").alias("least"), F.first("n_shingles").alias("n"))
-    asked = F.greatest(F.lit(1), F.floor(bounds.need_column(F.col("n")) / 4))
-    shared = possible_classes(docs, n, bounds, int(total * bounds.prefix(100) / 100))
-    wanted = store(shared.join(known, "class").filter(F.col("shared") >= asked).select("class"), "wanted")
-    sets = store(sets_of(docs, full, wanted, n), "sets")
+    members, known, sets = _candidates(docs, n, bounds)
     labels = link(store(postings(sets, bounds), "postings"), sets, bounds)
     if labels is None:
         least = known.select("class", F.col("class").alias("component"), F.col("least").alias("component_id"))

@@ -13,7 +13,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from orderlens.llm import chat, graph, licenses, packing, pii, quality, records, toxicity
+from orderlens.llm import chat, graph, jaccard, licenses, packing, pii, quality, records, toxicity
 from orderlens.llm.text import word_hashes
 from orderlens.llm.tokens import Encoder, definition
 from orderlens.llm.trie import EliasFano
@@ -259,3 +259,45 @@ def test_components(spark):
     assert {r.node: r.component for r in got} == {n: top(n) for a, b in edges for n in (a, b) if a != b}
     assert len(got) == len({r.node for r in got})
     assert graph.components(spark.createDataFrame([], "a long, b long").filter(F.lit(True))).collect() == []
+
+
+def test_message_bytes_do_not_grow_with_the_fragments():
+    """An n-gram costs at most 8 bytes, its place, and its owner's name and class once per message."""
+    rng = np.random.default_rng(3)
+    ids, owners = rng.integers(0, 1 << 62, 4000), np.sort(rng.integers(0, 4001, 100_000))
+    rng.shuffle(owners)
+    for parts in (1, 10, 1000, 20_000):
+        size = 0
+        for piece in np.array_split(owners, parts):
+            names, classes, places = jaccard.addressed(piece, ids)
+            size += len(names) + len(classes) + len(places) + 8 * len(piece)
+            where = jaccard.placed_owners(places, len(piece), len(names) // 4)
+            back = np.append(np.frombuffer(names, np.uint32).astype(np.int64), 4000)[where]
+            assert (back == piece).all()
+            assert (np.frombuffer(classes, np.int64) == ids[np.frombuffer(names, np.uint32)]).all()
+        assert size <= 22 * len(owners)
+    names, classes, places = jaccard.addressed(np.arange(70_001), np.arange(70_000))
+    assert jaccard.placed_owners(places, 70_001, 70_000).tolist() == [*range(70_000), -1]
+
+
+def test_all_links_between_different_sets(docs_of):
+    rng = random.Random(5)
+    base = [[f"w{rng.randrange(60)}" for _ in range(120)] for _ in range(6)]
+    texts = {}
+    for k in range(60):
+        words = list(rng.choice(base))
+        for _ in range(rng.randrange(3)):
+            words[rng.randrange(len(words))] = "changed"
+        texts[k] = " ".join(words)
+    texts |= {60: None, 61: "", 62: "one two", 63: "one two", 64: texts[0]}
+    pairs, members = jaccard.similar_pairs(docs_of(texts.items()))
+    of = {r.doc_id: r["class"] for r in members.collect()}
+    sets = {i: frozenset(zip(*(t.split()[j:] for j in range(5)))) if t and len(t.split()) >= 5 else t for i, t in texts.items()}
+    got = {(r.a, r.b): (r.na, r.nb, r.common) for r in pairs.collect()}
+    want = {}
+    for i, x in sets.items():
+        for j, y in sets.items():
+            if isinstance(x, frozenset) and isinstance(y, frozenset) and of[i] < of[j] and 100 * len(x & y) >= 80 * len(x | y):
+                want[of[i], of[j]] = (len(x), len(y), len(x & y))
+    assert got == want and len(want) > 20
+    assert of[60] is None and of[61] is None and of[62] == of[63] and of[64] == of[0]
