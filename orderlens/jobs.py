@@ -57,15 +57,16 @@ def report(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
     """All reports; adds segment and recency score to the customer table."""
     clean, people = readers.read_tables(spark, folder)
     scores = rfm.score_by_quantiles(clean, people)
+    months = store(retention.calendars(clean), "calendars")
     writers.save_people(rfm.with_segments(clean, people), folder)
     return {
         "totals": sales.totals_with_spread(clean),
         "country": sales.by_dimension(clean, "country"),
         "year_month": sales.by_year_month(clean),
         "repeat": customers.repeat_report(people),
-        "cohorts": retention.cohort_summary(clean),
-        "period_1_median": retention.first_period_median(clean),
-        "retention": retention.retention_matrix(clean),
+        "cohorts": retention.cohort_summary(months),
+        "period_1_median": retention.first_period_median(months),
+        "retention": retention.retention_matrix(months),
         "recency": rfm.recency_summary(scores),
         "segments": rfm.segment_sizes(scores),
         "champions": rfm.champions_and_cold(scores),

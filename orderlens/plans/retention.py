@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from orderlens.functions import month_of, months_from
 
 PERIODS = list(range(8))
+#: Months in a word of a customer's calendar: five years, so that no bit is the sign.
+WORD = 60
 
 
 def visits(clean: DataFrame) -> DataFrame:
@@ -16,31 +18,46 @@ def visits(clean: DataFrame) -> DataFrame:
     return known.groupBy("customer_id", "order_key").agg(F.min("order_date").alias("order_date"))
 
 
-def active_months(clean: DataFrame) -> DataFrame:
-    """One row per customer and month with a purchase: cohort and months since it.
+def calendars(clean: DataFrame) -> DataFrame:
+    """One row per customer with a dated order: ``cohort``, and ``words``, the months with a purchase as bits.
 
-    Orders collapse to months first. A customer then has no more rows than the
-    calendar has months, which bounds the window over the customer.
+    A word has a bit for each of WORD months. Bits are joined by or in every task before a customer's rows meet, so a
+    customer arrives once per task and word. All functions below take such a table, stored, in place of the orders.
     """
-    months = (
-        visits(clean)
-        .where(F.col("order_date").isNotNull())
-        .select("customer_id", month_of("order_date").alias("order_month"))
-        .distinct()
+    dated = visits(clean).where(F.col("order_date").isNotNull())
+    month = F.year("order_date") * 12 + F.month("order_date") - 1
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(month, F.lit(WORD)))
+    words = dated.groupBy("customer_id", F.floor(month / WORD).cast("int").alias("word")).agg(F.bit_or(bit).alias("bits"))
+    lowest = F.bit_count(F.col("bits").bitwiseAND(-F.col("bits")) - 1)
+    return words.groupBy("customer_id").agg(
+        _month(F.min(F.col("word") * WORD + lowest)).alias("cohort"),
+        F.collect_list(F.struct("word", "bits")).alias("words"),
     )
-    first = F.min("order_month").over(Window.partitionBy("customer_id"))
-    return months.withColumn("cohort", first).withColumn(
-        "period_n", months_from(F.col("cohort"), F.col("order_month"))
+
+
+def _month(number: Column) -> Column:
+    """First day of the month with this number, counted from the year 0."""
+    return F.make_date(F.floor(number / 12).cast("int"), (number % 12 + 1).cast("int"), F.lit(1))
+
+
+def _calendars(orders: DataFrame) -> DataFrame:
+    return orders if "words" in orders.columns else calendars(orders)
+
+
+def active_months(clean: DataFrame) -> DataFrame:
+    """One row per customer and month with a purchase: cohort and months since it."""
+    places = F.sequence(F.lit(0), F.lit(WORD - 1))
+    held = F.transform(
+        "words",
+        lambda w: F.transform(F.filter(places, lambda p: F.getbit(w["bits"], p) == 1), lambda p: w["word"] * WORD + p),
     )
+    months = _calendars(clean).select("customer_id", "cohort", F.explode(F.flatten(held)).alias("number"))
+    dated = months.withColumn("order_month", _month(F.col("number"))).drop("number")
+    return dated.withColumn("period_n", months_from(F.col("cohort"), F.col("order_month")))
 
 
 def customer_cohorts(clean: DataFrame) -> DataFrame:
-    return (
-        visits(clean)
-        .groupBy("customer_id")
-        .agg(month_of(F.min("order_date")).alias("cohort"))
-        .where(F.col("cohort").isNotNull())
-    )
+    return _calendars(clean).select("customer_id", "cohort")
 
 
 def cohort_sizes(clean: DataFrame) -> DataFrame:

@@ -34,6 +34,14 @@ def test_distinct_counts_shuffle_by_order(spark, name):
     assert re.search(r"Exchange hashpartitioning\([^)]*(order_key|transaction_id)[^)]*\)", plan(spark, name))
 
 
+@pytest.mark.parametrize("name", ["cohort_active", "cohort_size", "retention_matrix"])
+def test_customers_meet_as_calendars(spark, name):
+    """Months are bits before customers meet; no window runs over a customer's rows."""
+    text = plan(spark, name)
+    assert "partial_bit_or" in text
+    assert not re.search(r"Window \[[^\n]*customer_id", text)
+
+
 def test_top_rows_are_kept_per_task(spark):
     assert "TakeOrderedAndProject" in plan(spark, "top_products")
     assert "TakeOrderedAndProject" in plan(spark, "preview_orders")

@@ -7,6 +7,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
+from orderlens.operators.storage import store
 from orderlens.plans import customers, dashboard, products, retention, rfm, risk, sales, tables
 
 
@@ -105,6 +106,27 @@ def test_retention(clean, people):
     assert rows(retention.cohort_summary_of_people(people), "cohorts_n", "size_min", "size_max") == [(2, 1, 2)]
 
 
+def test_calendars_of_many_years(orders_of):
+    """Months around the ends of words, the last bits included; a stored calendar stands for the orders."""
+    days = {"a": ["1959-12-31", "1960-01-01", "1964-12-31", "1965-01-01", "2024-12-05"], "b": ["1964-12-01"], "c": ["1969-12-09", "1960-01-31"]}
+    table = [(f"{c}{k}", c, day, "1") for c, own in days.items() for k, day in enumerate(own)]
+    table += [(f"x{k}", "a", "2024-12-06", "1") for k in range(50)] + [("n", None, "2024-01-01", "1"), ("o", "d", None, "1")]
+    clean = orders_of(table)
+    stored = store(retention.calendars(clean), "calendars")
+    months = {c: sorted({(int(d[:4]), int(d[5:7])) for d in own}) for c, own in days.items()}
+    want = {
+        (c, dt.date(*own[0], 1), dt.date(y, m, 1), (y - own[0][0]) * 12 + m - own[0][1])
+        for c, own in months.items()
+        for y, m in own
+    }
+    for source in (clean, stored):
+        found = rows(retention.active_months(source), "customer_id", "cohort", "order_month", "period_n")
+        assert len(found) == len(want) and set(found) == want
+    for report in (retention.customer_cohorts, retention.cohort_sizes, retention.cohort_activity, retention.retention_full):
+        assert sorted(map(str, report(stored).collect())) == sorted(map(str, report(clean).collect()))
+    assert retention.first_period_median(stored).first() == retention.first_period_median(clean).first()
+
+
 def test_young_cohorts_can_be_left_out(orders_of):
     clean = orders_of(
         [("1", "a", "2024-01-01", "1"), ("2", "a", "2024-02-01", "1"), ("3", "b", "2024-02-01", "1")]
