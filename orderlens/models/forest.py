@@ -27,9 +27,17 @@ BINS = 64
 #: Rows whose values place the edges of bins.
 SAMPLE_ROWS = 20_000
 #: Bootstrap rows of a node that are grown in one group, at most.
-HANDED = 200_000
-#: Nodes whose histograms one pass takes (80 kB each at most).
+HANDED = 1_000_000
+#: Tasks that complete or look up subtrees, at most; a node's rows are in one of them.
+GROUP_TASKS = 2_000
+#: Rows of a stored part, which one task deals out to all trees.
+PART_ROWS = 100_000
+#: Nodes whose histograms one pass takes (1 kB per node and feature).
 OPEN_NODES = 2_000
+#: Rows whose nodes are searched for splits at a time.
+CACHED_ROWS = 65_536
+#: Above the weight of a group.
+PAIR = 1 << 26
 #: Probabilities are added up in units of this, so sums do not depend on order.
 UNIT = 1 << 40
 _CDF = np.cumsum([math.exp(-1) / math.factorial(k) for k in range(12)])
@@ -49,11 +57,16 @@ def bootstrap(keys: np.ndarray, tree: int, seed: int) -> np.ndarray:
     return np.searchsorted(_CDF, share).astype(np.int64)
 
 
-def feature_order(tree: int, nodes: np.ndarray, features: int, seed: int) -> np.ndarray:
-    """For each node, a rank of every feature; the first ones are tried."""
+def shuffled_features(tree: int, nodes: np.ndarray, features: int, seed: int) -> np.ndarray:
+    """For each node, all features in the order of a hash; the first ones are tried."""
     start = mixed(np.array([(seed << 32) + tree + 1], dtype=np.uint64))
     draws = mixed(mixed(nodes.astype(np.uint64) + start)[:, None] + np.arange(1, features + 1, dtype=np.uint64))
-    return draws.argsort(1, kind="stable").argsort(1, kind="stable")
+    return draws.argsort(1, kind="stable")
+
+
+def feature_order(tree: int, nodes: np.ndarray, features: int, seed: int) -> np.ndarray:
+    """For each node, a rank of every feature; the first ones are tried."""
+    return shuffled_features(tree, nodes, features, seed).argsort(1, kind="stable")
 
 
 @dataclass
@@ -86,58 +99,138 @@ def best_splits(counts: np.ndarray, weights: tuple[float, float]) -> tuple[np.nd
     return gain[np.arange(len(gain)), at], at
 
 
+def split_gain(left: np.ndarray, both: np.ndarray, weights: tuple[float, float]) -> np.ndarray:
+    """Gain of the cuts with ``left`` counts per class of ``both``; -1 where a side is empty. As in ``best_splits``."""
+    right = both - left
+    sides = []
+    for side in (left, right, both):
+        a, b = side[0] * weights[0], side[1] * weights[1]
+        sides.append(2 * a * b / np.maximum(a + b, 1e-300))
+    gain = sides[2] - sides[0] - sides[1]
+    return np.where((left.sum(0) > 0) & (right.sum(0) > 0), np.maximum(gain, 0.0), -1.0)
+
+
+@dataclass
+class Rows:
+    """Rows of nodes, those of a node next to each other: ``sizes`` rows each, with ``both`` counts per class."""
+
+    bins: np.ndarray
+    label: np.ndarray
+    times: np.ndarray
+    sizes: np.ndarray
+    both: np.ndarray
+
+    def of(self, nodes: np.ndarray) -> Rows:
+        """Those of the nodes marked true."""
+        if nodes.all():
+            return self
+        kept = np.flatnonzero(np.repeat(nodes, self.sizes))
+        return Rows(self.bins.take(kept, 0), self.label.take(kept), self.times.take(kept), self.sizes[nodes], self.both[:, nodes])
+
+
+def splits_of(rows: Rows, tried: np.ndarray, widths: np.ndarray, weights: tuple[float, float]) -> list[np.ndarray]:
+    """Gain, feature and last bin on the left of the best split of each node, from its ``tried`` features in ascending
+    order (nodes, number); gain and feature -1 if there is none.
+
+    Some nodes at a time, so that their rows stay in the processor's cache for all features.
+    """
+    ends = np.cumsum(rows.sizes)
+    parts, node, row = [], 0, 0
+    while node < len(ends):
+        last = max(node + 1, int(np.searchsorted(ends, row + CACHED_ROWS, "right")))
+        end = int(ends[last - 1])
+        part = Rows(rows.bins[row:end], rows.label[row:end], rows.times[row:end], rows.sizes[node:last], rows.both[:, node:last])
+        parts.append(_splits_of(part, tried[node:last], widths, weights))
+        node, row = last, end
+    return [np.concatenate(columns) for columns in zip(*parts)]
+
+
+def _splits_of(rows: Rows, tried: np.ndarray, widths: np.ndarray, weights: tuple[float, float]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """A feature takes as many counts as it has bins (``widths``), so one of two values costs two and not ``BINS``."""
+    n, k = len(rows.sizes), rows.bins.shape[1]
+    gain, feature, cut = np.full(n, -1.0), np.full(n, -1), np.zeros(n, dtype=np.int64)
+    flat, base = rows.bins.ravel(), np.arange(len(rows.label)) * k
+    # Both sums in one number: a group has fewer than 2 ** 26 rows' weight, and doubles are exact up to 2 ** 53.
+    pair = rows.times * (1 + rows.label * PAIR)
+    for f in tried.T:
+        width = widths[f]
+        start = np.cumsum(width) - width
+        cell = flat[base + np.repeat(f, rows.sizes)] + np.repeat(start, rows.sizes)
+        cells = int(width.sum())
+        counts = np.bincount(cell, pair, cells)
+        one = np.floor(counts / PAIR)
+        left = np.cumsum(np.stack([counts - one * (PAIR + 1), one]), axis=1)
+        before = np.zeros((2, n))
+        before[:, 1:] = left[:, start[1:] - 1]
+        left -= np.repeat(before, width, axis=1)
+        found = split_gain(left, np.repeat(rows.both, width, axis=1), weights)
+        best = np.maximum.reduceat(found, start)
+        better = np.flatnonzero(best > gain)
+        if len(better):
+            # The lowest bin of those with the best gain.
+            hits = np.flatnonzero(found == np.repeat(best, width))
+            first = hits[np.searchsorted(hits, start[better])]
+            gain[better], feature[better], cut[better] = best[better], f[better], first - start[better]
+    return gain, feature, cut
+
+
 def grow(bins: np.ndarray, label: np.ndarray, times: np.ndarray, tree: int, node: int, settings: Settings) -> dict[str, np.ndarray]:
     """The subtree below ``node`` for its rows, level by level: feature (-1: leaf), last bin on the left, left child
     (the right one follows it), probability of class 1 per node, and the gain per feature."""
-    k = settings.features
+    k, tried = settings.features, settings.tried
     importance = np.zeros(k)
+    widths = bins.max(0, initial=0).astype(np.int64) + 1
     done: dict[str, list] = {"feature": [], "bin": [], "left": [], "probability": []}
     ids = np.array([node], dtype=np.int64)
-    at = np.zeros(len(label), dtype=np.int64)
+    both = np.array([[times[label == c].sum()] for c in (0, 1)], dtype=np.float64)
+    rows = Rows(bins, label, times.astype(np.float64), np.array([len(label)]), both)
     depth, made = node.bit_length() - 1, 1
     while len(ids):
         n = len(ids)
-        both = np.bincount(at * 2 + label, times, 2 * n).reshape(n, 2)
-        weighted = both * settings.weights
-        mixed_nodes = (both.min(1) > 0) & (depth < settings.max_depth)
+        weighted = rows.both * np.array(settings.weights)[:, None]
+        open_ = (rows.both.min(0) > 0) & (depth < settings.max_depth)
         gain, feature, cut = np.full(n, -1.0), np.full(n, -1), np.zeros(n, dtype=np.int64)
-        rank = feature_order(tree, ids, k, settings.seed)
-        for first, last in ((0, settings.tried), (settings.tried, k)):
+        probability = weighted[1] / weighted.sum(0)
+        rows, at = rows.of(open_), np.flatnonzero(open_)
+        if len(at):
+            order = shuffled_features(tree, ids[at], k, settings.seed)
+            gain[at], feature[at], cut[at] = splits_of(rows, np.sort(order[:, :tried], axis=1), widths, settings.weights)
             # The other features only where the first ones cannot part the rows.
-            open_ = mixed_nodes & (feature < 0)
-            if not open_.any():
-                break
-            for f in range(k):
-                asked = open_ & (rank[:, f] >= first) & (rank[:, f] < last)
-                nodes = np.flatnonzero(asked)
-                if not len(nodes):
-                    continue
-                number = np.cumsum(asked) - 1
-                rows = np.flatnonzero(asked[at])
-                cell = (number[at[rows]] * BINS + bins[rows, f]) * 2 + label[rows]
-                counts = np.bincount(cell, times[rows], len(nodes) * BINS * 2).reshape(len(nodes), BINS, 2)
-                found, where = best_splits(counts, settings.weights)
-                better = found > gain[nodes]
-                chosen = nodes[better]
-                gain[chosen], feature[chosen], cut[chosen] = found[better], f, where[better]
+            bare = feature[at] < 0
+            if bare.any() and tried < k:
+                gain[at[bare]], feature[at[bare]], cut[at[bare]] = splits_of(rows.of(bare), np.sort(order[bare, tried:], axis=1), widths, settings.weights)
         parted = feature >= 0
         np.add.at(importance, feature[parted], gain[parted])
-        left = np.where(parted, made + 2 * (np.cumsum(parted) - 1), -1)
         done["feature"].append(feature)
         done["bin"].append(cut)
-        done["left"].append(left)
-        done["probability"].append(weighted[:, 1] / weighted.sum(1))
-        rows = np.flatnonzero(parted[at])
-        old = at[rows]
-        side = bins[rows, feature[old]] > cut[old]
-        at = 2 * (np.cumsum(parted) - 1)[old] + side
-        bins, label, times = bins[rows], label[rows], times[rows]
+        done["left"].append(np.where(parted, made + 2 * (np.cumsum(parted) - 1), -1))
+        done["probability"].append(probability)
+        rows = halved(rows.of(parted[at]), feature[parted], cut[parted])
         ids = (2 * ids[parted][:, None] + np.array([0, 1])).ravel()
         made += len(ids)
         depth += 1
     return {name: np.concatenate(parts) for name, parts in done.items()} | {"importance": importance}
 
 
+def halved(rows: Rows, feature: np.ndarray, cut: np.ndarray) -> Rows:
+    """The rows by child: those of a node up to its ``cut`` first, then the others."""
+    sizes, n = rows.sizes, len(rows.label)
+    if not n:
+        return Rows(rows.bins, rows.label, rows.times, np.zeros(0, dtype=np.int64), np.zeros((2, 0)))
+    value = rows.bins.ravel()[np.arange(n) * rows.bins.shape[1] + np.repeat(feature, sizes)]
+    child = 2 * np.repeat(np.arange(len(sizes)), sizes) + (value > np.repeat(cut, sizes))
+    two = np.bincount(child, minlength=2 * len(sizes))
+    right = np.cumsum(child & 1)  # up to here, over all nodes
+    first = np.cumsum(sizes) - sizes
+    before = np.where(first > 0, right[first - 1], 0)
+    number = right - np.repeat(before, sizes)  # right ones of the node up to here
+    place = np.where(child & 1, np.repeat(first + two[::2], sizes) + number - 1, np.arange(n) - number)
+    both = np.bincount(2 * child + rows.label, rows.times, 4 * len(sizes)).reshape(-1, 2).T
+    by = np.empty(n, dtype=np.int64)
+    by[place] = np.arange(n)
+    return Rows(rows.bins.take(by, 0), rows.label.take(by), rows.times.take(by), two, both)
+
+
 def leaf_probability(subtree: dict[str, np.ndarray], bins: np.ndarray) -> np.ndarray:
     at = np.zeros(len(bins), dtype=np.int64)
     live = np.flatnonzero(subtree["feature"][at] >= 0)
@@ -157,19 +250,27 @@ class Upper:
     leaves: dict[int, float] = field(default_factory=dict)
     handed: set[int] = field(default_factory=set)
 
+    def table(self) -> tuple[np.ndarray, ...]:
+        """Node numbers, features, bins and places of both children (-1: no split) of the splits."""
+        numbers = sorted(self.splits)
+        place = {node: i for i, node in enumerate(numbers)}
+        children = [[place.get(2 * node, -1), place.get(2 * node + 1, -1)] for node in numbers]
+        cuts = np.array([self.splits[node] for node in numbers]).reshape(-1, 2)
+        return np.array(numbers), cuts[:, 0], cuts[:, 1], np.array(children)
+
     def nodes(self, bins: np.ndarray) -> np.ndarray:
         """The node without a split that each row comes to."""
-        at = np.ones(len(bins), dtype=np.int64)
-        todo = [(1, np.arange(len(bins)))] if self.splits else []
-        while todo:
-            node, rows = todo.pop()
-            if node in self.splits and len(rows):
-                f, b = self.splits[node]
-                side = bins[rows, f] > b
-                for child, part in ((2 * node, rows[~side]), (2 * node + 1, rows[side])):
-                    at[part] = child
-                    todo.append((child, part))
-        return at
+        end = np.ones(len(bins), dtype=np.int64)
+        if not self.splits:
+            return end
+        numbers, feature, cut, children = self.table()
+        live, at = np.arange(len(bins)), np.zeros(len(bins), dtype=np.int64)
+        while len(live):
+            side = (bins[live, feature[at]] > cut[at]).astype(np.int64)
+            end[live] = 2 * numbers[at] + side
+            at = children[at, side]
+            live, at = live[at >= 0], at[at >= 0]
+        return end
 
 
 @dataclass
@@ -225,73 +326,90 @@ def _upper_levels(data: DataFrame, trees: int, total: int, settings: Settings) -
         for u in upper:
             u.handed.add(1)
         return upper, gains
-    context = data.sparkSession.sparkContext
     while open_:
         following = []
         for start in range(0, len(open_), OPEN_NODES):
             block = open_[start : start + OPEN_NODES]
-            for tree, node, feature, cut, gain, sizes in _level(data, context.broadcast((upper, block)), settings):
-                u = upper[tree]
-                if sizes.sum() <= settings.handed:
-                    u.handed.add(node)
-                elif feature < 0:
-                    weighted = sizes * settings.weights
-                    u.leaves[node] = float(weighted[1] / weighted.sum()) if sizes.sum() else 0.5
-                else:
-                    u.splits[node] = (feature, cut)
-                    gains[tree, feature] += gain
-                    following += [(tree, 2 * node), (tree, 2 * node + 1)]
+            for rest in (False, True):
+                bare = []
+                found = _level(data, upper, block, settings, rest)
+                for tree, node in {*block} - {row[:2] for row in found}:
+                    upper[tree].handed.add(node)  # no row was drawn
+                for tree, node, feature, cut, gain, sizes in found:
+                    u = upper[tree]
+                    if sizes.sum() <= settings.handed:
+                        u.handed.add(node)
+                    elif feature >= 0:
+                        u.splits[node] = (feature, cut)
+                        gains[tree, feature] += gain
+                        following += [(tree, 2 * node), (tree, 2 * node + 1)]
+                    elif not rest and settings.tried < settings.features and sizes.min() > 0 and node.bit_length() - 1 < settings.max_depth:
+                        bare.append((tree, node))
+                    else:
+                        weighted = sizes * settings.weights
+                        u.leaves[node] = float(weighted[1] / weighted.sum()) if sizes.sum() else 0.5
+                # The other features only where the first ones cannot part the rows.
+                block = bare
+                if not bare:
+                    break
         open_ = following
     return upper, gains
 
 
-def _level(data: DataFrame, shared, settings: Settings) -> Iterator[tuple]:
+def _level(data: DataFrame, upper: list[Upper], block: list[tuple[int, int]], settings: Settings, rest: bool) -> list[tuple]:
     """(tree, node, feature, bin, gain, class sizes) of open nodes: one pass, counts added up per node.
 
-    A node that is small enough comes back with its sizes. Feature -1: no feature parts the rows, or the depth
-    is reached.
+    Only the features are counted that a node tries first, or, if ``rest``, all others. A node that is small enough
+    comes back with its sizes. Feature -1: none of these features parts the rows, or the depth is reached.
     """
-    k = settings.features
+    k, tried = settings.features, settings.tried
+    some = slice(tried, None) if rest else slice(tried)
+    by_tree: dict[int, list[int]] = {}
+    for tree, node in block:
+        by_tree.setdefault(tree, []).append(node)
+    shared = data.sparkSession.sparkContext.broadcast(({tree: upper[tree] for tree in by_tree}, by_tree))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        upper, block = shared.value
-        totals: dict[tuple[int, int], np.ndarray] = {}
-        by_tree: dict[int, list[int]] = {}
-        for tree, node in block:
-            by_tree.setdefault(tree, []).append(node)
+        upper, by_tree = shared.value
+        asked = {t: np.array(sorted(nodes)) for t, nodes in by_tree.items()}
+        features = {t: np.sort(shuffled_features(t, nodes, k, settings.seed)[:, some], axis=1) for t, nodes in asked.items()}
+        totals: dict[int, np.ndarray] = {}
         for batch in batches:
             bins, key, label = _table(batch, k), batch.column("key").to_numpy(), batch.column("label").to_numpy()
-            for tree, wanted in by_tree.items():
+            for tree, nodes in asked.items():
                 at, times = upper[tree].nodes(bins), bootstrap(key, tree, settings.seed)
-                for node in wanted:
-                    rows = np.flatnonzero((at == node) & (times > 0))
-                    cell = (np.arange(k) * BINS + bins[rows]) * 2 + label[rows][:, None]
-                    counts = np.bincount(cell.ravel(), np.repeat(times[rows], k), k * BINS * 2).astype(np.int64)
-                    totals[tree, node] = totals.get((tree, node), 0) + counts
-        for (tree, node), counts in totals.items():
-            yield pa.RecordBatch.from_pydict({"tree": pa.array([tree], pa.int32()), "node": pa.array([node], pa.int64()), "counts": [counts.tobytes()]})
+                place = np.searchsorted(nodes, at).clip(max=len(nodes) - 1)
+                rows = np.flatnonzero((nodes[place] == at) & (times > 0))
+                place, f = place[rows], features[tree]
+                m = f.shape[1]
+                cell = (place[:, None] * m + np.arange(m)) * BINS + bins[rows[:, None], f[place]]
+                cell = cell * 2 + label[rows][:, None]
+                counts = np.bincount(cell.ravel(), np.repeat(times[rows], m), len(nodes) * m * BINS * 2).astype(np.int64)
+                totals[tree] = totals[tree] + counts if tree in totals else counts
+        for tree, counts in totals.items():
+            for node, part in zip(asked[tree].tolist(), counts.reshape(len(asked[tree]), -1)):
+                if part.any():
+                    yield pa.RecordBatch.from_pydict({"tree": pa.array([tree], pa.int32()), "node": pa.array([node], pa.int64()), "counts": [part.tobytes()]})
 
     def choose(table: pa.Table) -> pa.Table:
         tree, node = table.column("tree")[0].as_py(), table.column("node")[0].as_py()
-        counts = sum(np.frombuffer(c, dtype=np.int64) for c in table.column("counts").to_pylist()).reshape(k, BINS, 2)
+        counts = sum(np.frombuffer(c, dtype=np.int64) for c in table.column("counts").to_pylist()).reshape(-1, BINS, 2)
         sizes = counts[0].sum(0)
-        rank = feature_order(tree, np.array([node]), k, settings.seed)[0]
         feature, cut, gain = -1, 0, -1.0
         if sizes.min() > 0 and node.bit_length() - 1 < settings.max_depth:
             found, where = best_splits(counts, settings.weights)
-            for few in (rank < settings.tried, rank >= settings.tried):
-                if feature < 0:
-                    for f in np.flatnonzero(few & (found >= 0)):
-                        if found[f] > gain:
-                            feature, cut, gain = int(f), int(where[f]), float(found[f])
+            best = int(found.argmax())  # the lowest feature of those with the best gain
+            if found[best] >= 0:
+                features = np.sort(shuffled_features(tree, np.array([node]), k, settings.seed)[0, some])
+                feature, cut, gain = int(features[best]), int(where[best]), float(found[best])
         row = {"tree": tree, "node": node, "feature": feature, "bin": cut, "gain": gain, "n0": int(sizes[0]), "n1": int(sizes[1])}
         return pa.Table.from_pylist([row], schema=choices)
 
     choices = pa.schema([("tree", pa.int32()), ("node", pa.int64()), ("feature", pa.int32()), ("bin", pa.int32()), ("gain", pa.float64()), ("n0", pa.int64()), ("n1", pa.int64())])
     sent = data.mapInArrow(count, "tree int, node long, counts binary")
     found = sent.groupBy("tree", "node").applyInArrow(choose, "tree int, node long, feature int, bin int, gain double, n0 long, n1 long")
-    for r in found.orderBy("tree", "node").collect():  # one row an open node
-        yield r["tree"], r["node"], r["feature"], r["bin"], r["gain"], np.array([r["n0"], r["n1"]])
+    rows = sorted(found.collect(), key=lambda r: (r["tree"], r["node"]))  # one row an open node
+    return [(r["tree"], r["node"], r["feature"], r["bin"], r["gain"], np.array([r["n0"], r["n1"]])) for r in rows]
 
 
 def _dealt(data: DataFrame, upper: list[Upper], columns: list[str], k: int, drawn: Callable | None) -> DataFrame:
@@ -330,15 +448,24 @@ def _unpacked(table: pa.Table, name: str, kind: str) -> np.ndarray:
     return np.frombuffer(b"".join(table.column(name).to_pylist()), dtype=kind)
 
 
+def _tasks(groups: int) -> int:
+    return max(1, min(groups, GROUP_TASKS))
+
+
+def _spread(data: DataFrame, total: int) -> DataFrame:
+    """In parts for all cores: each row is dealt out to every tree, so a small table is much work."""
+    return data.repartition(max(data.sparkSession.sparkContext.defaultParallelism, -(-total // PART_ROWS)))
+
+
 def fit(rows: DataFrame, features: int, trees: int, weights: tuple[float, float], max_depth: int, seed: int, handed: int = HANDED) -> Forest:
     """``rows``: ``key`` (a hash of the row's id), ``label`` (0 or 1), ``features`` (array of doubles), stored.
 
     ``weights`` are those of the two classes, ``handed`` the bootstrap rows that a group may hold.
     """
-    settings = Settings(features, weights, max_depth, seed, handed)
+    settings = Settings(features, weights, max_depth, seed, min(handed, PAIR // 2))
     total = rows.count()
     edges = bin_edges(rows, total)
-    data = store(binned(rows, edges, ["key", "label"]), "binned")
+    data = store(_spread(binned(rows, edges, ["key", "label"]), total), "binned")
     upper, gains = _upper_levels(data, trees, total, settings)
 
     def complete(table: pa.Table) -> pa.Table:
@@ -350,6 +477,8 @@ def fit(rows: DataFrame, features: int, trees: int, weights: tuple[float, float]
     kinds = {"feature": pa.int32(), "bin": pa.int32(), "left": pa.int32(), "probability": pa.float64(), "importance": pa.float64()}
     schema = "tree int, node long, feature array<int>, bin array<int>, left array<int>, probability array<double>, importance array<double>"
     dealt = _dealt(data, upper, ["label"], features, lambda key, tree: bootstrap(key, tree, seed))
+    # A number of tasks of its own: few bytes are much work here.
+    dealt = dealt.repartition(_tasks(sum(len(u.handed) for u in upper)), "tree", "node")
     subtrees = store(dealt.groupBy("tree", "node").applyInArrow(complete, schema), "subtrees")
     parts = subtrees.select("tree", F.posexplode("importance").alias("feature", "gain"))
     for r in parts.groupBy("tree", "feature").agg(F.sum("gain").alias("gain")).collect():  # trees * features
@@ -364,8 +493,9 @@ def score(forest: Forest, rows: DataFrame) -> DataFrame:
     Rows meet the subtrees in groups by (tree, node, block), each with at most some ``HANDED`` rows.
     """
     k, trees = forest.settings.features, forest.trees
-    data = store(binned(rows, forest.edges, ["key"]), "binned")
-    blocks = max(1, -(-data.count() // forest.settings.handed))
+    total = rows.count()
+    data = store(_spread(binned(rows, forest.edges, ["key"]), total), "binned")
+    blocks = max(1, -(-total // forest.settings.handed))
     upper = forest.upper
     shared = data.sparkSession.sparkContext.broadcast(upper)
 
@@ -375,7 +505,8 @@ def score(forest: Forest, rows: DataFrame) -> DataFrame:
             bins, total = _table(batch, k), np.zeros(batch.num_rows, dtype=np.int64)
             for top in shared.value:
                 if top.leaves:
-                    total += np.array([round(top.leaves.get(n, 0.0) * UNIT) for n in top.nodes(bins).tolist()])
+                    nodes, place = np.unique(top.nodes(bins), return_inverse=True)
+                    total += np.array([round(top.leaves.get(n, 0.0) * UNIT) for n in nodes.tolist()])[place]
             yield pa.RecordBatch.from_arrays([batch.column("key"), pa.array(total)], names=["key", "units"])
 
     def look_up(asked: pa.Table, known: pa.Table) -> pa.Table:
@@ -391,7 +522,9 @@ def score(forest: Forest, rows: DataFrame) -> DataFrame:
     # A packed row goes to one block as a whole.
     asked = _dealt(data, upper, ["key"], k, None).withColumn("block", F.pmod(F.xxhash64("key"), F.lit(blocks)))
     copies = forest.subtrees.select("tree", "node", "feature", "bin", "left", "probability", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))).alias("block"))
-    said = asked.groupBy("tree", "node", "block").cogroup(copies.groupBy("tree", "node", "block")).applyInArrow(look_up, "key long, units long")
+    group, tasks = ("tree", "node", "block"), _tasks(blocks * sum(len(top.handed) for top in upper))
+    asked, copies = asked.repartition(tasks, *group), copies.repartition(tasks, *group)
+    said = asked.groupBy(*group).cogroup(copies.groupBy(*group)).applyInArrow(look_up, "key long, units long")
     if any(top.leaves for top in upper):
         said = said.unionByName(data.mapInArrow(ends, "key long, units long"))
     return said.groupBy("key").agg((F.sum("units") / F.lit(float(UNIT) * trees)).alias("probability"))

@@ -10,6 +10,7 @@ import numpy as np
 import pytest
 from pyspark.ml import Pipeline
 from pyspark.ml.functions import vector_to_array
+from pyspark.sql import functions as F
 
 from orderlens.models import features, forest, metrics, newton, training
 from orderlens.operators.storage import store
@@ -284,6 +285,46 @@ def test_groups_stay_within_their_bound(spark, monkeypatch):
     assert all(0 <= r["probability"] <= 1 for r in forest.score(grown, data).collect())
 
 
+def test_subtrees_are_completed_by_many_tasks(spark):
+    """Few bytes, much work: the groups are not packed into one task by their size."""
+    rows = [(k, int(k % 7 == 0), [float(k % 11), float(k % 5)]) for k in range(300)]
+    data = store(spark.createDataFrame(rows, "key long, label int, features array<double>"), "rows")
+    grown = forest.fit(data, 2, 24, (1.0, 1.0), 30, 1)
+    files = grown.subtrees.select("tree", F.input_file_name().alias("file")).collect()
+    assert len(files) == 24 and len({r["file"] for r in files}) > 6
+
+
+def test_forest_of_one_feature_and_trees_without_rows(spark):
+    rows = [(k, k % 2, [float(k)]) for k in range(4)]
+    data = store(spark.createDataFrame(rows, "key long, label int, features array<double>"), "rows")
+    grown = forest.fit(data, 1, 60, (1.0, 1.0), 30, 1, handed=1)
+    empty = [t for t in range(60) if not forest.bootstrap(np.arange(4), t, 1).any()]
+    assert empty and all(grown.upper[t].handed == {1} for t in empty)
+    assert len(forest.score(grown, data).collect()) == 4
+
+
+@pytest.mark.parametrize("cached", [1, 50, 10_000])
+def test_splits_of_sorted_rows_equal_those_of_full_histograms(monkeypatch, cached):
+    monkeypatch.setattr(forest, "CACHED_ROWS", cached)
+    rng = np.random.default_rng(4)
+    sizes = np.array([1, 40, 3, 200, 2])
+    node = np.repeat(np.arange(5), sizes)
+    bins = np.stack([rng.integers(0, w, len(node)) for w in (64, 2, 1, 9, 2)], axis=1).astype(np.uint8)
+    label, times = rng.integers(0, 2, len(node)), rng.integers(1, 4, len(node)).astype(float)
+    both = np.bincount(2 * node + label, times, 10).reshape(5, 2).T
+    tried = np.array([[0, 1], [1, 2], [3, 4], [0, 3], [2, 4]])
+    got = forest.splits_of(forest.Rows(bins, label, times, sizes, both), tried, np.array([64, 2, 1, 9, 2]), (0.7, 3.0))
+    for i in range(5):
+        best = (-1.0, -1, 0)
+        for f in tried[i]:
+            cell = (bins[node == i, f].astype(int)) * 2 + label[node == i]
+            counts = np.bincount(cell, times[node == i], forest.BINS * 2).reshape(1, forest.BINS, 2)
+            gain, cut = forest.best_splits(counts, (0.7, 3.0))
+            if gain[0] > best[0]:
+                best = (gain[0], f, cut[0])
+        assert (got[0][i], got[1][i], got[2][i]) == best
+
+
 @pytest.mark.parametrize("name", ["churn", "fraud"])
 def test_registered_forests_are_as_deep_as_those_of_the_jobs(name, monkeypatch):
     from registry import queries
