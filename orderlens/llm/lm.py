@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from orderlens.llm.text import hand_back, mix, small_batches, word_hashes
-from orderlens.llm.trie import Trie, _changes
+from orderlens.llm.trie import Trie, _changes, sorted_order
 from orderlens.operators.storage import store
 
 #: Events of one shard, and events that a task gathers before it sends them.
@@ -132,10 +132,12 @@ def _events(docs: DataFrame, frequent: np.ndarray, coded: np.ndarray, shards: in
         key[split] = mix(words[v[split]] + spread[u[split]])
         key[start] = mix(BEGIN + spread[w[start]])
         shard = (key % np.uint64(shards)).astype(np.int64)
-        # The sort is stable, so the texts of a triple ascend.
-        high, low = shard << 32 | v, u << 32 | w
-        order = np.lexsort((low, high))
-        high, low, owner = high[order], low[order], owner[order]
+        # By shard, v, u, w, then text: triples get numbers first, so that all fit into one key.
+        by = sorted_order(v, u, w)
+        triple = np.empty(len(by), dtype=np.int64)
+        triple[by] = np.cumsum(_changes(v[by], u[by], w[by])) - 1
+        order = sorted_order(shard, triple, owner)
+        high, low, owner = (shard << 32 | v)[order], (u << 32 | w)[order], owner[order]
         new = _changes(high, low, owner)
         times, high, low, owner = _lengths(new), high[new], low[new], owner[new]
         mark = owner << 1 | train[owner]
@@ -216,10 +218,8 @@ def _answers(
         count = np.add.reduceat(trained, starts, dtype=np.int64)
         del starts, trained
         # Triples of all stretches once; ``at`` leads from a stretch's triple to it.
-        context = v.astype(np.int64) << 32 | u
-        by = np.lexsort((w, context))
-        new = _changes(context[by], w[by])
-        del context
+        by = sorted_order(v, u, w)
+        new = _changes(v[by], u[by], w[by])
         at = np.empty(len(by), dtype=np.int32)
         at[by] = np.cumsum(new) - 1
         first = np.flatnonzero(new)

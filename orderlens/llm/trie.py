@@ -7,6 +7,9 @@ from pathlib import Path
 import numpy as np
 
 _SAMPLE = 256  # bits per entry of the directory
+_PAIRS, _FOURS, _EIGHTS, _BYTES, _TOPS = (np.uint64(x * 0x0101010101010101) for x in (0x55, 0x33, 0x0F, 0x01, 0x80))
+#: Place of the k-th one (from 1) in a byte.
+_PLACES = np.array([[0, *(bits := [i for i in range(8) if byte >> i & 1]), *[0] * (8 - len(bits))] for byte in range(256)], dtype=np.uint64)
 
 
 class EliasFano:
@@ -69,18 +72,35 @@ class EliasFano:
         ones[h == 0] = 0
         return ones
 
+    def bucket_ends(self, h: np.ndarray, starts: np.ndarray) -> np.ndarray:
+        """``bucket_starts`` of ``h + 1`` from those of ``h``: the ones that follow on the h-th zero belong to h."""
+        at = starts + h
+        word, shift = at >> 6, at & 63
+        left = self.upper[word] >> shift.astype(np.uint64)
+        run = np.bitwise_count(left & ~(left + np.uint64(1))).astype(np.int64)
+        ends = starts + run
+        over = np.flatnonzero(shift + run == 64)
+        while len(over):  # the ones go on in the next word
+            word[over] += 1
+            left = self.upper[word[over]]
+            run = np.bitwise_count(left & ~(left + np.uint64(1))).astype(np.int64)
+            ends[over] += run
+            over = over[run == 64]
+        return ends
+
     @staticmethod
     def _ones_before(words: np.ndarray, k: np.ndarray) -> np.ndarray:
-        """Ones before the k-th zero (from 1) of each word, by halving."""
-        at = np.zeros(len(words), dtype=np.uint64)
-        left = k.copy()
-        for half in (32, 16, 8, 4, 2, 1):
-            part = (words >> at) & np.uint64((1 << half) - 1)
-            zeros = half - np.bitwise_count(part).astype(np.int64)
-            jump = zeros < left
-            left = np.where(jump, left - zeros, left)
-            at = np.where(jump, at + np.uint64(half), at)
-        return at.astype(np.int64) - (k - 1)
+        """Ones before the k-th zero (from 1) of each word: its byte by sums over the bytes, its bit by a table."""
+        zeros = ~words
+        sums = zeros - (zeros >> np.uint64(1) & _PAIRS)
+        sums = (sums & _FOURS) + (sums >> np.uint64(2) & _FOURS)
+        sums = (sums + (sums >> np.uint64(4)) & _EIGHTS) * _BYTES  # a byte has the zeros up to its end
+        before_k, k = k, k.astype(np.uint64)
+        reached = np.bitwise_count((sums | _TOPS) - k * _BYTES & _TOPS).astype(np.uint64)
+        at = np.uint64(64) - reached * np.uint64(8)
+        k -= sums << np.uint64(8) >> at & np.uint64(255)
+        at += _PLACES[(zeros >> at & np.uint64(255)).astype(np.int64), k.astype(np.int64)]
+        return at.astype(np.int64) - (before_k - 1)
 
     def low_bits(self, i: np.ndarray) -> np.ndarray:
         if not self.low:
@@ -123,7 +143,8 @@ class EliasFano:
         known = high <= self.highest
         high = np.minimum(high, self.highest)
         target = numbers.astype(np.uint64) & np.uint64((1 << self.low) - 1)
-        a, end_ = self.bucket_starts(high), self.bucket_starts(high + 1)
+        a = self.bucket_starts(high)
+        end_ = self.bucket_ends(high, a)
         if begin is not None:
             a, end_ = np.maximum(a, begin), np.minimum(end_, end)
         b = np.where(known, end_, a)
@@ -191,7 +212,7 @@ class Trie:
 
     def __init__(self, folder: Path, shapes: dict[str, tuple[int, int]]):
         def load(name: str) -> np.ndarray:
-            return np.load(folder / f"{name}.npy", mmap_mode="r")
+            return np.load(folder / f"{name}.npy", mmap_mode="r").view(np.ndarray)
 
         def sequence(name: str) -> EliasFano:
             return EliasFano(*shapes[name], *(load(f"{name}-{part}") for part in ("lower", "upper", "ones")))
@@ -211,11 +232,13 @@ class Trie:
         v of ``alone``.
         """
         words = np.unique(np.concatenate([u, w]))
-        heads, head = np.unique(v, return_inverse=True)
-        u, w = np.searchsorted(words, u), np.searchsorted(words, w)
+        changes = _changes(v)
+        heads, head = v[changes], np.cumsum(changes) - 1
+        u, w = _place(words, u), _place(words, w)
         # Pairs (v, w): the successors of one word.
-        order = np.lexsort((w, head))
-        new = _changes(head[order], w[order])
+        both = head << 32 | w
+        order = both.argsort()
+        new = _changes(both[order])
         first = np.flatnonzero(new)
         pair_head, pair_word = head[order][first], w[order][first]
         pair_count = np.add.reduceat(count[order], first) if len(first) else count
@@ -253,7 +276,7 @@ class Trie:
         return Trie(folder, shapes)
 
     def log10(
-        self, u: np.ndarray, v: np.ndarray, w: np.ndarray, order: int = 3, at_once: int = 200_000
+        self, u: np.ndarray, v: np.ndarray, w: np.ndarray, order: int = 3, at_once: int = 65_536
     ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """For triples sorted by (v, u): log10 probability after (u, v), NaN if not seen; log10 weight of what is left
         there; and log10 probability of w after v, NaN if not seen."""
@@ -304,10 +327,28 @@ def _changes(*keys: np.ndarray) -> np.ndarray:
     return new
 
 
+def sorted_order(*keys: np.ndarray) -> np.ndarray:
+    """An order by the keys, the first one foremost; equal rows come in any order.
+
+    Numbers from 0. One sort where all keys fit into 63 bits side by side."""
+    bits = [int(k.max()).bit_length() if len(k) else 0 for k in keys]
+    if sum(bits) > 63:
+        return np.lexsort(keys[::-1])
+    packed = np.zeros(len(keys[0]), dtype=np.int64)
+    for k, b in zip(keys, bits):
+        packed = packed << b | k
+    return packed.argsort()
+
+
 def _place(keys: np.ndarray, asked: np.ndarray) -> np.ndarray:
     """Place of each asked key among the sorted ``keys``, or -1."""
     if not len(keys):
         return np.full(len(asked), -1, dtype=np.int64)
+    if 0 <= keys[0] and keys[-1] <= 4 * (len(keys) + len(asked)):
+        # Places in a small dictionary: a table of all.
+        table = np.full(int(keys[-1]) + 2, -1, dtype=np.int64)
+        table[keys] = np.arange(len(keys))
+        return table[np.where((asked < 0) | (asked > keys[-1]), len(table) - 1, asked)]
     at = np.minimum(np.searchsorted(keys, asked), len(keys) - 1)
     return np.where(keys[at] == asked, at, -1)
 

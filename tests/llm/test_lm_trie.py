@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 
 from orderlens.llm.lm import bundle, unbundle
-from orderlens.llm.trie import EliasFano, Trie
+from orderlens.llm.trie import EliasFano, Trie, _place, sorted_order
 
 
 @pytest.mark.parametrize("n, universe", [(0, 5), (1, 1), (1, 100), (5, 10), (1000, 300), (5000, 10**9), (300, 10**15)])
@@ -28,6 +28,36 @@ def test_access_and_find_in_ranges(n, universe):
     assert got.tolist() == [i if a <= i < b else -1 for i, a, b in zip(want, begin, end)]
 
 
+@pytest.mark.parametrize("step", [1, 2, 70])
+def test_ends_of_buckets_are_the_next_starts(step):
+    """Also where a bucket's ones fill several words."""
+    numbers = np.concatenate([np.arange(0, 400, step), np.full(700, 401), np.full(64, 500)])
+    sequence = EliasFano.build(numbers, 600)
+    h = np.arange(sequence.highest)
+    assert (sequence.bucket_ends(h, sequence.bucket_starts(h)) == sequence.bucket_starts(h + 1)).all()
+
+
+def test_ones_before_every_zero_of_a_word():
+    words = np.append(np.random.default_rng(3).integers(0, 1 << 64, 50, dtype=np.uint64), np.array([0, 1, 1 << 63], dtype=np.uint64))
+    for word in words:
+        zeros = [i for i in range(64) if not int(word) >> i & 1]
+        k = np.arange(1, len(zeros) + 1)
+        want = [int(word & np.uint64((1 << i) - 1)).bit_count() for i in zeros]
+        assert EliasFano._ones_before(np.full(len(k), word), k).tolist() == want
+
+
+@pytest.mark.parametrize("top", [50, 1 << 40])
+def test_order_and_places_by_one_key_or_several(top):
+    """Whether or not the keys fit into one number, and the dictionary into a table."""
+    random = np.random.default_rng(9)
+    keys = [random.integers(0, top, 3000) // (top // 50) * (top // 50) for _ in range(3)]
+    order = sorted_order(*keys)
+    assert [k[order].tolist() for k in keys] == [k[np.lexsort(keys[::-1])].tolist() for k in keys]
+    known, asked = np.unique(keys[0])[::2], np.append(keys[0], [-1, top + 5])
+    where = {x: i for i, x in enumerate(known.tolist())}
+    assert _place(known, asked).tolist() == [where.get(x, -1) for x in asked.tolist()]
+
+
 def test_trie_against_counts(tmp_path):
     random, weight, alone = np.random.default_rng(7), 4.0, 5
     v, u, w = random.zipf(1.5, (3, 8000)).clip(0, 40).astype(np.uint64)
