@@ -16,7 +16,8 @@ from __future__ import annotations
 
 import shutil
 import tempfile
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from itertools import batched
 from pathlib import Path
 
 import numpy as np
@@ -26,11 +27,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from orderlens.llm.text import hand_back, mix, small_batches, word_hashes
-from orderlens.llm.trie import Trie, _changes, sorted_order
+from orderlens.llm.trie import Trie, _changes, _place, distinct, sorted_order
 from orderlens.operators.storage import store
 
 #: Events of one shard, and events that a task gathers before it sends them.
 SHARD_EVENTS, STRETCH_EVENTS = 2_000_000, 1_000_000
+#: Triples that a shard's task builds a trie of at once: it goes through its contexts range by range.
+AT_ONCE = 250_000
 #: The commonest words, which stand as two bytes wherever a dictionary is sent (8 bytes each in every task).
 CODED = 1 << 16
 #: Ids of the end of a text, and of what stands before its first word.
@@ -55,12 +58,12 @@ def word_counts(docs: DataFrame, train: Column) -> DataFrame:
             held.append(tokens(batch.column("text").to_pylist())[0])
             size += len(held[-1])
             if size > STRETCH_EVENTS:
-                yield distinct(held)
+                yield counted(held)
                 held, size = [], 0
         if held:
-            yield distinct(held)
+            yield counted(held)
 
-    def distinct(held: list[np.ndarray]) -> pa.RecordBatch:
+    def counted(held: list[np.ndarray]) -> pa.RecordBatch:
         words, n = np.unique(np.concatenate(held), return_counts=True)
         arrays = [pa.array(words.view(np.int64), pa.int64()), pa.array(n, pa.int64())]
         return pa.RecordBatch.from_arrays(arrays, names=["word", "n"])
@@ -80,7 +83,7 @@ def bundle(*arrays: np.ndarray) -> bytes:
     return b"".join(parts)
 
 
-def unbundle(data: bytes) -> list[np.ndarray]:
+def unbundle(data: bytes | memoryview) -> list[np.ndarray]:
     out, at = [], 0
     while at < len(data):
         kind, n = np.dtype(chr(data[at])), int.from_bytes(data[at + 1 : at + 9], "little")
@@ -193,30 +196,88 @@ def _answers(
 
     What is left to a frequent context's pairs is marked with the context, as its counts are spread over shards;
     all else that backs off has context 0. Rows and sizes of the stretches are handed on."""
+    return events.groupBy("shard").applyInArrow(scorer(frequent, coded, shards, training_texts, weight, order), ANSWER)
+
+
+def scorer(
+    frequent: dict[int, int], coded: np.ndarray, shards: int, training_texts: int, weight: float, order: int, at_once: int = AT_ONCE
+) -> Callable[[pa.Table], pa.Table]:
+    """Function from a shard's events to its answers.
+
+    Contexts do not share anything, so each range of them that has up to ``at_once`` triples (or is one context)
+    has a trie of its own, one after the other: beside the events, memory is that of a range and not of the shard."""
     common = np.array(list(frequent), dtype=np.int64).view(np.uint64)
     by_id = np.argsort(common)
     common, common_counts = common[by_id], np.array(list(frequent.values()), dtype=np.int64)[by_id]
 
     def score(table: pa.Table) -> pa.Table:
-        shard, stretch, data = (table.column(c).to_pylist() for c in ("shard", "stretch", "data"))
+        out = answers(table)
+        hand_back()  # all arrays but the answers are gone
+        return out
+
+    def answers(table: pa.Table) -> pa.Table:
+        shard, stretch = (table.column(c).to_pylist() for c in ("shard", "stretch"))
         if shard[0] < 0:
-            return answer([(s, d, b"", b"", b"") for s, d in zip(stretch, data)])
+            return answer([(s, d, b"", b"", b"") for s, d in zip(stretch, table.column("data").to_pylist())])
+        # Views of the table's own memory.
+        blobs = [unbundle(memoryview(x.as_buffer())) for x in table.column("data")]
         # The shard's own dictionary; words are places in it, BEGIN among them.
-        blobs = [unbundle(blob) for blob in data]
-        words = np.unique(np.concatenate([BEGIN_ONLY, *(_decoded(*b[:2], coded) for b in blobs)]))
-        parts, marks, bounds = [], [], [0]
-        for codes, rare, v, u, w, per_head, per_pair, entries, mark, times in blobs:
-            own = np.searchsorted(words, _decoded(codes, rare, coded)).astype(np.int32)
-            per_v = np.repeat(v, per_head)
-            parts.append((own[np.repeat(u, per_pair)], own[np.repeat(per_v, per_pair)], own[w], entries))
-            marks.append((mark, times))
-            bounds.append(bounds[-1] + len(w))
-        u, v, w, entries = (np.concatenate(x) for x in zip(*parts))
-        del parts, data, blobs
-        trained = np.concatenate([(m & 1).astype(np.int32) * t for m, t in marks])
-        starts = np.cumsum(entries, dtype=np.int64) - entries
-        count = np.add.reduceat(trained, starts, dtype=np.int64)
-        del starts, trained
+        words = BEGIN_ONLY
+        for some in batched(blobs, 8):
+            words = distinct(words, *(_decoded(*b[:2], coded) for b in some))
+        here = np.isin(words, common)  # contexts that are split over shards
+        spread_counts = _count_of(words, common, common_counts)
+        own = [np.searchsorted(words, _decoded(*b[:2], coded)).astype(np.int32) for b in blobs]
+        size = np.zeros(len(words), dtype=np.int64)
+        for places, (_, _, v, _, _, per_head, per_pair, *_) in zip(own, blobs):
+            size[places[v]] += np.add.reduceat(per_pair, _starts(per_head)[:-1], dtype=np.int64)
+        ranges = _ranges(size, at_once)
+        # A blob's contexts ascend, so a range of them is a stretch of each of its arrays.
+        cuts = []
+        for places, (_, _, v, _, _, per_head, per_pair, entries, *_) in zip(own, blobs):
+            heads = np.searchsorted(places[v], ranges)
+            pairs = _starts(per_head)[heads]
+            triples = _starts(per_pair)[pairs]
+            cuts.append((heads, pairs, triples, _starts(entries)[triples]))
+        texts = [distinct(b[-2] >> 1) for b in blobs]
+        sums = [np.zeros((3, len(t))) for t in texts]  # known, base, model
+        off = [[NO_BACK] for _ in blobs]
+        rows = []
+        for k in range(len(ranges) - 1):
+            parts = []
+            for places, cut, (_, _, v, u, w, per_head, per_pair, entries, mark, times) in zip(own, cuts, blobs):
+                head, pair, triple, entry = (slice(c[k], c[k + 1]) for c in cut)
+                per_v = np.repeat(places[v[head]], per_head[head])
+                parts.append(
+                    (
+                        np.repeat(places[u[pair]], per_pair[pair]),
+                        np.repeat(per_v, per_pair[pair]),
+                        places[w[triple]],
+                        entries[triple],
+                        mark[entry],
+                        times[entry],
+                    )
+                )
+            back, pairs = part(words, here, spread_counts, parts, texts, sums)
+            for o, b in zip(off, back):
+                o.append(b)
+            rows += pairs
+        for s, t, (known, base, model), o in zip(stretch, texts, sums, off):
+            # The model's sums are rounded to a byte per probability anyway.
+            totalled = bundle(t, known.astype(np.int64), base, model.astype(np.float32))
+            rows.append((s, b"", totalled, bundle(*(np.concatenate(x) for x in zip(*o))), b""))
+        return answer(rows)
+
+    def part(
+        words: np.ndarray, here: np.ndarray, spread_counts: np.ndarray, parts: list[tuple], texts: list[np.ndarray], sums: list[np.ndarray]
+    ) -> tuple[list[tuple], list[tuple]]:
+        """What backs off in each stretch, and rows of the pairs of split contexts, for a range of contexts. Adds to ``sums``."""
+        bounds = np.cumsum([0, *(len(p[2]) for p in parts)])
+        u, v, w, entries = (np.concatenate(x) for x in zip(*(p[:4] for p in parts)))
+        if not len(w):
+            return [NO_BACK] * len(parts), []
+        trained = np.concatenate([(p[4] & 1).astype(np.int32) * p[5] for p in parts])
+        count = np.add.reduceat(trained, _starts(entries)[:-1], dtype=np.int64)
         # Triples of all stretches once; ``at`` leads from a stretch's triple to it.
         by = sorted_order(v, u, w)
         new = _changes(v[by], u[by], w[by])
@@ -224,16 +285,12 @@ def _answers(
         at[by] = np.cumsum(new) - 1
         first = np.flatnonzero(new)
         u, v, w, count = u[by][first], v[by][first], w[by][first], np.add.reduceat(count[by], first)
-        del by, new
         used = count > 0
         tu, tv, tw, tn = u[used], v[used], w[used], count[used]
-        # Training counts of the shard's contexts: as words, they are counted where they are contexts.
+        # Training counts of the range's contexts: as words, they are counted where they are contexts.
         head = np.flatnonzero(_changes(tv))
         seen, counts = tv[head], np.add.reduceat(tn, head) if len(head) else tn
-
         begin = np.searchsorted(words, BEGIN)
-        here = np.isin(words, common)  # contexts that are split over shards
-        spread_counts = _count_of(words, common, common_counts)
 
         def totals(c: np.ndarray) -> np.ndarray:
             own = np.maximum(_count_of(c, seen, counts), spread_counts[c])
@@ -256,21 +313,18 @@ def _answers(
         real = v != begin  # each word is a context once, so its unigram count is at hand
         base = np.where(real, np.log10(c + 1), 0.0)
         known = (real & (c > 0)).astype(np.float64)
-        rows = []
-        for k, (mark, times) in enumerate(marks):
+        off = []
+        for k, ((*_, entries, mark, times), own, total) in enumerate(zip(parts, texts, sums)):
             text = mark >> 1
-            mine = at[bounds[k] : bounds[k + 1]]
-            per = entries[bounds[k] : bounds[k + 1]]
-            which = np.repeat(mine, per)
-            texts, own = np.unique(text, return_inverse=True)
-            sums = [np.bincount(own, x[which] * times, len(texts)) for x in (known, base, model)]
+            which = np.repeat(at[bounds[k] : bounds[k + 1]], entries)
+            place = _place(own, text)
+            for t, x in zip(total, (known, base, model)):
+                t += np.bincount(place, x[which] * times, len(own))
             far = back[which]
             left = which[far]
             context = np.where(split[left], words[v[left]], np.uint64(0))
-            off = bundle(text[far], context, words[w[left]], times[far])
-            # The model's sums are rounded to a byte per probability anyway.
-            totalled = bundle(texts, sums[0].astype(np.int64), sums[1], sums[2].astype(np.float32))
-            rows.append((stretch[k], b"", totalled, off, b""))
+            off.append((text[far], context, words[w[left]], times[far]))
+        rows = []
         mine = here[tv]
         if mine.any():
             pv, pw, pn = words[tv[mine]], words[tw[mine]], tn[mine]
@@ -282,15 +336,28 @@ def _answers(
             edge = np.flatnonzero(_changes(bucket))
             for i, j in zip(edge, [*edge[1:], len(bucket)]):
                 rows.append((-1 - int(bucket[i]), b"", b"", b"", bundle(pv[i:j], pw[i:j], pn[i:j])))
-        hand_back()
-        return answer(rows)
+        return off, rows
 
     def answer(rows: list[tuple]) -> pa.Table:
         stretch, *blobs = zip(*rows)
         names = [f.split()[0] for f in ANSWER.split(", ")]
         return pa.table(dict(zip(names, [pa.array(stretch, pa.int64()), *(pa.array(b, pa.binary()) for b in blobs)])))
 
-    return events.groupBy("shard").applyInArrow(score, ANSWER)
+    return score
+
+
+def _starts(lengths: np.ndarray) -> np.ndarray:
+    """Where runs of these lengths begin, and where the last one ends."""
+    return np.concatenate([[0], np.cumsum(lengths, dtype=np.int64)])
+
+
+def _ranges(size: np.ndarray, most: int) -> list[int]:
+    """Bounds of ranges whose sizes add up to ``most`` at most, but for single ones that are larger."""
+    total, bounds = np.cumsum(size), [0]
+    while bounds[-1] < len(size):
+        before = int(total[bounds[-1] - 1]) if bounds[-1] else 0
+        bounds.append(max(bounds[-1] + 1, int(np.searchsorted(total, before + most, side="right"))))
+    return bounds
 
 
 def _count_of(asked: np.ndarray, keys: np.ndarray, counts: np.ndarray) -> np.ndarray:

@@ -174,6 +174,51 @@ def test_lm_orders_and_split_contexts(spark, texts, order, shard_events):
         assert abs(score - r.score) <= 0.02 * len(own)
 
 
+def shard_tables(spark, texts):
+    """Events of a text's words by shard, and a scorer for them."""
+    import numpy as np
+
+    docs = spark.createDataFrame([(i, t, i % 3 > 0) for i, t in enumerate(texts)], "row long, text string, train boolean").coalesce(2)
+    split, coded, shards = {int(lm.tokens(["same"])[0].view(np.int64)[0]): 40}, np.zeros(0, np.uint64), 2
+    events = lm._events(docs, np.array(list(split), dtype=np.int64).view(np.uint64), coded, shards).toArrow()
+    number = events.column("shard").to_numpy()
+    tables = [events.filter(number == k).combine_chunks() for k in np.unique(number[number >= 0])]
+    return tables, lambda at_once: lm.scorer(split, coded, shards, sum(i % 3 > 0 for i in range(len(texts))), 4.0, 3, at_once)
+
+
+@pytest.mark.parametrize("at_once", [1, 50, 400])
+def test_lm_ranges_of_contexts_add_up(spark, texts, at_once):
+    """A shard gone through in ranges of contexts answers as if it were one trie."""
+    tables, scorer = shard_tables(spark, ["", "same", "same same same", *[t[:400] for t in list(texts.values())[:60] if t]])
+    for table in tables:
+        whole, cut = (scorer(n)(table).to_pylist() for n in (10**9, at_once))
+        assert [r["stretch"] for r in cut if r["stretch"] >= 0] == [r["stretch"] for r in whole if r["stretch"] >= 0]
+        for a, b in zip(*([r for r in x if r["stretch"] >= 0] for x in (whole, cut))):
+            (*sums, model), (*own, own_model) = lm.unbundle(a["sums"]), lm.unbundle(b["sums"])
+            assert all(x == pytest.approx(y) for x, y in zip(sums, own))
+            assert model == pytest.approx(own_model, abs=3)  # one byte per probability
+            assert all(x.tolist() == y.tolist() for x, y in zip(lm.unbundle(a["back"]), lm.unbundle(b["back"])))
+        counts = [sorted((r["stretch"], *t) for r in x if r["pairs"] for t in zip(*map(list, lm.unbundle(r["pairs"])))) for x in (whole, cut)]
+        assert counts[0] == counts[1]
+
+
+def test_lm_memory_of_a_shard(spark):
+    """Beside its events, a shard's task needs what a range of contexts needs, not several times the shard."""
+    import tracemalloc
+
+    import numpy as np
+
+    words = np.random.default_rng(5).zipf(1.3, (300, 1000)).clip(0, 100_000)
+    tables, scorer = shard_tables(spark, [" ".join(map(str, t)) for t in words])
+    table, score = max(tables, key=lambda t: t.nbytes), scorer(10_000)
+    tracemalloc.start()
+    try:
+        score(table)
+        assert tracemalloc.get_traced_memory()[1] < 6 * table.nbytes
+    finally:
+        tracemalloc.stop()
+
+
 def test_records(spark, texts):
     ids, want, at = token_ids(texts, "byte_bpe_50k.json", 2), {}, 0
     for i in sorted(ids):
