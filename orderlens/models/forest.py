@@ -7,11 +7,15 @@ thousands of small nodes take one shuffle and not a pass per level.
 
 What a row counts in a tree (its bootstrap weight) is a hash of the row and the tree, and all counts are integers,
 so a forest does not depend on partitions. Subtrees stay in a table; only the upper levels are on the driver.
+
+Rows are packed into a few words, and the loops over (row, tree) are compiled (``compiled.py``). ``bootstrap``, ``_dealt``,
+``grow`` and ``leaf_probability`` say the same in numpy; tests compare the two.
 """
 
 from __future__ import annotations
 
 import math
+import struct
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 
@@ -20,18 +24,22 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from orderlens.models import compiled
 from orderlens.models.newton import matrix
 from orderlens.operators.storage import store
 
 BINS = 64
 #: Rows whose values place the edges of bins.
 SAMPLE_ROWS = 20_000
-#: Bootstrap rows of a node that are grown in one group, at most.
-HANDED = 1_000_000
+#: Bootstrap rows of a node that are grown in one group, at most, and bytes of its packed rows.
+HANDED = 4_000_000
+GROUP_BYTES = 1 << 26
+#: Rows that look up one subtree in one group, at most.
+ASKED = 500_000
 #: Tasks that complete or look up subtrees, at most; a node's rows are in one of them.
-GROUP_TASKS = 2_000
-#: Rows of a stored part, which one task deals out to all trees.
-PART_ROWS = 100_000
+GROUP_TASKS = 20_000
+#: Rows of a packed part, at most; a task deals its parts out to all trees.
+PART_ROWS = 16_384
 #: Nodes whose histograms one pass takes (1 kB per node and feature).
 OPEN_NODES = 2_000
 #: Rows whose nodes are searched for splits at a time.
@@ -43,6 +51,18 @@ UNIT = 1 << 40
 _CDF = np.cumsum([math.exp(-1) / math.factorial(k) for k in range(12)])
 
 
+def _largest(share: float) -> int:
+    """The largest unsigned 64-bit number that is at most ``share`` of 2 ** 64, as ``bootstrap`` divides."""
+    low, high = 0, 2**64
+    while high - low > 1:
+        middle = (low + high) // 2
+        low, high = (middle, high) if middle / 2.0**64 <= share else (low, middle)
+    return low
+
+
+_LARGEST = np.array([_largest(share) for share in _CDF.tolist()], dtype="<u8")
+
+
 def mixed(x: np.ndarray) -> np.ndarray:
     """Spread the bits of unsigned 64-bit numbers, one to one."""
     x = (x ^ (x >> np.uint64(31))) * np.uint64(0x7FB5D329728EA185)
@@ -273,13 +293,48 @@ class Upper:
         return end
 
 
+@dataclass
+class Layout:
+    """Where a packed row keeps its features. A row is some 64-bit words: the weight in a tree (7 bits) and the label,
+    a byte for each feature with more than two bins, and from a word of its own on a bit for each other feature."""
+
+    place: np.ndarray  # a feature's first bit
+    width: np.ndarray  # its bins
+    words: int
+    bits: int  # the first word of bits
+
+    def packed(self, bins: np.ndarray, label: np.ndarray) -> np.ndarray:
+        """The rows as words, of weight 0."""
+        out = np.zeros((len(bins), self.words * 8), dtype=np.uint8)
+        out[:, 0] = label << 7
+        for f, place in enumerate(self.place.tolist()):
+            if self.width[f] > 2:
+                out[:, place >> 3] = bins[:, f]
+            else:
+                out[:, place >> 3] |= bins[:, f] << (place & 7)
+        return out
+
+    def spec(self, settings: Settings) -> bytes:
+        """What the compiled functions have to know."""
+        head = struct.pack("<6iq3d", self.words, self.bits, settings.features, settings.tried, settings.max_depth, len(_LARGEST), settings.seed, *settings.weights, float(UNIT))
+        return head + _LARGEST.tobytes() + self.place.astype("<i4").tobytes() + self.width.astype("<i4").tobytes()
+
+
+def layout(edges: list[np.ndarray]) -> Layout:
+    width = np.array([len(e) + 1 for e in edges])
+    wide = width > 2
+    bits = -(-(1 + int(wide.sum())) // 8)
+    place = np.where(wide, 8 * np.cumsum(wide), 64 * bits + np.cumsum(~wide) - 1)
+    return Layout(place, width, bits - (-int((~wide).sum()) // 64), bits)
+
+
 @dataclass
 class Forest:
     settings: Settings
     trees: int
     edges: list[np.ndarray]
     upper: list[Upper]
-    subtrees: DataFrame  # tree, node, and a subtree's arrays
+    subtrees: DataFrame  # tree, node, and a subtree as ``unpacked`` reads it
     importances: np.ndarray  # adding up to 1
 
 
@@ -312,11 +367,82 @@ def binned(rows: DataFrame, edges: list[np.ndarray], columns: list[str]) -> Data
     return rows.select(*columns, "features").mapInArrow(cut, schema)
 
 
+def parts(rows: DataFrame, edges: list[np.ndarray], size: int, labelled: bool) -> DataFrame:
+    """The rows packed, up to ``size`` in a part: ``rows`` and their ``keys``."""
+    plan = layout(edges)
+    columns = ["key", *(["label"] if labelled else [])]
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        waiting, keys, n = [], [], 0
+
+        def part(stop: int) -> pa.RecordBatch:
+            every, names = np.concatenate(waiting), np.concatenate(keys)
+            waiting[:], keys[:] = [every[stop:]], [names[stop:]]
+            return pa.RecordBatch.from_pydict({"rows": [every[:stop].tobytes()], "keys": [names[:stop].tobytes()]})
+
+        for batch in batches:
+            if batch.num_rows:
+                x = matrix(batch)
+                bins = np.stack([np.searchsorted(e, x[:, k]) for k, e in enumerate(edges)], axis=1).astype(np.uint8)
+                label = batch.column("label").cast(pa.uint8()).to_numpy() if labelled else np.zeros(len(bins), dtype=np.uint8)
+                waiting.append(plan.packed(bins, label))
+                keys.append(batch.column("key").cast(pa.int64()).to_numpy())
+                n += len(bins)
+            while n >= size:
+                yield part(size)
+                n -= size
+        if n:
+            yield part(n)
+
+    return rows.select(*columns, "features").mapInArrow(pack, "rows binary, keys binary")
+
+
+def _stored_parts(rows: DataFrame, edges: list[np.ndarray], total: int, labelled: bool) -> DataFrame:
+    """In parts for all cores: each row is dealt out to every tree, so a small table is much work."""
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    size = max(1, min(PART_ROWS, -(-total // (4 * cores))))
+    packed = parts(rows, edges, size, labelled).repartition(max(cores, -(-total // size)))
+    return store(packed.withColumn("part", F.monotonically_increasing_id()), "parts")
+
+
+def walks(upper: list[Upper], state: Callable[[int, int], int]) -> bytes:
+    """The upper levels of all trees for the compiled functions: places of the trees, then the splits and ends of each,
+    an end with its ``state`` by (tree, node). A split that only leads to ends of state 0 is such an end itself."""
+    places, out, at = [], [], 4 * len(upper)
+    for tree, top in enumerate(upper):
+        states, ends, packed = {}, [], []
+        for node in sorted(top.splits, reverse=True):  # children before their parents
+            for child in (2 * node, 2 * node + 1):
+                if child not in states:
+                    states[child] = state(tree, child)
+            states[node] = states[2 * node] or states[2 * node + 1]
+        numbers = [node for node in sorted(top.splits) if states[node]]
+        place = {node: i for i, node in enumerate(numbers)}
+
+        def child(node: int, ends: list = ends, place: dict = place) -> int:
+            if node in place:
+                return place[node]
+            ends.append(node)
+            return -len(ends)
+
+        if not numbers:
+            ends.append(1)
+            states.setdefault(1, 0 if top.splits else state(tree, 1))
+        for node in numbers:
+            packed.append(struct.pack("<4i", *top.splits[node], child(2 * node), child(2 * node + 1)))
+        packed += [struct.pack("<qi", node, states[node]) for node in ends]
+        piece = struct.pack("<2i", len(numbers), len(ends)) + b"".join(packed)
+        places.append(at)
+        out.append(piece)
+        at += len(piece)
+    return struct.pack(f"<{len(places)}i", *places) + b"".join(out)
+
+
 def _table(batch: pa.RecordBatch, k: int) -> np.ndarray:
     return np.frombuffer(b"".join(batch.column("bins").to_pylist()), dtype=np.uint8).reshape(-1, k)
 
 
-def _upper_levels(data: DataFrame, trees: int, total: int, settings: Settings) -> tuple[list[Upper], np.ndarray]:
+def _upper_levels(data: DataFrame, plan: Layout, trees: int, total: int, settings: Settings) -> tuple[list[Upper], np.ndarray]:
     """Phase one, and the gains of its splits per (tree, feature)."""
     upper = [Upper() for _ in range(trees)]
     gains = np.zeros((trees, settings.features))
@@ -332,7 +458,7 @@ def _upper_levels(data: DataFrame, trees: int, total: int, settings: Settings) -
             block = open_[start : start + OPEN_NODES]
             for rest in (False, True):
                 bare = []
-                found = _level(data, upper, block, settings, rest)
+                found = _level(data, plan, upper, block, settings, rest)
                 for tree, node in {*block} - {row[:2] for row in found}:
                     upper[tree].handed.add(node)  # no row was drawn
                 for tree, node, feature, cut, gain, sizes in found:
@@ -356,57 +482,35 @@ def _upper_levels(data: DataFrame, trees: int, total: int, settings: Settings) -
     return upper, gains
 
 
-def _level(data: DataFrame, upper: list[Upper], block: list[tuple[int, int]], settings: Settings, rest: bool) -> list[tuple]:
+def _level(data: DataFrame, plan: Layout, upper: list[Upper], block: list[tuple[int, int]], settings: Settings, rest: bool) -> list[tuple]:
     """(tree, node, feature, bin, gain, class sizes) of open nodes: one pass, counts added up per node.
 
     Only the features are counted that a node tries first, or, if ``rest``, all others. A node that is small enough
     comes back with its sizes. Feature -1: none of these features parts the rows, or the depth is reached.
     """
-    k, tried = settings.features, settings.tried
+    k, tried, width = settings.features, settings.tried, plan.width
     some = slice(tried, None) if rest else slice(tried)
-    by_tree: dict[int, list[int]] = {}
-    for tree, node in block:
-        by_tree.setdefault(tree, []).append(node)
-    shared = data.sparkSession.sparkContext.broadcast(({tree: upper[tree] for tree in by_tree}, by_tree))
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        upper, by_tree = shared.value
-        asked = {t: np.array(sorted(nodes)) for t, nodes in by_tree.items()}
-        features = {t: np.sort(shuffled_features(t, nodes, k, settings.seed)[:, some], axis=1) for t, nodes in asked.items()}
-        totals: dict[int, np.ndarray] = {}
-        for batch in batches:
-            bins, key, label = _table(batch, k), batch.column("key").to_numpy(), batch.column("label").to_numpy()
-            for tree, nodes in asked.items():
-                at, times = upper[tree].nodes(bins), bootstrap(key, tree, settings.seed)
-                place = np.searchsorted(nodes, at).clip(max=len(nodes) - 1)
-                rows = np.flatnonzero((nodes[place] == at) & (times > 0))
-                place, f = place[rows], features[tree]
-                m = f.shape[1]
-                cell = (place[:, None] * m + np.arange(m)) * BINS + bins[rows[:, None], f[place]]
-                cell = cell * 2 + label[rows][:, None]
-                counts = np.bincount(cell.ravel(), np.repeat(times[rows], m), len(nodes) * m * BINS * 2).astype(np.int64)
-                totals[tree] = totals[tree] + counts if tree in totals else counts
-        for tree, counts in totals.items():
-            for node, part in zip(asked[tree].tolist(), counts.reshape(len(asked[tree]), -1)):
-                if part.any():
-                    yield pa.RecordBatch.from_pydict({"tree": pa.array([tree], pa.int32()), "node": pa.array([node], pa.int64()), "counts": [part.tobytes()]})
+    asked = {*block}
 
     def choose(table: pa.Table) -> pa.Table:
         tree, node = table.column("tree")[0].as_py(), table.column("node")[0].as_py()
-        counts = sum(np.frombuffer(c, dtype=np.int64) for c in table.column("counts").to_pylist()).reshape(-1, BINS, 2)
+        features = np.sort(shuffled_features(tree, np.array([node]), k, settings.seed)[0, some])
+        added = sum(np.frombuffer(c, dtype="<i8") for c in table.column("counts").to_pylist()).reshape(-1, 2)
+        counts = np.zeros((len(features), BINS, 2), dtype=np.int64)
+        for row, part in zip(counts, np.split(added, np.cumsum(width[features])[:-1])):
+            row[: len(part)] = part
         sizes = counts[0].sum(0)
         feature, cut, gain = -1, 0, -1.0
         if sizes.min() > 0 and node.bit_length() - 1 < settings.max_depth:
             found, where = best_splits(counts, settings.weights)
             best = int(found.argmax())  # the lowest feature of those with the best gain
             if found[best] >= 0:
-                features = np.sort(shuffled_features(tree, np.array([node]), k, settings.seed)[0, some])
                 feature, cut, gain = int(features[best]), int(where[best]), float(found[best])
         row = {"tree": tree, "node": node, "feature": feature, "bin": cut, "gain": gain, "n0": int(sizes[0]), "n1": int(sizes[1])}
         return pa.Table.from_pylist([row], schema=choices)
 
     choices = pa.schema([("tree", pa.int32()), ("node", pa.int64()), ("feature", pa.int32()), ("bin", pa.int32()), ("gain", pa.float64()), ("n0", pa.int64()), ("n1", pa.int64())])
-    sent = data.mapInArrow(count, "tree int, node long, counts binary")
+    sent = compiled.over(data, "Count", plan.spec(settings), walks(upper, lambda tree, node: int((tree, node) in asked)), rest)
     found = sent.groupBy("tree", "node").applyInArrow(choose, "tree int, node long, feature int, bin int, gain double, n0 long, n1 long")
     rows = sorted(found.collect(), key=lambda r: (r["tree"], r["node"]))  # one row an open node
     return [(r["tree"], r["node"], r["feature"], r["bin"], r["gain"], np.array([r["n0"], r["n1"]])) for r in rows]
@@ -444,17 +548,24 @@ def _dealt(data: DataFrame, upper: list[Upper], columns: list[str], k: int, draw
     return data.mapInArrow(deal, schema)
 
 
-def _unpacked(table: pa.Table, name: str, kind: str) -> np.ndarray:
-    return np.frombuffer(b"".join(table.column(name).to_pylist()), dtype=kind)
-
-
 def _tasks(groups: int) -> int:
     return max(1, min(groups, GROUP_TASKS))
 
 
-def _spread(data: DataFrame, total: int) -> DataFrame:
-    """In parts for all cores: each row is dealt out to every tree, so a small table is much work."""
-    return data.repartition(max(data.sparkSession.sparkContext.defaultParallelism, -(-total // PART_ROWS)))
+def unpacked(subtree: bytes) -> dict[str, np.ndarray]:
+    """A subtree's arrays: feature (-1: leaf), last bin on the left, left child (the right one follows it), and the
+    probability of class 1 of the leaves."""
+    n = int.from_bytes(subtree[:4], "little")
+    split, left = np.frombuffer(subtree, "<i4", 2 * n, 4).reshape(-1, 2).T
+    leaf = np.frombuffer(subtree, "<f8", -1, 4 + 8 * n)
+    feature = np.where(split < 0, -1, split >> 8)
+    probability = np.where(split < 0, leaf[np.where(split < 0, left, 0)], np.nan)
+    return {"feature": feature, "bin": split & 255, "left": np.where(split < 0, -1, left), "probability": probability}
+
+
+def _leaf(probability: float) -> bytes:
+    """A subtree of one leaf."""
+    return struct.pack("<3id", 1, -1, 0, probability)
 
 
 def fit(rows: DataFrame, features: int, trees: int, weights: tuple[float, float], max_depth: int, seed: int, handed: int = HANDED) -> Forest:
@@ -462,24 +573,17 @@ def fit(rows: DataFrame, features: int, trees: int, weights: tuple[float, float]
 
     ``weights`` are those of the two classes, ``handed`` the bootstrap rows that a group may hold.
     """
-    settings = Settings(features, weights, max_depth, seed, min(handed, PAIR // 2))
     total = rows.count()
     edges = bin_edges(rows, total)
-    data = store(_spread(binned(rows, edges, ["key", "label"]), total), "binned")
-    upper, gains = _upper_levels(data, trees, total, settings)
-
-    def complete(table: pa.Table) -> pa.Table:
-        tree, node = table.column("tree")[0].as_py(), table.column("node")[0].as_py()
-        bins = _unpacked(table, "bins", "u1").reshape(-1, settings.features)
-        subtree = grow(bins, _unpacked(table, "label", "i8"), _unpacked(table, "times", "u1").astype(np.int64), tree, node, settings)
-        return pa.table({"tree": pa.array([tree], pa.int32()), "node": pa.array([node], pa.int64())} | {n: pa.array([v.tolist()], pa.list_(kinds[n])) for n, v in subtree.items()})
-
-    kinds = {"feature": pa.int32(), "bin": pa.int32(), "left": pa.int32(), "probability": pa.float64(), "importance": pa.float64()}
-    schema = "tree int, node long, feature array<int>, bin array<int>, left array<int>, probability array<double>, importance array<double>"
-    dealt = _dealt(data, upper, ["label"], features, lambda key, tree: bootstrap(key, tree, seed))
+    plan = layout(edges)
+    settings = Settings(features, weights, max_depth, seed, min(handed, GROUP_BYTES // (8 * plan.words)))
+    data = _stored_parts(rows, edges, total, True)
+    upper, gains = _upper_levels(data, plan, trees, total, settings)
+    spec = plan.spec(settings)
+    dealt = compiled.over(data, "Deal", spec, walks(upper, lambda tree, node: int(node in upper[tree].handed)))
     # A number of tasks of its own: few bytes are much work here.
-    dealt = dealt.repartition(_tasks(sum(len(u.handed) for u in upper)), "tree", "node")
-    subtrees = store(dealt.groupBy("tree", "node").applyInArrow(complete, schema), "subtrees")
+    dealt = dealt.repartition(_tasks(sum(len(u.handed) for u in upper)), "tree", "node").sortWithinPartitions("tree", "node")
+    subtrees = store(compiled.over(dealt, "Grow", spec), "subtrees")
     parts = subtrees.select("tree", F.posexplode("importance").alias("feature", "gain"))
     for r in parts.groupBy("tree", "feature").agg(F.sum("gain").alias("gain")).collect():  # trees * features
         gains[r["tree"], r["feature"]] += r["gain"]
@@ -490,41 +594,35 @@ def fit(rows: DataFrame, features: int, trees: int, weights: tuple[float, float]
 def score(forest: Forest, rows: DataFrame) -> DataFrame:
     """``key`` and ``probability`` of class 1, the mean over the trees; ``key`` tells the rows of ``rows`` apart.
 
-    Rows meet the subtrees in groups by (tree, node, block), each with at most some ``HANDED`` rows.
+    Rows meet the subtrees in groups by (tree, node, block), each with some ``ASKED`` rows at most, and the answers of
+    all trees come together by part. Both go through their tasks as sorted streams.
     """
-    k, trees = forest.settings.features, forest.trees
+    trees, upper, settings = forest.trees, forest.upper, forest.settings
+    spark = rows.sparkSession
     total = rows.count()
-    data = store(_spread(binned(rows, forest.edges, ["key"]), total), "binned")
-    blocks = max(1, -(-total // forest.settings.handed))
-    upper = forest.upper
-    shared = data.sparkSession.sparkContext.broadcast(upper)
-
-    def ends(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """What leaves of the upper levels say."""
-        for batch in batches:
-            bins, total = _table(batch, k), np.zeros(batch.num_rows, dtype=np.int64)
-            for top in shared.value:
-                if top.leaves:
-                    nodes, place = np.unique(top.nodes(bins), return_inverse=True)
-                    total += np.array([round(top.leaves.get(n, 0.0) * UNIT) for n in nodes.tolist()])[place]
-            yield pa.RecordBatch.from_arrays([batch.column("key"), pa.array(total)], names=["key", "units"])
-
-    def look_up(asked: pa.Table, known: pa.Table) -> pa.Table:
-        if not asked.num_rows:
-            return pa.table({"key": pa.array([], pa.int64()), "units": pa.array([], pa.int64())})
-        bins = _unpacked(asked, "bins", "u1").reshape(-1, k)
-        found = np.full(len(bins), 0.5)  # no row was drawn for the tree
-        if known.num_rows:
-            subtree = {n: np.array(known.column(n)[0].values) for n in ("feature", "bin", "left", "probability")}
-            found = leaf_probability(subtree, bins)
-        return pa.table({"key": _unpacked(asked, "key", "i8"), "units": np.round(found * UNIT).astype(np.int64)})
-
-    # A packed row goes to one block as a whole.
-    asked = _dealt(data, upper, ["key"], k, None).withColumn("block", F.pmod(F.xxhash64("key"), F.lit(blocks)))
-    copies = forest.subtrees.select("tree", "node", "feature", "bin", "left", "probability", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))).alias("block"))
-    group, tasks = ("tree", "node", "block"), _tasks(blocks * sum(len(top.handed) for top in upper))
-    asked, copies = asked.repartition(tasks, *group), copies.repartition(tasks, *group)
-    said = asked.groupBy(*group).cogroup(copies.groupBy(*group)).applyInArrow(look_up, "key long, units long")
-    if any(top.leaves for top in upper):
-        said = said.unionByName(data.mapInArrow(ends, "key long, units long"))
-    return said.groupBy("key").agg((F.sum("units") / F.lit(float(UNIT) * trees)).alias("probability"))
+    spec = layout(forest.edges).spec(settings)
+    data = _stored_parts(rows, forest.edges, total, False)
+    blocks: dict[tuple[int, int], int] = {}
+    if total > ASKED:
+        ends = compiled.over(data, "Ends", spec, walks(upper, lambda tree, node: 1))
+        for r in ends.groupBy("tree", "node").agg(F.sum("n").alias("n")).collect():  # a row an end of the upper levels
+            blocks[r["tree"], r["node"]] = -(-r["n"] // ASKED)
+    asked = compiled.over(data, "Ask", spec, walks(upper, lambda tree, node: blocks.get((tree, node), 1)))
+    # What leaves of the upper levels say is a subtree as well.
+    leaves = [(tree, node, bytearray(_leaf(p))) for tree, top in enumerate(upper) for node, p in top.leaves.items()]
+    known = forest.subtrees.select("tree", "node", F.col("subtree").alias("bytes"))
+    if leaves:
+        known = known.unionByName(spark.createDataFrame(leaves, "tree int, node long, bytes binary"))
+    last = F.lit(0)
+    several = [(tree, node, n - 1) for (tree, node), n in blocks.items() if n > 1]
+    if several:
+        known = known.join(F.broadcast(spark.createDataFrame(several, "tree int, node long, last int")), ["tree", "node"], "left")
+        last = F.coalesce("last", F.lit(0))
+    known = known.select("tree", "node", "bytes", F.explode(F.sequence(F.lit(0), last)).alias("block"), F.lit(0).alias("kind"))
+    tasks = _tasks(max(sum(len(top.handed) for top in upper), sum(blocks.values())))
+    both = asked.unionByName(known).repartition(tasks, "tree", "node", "block")
+    said = compiled.over(both.sortWithinPartitions("tree", "node", "block", "kind"), "Answer", spec)
+    keys = data.select("part", F.lit(0).alias("kind"), F.col("keys").alias("bytes"))
+    told = said.unionByName(keys).repartition(_tasks(-(-total // PART_ROWS)), "part")
+    sums = compiled.over(told.sortWithinPartitions("part", "kind"), "Total", spec)
+    return sums.select("key", (F.col("units") / F.lit(float(UNIT) * trees)).alias("probability"))

@@ -325,6 +325,70 @@ def test_splits_of_sorted_rows_equal_those_of_full_histograms(monkeypatch, cache
         assert (got[0][i], got[1][i], got[2][i]) == best
 
 
+def mixed_rows(n, wide, narrow, seed=3):
+    """Features of many, two and one values, some parting the classes; equal rows in both classes."""
+    rng = np.random.default_rng(seed)
+    x = np.hstack([rng.integers(0, 90, (n, wide)), rng.integers(0, 2, (n, narrow)), np.full((n, 1), 4)]).astype(float)
+    label = (x[:, 0] + 30 * x[:, wide] + rng.integers(0, 60, n) > 110).astype(int)
+    x[n // 2 :], label[n // 2 :] = x[: n - n // 2], np.where(rng.random(n - n // 2) < 0.2, 1 - label[: n - n // 2], label[: n - n // 2])
+    return [(int(mixed), int(y), row.tolist()) for mixed, y, row in zip(forest.mixed(np.arange(n, dtype=np.uint64)).view(np.int64), label, x)]
+
+
+@pytest.mark.parametrize("wide,narrow,words", [(2, 3, 2), (9, 70, 4)])
+@pytest.mark.parametrize("handed", [90, 10_000])
+def test_compiled_subtrees_equal_those_of_numpy(spark, wide, narrow, words, handed):
+    rows, k = mixed_rows(700, wide, narrow), wide + narrow + 1
+    data = store(spark.createDataFrame(rows, "key long, label int, features array<double>").repartition(3), "rows")
+    grown = forest.fit(data, k, 4, (0.7, 2.5), 30, 9, handed)
+    assert forest.layout(grown.edges).words == words and any(u.splits for u in grown.upper) == (handed < 700)
+    bins = np.array([[np.searchsorted(e, v) for e, v in zip(grown.edges, r[2])] for r in rows]).astype(np.uint8)
+    label, keys = np.array([r[1] for r in rows]), np.array([r[0] for r in rows])
+    found = {(r["tree"], r["node"]): r for r in grown.subtrees.collect()}
+    for tree, top in enumerate(grown.upper):
+        times, at = forest.bootstrap(keys, tree, 9), top.nodes(bins)
+        assert {node for t, node in found if t == tree} == {*at[times > 0].tolist()} & top.handed
+        for node in {*at[times > 0].tolist()} & top.handed:
+            own = (at == node) & (times > 0)
+            want = forest.grow(bins[own], label[own], times[own], tree, node, grown.settings)
+            got = forest.unpacked(found[tree, node]["subtree"])
+            assert len(got["feature"]) == len(want["feature"])
+            assert (forest.leaf_probability(got, bins) == forest.leaf_probability(want, bins)).all()
+            assert found[tree, node]["importance"] == pytest.approx(want["importance"].tolist())
+
+
+def test_packed_rows_keep_every_bin():
+    """A feature of more than two values takes a byte, any other a bit: rows of 51 features are 16 bytes, not 51 and more."""
+    rng = np.random.default_rng(2)
+    edges = [np.arange(w - 1) + 0.5 for w in [64, 2, 11, 1, 8, 60, 64, 50, 64, *[2] * 42]]
+    plan = forest.layout(edges)
+    bins = np.stack([rng.integers(0, len(e) + 1, 200) for e in edges], axis=1).astype(np.uint8)
+    label = rng.integers(0, 2, 200).astype(np.uint8)
+    words = plan.packed(bins, label).view("<u8")
+    assert words.shape == (200, 2) and ((words[:, 0] & 255) == label * 128).all()
+    for f, place in enumerate(plan.place.tolist()):
+        assert ((words[:, place // 64] >> np.uint64(place % 64) & np.uint64(255 if plan.width[f] > 2 else 1)) == bins[:, f]).all()
+
+
+def test_weights_of_rows_by_whole_numbers():
+    """The compiled bootstrap compares with the last number that the divided one lets pass."""
+    for share, last in zip(forest._CDF.tolist(), forest._LARGEST.tolist()):
+        at = np.array([last, last + 1], dtype=np.uint64) / 2.0**64
+        assert at[0] <= share < at[1]
+
+
+def test_scores_do_not_depend_on_blocks_and_parts(spark, monkeypatch):
+    """Rows that ask one subtree in several groups, and a part in several pieces, are each answered once."""
+    rows = mixed_rows(500, 2, 3)
+    data = store(spark.createDataFrame(rows, "key long, label int, features array<double>").repartition(5), "rows")
+    grown = forest.fit(data, 6, 5, (0.7, 2.5), 30, 9, 120)
+    want = {r["key"]: r["probability"] for r in forest.score(grown, data).collect()}
+    assert len(want) == 500 and any(u.leaves or len(u.handed) > 1 for u in grown.upper)
+    monkeypatch.setattr(forest, "ASKED", 20)
+    monkeypatch.setattr(forest, "PART_ROWS", 7)
+    got = forest.score(grown, data).collect()
+    assert len(got) == 500 and {r["key"]: r["probability"] for r in got} == want
+
+
 @pytest.mark.parametrize("name", ["churn", "fraud"])
 def test_registered_forests_are_as_deep_as_those_of_the_jobs(name, monkeypatch):
     from registry import queries
